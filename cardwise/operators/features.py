@@ -37,6 +37,7 @@ processor handles exactly. ``card_distinct_mcc_count`` is capped (the map size i
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -49,6 +50,7 @@ from cardwise.functions.columns import (
     impossible_travel,
     log_amount,
 )
+from cardwise.session import partitions
 from cardwise.schema import (
     AMOUNT_WINDOW,
     FEATURE_ORDER,
@@ -70,29 +72,26 @@ def _order():
     return [F.col("ts_ms"), F.col("txn_id")]
 
 
-def _bucketed(txn: DataFrame, bucket_ms: int) -> DataFrame:
-    """Data rows plus 24 h context copies, hash-partitioned on (card_id, bucket)."""
+def _bucketed(txn: DataFrame, bucket_ms: int) -> tuple[DataFrame, DataFrame]:
+    """(data rows, 24 h context rows), both hash-partitioned on (card_id, bucket).
+
+    Context rows are copies of the rows in the last 24 h of a bucket, assigned to the next
+    bucket and reduced to the columns the sliding windows read. The two sides share the
+    partitioning, so their union needs no further exchange.
+    """
+    n = partitions(txn.sparkSession)
     t = txn.select(*TXN_COLUMNS)
     bucket = F.floor(F.col("ts_ms") / F.lit(bucket_ms)).cast("long")
-    in_halo = F.col("ts_ms") >= (bucket + 1) * F.lit(bucket_ms) - F.lit(WINDOW_24H_MS)
-    copies = F.when(in_halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    rows = t.select("*", bucket.alias("bucket"), F.explode(copies).alias("ctx"))
-    is_data = F.col("ctx") == 0
-    rows = rows.select(
-        "txn_id",
-        "card_id",
-        "ts_ms",
-        "amount",
-        F.when(is_data, F.col("mcc")).alias("mcc"),
-        F.when(is_data, F.col("merchant_id")).alias("merchant_id"),
-        "lat",
-        "lon",
-        F.when(is_data, F.col("label")).alias("label"),
-        (F.col("bucket") + F.col("ctx")).alias("bucket"),
-        "ctx",
-        hour_of_day("ts_ms").alias("hour"),
+    data = t.select("*", bucket.alias("bucket"), F.lit(0).alias("ctx"), hour_of_day("ts_ms").alias("hour"))
+    # Persisted: every branch below reads this one exchange (a cached relation also stops
+    # branch filters from being pushed under the exchange and splitting it).
+    data = data.repartition(n, "card_id", "bucket").persist(StorageLevel.MEMORY_AND_DISK)
+    in_halo = F.col("ts_ms") >= (F.col("bucket") + 1) * F.lit(bucket_ms) - F.lit(WINDOW_24H_MS)
+    halo = data.filter(in_halo).select(
+        "card_id", (F.col("bucket") + 1).alias("bucket"), "txn_id", "ts_ms", "amount", "lat", "lon",
+        F.lit(1).alias("ctx"),
     )
-    return rows.repartition("card_id", "bucket")
+    return data, halo.repartition(n, "card_id", "bucket")
 
 
 def _carry(data: DataFrame) -> DataFrame:
@@ -142,7 +141,7 @@ def _carry(data: DataFrame) -> DataFrame:
     ).drop("_pt")
 
 
-def _velocity(rows: DataFrame) -> DataFrame:
+def _velocity(data: DataFrame, halo: DataFrame) -> DataFrame:
     """Prior count/sum in the last 1 m / 1 h / 24 h and the previous row, per data row.
 
     Each data row is exploded with three probe rows at ``ts - w`` placed after every row at
@@ -155,9 +154,8 @@ def _velocity(rows: DataFrame) -> DataFrame:
         for tag, w in PROBES
     ]
     marks = F.when(is_data, F.array(self_, *probes)).otherwise(F.array(self_))
-    p = rows.select(
-        "card_id", "bucket", "txn_id", "ts_ms", "amount", "lat", "lon", "ctx", F.explode(marks).alias("m")
-    )
+    cols = ["card_id", "bucket", "txn_id", "ts_ms", "amount", "lat", "lon", "ctx"]
+    p = data.select(*cols).unionByName(halo.select(*cols)).select(*cols, F.explode(marks).alias("m"))
     is_row = F.col("m.kind") == 0
     run_w = W.partitionBy("card_id", "bucket").orderBy(F.col("m.k"), F.col("m.kind"), F.col("txn_id"))
     upto = run_w.rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -206,14 +204,16 @@ def compute_features(txn: DataFrame, bucket_ms: int = WINDOW_24H_MS) -> DataFram
     """
     if bucket_ms < WINDOW_24H_MS:
         raise ValueError("bucket_ms must be at least 24 h (the longest window)")
-    rows = _bucketed(txn, bucket_ms)
-    data = rows.filter(F.col("ctx") == 0)
-    carry = _carry(data)
+    n = partitions(txn.sparkSession)
+    data, halo = _bucketed(txn, bucket_ms)
+    # Small sides are laid out like the large one, so no join moves the data rows.
+    carry = _carry(data).repartition(n, "card_id", "bucket")
     merchant_first = (
         data.filter(F.col("merchant_id") != "")
         .groupBy("card_id", "merchant_id")
         .agg(F.min("bucket").alias("bucket"))
         .withColumn("merchant_first_bucket", F.lit(True))
+        .repartition(n, "card_id", "bucket")
     )
 
     od = _order()
@@ -245,7 +245,7 @@ def compute_features(txn: DataFrame, bucket_ms: int = WINDOW_24H_MS) -> DataFram
             F.lit(0),
         ),
     )
-    d = d.join(_velocity(rows), ["card_id", "bucket", "txn_id"])
+    d = d.join(_velocity(data, halo), ["card_id", "bucket", "txn_id"])
     return _finish(d)
 
 

@@ -85,3 +85,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint directory for materialised tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}-{uuid.uuid4().hex[:10]}"
+
+
+def materialize(df, spark: SparkSession | None = None):
+    """Reliable checkpoint into the shared checkpoint folder.
+
+    Cuts lineage (a lost executor recomputes from the checkpoint, not from the scan) and
+    keeps the physical partitioning, so later windows and joins on the same keys do not
+    shuffle again. Use with a fixed-count ``repartition(n, ...)`` so AQE cannot coalesce the
+    layout away.
+    """
+    spark = spark or df.sparkSession
+    ensure_checkpoint_dir(spark)
+    return df.checkpoint(eager=True)
+
+
+def partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
