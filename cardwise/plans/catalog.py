@@ -81,3 +81,600 @@ for _view in ("txn", "txn_coarse", "txn_orders"):
         return q
 
     register(f"features_{_view}", features_sql(VIEW_SQL[_view]()))(_make_f(_view))
+
+
+# ---------------------------------------------------------------- summaries, split, replay
+
+from cardwise.functions.columns import card_key, pseudo_geo, region_key, report_sql  # noqa: E402
+from cardwise.operators import checks, metrics, monitor, split  # noqa: E402
+from cardwise.operators.features import lru_overflow_cards, out_of_order_flags  # noqa: E402
+from cardwise.sources.readers import coerce_transactions  # noqa: E402
+from cardwise.sources.views import (  # noqa: E402
+    DECISION_THRESHOLD,
+    SCORED_SQL,
+    decisions_sql,
+    decisions_table,
+    events_txn,
+    orders_txn,
+    scored_events,
+    table,
+)
+
+R, RS = report_double, report_sql
+TXN_SQL = VIEW_SQL["txn"]()
+ORD_SQL = VIEW_SQL["txn_orders"]()
+DEC_SQL = decisions_sql()
+TRAIN_FRAC, VALID_FRAC = 0.7, 0.15
+SPEEDUP, MAX_SLEEP = 100.0, 5.0
+
+
+@register(
+    "dataset_summary",
+    f"SELECT count(*) AS rows, count(DISTINCT card_id) AS cards, {RS('avg(label)')} AS fraud_rate FROM ({TXN_SQL}) t",
+)
+def q_dataset_summary(spark, d):
+    """A1: rows, distinct cards and label rate of the transaction view."""
+    s = split.dataset_summary(events_txn(spark, d))
+    return s.select("rows", "cards", R("fraud_rate").alias("fraud_rate"))
+
+
+@register(
+    "replay_summary",
+    f"""SELECT count(*) AS rows, {RS('sum(CASE WHEN label = 1 THEN 1 ELSE 0 END) * 1.0 / count(*)')} AS fraud_rate,
+       {RS('(max(ts_ms) - min(ts_ms)) / 1000.0 / 3600.0')} AS span_hours,
+       {RS(f'(max(ts_ms) - min(ts_ms)) / 1000.0 / {SPEEDUP} / 60.0')} AS projected_minutes
+FROM ({TXN_SQL}) t""",
+)
+def q_replay_summary(spark, d):
+    """A2: replay size, label rate, event-time span and projected replay time."""
+    s = split.replay_summary(events_txn(spark, d), SPEEDUP)
+    return s.select("rows", *[R(c).alias(c) for c in ("fraud_rate", "span_hours", "projected_minutes")])
+
+
+@register(
+    "replay_schedule",
+    f"""WITH t AS ({TXN_SQL}),
+g AS (SELECT txn_id, ts_ms, row_number() OVER (ORDER BY ts_ms, txn_id) AS seq,
+             (ts_ms - lag(ts_ms) OVER (ORDER BY ts_ms, txn_id)) / 1000.0 / {SPEEDUP} AS gap FROM t),
+s AS (SELECT *, CASE WHEN gap IS NULL OR gap <= 0 THEN 0.0 ELSE least(gap, {MAX_SLEEP}) END AS sleep_s FROM g)
+SELECT txn_id, ts_ms, seq, {RS('sleep_s')} AS sleep_s,
+       {RS('sum(sleep_s) OVER (ORDER BY ts_ms, txn_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)')} AS offset_s
+FROM s""",
+)
+def q_replay_schedule(spark, d):
+    """A3: per-row publish offset of an event-ordered replay (partition-parallel prefix sum)."""
+    s = split.replay_schedule(events_txn(spark, d), SPEEDUP, MAX_SLEEP)
+    return s.select("txn_id", "ts_ms", "seq", R("sleep_s").alias("sleep_s"), R("offset_s").alias("offset_s"))
+
+
+@register(
+    "first_n",
+    f"SELECT txn_id, card_id, ts_ms, amount FROM ({TXN_SQL}) t ORDER BY ts_ms, txn_id LIMIT 100",
+)
+def q_first_n(spark, d):
+    """A4: first 100 transactions in event order (top-k)."""
+    return split.first_n(events_txn(spark, d), 100).select("txn_id", "card_id", "ts_ms", "amount")
+
+
+def _split_sql(src: str) -> str:
+    f1, f2 = repr(TRAIN_FRAC), repr(TRAIN_FRAC + VALID_FRAC)
+    return f"""WITH t AS ({src}),
+o AS (SELECT ts_ms, row_number() OVER (ORDER BY ts_ms, txn_id) AS rn, count(*) OVER () AS n FROM t),
+c AS (SELECT max(CASE WHEN rn = CAST(floor(n * CAST({f1} AS DOUBLE)) AS BIGINT) THEN ts_ms END) AS cut_t,
+             max(CASE WHEN rn = CAST(floor(n * CAST({f2} AS DOUBLE)) AS BIGINT) THEN ts_ms END) AS cut_v FROM o)
+SELECT t.*, CASE WHEN t.ts_ms <= c.cut_t THEN 'train' WHEN t.ts_ms <= c.cut_v THEN 'valid' ELSE 'test' END AS split
+FROM t, c"""
+
+
+@register("temporal_split_assign", f"SELECT txn_id, split FROM ({_split_sql(ORD_SQL)}) s")
+def q_split_assign(spark, d):
+    """A5: train/valid/test by event time over the day-granular orders view (ties never straddle)."""
+    return split.split_label(orders_txn(spark, d), TRAIN_FRAC, VALID_FRAC).select("txn_id", "split")
+
+
+@register(
+    "temporal_split_check",
+    f"""WITH s AS ({_split_sql(ORD_SQL)})
+SELECT count(*) FILTER (WHERE split = 'train') AS n_train, count(*) FILTER (WHERE split = 'valid') AS n_valid,
+       count(*) FILTER (WHERE split = 'test') AS n_test, count(*) AS n,
+       (coalesce(max(ts_ms) FILTER (WHERE split = 'train') <
+                 coalesce(min(ts_ms) FILTER (WHERE split = 'valid'), min(ts_ms) FILTER (WHERE split = 'test')), TRUE)
+        AND coalesce(max(ts_ms) FILTER (WHERE split = 'valid') < min(ts_ms) FILTER (WHERE split = 'test'), TRUE)) AS ordered
+FROM s""",
+)
+def q_split_check(spark, d):
+    """Split sizes and the train < valid < test time order."""
+    return split.split_check(split.split_label(orders_txn(spark, d), TRAIN_FRAC, VALID_FRAC))
+
+
+# --------------------------------------------------------------------------- evaluation
+
+def _cost_sql(flag: str) -> str:
+    return f"""SELECT {RS(f'''count(*) FILTER (WHERE ({flag}) AND label = 0) * 150.0
+        + coalesce(sum(CAST(amount AS DECIMAL(38,10))) FILTER (WHERE NOT ({flag}) AND label = 1), 0) * 1.0
+        + count(*) FILTER (WHERE NOT ({flag}) AND label = 1) * 500.0''')} AS expected_cost FROM ({SCORED_SQL}) s"""
+
+
+@register("expected_cost_at_threshold", _cost_sql(f"score >= {DECISION_THRESHOLD}"))
+def q_expected_cost(spark, d):
+    """Expected cost when flagging score >= threshold."""
+    return metrics.expected_cost(scored_events(spark, d), DECISION_THRESHOLD).select(R("expected_cost").alias("expected_cost"))
+
+
+@register("expected_cost_approve_all", _cost_sql("FALSE"))
+def q_expected_cost_all(spark, d):
+    """Expected cost of approving everything."""
+    return metrics.expected_cost(scored_events(spark, d), None).select(R("expected_cost").alias("expected_cost"))
+
+
+_CURVE_SQL = f"""WITH s AS ({SCORED_SQL}),
+mm AS (SELECT min(score) AS lo, max(score) AS hi FROM s),
+g AS (SELECT i, CASE WHEN i = 199 THEN hi ELSE i * ((hi - lo) / 199.0) + lo END AS threshold
+      FROM mm, range(200) r(i)),
+c AS (SELECT g.i, g.threshold,
+        count(*) FILTER (WHERE s.score >= g.threshold AND s.label = 0) AS fp,
+        coalesce(sum(CAST(s.amount AS DECIMAL(38,10))) FILTER (WHERE s.score < g.threshold AND s.label = 1), 0) AS fn_value,
+        count(*) FILTER (WHERE s.score < g.threshold AND s.label = 1) AS fn
+      FROM g, s GROUP BY g.i, g.threshold)
+SELECT i, threshold, fp * 150.0 + CAST(fn_value AS DOUBLE) * 1.0 + fn * 500.0 AS expected_cost FROM c"""
+
+
+@register(
+    "cost_curve",
+    f"SELECT CAST(i AS INTEGER) AS i, {RS('threshold')} AS threshold, {RS('expected_cost')} AS expected_cost FROM ({_CURVE_SQL}) x",
+)
+def q_cost_curve(spark, d):
+    """Expected cost at 200 thresholds over [min, max] score."""
+    c = metrics.cost_curve(scored_events(spark, d))
+    return c.select("i", R("threshold").alias("threshold"), R("expected_cost").alias("expected_cost"))
+
+
+@register(
+    "optimal_threshold",
+    f"""SELECT {RS('threshold')} AS threshold, {RS('expected_cost')} AS expected_cost
+FROM ({_CURVE_SQL}) x ORDER BY expected_cost, i LIMIT 1""",
+)
+def q_optimal_threshold(spark, d):
+    """A10: lowest threshold with the minimum expected cost."""
+    o = metrics.optimal_threshold(scored_events(spark, d))
+    return o.select(R("threshold").alias("threshold"), R("expected_cost").alias("expected_cost"))
+
+
+_RANKED_SQL = f"""SELECT *, row_number() OVER (ORDER BY score DESC, ts_ms, txn_id) AS rk,
+  sum(label) OVER (ORDER BY score DESC, ts_ms, txn_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp
+FROM ({SCORED_SQL}) s"""
+
+
+@register(
+    "pr_auc",
+    f"SELECT {RS('coalesce(sum(CASE WHEN label = 1 THEN tp * 1.0 / rk END) / nullif(sum(label), 0), 0.0)')} AS pr_auc FROM ({_RANKED_SQL}) r",
+)
+def q_pr_auc(spark, d):
+    """Step-wise average precision."""
+    return metrics.pr_auc(scored_events(spark, d)).select(R("pr_auc").alias("pr_auc"))
+
+
+@register(
+    "roc_auc",
+    f"""WITH g AS (SELECT score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg
+               FROM ({SCORED_SQL}) s GROUP BY score),
+r AS (SELECT *, sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cneg FROM g)
+SELECT {RS('CASE WHEN sum(pos) = 0 OR sum(neg) = 0 THEN 0.5 ELSE sum(pos * (2 * (cneg - neg) + neg)) / (2.0 * sum(pos) * sum(neg)) END')} AS roc_auc
+FROM r""",
+)
+def q_roc_auc(spark, d):
+    """ROC-AUC with tie-averaged ranks."""
+    return metrics.roc_auc(scored_events(spark, d)).select(R("roc_auc").alias("roc_auc"))
+
+
+def _budget_sql() -> str:
+    parts = []
+    for b in metrics.DEFAULT_BUDGETS:
+        parts.append(
+            f"""SELECT CAST({b!r} AS DOUBLE) AS review_rate, greatest(1, CAST(round_even(n * CAST({b!r} AS DOUBLE), 0) AS BIGINT)) AS k FROM (SELECT count(*) AS n FROM ({SCORED_SQL}) s0)"""
+        )
+    ks = " UNION ALL ".join(parts)
+    return f"""WITH r AS ({_RANKED_SQL}), k AS ({ks}),
+tot AS (SELECT count(*) FILTER (WHERE label = 1) AS p, coalesce(sum(CAST(amount AS DECIMAL(38,10))) FILTER (WHERE label = 1), 0) AS pv FROM r),
+c AS (SELECT k.review_rate, k.k, count(*) FILTER (WHERE r.label = 1) AS caught,
+             coalesce(sum(CAST(r.amount AS DECIMAL(38,10))) FILTER (WHERE r.label = 1), 0) AS cv
+      FROM k JOIN r ON r.rk <= k.k GROUP BY k.review_rate, k.k)
+SELECT {RS('review_rate')} AS review_rate, {RS('k')} AS reviewed_n, {RS('caught * 1.0 / k')} AS precision,
+       {RS('CASE WHEN p > 0 THEN caught * 1.0 / p ELSE 0 END')} AS recall_count,
+       {RS('CASE WHEN pv <> 0 THEN CAST(cv AS DOUBLE) / CAST(pv AS DOUBLE) ELSE 0 END')} AS recall_value
+FROM c, tot"""
+
+
+@register("metrics_at_budget", _budget_sql())
+def q_metrics_at_budget(spark, d):
+    """Precision and recall (count, value) at review budgets 0.1 %, 0.5 %, 1 %, 5 %."""
+    m = metrics.metrics_at_budget(scored_events(spark, d))
+    return m.select(*[R(c).alias(c) for c in ("review_rate", "reviewed_n", "precision", "recall_count", "recall_value")])
+
+
+@register(
+    "confusion_at_threshold",
+    f"""WITH c AS (SELECT count(*) FILTER (WHERE score >= {DECISION_THRESHOLD} AND label = 1) AS tp,
+                      count(*) FILTER (WHERE score >= {DECISION_THRESHOLD} AND label = 0) AS fp,
+                      count(*) FILTER (WHERE score < {DECISION_THRESHOLD} AND label = 1) AS fn,
+                      avg(CASE WHEN score >= {DECISION_THRESHOLD} THEN 1.0 ELSE 0.0 END) AS alert_rate
+               FROM ({SCORED_SQL}) s)
+SELECT tp, fp, fn, {RS('CASE WHEN tp + fp > 0 THEN tp * 1.0 / (tp + fp) ELSE 0 END')} AS precision,
+       {RS('CASE WHEN tp + fn > 0 THEN tp * 1.0 / (tp + fn) ELSE 0 END')} AS recall, {RS('alert_rate')} AS alert_rate FROM c""",
+)
+def q_confusion(spark, d):
+    """Confusion counts, precision, recall and alert rate at the decision threshold."""
+    c = metrics.confusion_at_threshold(scored_events(spark, d), DECISION_THRESHOLD)
+    return c.select("tp", "fp", "fn", R("precision").alias("precision"), R("recall").alias("recall"), R("alert_rate").alias("alert_rate"))
+
+
+@register(
+    "amount_percentiles",
+    f"""WITH v AS (SELECT amount, row_number() OVER (ORDER BY amount) - 1 AS i, count(*) OVER () AS n FROM ({TXN_SQL}) t),
+q AS (SELECT * FROM (VALUES (0.5), (0.95), (0.99)) x(q))
+SELECT {RS('q.q')} AS q, {RS('v.amount')} AS value FROM q, v
+WHERE v.i = least(v.n - 1, CAST(round_even(q.q * (v.n - 1), 0) AS BIGINT))""",
+)
+def q_amount_percentiles(spark, d):
+    """Nearest-rank percentiles of transaction amounts (exact, distributed ranking)."""
+    p = metrics.nearest_rank_percentiles(events_txn(spark, d), "amount", (0.5, 0.95, 0.99))
+    return p.select(R("q").alias("q"), R("value").alias("value"))
+
+
+# ---------------------------------------------------------------- decisions and monitoring
+
+def _ms(col: str):
+    return F.unix_millis(F.col(col))
+
+
+@register(
+    "decisions",
+    f"""SELECT txn_id, card_id, CAST(epoch_ms(event_ts) AS BIGINT) AS event_ts_ms, {RS('score')} AS score,
+       {RS('threshold')} AS threshold, decision, label, model_version,
+       CAST(epoch_ms(scored_at) AS BIGINT) AS scored_at_ms, {RS('latency_ms')} AS latency_ms
+FROM ({DEC_SQL}) d""",
+)
+def q_decisions(spark, d):
+    """L4: decision rows (score, threshold, decision, version, scored time, latency)."""
+    t = decisions_table(spark, d)
+    return t.select(
+        "txn_id", "card_id", _ms("event_ts").alias("event_ts_ms"), R("score").alias("score"),
+        R("threshold").alias("threshold"), "decision", "label", "model_version",
+        _ms("scored_at").alias("scored_at_ms"), R("latency_ms").alias("latency_ms"),
+    )
+
+
+_LAT_SQL = f"""SELECT scored_at, decision,
+  (epoch_us(scored_at) - epoch_us(event_ts)) / 1000.0 AS e2e_latency_ms, latency_ms AS inference_latency_ms
+FROM ({DEC_SQL}) d"""
+
+
+@register(
+    "decision_latency",
+    f"""SELECT CAST(epoch_ms(scored_at) AS BIGINT) AS scored_at_ms, decision, {RS('e2e_latency_ms')} AS e2e_latency_ms,
+       {RS('inference_latency_ms')} AS inference_latency_ms FROM ({_LAT_SQL}) l""",
+)
+def q_decision_latency(spark, d):
+    """M1: end-to-end and inference latency per decision."""
+    lat = monitor.decision_latency(decisions_table(spark, d))
+    return lat.select(
+        _ms("scored_at").alias("scored_at_ms"), "decision", R("e2e_latency_ms").alias("e2e_latency_ms"),
+        R("inference_latency_ms").alias("inference_latency_ms"),
+    )
+
+
+@register(
+    "decision_quality",
+    f"""SELECT count(*) FILTER (WHERE decision = 'REVIEW' AND label = 1) AS true_positives,
+       count(*) FILTER (WHERE decision = 'REVIEW' AND label = 0) AS false_positives,
+       count(*) FILTER (WHERE decision = 'APPROVE' AND label = 1) AS false_negatives,
+       count(*) FILTER (WHERE decision = 'APPROVE' AND label = 0) AS true_negatives
+FROM ({DEC_SQL}) d WHERE label IS NOT NULL""",
+)
+def q_decision_quality(spark, d):
+    """M2: confusion counts over labelled decisions."""
+    return monitor.decision_quality(decisions_table(spark, d))
+
+
+@register(
+    "precision_recall_pct",
+    f"""WITH q AS (SELECT count(*) FILTER (WHERE decision = 'REVIEW' AND label = 1) AS tp,
+                      count(*) FILTER (WHERE decision = 'REVIEW' AND label = 0) AS fp,
+                      count(*) FILTER (WHERE decision = 'APPROVE' AND label = 1) AS fn
+               FROM ({DEC_SQL}) d WHERE label IS NOT NULL)
+SELECT CAST(round(CAST(tp AS DECIMAL(20,0)) * 100 / nullif(tp + fp, 0), 2) AS DOUBLE) AS precision_pct,
+       CAST(round(CAST(tp AS DECIMAL(20,0)) * 100 / nullif(tp + fn, 0), 2) AS DOUBLE) AS recall_pct FROM q""",
+)
+def q_precision_recall_pct(spark, d):
+    """M3: precision and recall in percent (NULL when undefined)."""
+    return monitor.precision_recall_pct(decisions_table(spark, d))
+
+
+@register("decision_count", f"SELECT count(*) AS decisions FROM ({DEC_SQL}) d")
+def q_decision_count(spark, d):
+    """M4: number of decisions."""
+    return monitor.decision_count(decisions_table(spark, d))
+
+
+@register(
+    "recent_decisions",
+    f"""SELECT txn_id, card_id, decision, CAST(epoch_ms(scored_at) AS BIGINT) AS scored_at_ms
+FROM ({DEC_SQL}) d ORDER BY scored_at DESC, txn_id LIMIT 50""",
+)
+def q_recent(spark, d):
+    """M5: the 50 most recent decisions."""
+    r = monitor.recent_decisions(decisions_table(spark, d), 50)
+    return r.select("txn_id", "card_id", "decision", _ms("scored_at").alias("scored_at_ms"))
+
+
+@register(
+    "review_queue",
+    f"""SELECT txn_id, card_id, {RS('score')} AS score, CAST(epoch_ms(scored_at) AS BIGINT) AS scored_at_ms
+FROM ({DEC_SQL}) d WHERE decision = 'REVIEW' ORDER BY scored_at DESC, txn_id LIMIT 100""",
+)
+def q_review_queue(spark, d):
+    """M5: the 100 most recent REVIEW decisions."""
+    r = monitor.review_queue(decisions_table(spark, d), 100)
+    return r.select("txn_id", "card_id", R("score").alias("score"), _ms("scored_at").alias("scored_at_ms"))
+
+
+@register(
+    "latency_percentiles_10s",
+    f"""SELECT CAST(epoch_ms(scored_at) // 10000 * 10000 AS BIGINT) AS bucket_start_ms,
+       {RS('quantile_cont(e2e_latency_ms, 0.5)')} AS p50, {RS('quantile_cont(e2e_latency_ms, 0.95)')} AS p95,
+       {RS('quantile_cont(e2e_latency_ms, 0.99)')} AS p99
+FROM ({_LAT_SQL}) l GROUP BY 1""",
+)
+def q_latency_pct(spark, d):
+    """M6: exact p50/p95/p99 end-to-end latency per 10 s bucket."""
+    p = monitor.latency_percentiles(decisions_table(spark, d), "10 seconds")
+    return p.select(_ms("bucket_start").alias("bucket_start_ms"), *[R(c).alias(c) for c in ("p50", "p95", "p99")])
+
+
+@register(
+    "decision_rate_1m",
+    f"""SELECT CAST(epoch_ms(scored_at) // 60000 * 60000 AS BIGINT) AS bucket_start_ms, decision,
+       {RS('count(*) / 60.0')} AS per_sec FROM ({DEC_SQL}) d GROUP BY 1, 2""",
+)
+def q_decision_rate(spark, d):
+    """M7: decisions per second by decision, per minute."""
+    r = monitor.decision_rate(decisions_table(spark, d))
+    return r.select(_ms("bucket_start").alias("bucket_start_ms"), "decision", R("per_sec").alias("per_sec"))
+
+
+@register(
+    "alert_rate_5m",
+    f"""WITH x AS (SELECT (epoch_ms(scored_at) // 60000 - k) * 60000 AS bucket_start_ms, decision
+               FROM ({DEC_SQL}) d, range(5) r(k))
+SELECT CAST(bucket_start_ms AS BIGINT) AS bucket_start_ms,
+       {RS("(count(*) FILTER (WHERE decision = 'REVIEW') / 300.0) / greatest(count(*) / 300.0, 0.0001)")} AS alert_rate
+FROM x GROUP BY 1""",
+)
+def q_alert_rate(spark, d):
+    """M8: REVIEW share over 5-minute windows sliding by 1 minute."""
+    a = monitor.alert_rate(decisions_table(spark, d))
+    return a.select(_ms("bucket_start").alias("bucket_start_ms"), R("alert_rate").alias("alert_rate"))
+
+
+@register(
+    "run_review_rate",
+    "SELECT " + RS("round(avg(CASE WHEN decision = 'REVIEW' THEN 1.0 ELSE 0.0 END), 4)") + f" AS review_rate FROM ({DEC_SQL}) d",
+)
+def q_run_review_rate(spark, d):
+    """M8: REVIEW share over the whole run."""
+    return monitor.run_review_rate(decisions_table(spark, d)).select(R("review_rate").alias("review_rate"))
+
+
+def _hist_sql(expr: str, bounds) -> str:
+    cases = " ".join(f"WHEN {expr} <= {b!r} THEN {i}" for i, b in enumerate(bounds))
+    les = ", ".join(f"({i}, {float(b)!r})" for i, b in enumerate(bounds))
+    return f"""WITH b AS (SELECT CASE {cases} ELSE {len(bounds)} END AS i FROM ({_LAT_SQL}) l),
+per AS (SELECT i, count(*) AS n FROM b GROUP BY i),
+les AS (SELECT * FROM (VALUES {les}, ({len(bounds)}, 'inf'::DOUBLE)) x(i, le))
+SELECT CAST(les.i AS INTEGER) AS i, les.le AS le,
+       sum(coalesce(per.n, 0)) OVER (ORDER BY les.i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumulative
+FROM les LEFT JOIN per ON les.i = per.i"""
+
+
+@register("e2e_latency_histogram", _hist_sql("e2e_latency_ms / 1000.0", monitor.E2E_BOUNDS))
+def q_e2e_hist(spark, d):
+    """M9: cumulative end-to-end latency histogram (seconds, fixed bounds)."""
+    lat = monitor.decision_latency(decisions_table(spark, d)).select((F.col("e2e_latency_ms") / 1000.0).alias("s"))
+    return monitor.latency_histogram(lat, "s", monitor.E2E_BOUNDS).select("i", "le", F.col("cumulative").cast("long").alias("cumulative"))
+
+
+@register("inference_latency_histogram", _hist_sql("inference_latency_ms / 1000.0", monitor.INFERENCE_BOUNDS))
+def q_inf_hist(spark, d):
+    """M9: cumulative inference latency histogram."""
+    lat = monitor.decision_latency(decisions_table(spark, d)).select((F.col("inference_latency_ms") / 1000.0).alias("s"))
+    return monitor.latency_histogram(lat, "s", monitor.INFERENCE_BOUNDS).select(
+        "i", "le", F.col("cumulative").cast("long").alias("cumulative")
+    )
+
+
+@register("e2e_histogram_quantiles")
+def q_hist_quantiles(spark, d):
+    """Histogram-interpolated p50/p95/p99 of end-to-end latency."""
+    lat = monitor.decision_latency(decisions_table(spark, d)).select((F.col("e2e_latency_ms") / 1000.0).alias("s"))
+    h = monitor.latency_histogram(lat, "s", monitor.E2E_BOUNDS)
+    return monitor.histogram_quantile(h, (0.5, 0.95, 0.99)).select(R("q").alias("q"), R("value").alias("value"))
+
+
+@register(
+    "slo_share",
+    f"SELECT {RS('avg(CASE WHEN e2e_latency_ms <= 200.0 THEN 1.0 ELSE 0.0 END)')} AS within_slo FROM ({_LAT_SQL}) l",
+)
+def q_slo(spark, d):
+    """Share of decisions within 200 ms end to end."""
+    return monitor.slo_share(decisions_table(spark, d)).select(R("within_slo").alias("within_slo"))
+
+
+@register("decisions_by_label", f"SELECT decision, count(*) AS n FROM ({DEC_SQL}) d GROUP BY decision")
+def q_by_label(spark, d):
+    """Decision counts per label."""
+    return monitor.decisions_by_label(decisions_table(spark, d))
+
+
+@register(
+    "bench_summary",
+    f"""WITH v AS (SELECT e2e_latency_ms AS v, row_number() OVER (ORDER BY e2e_latency_ms) - 1 AS i, count(*) OVER () AS n FROM ({_LAT_SQL}) l),
+p AS (SELECT max(v) FILTER (WHERE i = least(n - 1, CAST(round_even(0.5 * (n - 1), 0) AS BIGINT))) AS p50,
+             max(v) FILTER (WHERE i = least(n - 1, CAST(round_even(0.95 * (n - 1), 0) AS BIGINT))) AS p95,
+             max(v) FILTER (WHERE i = least(n - 1, CAST(round_even(0.99 * (n - 1), 0) AS BIGINT))) AS p99,
+             max(v) AS mx, avg(v) AS mean, count(*) AS n FROM v)
+SELECT n AS decisions_observed, CAST(1.0 AS DOUBLE) AS completeness, {RS('p50')} AS p50, {RS('p95')} AS p95, {RS('p99')} AS p99,
+       {RS('mx')} AS max, {RS('mean')} AS mean FROM p""",
+)
+def q_bench_summary(spark, d):
+    """Completeness and nearest-rank latency percentiles of a decisions run."""
+    lat = monitor.decision_latency(decisions_table(spark, d))
+    b = metrics.bench_summary(lat)
+    return b.select("decisions_observed", "completeness", *[R(c).alias(c) for c in ("p50", "p95", "p99", "max", "mean")])
+
+
+# ----------------------------------------------------------------------------- checks
+
+@register(
+    "check_score_ranges",
+    f"""SELECT count(*) FILTER (WHERE score IS NULL OR NOT (score BETWEEN 0.0 AND 1.0)) AS bad_scores,
+       count(*) FILTER (WHERE decision IS NULL OR decision NOT IN ('APPROVE', 'REVIEW')) AS bad_decisions FROM ({DEC_SQL}) d""",
+)
+def q_check_ranges(spark, d):
+    """Scores within [0, 1] and decisions within the domain."""
+    return checks.score_and_decision_ranges(decisions_table(spark, d))
+
+
+@register("check_duplicate_decisions", f"SELECT txn_id, count(*) AS n FROM ({DEC_SQL}) d GROUP BY txn_id HAVING count(*) > 1")
+def q_check_dups(spark, d):
+    """No decision id twice."""
+    return checks.duplicate_ids(decisions_table(spark, d))
+
+
+_FEAT_SQL = features_sql(TXN_SQL)
+
+
+@register(
+    "check_cold_starts",
+    f"SELECT count(*) FILTER (WHERE is_first_txn_for_card = 1) AS cold_starts, count(DISTINCT card_id) AS cards FROM ({_FEAT_SQL}) f",
+)
+def q_check_cold(spark, d):
+    """Exactly one cold start per card."""
+    return checks.cold_starts(compute_features(events_txn(spark, d)))
+
+
+@register(
+    "check_busiest_card",
+    f"""SELECT card_id, count(*) AS n, {RS('max_by(prior_txn_count, ts_ms)')} AS last_prior_count
+FROM ({_FEAT_SQL}) f GROUP BY card_id ORDER BY n DESC, card_id LIMIT 1""",
+)
+def q_check_busiest(spark, d):
+    """C4: the busiest card's last row has prior count n - 1."""
+    b = checks.busiest_card(compute_features(events_txn(spark, d)))
+    return b.select("card_id", "n", R("last_prior_count").alias("last_prior_count"))
+
+
+@register(
+    "check_feature_nulls",
+    "SELECT " + ", ".join(f"count(*) FILTER (WHERE {n} IS NULL) AS {n}" for n in FEATURE_ORDER) + f" FROM ({_FEAT_SQL}) f",
+)
+def q_check_nulls(spark, d):
+    """No NULL in any of the 27 features."""
+    return checks.feature_nulls(compute_features(events_txn(spark, d)))
+
+
+@register(
+    "reconcile_feature_ids",
+    f"""SELECT txn_id, 'missing' AS kind FROM (SELECT txn_id FROM ({TXN_SQL}) t EXCEPT SELECT txn_id FROM ({_FEAT_SQL}) f) a
+UNION ALL SELECT txn_id, 'unexpected' AS kind FROM (SELECT txn_id FROM ({_FEAT_SQL}) f EXCEPT SELECT txn_id FROM ({TXN_SQL}) t) b""",
+)
+def q_reconcile(spark, d):
+    """Every transaction has exactly one feature row (missing / unexpected ids)."""
+    t = events_txn(spark, d)
+    return checks.reconcile_ids(t, compute_features(t))
+
+
+@register(
+    "feature_parity_bucket_width",
+    "SELECT CAST(NULL AS VARCHAR) AS txn_id, CAST(NULL AS VARCHAR) AS feature, CAST(NULL AS DOUBLE) AS a, "
+    "CAST(NULL AS DOUBLE) AS b WHERE FALSE",
+)
+def q_parity(spark, d):
+    """Features with 1-day and 7-day buckets are identical (the layout never changes values)."""
+    t = events_txn(spark, d)
+    a = compute_features(t)
+    b = compute_features(t, bucket_ms=7 * 86_400_000)
+    return checks.feature_parity(a, b)
+
+
+@register(
+    "leak_probe",
+    f"""WITH f AS ({_FEAT_SQL}), m AS (SELECT card_id, avg(amount) AS card_mean_all FROM f GROUP BY card_id)
+SELECT f.txn_id, f.card_id, {RS('f.prior_amount_mean')} AS prior_amount_mean, {RS('m.card_mean_all')} AS card_mean_all
+FROM f JOIN m USING (card_id) WHERE abs(m.card_mean_all - f.prior_amount_mean) > 1e-6""",
+)
+def q_leak(spark, d):
+    """The point-in-time mean differs from the whole-history mean (negative control)."""
+    f = compute_features(events_txn(spark, d))
+    full = f.groupBy("card_id").agg(F.avg("amount").alias("card_mean_all"))
+    j = f.join(full, "card_id").filter(F.abs(F.col("card_mean_all") - F.col("prior_amount_mean")) > 1e-6)
+    return j.select("txn_id", "card_id", R("prior_amount_mean").alias("prior_amount_mean"), R("card_mean_all").alias("card_mean_all"))
+
+
+@register(
+    "lru_overflow_cards",
+    f"""SELECT card_id, count(DISTINCT mcc) AS distinct_mcc, count(DISTINCT merchant_id) AS distinct_merchants
+FROM ({TXN_SQL}) t GROUP BY card_id HAVING count(DISTINCT mcc) > 64 OR count(DISTINCT merchant_id) > 128""",
+)
+def q_lru(spark, d):
+    """W3 guard: cards where the 64 / 128 LRU caps could change novelty features."""
+    return lru_overflow_cards(events_txn(spark, d))
+
+
+@register(
+    "out_of_order_arrival",
+    f"""WITH t AS ({ORD_SQL})
+SELECT txn_id, card_id, ts_ms,
+       CASE WHEN ts_ms < max(ts_ms) OVER (PARTITION BY card_id ORDER BY CAST(txn_id AS BIGINT)
+                                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) THEN CAST(1.0 AS DOUBLE) ELSE CAST(0.0 AS DOUBLE) END AS out_of_order_flag
+FROM t""",
+)
+def q_out_of_order(spark, d):
+    """F27 in arrival order: orders arrive by order key, not by date."""
+    t = orders_txn(spark, d).withColumn("arrival", F.col("txn_id").cast("long"))
+    return out_of_order_flags(t, "arrival", bucket_ms=1 << 62)
+
+
+@register(
+    "customer_card_keys",
+    f"""SELECT c_custkey,
+  concat_ws('-', coalesce(nullif(CAST(c_nationkey AS VARCHAR), ''), 'NA'), coalesce(nullif(c_mktsegment, ''), 'NA'),
+            coalesce(nullif(CAST(c_custkey AS VARCHAR), ''), 'NA')) AS card_id,
+  coalesce(nullif(CAST(c_nationkey AS VARCHAR), ''), 'NA') || ':' || coalesce(nullif(c_mktsegment, ''), 'NA') AS region,
+  round(-55.0 + (CAST(CAST(('0x' || substr(sha256('lat|' || coalesce(nullif(CAST(c_nationkey AS VARCHAR), ''), 'NA') || ':' || coalesce(nullif(c_mktsegment, ''), 'NA')), 1, 16)) AS UBIGINT) AS DOUBLE) / 18446744073709551616.0) * 125.0, 5) AS lat
+FROM customer""",
+)
+def q_customer_keys(spark, d):
+    """Card key, region key and pseudo-location over the customer table."""
+    c = table(spark, d, "customer")
+    region = region_key("c_nationkey", "c_mktsegment")
+    lat, _ = pseudo_geo(region)
+    return c.select(
+        "c_custkey",
+        card_key(["c_nationkey", "c_mktsegment", "c_custkey"]).alias("card_id"),
+        region.alias("region"),
+        lat.alias("lat"),
+    )
+
+
+@register(
+    "coerce_events",
+    f"SELECT 'good' AS part, count(*) AS n FROM ({TXN_SQL}) t UNION ALL SELECT 'quarantine' AS part, 0 AS n",
+)
+def q_coerce(spark, d):
+    """P5: text-typed rows coerced to the canonical schema; bad rows quarantined with a reason."""
+    t = events_txn(spark, d)
+    raw = t.select(*[F.col(c).cast("string").alias(c) for c in t.columns])
+    good, bad = coerce_transactions(raw)
+    g = good.agg(F.count(F.lit(1)).alias("n")).select(F.lit("good").alias("part"), "n")
+    b = bad.agg(F.count(F.lit(1)).alias("n")).select(F.lit("quarantine").alias("part"), "n")
+    return g.unionByName(b)

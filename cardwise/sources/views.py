@@ -157,3 +157,38 @@ VIEW_SQL = {
 }
 
 SCORED_SQL = events_txn_sql(with_score=True)
+
+
+# ------------------------------------------------------------------- decisions fixture view
+# fixed values: decision threshold, model version and the id-hash delays of the
+# deterministic decisions table (scoring delay 5..454 ms, inference 0.0..9.9 ms)
+DECISION_THRESHOLD = 0.95
+MODEL_VERSION = "v1"
+DELAY_MULT, DELAY_MOD, DELAY_BASE = 37, 450, 5
+INFER_MULT, INFER_MOD = 13, 100
+
+
+def decisions_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decisions over every ``events`` row: synthetic score, scored a fixed id-derived delay
+    after the event (so monitoring queries are reproducible)."""
+    from cardwise.operators.monitor import decisions
+
+    scored = events_txn(spark, sf_dir, with_score=True)
+    rid = F.col("txn_id").cast("long")
+    delay = (rid * DELAY_MULT) % DELAY_MOD + DELAY_BASE
+    scored_at = F.timestamp_millis(F.col("ts_ms") + delay)
+    infer = ((rid * INFER_MULT) % INFER_MOD) / F.lit(10.0)
+    return decisions(scored, DECISION_THRESHOLD, MODEL_VERSION, scored_at=scored_at, latency_ms=infer)
+
+
+def decisions_sql() -> str:
+    return f"""
+SELECT txn_id, card_id,
+       make_timestamp(ts_ms * 1000) AS event_ts,
+       score, {DECISION_THRESHOLD} AS threshold,
+       CASE WHEN score >= {DECISION_THRESHOLD} THEN 'REVIEW' ELSE 'APPROVE' END AS decision,
+       CAST(label AS SMALLINT) AS label, '{MODEL_VERSION}' AS model_version,
+       make_timestamp((ts_ms + (CAST(txn_id AS BIGINT) * {DELAY_MULT}) % {DELAY_MOD} + {DELAY_BASE}) * 1000) AS scored_at,
+       ((CAST(txn_id AS BIGINT) * {INFER_MULT}) % {INFER_MOD}) / 10.0 AS latency_ms
+FROM ({SCORED_SQL}) s
+"""
