@@ -678,3 +678,31 @@ def q_coerce(spark, d):
     g = good.agg(F.count(F.lit(1)).alias("n")).select(F.lit("good").alias("part"), "n")
     b = bad.agg(F.count(F.lit(1)).alias("n")).select(F.lit("quarantine").alias("part"), "n")
     return g.unionByName(b)
+
+
+# ---------------------------------------------------------------------------- streaming
+
+@register("features_stream_txn", features_sql(TXN_SQL))
+def q_features_stream(spark, d):
+    """T1 + S6: features from keyed state in a real micro-batch stream.
+
+    The transaction view is replayed as 16 event-ordered files, one per micro-batch,
+    through the RocksDB-backed stateful processor into a parquet sink (availableNow).
+    """
+    from cardwise.session import scratch_path
+    from cardwise.streaming.jobs import stream_features, stream_transactions_files, typed_stream
+    from cardwise.streaming.replay import write_replay_files
+
+    base = scratch_path(spark, "replay")
+    write_replay_files(events_txn(spark, d), f"{base}/in", 16)
+    stream = typed_stream(stream_transactions_files(spark, f"{base}/in", max_files=1))
+    q = (
+        stream_features(stream)
+        .writeStream.format("parquet")
+        .option("path", f"{base}/out")
+        .option("checkpointLocation", f"{base}/ckpt")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    return report_features(spark.read.parquet(f"{base}/out"))
