@@ -706,3 +706,22 @@ def q_features_stream(spark, d):
     )
     q.awaitTermination()
     return report_features(spark.read.parquet(f"{base}/out"))
+
+
+# ------------------------------------------------------------------------------- model
+
+@register("train_evaluate_report")
+def q_train_evaluate(spark, d):
+    """Temporal split, boosted trees, validation threshold, test report.
+
+    Long form (metric, value): the test report, the chosen threshold and the 27 feature
+    importances. Non-SQL (model fitting), so no oracle statement.
+    """
+    from cardwise.plans.train_evaluate import fit_and_evaluate
+
+    _, rep = fit_and_evaluate(spark, compute_features(events_txn(spark, d)), max_iter=20)
+    rows = [(f"test_{k}", v) for k, v in rep["test"].items()]
+    rows.append(("chosen_threshold", rep["chosen_threshold"]))
+    rows.append(("validation_cost_at_chosen_threshold", rep["validation_cost_at_chosen_threshold"]))
+    rows += [(f"importance_{k}", v) for k, v in rep["feature_importance"].items()]
+    return spark.createDataFrame([(k, None if v is None else float(v)) for k, v in rows], "metric string, value double")
