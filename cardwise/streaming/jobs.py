@@ -11,6 +11,11 @@ from cardwise.sources.readers import coerce_transactions
 from cardwise.streaming.processor import FEATURE_OUTPUT_SCHEMA, CardFeatureProcessor
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    # commit a changelog per micro-batch instead of uploading a full snapshot each time
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 
 
 def _stateful_conf(spark: SparkSession) -> None:
@@ -18,8 +23,9 @@ def _stateful_conf(spark: SparkSession) -> None:
     # The state store coordinator lives in the streaming query manager; touching it makes
     # the stateful operator usable on batch DataFrames too.
     _ = spark.streams.active
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != ROCKSDB:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    for key, value in STATE_CONF.items():
+        if spark.conf.get(key, "") != value:
+            spark.conf.set(key, value)
 
 
 def stream_transactions_files(spark: SparkSession, path: str, fmt: str = "json", max_files: int = 1) -> DataFrame:
@@ -63,7 +69,7 @@ def stream_features(df: DataFrame, ttl_ms: int | None = None, lru: bool = True)
     return (
         df.select(*TXN_COLUMNS)
         .groupBy("card_id")
-        .transformWithStateInPandas(
+        .transformWithState(
             statefulProcessor=CardFeatureProcessor(ttl_ms=ttl_ms, lru=lru),
             outputStructType=FEATURE_OUTPUT_SCHEMA,
             outputMode="Append",

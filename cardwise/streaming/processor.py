@@ -1,11 +1,9 @@
-"""Keyed state per card in Structured Streaming (``transformWithStateInPandas``).
+"""Keyed state per card in Structured Streaming (``transformWithState``, row API).
 
-State per card (RocksDB state store):
-
-* ``core``      ValueState: version, counters, last position, hour histogram, last <= 50
-  amounts, the 24 h (ts, amount) window;
-* ``mcc``       MapState mcc -> last seen ms (<= 64 keys, LRU);
-* ``merchant``  MapState merchant -> last seen ms (<= 128 keys, LRU).
+State per card (RocksDB state store): one typed ValueState ``card`` holding version,
+counters, last position, hour histogram, last <= 50 amounts, the 24 h (ts, amount) window
+and the MCC (<= 64) / merchant (<= 128) last-seen maps as parallel arrays. One value keeps
+the state traffic to a read and a write per card per micro-batch; every part is bounded.
 
 Rows of one card within a micro-batch are processed in (ts_ms, txn_id) order; one output
 row per input row. Optional idle expiry (T3) uses a processing-time TTL on every state.
@@ -15,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+from pyspark.sql import Row
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -31,8 +29,8 @@ FEATURE_OUTPUT_SCHEMA = StructType(
         StructField("label", IntegerType(), True),
     ]
 )
-_KEY = "k string"
-_VAL = "ts long"
+
+_OUT_NAMES = tuple(f.name for f in FEATURE_OUTPUT_SCHEMA.fields)
 
 
 class CardFeatureProcessor(StatefulProcessor):
@@ -43,46 +41,22 @@ class CardFeatureProcessor(StatefulProcessor):
         self.lru = lru
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.core = handle.getValueState("core", CORE_STATE_SCHEMA, self.ttl_ms)
-        self.mcc = handle.getMapState("mcc", _KEY, _VAL, self.ttl_ms)
-        self.merchant = handle.getMapState("merchant", _KEY, _VAL, self.ttl_ms)
+        self.card = handle.getValueState("card", CORE_STATE_SCHEMA, self.ttl_ms)
 
     def _load(self) -> CardMemory:
-        core = self.core.get() if self.core.exists() else None
-        mcc = {k[0]: int(v[0]) for k, v in self.mcc.iterator()} if core is not None else {}
-        mer = {k[0]: int(v[0]) for k, v in self.merchant.iterator()} if core is not None else {}
-        mem = CardMemory.from_rows(tuple(core) if core is not None else None, mcc, mer)
+        core = self.card.get()  # None when the card has no state yet
+        mem = CardMemory.from_rows(tuple(core) if core is not None else None)
         mem.lru = self.lru
         return mem
 
-    def _save(self, mem: CardMemory, mcc_before: dict, mer_before: dict) -> None:
-        self.core.update(mem.core_row())
-        for state, before, after in ((self.mcc, mcc_before, mem.mcc_seen), (self.merchant, mer_before, mem.merchant_seen)):
-            for k in before.keys() - after.keys():
-                state.removeKey((k,))
-            for k, v in after.items():
-                if before.get(k) != v:
-                    state.updateValue((k,), (int(v),))
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         card_id = key[0]
-        batch = pd.concat(list(rows), ignore_index=True)
-        batch = batch.sort_values(["ts_ms", "txn_id"], kind="stable")
+        batch = sorted(rows, key=lambda r: (r["ts_ms"], r["txn_id"]))
         mem = self._load()
-        mcc_before, mer_before = dict(mem.mcc_seen), dict(mem.merchant_seen)
-        feats = [
-            mem.step(int(ts), float(amt), str(mcc), str(mer), float(lat), float(lon))
-            for ts, amt, mcc, mer, lat, lon in zip(
-                batch["ts_ms"], batch["amount"], batch["mcc"], batch["merchant_id"], batch["lat"], batch["lon"]
-            )
-        ]
-        self._save(mem, mcc_before, mer_before)
-        out = pd.DataFrame(feats, columns=list(FEATURE_ORDER))
-        out.insert(0, "ts_ms", batch["ts_ms"].astype("int64").to_numpy())
-        out.insert(0, "card_id", card_id)
-        out.insert(0, "txn_id", batch["txn_id"].astype(str).to_numpy())
-        out["label"] = pd.array(batch["label"].to_numpy(), dtype="Int32")
-        yield out
+        for r in batch:
+            f = mem.step(int(r["ts_ms"]), float(r["amount"]), r["mcc"], r["merchant_id"], float(r["lat"]), float(r["lon"]))
+            yield Row(**dict(zip(_OUT_NAMES, (r["txn_id"], card_id, int(r["ts_ms"]), *f, r["label"]))))
+        self.card.update(mem.core_row())
 
     def close(self) -> None:
         pass
