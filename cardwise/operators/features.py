@@ -196,14 +196,18 @@ def _velocity(data: DataFrame, halo: DataFrame) -> DataFrame:
     )
 
 
-def compute_features(txn: DataFrame, bucket_ms: int = WINDOW_24H_MS) -> DataFrame:
+def compute_features(txn: DataFrame, bucket_ms: int = WINDOW_24H_MS, reset_after_ms: int | None = None) -> DataFrame:
     """All 27 features in :data:`FEATURE_ORDER`, plus ids and label.
 
     ``txn`` needs the canonical columns. ``bucket_ms`` (>= 24 h) sets how finely a card's
     history is split across tasks; larger buckets copy fewer context rows.
+    ``reset_after_ms`` (W4, opt-in) forgets a card's history after an idle gap longer than
+    that (event time): the rows after the gap start a new history epoch.
     """
     if bucket_ms < WINDOW_24H_MS:
         raise ValueError("bucket_ms must be at least 24 h (the longest window)")
+    if reset_after_ms is not None:
+        return _with_history_reset(txn, bucket_ms, reset_after_ms)
     n = partitions(txn.sparkSession)
     data, halo = _bucketed(txn, bucket_ms)
     # Small sides are laid out like the large one, so no join moves the data rows.
@@ -249,6 +253,50 @@ def compute_features(txn: DataFrame, bucket_ms: int = WINDOW_24H_MS) -> DataFram
     return _finish(d)
 
 
+_EPOCH_SEP = "\u0001"
+
+
+def history_epochs(txn: DataFrame, reset_after_ms: int, bucket_ms: int = WINDOW_24H_MS) -> DataFrame:
+    """(txn_id, card_id, epoch): the number of idle gaps > ``reset_after_ms`` before a
+    row in its card's (ts_ms, txn_id) order.
+
+    Two-level like the features: previous row and gap counts inside (card, bucket), plus
+    per-bucket carries (last time, gap count) from windows over a card's buckets.
+    """
+    n = partitions(txn.sparkSession)
+    b = F.floor(F.col("ts_ms") / F.lit(bucket_ms)).cast("long")
+    t = txn.select("txn_id", "card_id", "ts_ms", b.alias("bucket")).repartition(n, "card_id", "bucket")
+    cw = W.partitionBy("card_id").orderBy("bucket")
+    last = t.groupBy("card_id", "bucket").agg(F.max_by("ts_ms", F.struct("ts_ms", "txn_id")).alias("_last"))
+    last = last.select("card_id", "bucket", F.lag("_last").over(cw).alias("_last_before")).repartition(
+        n, "card_id", "bucket"
+    )
+    wd = W.partitionBy("card_id", "bucket").orderBy(*_order())
+    g = t.join(last, ["card_id", "bucket"]).withColumn(
+        "_prev", F.coalesce(F.lag("ts_ms").over(wd), F.col("_last_before"))
+    )
+    g = g.withColumn("_gap", F.when(F.col("ts_ms") - F.col("_prev") > F.lit(reset_after_ms), 1).otherwise(0))
+    per = g.groupBy("card_id", "bucket").agg(F.sum("_gap").alias("_g"))
+    per = per.select(
+        "card_id",
+        "bucket",
+        F.coalesce(F.sum("_g").over(cw.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_g_before"),
+    ).repartition(n, "card_id", "bucket")
+    out = g.join(per, ["card_id", "bucket"]).withColumn(
+        "epoch", F.col("_g_before") + F.sum("_gap").over(wd.rowsBetween(W.unboundedPreceding, W.currentRow))
+    )
+    return out.select("txn_id", "card_id", "epoch")
+
+
+def _with_history_reset(txn: DataFrame, bucket_ms: int, reset_after_ms: int) -> DataFrame:
+    ep = history_epochs(txn, reset_after_ms, bucket_ms)
+    keyed = txn.join(ep, ["txn_id", "card_id"]).withColumn(
+        "card_id", F.concat_ws(_EPOCH_SEP, F.col("card_id"), F.col("epoch").cast("string"))
+    )
+    feats = compute_features(keyed.drop("epoch"), bucket_ms)
+    return feats.withColumn("card_id", F.substring_index(F.col("card_id"), _EPOCH_SEP, 1))
+
+
 def _finish(d: DataFrame) -> DataFrame:
     amount = F.col("amount")
     prior_n = F.col("n_before") + F.col("j")

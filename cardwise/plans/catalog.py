@@ -725,3 +725,53 @@ def q_train_evaluate(spark, d):
     rows.append(("validation_cost_at_chosen_threshold", rep["validation_cost_at_chosen_threshold"]))
     rows += [(f"importance_{k}", v) for k, v in rep["feature_importance"].items()]
     return spark.createDataFrame([(k, None if v is None else float(v)) for k, v in rows], "metric string, value double")
+
+
+RESET_MS = 200 * 86_400_000
+
+
+def _reset_src_sql(src: str, reset_ms: int) -> str:
+    return f"""WITH o AS ({src}),
+p AS (SELECT *, lag(ts_ms) OVER (PARTITION BY card_id ORDER BY ts_ms, txn_id) AS prev FROM o),
+e AS (SELECT *, sum(CASE WHEN ts_ms - prev > {reset_ms} THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY card_id ORDER BY ts_ms, txn_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS epoch
+      FROM p)
+SELECT txn_id, card_id || chr(1) || CAST(epoch AS VARCHAR) AS card_id, ts_ms, amount, mcc, merchant_id, lat, lon, label FROM e"""
+
+
+@register(
+    "features_reset_orders",
+    f"SELECT * REPLACE (split_part(card_id, chr(1), 1) AS card_id) FROM ({features_sql(_reset_src_sql(ORD_SQL, RESET_MS))}) f",
+)
+def q_features_reset(spark, d):
+    """Features with history forgotten after a 200-day idle gap (orders view)."""
+    return report_features(compute_features(orders_txn(spark, d), reset_after_ms=RESET_MS))
+
+
+@register(
+    "stream_state_snapshot",
+    f"SELECT card_id, count(*) AS txn_count, CAST(max(ts_ms) AS BIGINT) AS last_ts FROM ({TXN_SQL}) t GROUP BY card_id",
+)
+def q_state_snapshot(spark, d):
+    """Per-card state read from a finished stream's checkpoint (count and clock)."""
+    from cardwise.session import scratch_path
+    from cardwise.streaming.jobs import state_snapshot, stream_features, stream_transactions_files, typed_stream
+    from cardwise.streaming.replay import write_replay_files
+
+    base = scratch_path(spark, "snapshot")
+    write_replay_files(events_txn(spark, d), f"{base}/in", 4)
+    stream = typed_stream(stream_transactions_files(spark, f"{base}/in", max_files=1))
+    q = (
+        stream_features(stream)
+        .writeStream.format("noop")
+        .option("checkpointLocation", f"{base}/ckpt")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    snap = state_snapshot(spark, f"{base}/ckpt")
+    return snap.select(
+        F.col("key.card_id").alias("card_id"),
+        F.col("value.txn_count").alias("txn_count"),
+        F.col("value.last_ts").alias("last_ts"),
+    )

@@ -63,14 +63,20 @@ def dedupe_stream(df: DataFrame, delay: str = "1 hour") -> DataFrame:
     )
 
 
-def stream_features(df: DataFrame, ttl_ms: int | None = None, lru: bool = True) -> DataFrame:
-    """27 features per transaction from keyed per-card state (stream or batch input)."""
+def stream_features(
+    df: DataFrame, ttl_ms: int | None = None, lru: bool = True, reset_after_ms: int | None = None
+) -> DataFrame:
+    """27 features per transaction from keyed per-card state (stream or batch input).
+
+    ``ttl_ms``: processing-time idle expiry of the state (T3); ``reset_after_ms``: event-time
+    history reset after an idle gap (W4, same rule as the batch path).
+    """
     _stateful_conf(df.sparkSession)
     return (
         df.select(*TXN_COLUMNS)
         .groupBy("card_id")
         .transformWithState(
-            statefulProcessor=CardFeatureProcessor(ttl_ms=ttl_ms, lru=lru),
+            statefulProcessor=CardFeatureProcessor(ttl_ms=ttl_ms, lru=lru, reset_after_ms=reset_after_ms),
             outputStructType=FEATURE_OUTPUT_SCHEMA,
             outputMode="Append",
             timeMode="ProcessingTime" if ttl_ms else "None",
@@ -139,3 +145,9 @@ def stream_decisions(features: DataFrame, model, threshold: float, version: str,
         upsert_decisions(decisions(scored, threshold, version), batch_id, target)
 
     return features.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).start()
+
+
+def state_snapshot(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The latest per-card state of a running or stopped feature stream, read from its
+    checkpoint (one row per card) without touching the query."""
+    return spark.read.format("statestore").option("stateVarName", "card").load(checkpoint)

@@ -36,9 +36,10 @@ _OUT_NAMES = tuple(f.name for f in FEATURE_OUTPUT_SCHEMA.fields)
 class CardFeatureProcessor(StatefulProcessor):
     """Per-card feature state machine; ``ttl_ms`` enables idle expiry (default off)."""
 
-    def __init__(self, ttl_ms: int | None = None, lru: bool = True):
+    def __init__(self, ttl_ms: int | None = None, lru: bool = True, reset_after_ms: int | None = None):
         self.ttl_ms = ttl_ms
         self.lru = lru
+        self.reset_after_ms = reset_after_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.card = handle.getValueState("card", CORE_STATE_SCHEMA, self.ttl_ms)
@@ -47,6 +48,7 @@ class CardFeatureProcessor(StatefulProcessor):
         core = self.card.get()  # None when the card has no state yet
         mem = CardMemory.from_rows(tuple(core) if core is not None else None)
         mem.lru = self.lru
+        mem.reset_after_ms = self.reset_after_ms
         return mem
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
