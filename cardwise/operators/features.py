@@ -72,28 +72,59 @@ def _order():
     return [F.col("ts_ms"), F.col("txn_id")]
 
 
-def _bucketed(txn: DataFrame, bucket_ms: int) -> tuple[DataFrame, DataFrame]:
+def _bucketed(txn: DataFrame, bucket_ms: int, widths: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(data rows, 24 h context rows), both hash-partitioned on (card_id, bucket).
 
-    Context rows are copies of the rows in the last 24 h of a bucket, assigned to the next
-    bucket and reduced to the columns the sliding windows read. The two sides share the
-    partitioning, so their union needs no further exchange.
+    A card's bucket width is ``bucket_ms`` unless ``widths`` (card_id, _bw) gives it a finer
+    one. Context rows are copies of a row into each later bucket whose previous 24 h cover
+    it (one bucket when the width is >= 24 h), reduced to the columns the sliding windows
+    read. Both sides share the partitioning, so their union needs no further exchange.
     """
     n = partitions(txn.sparkSession)
     t = txn.select(*TXN_COLUMNS)
-    bucket = F.floor(F.col("ts_ms") / F.lit(bucket_ms)).cast("long")
-    data = t.select("*", bucket.alias("bucket"), F.lit(0).alias("ctx"), hour_of_day("ts_ms").alias("hour"))
+    if widths is not None:
+        t = t.join(widths, "card_id", "left")
+        bw = F.coalesce(F.col("_bw"), F.lit(bucket_ms)).cast("long")
+    else:
+        bw = F.lit(bucket_ms).cast("long")
+    t = t.withColumn("_bw", bw)
+    bucket = F.floor(F.col("ts_ms") / F.col("_bw")).cast("long")
+    data = t.select(
+        *TXN_COLUMNS, "_bw", bucket.alias("bucket"), F.lit(0).alias("ctx"), hour_of_day("ts_ms").alias("hour")
+    )
     # Persisted: every branch below reads this one exchange (a cached relation also stops
     # branch filters from being pushed under the exchange and splitting it).
     data = data.repartition(n, "card_id", "bucket").persist(StorageLevel.MEMORY_AND_DISK)
-    in_halo = F.col("ts_ms") >= (F.col("bucket") + 1) * F.lit(bucket_ms) - F.lit(WINDOW_24H_MS)
-    halo = data.filter(in_halo).select(
-        "card_id", (F.col("bucket") + 1).alias("bucket"), "txn_id", "ts_ms", "amount", "lat", "lon",
+    ahead = F.sequence(F.lit(1).cast("long"), F.ceil(F.lit(WINDOW_24H_MS) / F.col("_bw")).cast("long"))
+    copies = data.select("card_id", "bucket", "txn_id", "ts_ms", "amount", "lat", "lon", "_bw", F.explode(ahead).alias("_j"))
+    in_halo = F.col("ts_ms") >= (F.col("bucket") + F.col("_j")) * F.col("_bw") - F.lit(WINDOW_24H_MS)
+    halo = copies.filter(in_halo).select(
+        "card_id", (F.col("bucket") + F.col("_j")).alias("bucket"), "txn_id", "ts_ms", "amount", "lat", "lon",
         F.lit(1).alias("ctx"),
     )
     return data, halo.repartition(n, "card_id", "bucket")
 
 
+def hot_card_widths(txn: DataFrame, hot_rows: int, hot_bucket_ms: int, max_hot: int = 100_000) -> DataFrame | None:
+    """Cards with at least ``hot_rows`` rows, each given the finer bucket ``hot_bucket_ms``.
+
+    Per-card counts are a partial aggregate; the hot list is broadcast only when it has at
+    most ``max_hot`` rows (otherwise a shuffle join, which AQE splits when skewed).
+    Returns None when no card is hot.
+    """
+    from cardwise.operators.joins import bounded_broadcast
+
+    hot = (
+        txn.groupBy("card_id")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .filter(F.col("_n") >= hot_rows)
+        .select("card_id", F.lit(int(hot_bucket_ms)).cast("long").alias("_bw"))
+    )
+    if hot.limit(1).count() == 0:
+        return None
+    return bounded_broadcast(hot, max_hot)
+
+
 def _carry(data: DataFrame) -> DataFrame:
     """One row per non-empty (card_id, bucket): what the bucket inherits from earlier ones."""
     summary = data.groupBy("card_id", "bucket").agg(
@@ -196,20 +227,29 @@ def _velocity(data: DataFrame, halo: DataFrame) -> DataFrame:
     )
 
 
-def compute_features(txn: DataFrame, bucket_ms: int = WINDOW_24H_MS, reset_after_ms: int | None = None) -> DataFrame:
+def compute_features(
+    txn: DataFrame,
+    bucket_ms: int = WINDOW_24H_MS,
+    reset_after_ms: int | None = None,
+    hot_rows: int | None = 2_000_000,
+    hot_bucket_ms: int = WINDOW_1H_MS,
+) -> DataFrame:
     """All 27 features in :data:`FEATURE_ORDER`, plus ids and label.
 
     ``txn`` needs the canonical columns. ``bucket_ms`` (>= 24 h) sets how finely a card's
     history is split across tasks; larger buckets copy fewer context rows.
     ``reset_after_ms`` (W4, opt-in) forgets a card's history after an idle gap longer than
     that (event time): the rows after the gap start a new history epoch.
+    Cards with at least ``hot_rows`` rows get ``hot_bucket_ms`` buckets, so a card with a
+    large share of all rows is split into hours, not days (``hot_rows=None`` skips the check).
     """
-    if bucket_ms < WINDOW_24H_MS:
-        raise ValueError("bucket_ms must be at least 24 h (the longest window)")
+    if bucket_ms <= 0 or hot_bucket_ms <= 0:
+        raise ValueError("bucket widths must be positive")
     if reset_after_ms is not None:
-        return _with_history_reset(txn, bucket_ms, reset_after_ms)
+        return _with_history_reset(txn, bucket_ms, reset_after_ms, hot_rows, hot_bucket_ms)
+    widths = hot_card_widths(txn, hot_rows, hot_bucket_ms) if hot_rows is not None else None
     n = partitions(txn.sparkSession)
-    data, halo = _bucketed(txn, bucket_ms)
+    data, halo = _bucketed(txn, bucket_ms, widths)
     # Small sides are laid out like the large one, so no join moves the data rows.
     carry = _carry(data).repartition(n, "card_id", "bucket")
     merchant_first = (
@@ -288,12 +328,12 @@ def history_epochs(txn: DataFrame, reset_after_ms: int, bucket_ms: int = WINDOW_
     return out.select("txn_id", "card_id", "epoch")
 
 
-def _with_history_reset(txn: DataFrame, bucket_ms: int, reset_after_ms: int) -> DataFrame:
+def _with_history_reset(txn: DataFrame, bucket_ms: int, reset_after_ms: int, hot_rows, hot_bucket_ms) -> DataFrame:
     ep = history_epochs(txn, reset_after_ms, bucket_ms)
     keyed = txn.join(ep, ["txn_id", "card_id"]).withColumn(
         "card_id", F.concat_ws(_EPOCH_SEP, F.col("card_id"), F.col("epoch").cast("string"))
     )
-    feats = compute_features(keyed.drop("epoch"), bucket_ms)
+    feats = compute_features(keyed.drop("epoch"), bucket_ms, hot_rows=hot_rows, hot_bucket_ms=hot_bucket_ms)
     return feats.withColumn("card_id", F.substring_index(F.col("card_id"), _EPOCH_SEP, 1))
 
 

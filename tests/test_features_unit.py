@@ -141,3 +141,12 @@ def test_bucket_width_does_not_change_values(make_txn):
     a = compute_features(make_txn(spec)).orderBy("txn_id").collect()
     b = compute_features(make_txn(spec), bucket_ms=3 * 86_400_000).orderBy("txn_id").collect()
     assert [r.asDict() for r in a] == [r.asDict() for r in b]
+
+
+def test_fine_buckets_and_hot_cards_do_not_change_values(make_txn):
+    spec = [_row(i, i * 37 * 60_000 + (i % 3), float(i % 11), mcc="ABC"[i % 3], merchant=f"m{i % 5}") for i in range(150)]
+    spec += [(f"u{i:03d}", "c2", T0 + i * 3 * 3_600_000, 5.0, "A", "z", 1.0, 1.0) for i in range(40)]
+    base = compute_features(make_txn(spec), hot_rows=None).orderBy("txn_id").collect()
+    fine = compute_features(make_txn(spec), bucket_ms=3_600_000, hot_rows=None).orderBy("txn_id").collect()
+    hot = compute_features(make_txn(spec), hot_rows=100, hot_bucket_ms=2 * 3_600_000).orderBy("txn_id").collect()
+    assert [r.asDict() for r in base] == [r.asDict() for r in fine] == [r.asDict() for r in hot]
