@@ -775,3 +775,66 @@ def q_state_snapshot(spark, d):
         F.col("value.txn_count").alias("txn_count"),
         F.col("value.last_ts").alias("last_ts"),
     )
+
+
+def _replay_with_redelivery(spark, d, base: str, n_files: int = 8):
+    from cardwise.streaming.replay import redeliver, write_replay_files
+
+    names = write_replay_files(events_txn(spark, d), f"{base}/in", n_files)
+    redeliver(spark, names[n_files // 2], "part-redelivered-a.json")
+    redeliver(spark, names[-1], "part-redelivered-b.json")
+
+
+@register("features_stream_redelivery", features_sql(TXN_SQL))
+def q_features_redelivery(spark, d):
+    """T6 + T1: two replay files are delivered twice; deduplication keeps every
+    transaction's features exactly as in a clean replay."""
+    from cardwise.session import scratch_path
+    from cardwise.streaming.jobs import dedupe_stream, stream_features, stream_transactions_files, typed_stream
+
+    base = scratch_path(spark, "redelivery")
+    _replay_with_redelivery(spark, d, base)
+    stream = dedupe_stream(typed_stream(stream_transactions_files(spark, f"{base}/in", max_files=1)), "1 hour")
+    q = (
+        stream_features(stream)
+        .writeStream.format("parquet")
+        .option("path", f"{base}/out")
+        .option("checkpointLocation", f"{base}/ckpt")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    return report_features(spark.read.parquet(f"{base}/out"))
+
+
+def _hash_scorer(df):
+    from cardwise.sources.views import SCORE_MOD, SCORE_MULT
+
+    return df.withColumn("score", (F.col("txn_id").cast("long") * SCORE_MULT) % SCORE_MOD / F.lit(1000.0))
+
+
+@register(
+    "decisions_stream_upsert",
+    f"SELECT txn_id, card_id, {RS('score')} AS score, decision, label FROM ({DEC_SQL}) d",
+)
+def q_decisions_stream(spark, d):
+    """T8 + K3: features stream -> per-batch scoring -> first-writer-wins decisions table.
+
+    The whole stream is run twice (a full redelivery with a fresh checkpoint); the table
+    still holds one decision per transaction.
+    """
+    from cardwise.session import scratch_path
+    from cardwise.streaming.jobs import stream_decisions, stream_features, stream_transactions_files, typed_stream
+    from cardwise.streaming.replay import write_replay_files
+
+    base = scratch_path(spark, "decisions")
+    write_replay_files(events_txn(spark, d), f"{base}/in", 4)
+    for attempt in ("a", "b"):
+        feats = stream_features(typed_stream(stream_transactions_files(spark, f"{base}/in", max_files=1)))
+        q = stream_decisions(
+            feats, _hash_scorer, DECISION_THRESHOLD, "v1", f"{base}/decisions", f"{base}/ckpt-{attempt}",
+            trigger={"availableNow": True},
+        )
+        q.awaitTermination()
+    t = spark.read.parquet(f"{base}/decisions")
+    return t.select("txn_id", "card_id", R("score").alias("score"), "decision", "label")

@@ -115,36 +115,58 @@ def features_to_kafka(features: DataFrame, bootstrap: str, topic: str, checkpoin
     )
 
 
-def upsert_decisions(batch: DataFrame, batch_id: int, target: str) -> None:
+def upsert_decisions(batch: DataFrame, batch_id: int, target: str, day_col: str = "event_ts") -> None:
     """K3: first writer wins on txn_id; a redelivered micro-batch adds nothing.
 
-    Keeps one row per txn_id within the batch (earliest scored_at), drops ids already in
-    the parquet table at ``target`` (anti join), appends the rest.
+    The table is partitioned by event day. One row per txn_id is kept within the batch
+    (earliest scored_at); ids already present are removed with an anti join that reads only
+    the event days occurring in the batch (partition pruning), so the cost follows the
+    batch, not the table. A transaction's event day never changes, so its earlier decision
+    is always in one of those days.
     """
     from pyspark.sql import Window as W
 
     spark = batch.sparkSession
+    day = F.to_date(F.col(day_col)) if day_col in batch.columns else F.lit(None).cast("date")
     w = W.partitionBy("txn_id").orderBy("scored_at")
-    fresh = batch.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    fresh = (
+        batch.withColumn("event_day", day)
+        .withColumn("_rn", F.row_number().over(w))
+        .filter("_rn = 1")
+        .drop("_rn")
+    )
+    days = [r[0] for r in fresh.select("event_day").distinct().collect()]  # days in one micro-batch
     try:
-        existing = spark.read.parquet(target).select("txn_id")
+        existing = spark.read.parquet(target).filter(F.col("event_day").isin(days)).select("txn_id")
         fresh = fresh.join(existing, "txn_id", "left_anti")
     except Exception as e:  # noqa: BLE001 - first batch: no table yet
         if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
             raise
-    fresh.write.mode("append").parquet(target)
+    fresh.write.mode("append").partitionBy("event_day").parquet(target)
 
 
-def stream_decisions(features: DataFrame, model, threshold: float, version: str, target: str, checkpoint: str):
-    """Score each micro-batch and upsert its decisions (at-least-once in, once in the table)."""
+def model_scorer(model):
+    """Scoring function for :func:`stream_decisions` from a fitted model (L3)."""
     from cardwise.operators.model import score
+
+    return lambda df: score(df, model)
+
+
+def stream_decisions(features: DataFrame, scorer, threshold: float, version: str, target: str, checkpoint: str, trigger=None):
+    """Score each micro-batch and upsert its decisions (at-least-once in, once in the table).
+
+    ``scorer`` maps a feature batch to the same rows with a ``score`` column (see
+    :func:`model_scorer`); ``scored_at`` is fixed once per micro-batch.
+    """
     from cardwise.operators.monitor import decisions
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        scored = score(batch, model)
-        upsert_decisions(decisions(scored, threshold, version), batch_id, target)
+        upsert_decisions(decisions(scorer(batch), threshold, version), batch_id, target)
 
-    return features.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).start()
+    w = features.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    if trigger is not None:
+        w = w.trigger(**trigger)
+    return w.start()
 
 
 def state_snapshot(spark: SparkSession, checkpoint: str) -> DataFrame:

@@ -31,3 +31,15 @@ def _order_mtimes(spark: SparkSession, path: str) -> list[str]:
     for i, name in enumerate(names):  # one file per range slice, named in slice order
         fs.setTimes(jvm.org.apache.hadoop.fs.Path(name), base + i * 1000, -1)
     return names
+
+
+def redeliver(spark: SparkSession, file_path: str, new_name: str, after_ms: int = 500) -> str:
+    """Copy a replay file under a new name with a later modification time (a redelivery)."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    src = jvm.org.apache.hadoop.fs.Path(file_path)
+    fs = src.getFileSystem(conf)
+    dst = jvm.org.apache.hadoop.fs.Path(src.getParent(), new_name)
+    jvm.org.apache.hadoop.fs.FileUtil.copy(fs, src, fs, dst, False, conf)
+    fs.setTimes(dst, fs.getFileStatus(src).getModificationTime() + after_ms, -1)
+    return dst.toString()

@@ -75,7 +75,7 @@ def test_upsert_decisions_is_idempotent(spark, tmp_path):
 
     target = str(tmp_path / "decisions")
     rows = [(f"t{i}", "c", i * 1.0) for i in range(5)]
-    df = spark.createDataFrame(rows, "txn_id string, card_id string, scored_at double")
+    df = spark.createDataFrame(rows, "txn_id string, card_id string, scored_at double").withColumn("event_ts", F.current_timestamp())
     upsert_decisions(df, 0, target)
     upsert_decisions(df.union(df), 1, target)  # redelivery, duplicated within the batch too
     assert spark.read.parquet(target).count() == 5
