@@ -37,7 +37,6 @@ processor handles exactly. ``card_distinct_mcc_count`` is capped (the map size i
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -50,7 +49,7 @@ from cardwise.functions.columns import (
     impossible_travel,
     log_amount,
 )
-from cardwise.session import partitions
+from cardwise.session import partitions, persist_partitioned
 from cardwise.schema import (
     AMOUNT_WINDOW,
     FEATURE_ORDER,
@@ -94,7 +93,7 @@ def _bucketed(txn: DataFrame, bucket_ms: int, widths: DataFrame | None = None) -
     )
     # Persisted: every branch below reads this one exchange (a cached relation also stops
     # branch filters from being pushed under the exchange and splitting it).
-    data = data.repartition(n, "card_id", "bucket").persist(StorageLevel.MEMORY_AND_DISK)
+    data = persist_partitioned(data.repartition(n, "card_id", "bucket"))
     ahead = F.sequence(F.lit(1).cast("long"), F.ceil(F.lit(WINDOW_24H_MS) / F.col("_bw")).cast("long"))
     copies = data.select("card_id", "bucket", "txn_id", "ts_ms", "amount", "lat", "lon", "_bw", F.explode(ahead).alias("_j"))
     in_halo = F.col("ts_ms") >= (F.col("bucket") + F.col("_j")) * F.col("_bw") - F.lit(WINDOW_24H_MS)
@@ -126,7 +125,13 @@ def hot_card_widths(txn: DataFrame, hot_rows: int, hot_bucket_ms: int, max_hot:
 
 
 def _carry(data: DataFrame) -> DataFrame:
-    """One row per non-empty (card_id, bucket): what the bucket inherits from earlier ones."""
+    """One row per non-empty (card_id, bucket): what the bucket inherits from earlier ones.
+
+    Per-bucket parts come from the (card_id, bucket) layout without an exchange; one
+    exchange by card then serves both the per-MCC look-back and the prefix windows over a
+    card's buckets (a card has one row per active bucket here, not one per transaction).
+    """
+    n = partitions(data.sparkSession)
     summary = data.groupBy("card_id", "bucket").agg(
         F.count(F.lit(1)).alias("n"),
         F.max_by(F.struct("ts_ms", "lat", "lon"), F.struct("ts_ms", "txn_id")).alias("last"),
@@ -141,10 +146,21 @@ def _carry(data: DataFrame) -> DataFrame:
         .agg(F.sort_array(F.collect_list(F.struct("ts_ms", "txn_id", "amount"))).alias("_tail"))
         .select("card_id", "bucket", F.transform("_tail", lambda x: x["amount"]).alias("tail"))
     )
-    # MCCs: last time per (card, bucket, mcc), previous occurrence across buckets.
-    mcc = data.groupBy("card_id", "bucket", "mcc").agg(F.max("ts_ms").alias("mx"))
-    mcc = mcc.withColumn("prev_mx", F.lag("mx").over(W.partitionBy("card_id", "mcc").orderBy("bucket")))
-    mcc = mcc.groupBy("card_id", "bucket").agg(
+    # Latest time of each MCC in the bucket (<= distinct MCCs of the bucket).
+    mccs = (
+        data.groupBy("card_id", "bucket", "mcc")
+        .agg(F.max("ts_ms").alias("mx"))
+        .groupBy("card_id", "bucket")
+        .agg(F.collect_list(F.struct("mcc", "mx")).alias("mccs"))
+    )
+    per_bucket = summary.join(tails, ["card_id", "bucket"]).join(mccs, ["card_id", "bucket"]).repartition(n, "card_id")
+
+    # Previous occurrence of each MCC across buckets: window by (card, mcc) on the card layout.
+    m = per_bucket.select("card_id", "bucket", F.explode("mccs").alias("_m")).select(
+        "card_id", "bucket", F.col("_m.mcc").alias("mcc"), F.col("_m.mx").alias("mx")
+    )
+    m = m.withColumn("prev_mx", F.lag("mx").over(W.partitionBy("card_id", "mcc").orderBy("bucket")))
+    m = m.groupBy("card_id", "bucket").agg(
         F.map_from_entries(
             F.collect_list(F.when(F.col("prev_mx").isNotNull(), F.struct("mcc", "prev_mx")))
         ).alias("mcc_prev"),
@@ -153,7 +169,7 @@ def _carry(data: DataFrame) -> DataFrame:
 
     cw = W.partitionBy("card_id").orderBy("bucket")
     before = cw.rowsBetween(W.unboundedPreceding, -1)
-    joined = summary.join(tails, ["card_id", "bucket"]).join(mcc, ["card_id", "bucket"])
+    joined = per_bucket.drop("mccs").join(m, ["card_id", "bucket"])
     pt = F.flatten(F.collect_list("tail").over(cw.rowsBetween(-AMOUNT_WINDOW, -1)))
     carry = joined.select(
         "card_id",

@@ -102,3 +102,23 @@ def materialize(df, spark: SparkSession | None = None):
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def persist_partitioned(df):
+    """Persist ``df`` so that readers of the cache see its hash partitioning.
+
+    The cached plan is built with adaptive execution off for that one plan: an adaptive
+    cached plan reports no output partitioning, and every reader would re-shuffle it.
+    Queries reading the cache still run adaptively.
+    """
+    from pyspark import StorageLevel
+
+    spark = df.sparkSession
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key, "true")
+    spark.conf.set(key, "false")
+    try:
+        out = df.persist(StorageLevel.MEMORY_AND_DISK)
+    finally:
+        spark.conf.set(key, before)
+    return out
