@@ -838,3 +838,31 @@ def q_decisions_stream(spark, d):
         q.awaitTermination()
     t = spark.read.parquet(f"{base}/decisions")
     return t.select("txn_id", "card_id", R("score").alias("score"), "decision", "label")
+
+
+@register("features_stream_event_time", features_sql(TXN_SQL))
+def q_features_event_time(spark, d):
+    """T5: out-of-order arrival (neighbouring replay files swapped) through the event-time
+    processor with a 10-day watermark delay; a final sentinel row flushes the last window."""
+    from cardwise.session import scratch_path
+    from cardwise.streaming.jobs import stream_features_event_time, stream_transactions_files, typed_stream
+    from cardwise.streaming.replay import set_arrival_order, write_flush_row, write_replay_files
+
+    base = scratch_path(spark, "event-time")
+    t = events_txn(spark, d)
+    names = write_replay_files(t, f"{base}/in", 16)
+    order = [i ^ 1 for i in range(len(names))]  # 1, 0, 3, 2, ...
+    set_arrival_order(spark, names, order)
+    last = t.agg(F.max("ts_ms")).first()[0]
+    write_flush_row(spark, f"{base}/in", last + 30 * 86_400_000, len(names) + 1)
+    stream = typed_stream(stream_transactions_files(spark, f"{base}/in", max_files=1))
+    q = (
+        stream_features_event_time(stream, "10 days")
+        .writeStream.format("parquet")
+        .option("path", f"{base}/out")
+        .option("checkpointLocation", f"{base}/ckpt")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    return report_features(spark.read.parquet(f"{base}/out"))

@@ -84,6 +84,32 @@ def stream_features(
     )
 
 
+def stream_features_event_time(
+    df: DataFrame, delay: str, lru: bool = True, reset_after_ms: int | None = None
+) -> DataFrame:
+    """T5: features released in event order once the watermark (max event time - ``delay``)
+    passes a row; equal to a sorted replay for any arrival order within ``delay``.
+
+    Rows behind the watermark on arrival are late and dropped by Spark. A finite input
+    needs a final row beyond its last event time + delay to flush the last window.
+    """
+    from cardwise.streaming.processor import EventTimeCardProcessor
+
+    _stateful_conf(df.sparkSession)
+    return (
+        df.select(*TXN_COLUMNS)
+        .withColumn("event_ts", F.timestamp_millis(F.col("ts_ms")))
+        .withWatermark("event_ts", delay)
+        .groupBy("card_id")
+        .transformWithState(
+            statefulProcessor=EventTimeCardProcessor(lru=lru, reset_after_ms=reset_after_ms),
+            outputStructType=FEATURE_OUTPUT_SCHEMA,
+            outputMode="Append",
+            timeMode="EventTime",
+        )
+    )
+
+
 def to_payload(features: DataFrame) -> DataFrame:
     """(card_id, payload) with the payload as compact JSON of ids, label and features."""
     feats = F.struct(*[F.col(n) for n in sorted(FEATURE_ORDER)]).alias("features")

@@ -62,3 +62,59 @@ class CardFeatureProcessor(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+PENDING_SCHEMA = (
+    "txn_id string, ts_ms long, amount double, mcc string, merchant_id string, lat double, lon double, label int"
+)
+
+
+class EventTimeCardProcessor(StatefulProcessor):
+    """T5: event-time mode. Rows of a card wait in list state until the watermark passes
+    them and are then processed in (ts_ms, txn_id) order, so any arrival order within the
+    watermark delay yields the same features as a sorted replay.
+
+    The pending buffer holds at most the rows of the last ``delay`` of event time per card.
+    """
+
+    def __init__(self, lru: bool = True, reset_after_ms: int | None = None):
+        self.lru = lru
+        self.reset_after_ms = reset_after_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.card = handle.getValueState("card", CORE_STATE_SCHEMA)
+        self.pending = handle.getListState("pending", PENDING_SCHEMA)
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        new = [
+            (r["txn_id"], int(r["ts_ms"]), float(r["amount"]), r["mcc"], r["merchant_id"], float(r["lat"]), float(r["lon"]), r["label"])
+            for r in rows
+        ]
+        if new:
+            self.pending.appendList(new)
+            self.handle.registerTimer(max(t[1] for t in new))
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        wm = timerValues.getCurrentWatermarkInMs()
+        waiting = [tuple(r) for r in self.pending.get()]
+        ready = sorted((r for r in waiting if r[1] < wm), key=lambda r: (r[1], r[0]))
+        later = [r for r in waiting if r[1] >= wm]
+        if not ready:
+            return
+        core = self.card.get()
+        mem = CardMemory.from_rows(tuple(core) if core is not None else None)
+        mem.lru, mem.reset_after_ms = self.lru, self.reset_after_ms
+        card_id = key[0]
+        for txn_id, ts, amt, mcc, mer, lat, lon, label in ready:
+            f = mem.step(ts, amt, mcc, mer, lat, lon)
+            yield Row(**dict(zip(_OUT_NAMES, (txn_id, card_id, ts, *f, label))))
+        self.card.update(mem.core_row())
+        self.pending.clear()
+        if later:
+            self.pending.put(later)
+            self.handle.registerTimer(max(r[1] for r in later))
+
+    def close(self) -> None:
+        pass

@@ -43,3 +43,30 @@ def redeliver(spark: SparkSession, file_path: str, new_name: str, after_ms: int
     jvm.org.apache.hadoop.fs.FileUtil.copy(fs, src, fs, dst, False, conf)
     fs.setTimes(dst, fs.getFileStatus(src).getModificationTime() + after_ms, -1)
     return dst.toString()
+
+
+def set_arrival_order(spark: SparkSession, names: list[str], order: list[int]) -> None:
+    """Deliver replay files in ``order`` (indexes into ``names``) by their modification times."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for rank, i in enumerate(order):
+        p = jvm.org.apache.hadoop.fs.Path(names[i])
+        p.getFileSystem(conf).setTimes(p, 1_000_000_000_000 + rank * 1000, -1)
+
+
+def write_flush_row(spark: SparkSession, folder: str, ts_ms: int, arrival_rank: int) -> str:
+    """Append one sentinel transaction (card ``__flush__``) at ``ts_ms`` as the last file, to
+    move the watermark past a finite input's last events."""
+    import json
+
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    p = jvm.org.apache.hadoop.fs.Path(folder, "zz-flush.json")
+    fs = p.getFileSystem(conf)
+    row = {c: None for c in TXN_COLUMNS}
+    row.update(txn_id="__flush__", card_id="__flush__", ts_ms=str(ts_ms), amount="0", mcc="NA", merchant_id="", lat="0", lon="0")
+    out = fs.create(p, True)
+    out.write(bytearray((json.dumps(row) + "\n").encode()))
+    out.close()
+    fs.setTimes(p, 1_000_000_000_000 + arrival_rank * 1000, -1)
+    return p.toString()
