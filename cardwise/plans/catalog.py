@@ -476,10 +476,12 @@ SELECT CAST(les.i AS INTEGER) AS i, les.le AS le,
 FROM les LEFT JOIN per ON les.i = per.i"""
 
 
-@register("e2e_latency_histogram", _hist_sql("e2e_latency_ms / 1000.0", monitor.E2E_BOUNDS))
+@register("e2e_latency_histogram", _hist_sql("greatest(0.0, e2e_latency_ms / 1000.0)", monitor.E2E_BOUNDS))
 def q_e2e_hist(spark, d):
-    """M9: cumulative end-to-end latency histogram (seconds, fixed bounds)."""
-    lat = monitor.decision_latency(decisions_table(spark, d)).select((F.col("e2e_latency_ms") / 1000.0).alias("s"))
+    """M9: cumulative end-to-end latency histogram (seconds, fixed bounds, clamped at 0)."""
+    from cardwise.functions.columns import latency_seconds_clamped
+
+    lat = decisions_table(spark, d).select(latency_seconds_clamped("scored_at", "event_ts").alias("s"))
     return monitor.latency_histogram(lat, "s", monitor.E2E_BOUNDS).select("i", "le", F.col("cumulative").cast("long").alias("cumulative"))
 
 

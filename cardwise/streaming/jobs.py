@@ -162,15 +162,21 @@ def upsert_decisions(batch: DataFrame, batch_id: int, target: str, day_col: str
         .drop("_rn")
     )
     days = [r[0] for r in fresh.select("event_day").distinct().collect()]  # days in one micro-batch
-    try:
+    if _table_exists(spark, target):
         existing = spark.read.parquet(target).filter(F.col("event_day").isin(days)).select("txn_id")
         fresh = fresh.join(existing, "txn_id", "left_anti")
-    except Exception as e:  # noqa: BLE001 - first batch: no table yet
-        if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-            raise
     fresh.write.mode("append").partitionBy("event_day").parquet(target)
 
 
+def _table_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")) or (
+        fs.exists(p) and any(st.getPath().getName().startswith("event_day=") for st in fs.listStatus(p))
+    )
+
+
 def model_scorer(model):
     """Scoring function for :func:`stream_decisions` from a fitted model (L3)."""
     from cardwise.operators.model import score

@@ -94,3 +94,31 @@ def test_coerce_quarantines_bad_rows(spark):
     g = good.collect()
     assert len(g) == 1 and g[0]["merchant_id"] == "" and g[0]["label"] is None
     assert sorted(r["reason"] for r in bad.collect()) == ["amount", "ts_ms"]
+
+
+def test_assert_ordered(spark):
+    from cardwise.operators.features import assert_ordered
+
+    ok = spark.createDataFrame([(i, 1000 * i, f"t{i:04d}") for i in range(300)], "arr long, ts_ms long, txn_id string")
+    assert_ordered(ok, "arr")
+    bad = spark.createDataFrame([(i, 1000 * (300 - i), f"t{i:04d}") for i in range(300)], "arr long, ts_ms long, txn_id string")
+    with pytest.raises(ValueError):
+        assert_ordered(bad, "arr")
+    # a tie in time with txn ids out of order fails only the (ts, txn_id) check
+    tie = spark.createDataFrame([(0, 5, "b"), (1, 5, "a")], "arr long, ts_ms long, txn_id string")
+    assert_ordered(tie, "arr", ts_only=True)
+    with pytest.raises(ValueError):
+        assert_ordered(tie, "arr")
+
+
+def test_run_filter_and_card_history(spark):
+    from cardwise.functions.columns import run_filter
+    from cardwise.operators.monitor import card_history, decisions
+
+    df = spark.createDataFrame([("run-1", "c", 1, 0.9, 1), ("run-2", "c", 2, 0.1, 0), ("bench-1", "d", 3, 0.5, 0)],
+                               "txn_id string, card_id string, ts_ms long, score double, label int")
+    assert df.filter(run_filter("txn_id", "run")).count() == 2
+    d = decisions(df, 0.5, "v1")
+    hist = card_history(d, "c").collect()
+    assert [r["txn_id"] for r in hist] == ["run-2", "run-1"]
+    assert [r["decision"] for r in hist] == ["APPROVE", "REVIEW"]
