@@ -225,8 +225,10 @@ def full_report(
 
 def nearest_rank_percentiles(df: DataFrame, col: str, qs: Sequence[float], rule: str = "round") -> DataFrame:
     """Value at sorted index ``min(n-1, round-half-even(q*(n-1)))`` (``rule='round'``)
-    or ``int(n*q)`` (``rule='floor'``); NaN when empty. Exact, via one ranking pass.
+    or ``int(n*q)`` (``rule='floor'``); NaN when empty. Exact (bracketed order statistics).
     """
+    from cardwise.operators.ordered import order_statistics
+
     spark = df.sparkSession
     vals = df.select(F.col(col).alias("_v")).filter(F.col("_v").isNotNull())
     n = vals.count()
@@ -236,11 +238,8 @@ def nearest_rank_percentiles(df: DataFrame, col: str, qs: Sequence[float], rule:
     for q in qs:
         i = min(n - 1, int(round(q * (n - 1)))) if rule == "round" else min(n - 1, int(n * q))
         idx[float(q)] = i + 1
-    # rows with equal values are interchangeable: rank by value plus a generated tiebreak
-    ranked = global_rank(vals.withColumn("_id", F.monotonically_increasing_id()), ["_v", "_id"])
-    picked = ranked.filter(F.col("_rank").isin(list(set(idx.values())))).select("_rank", "_v").collect()
-    by_rank = {int(r[0]): float(r[1]) for r in picked}
-    return spark.createDataFrame([(q, by_rank[k]) for q, k in idx.items()], "q double, value double")
+    by_rank = order_statistics(vals, "_v", list(set(idx.values())))
+    return spark.createDataFrame([(q, float(by_rank[k])) for q, k in idx.items()], "q double, value double")
 
 
 def bench_summary(decisions: DataFrame, published: int | None = None) -> DataFrame:

@@ -81,22 +81,54 @@ def global_lag(df: DataFrame, order: Sequence[Column | str], col: str, out_col:
 
 
 def order_statistic(df: DataFrame, col: str, k: int, tiebreak: Sequence[str] = ()) -> object | None:
-    """O2: the ``k``-th smallest value of ``col`` (1-based); None if k is out of range.
+    """O2: the ``k``-th smallest value of ``col`` (1-based); None if k is out of range."""
+    return order_statistics(df, col, [k], tiebreak).get(k)
 
-    Exact: one range shuffle ranks every row, then a filter keeps rank k.
-    """
-    if k < 1:
-        return None
-    ranked = global_rank(df.select(col, *tiebreak), [col, *tiebreak])
-    row = ranked.filter(F.col("_rank") == k).select(col).first()
-    return None if row is None else row[0]
 
+def order_statistics(
+    df: DataFrame, col: str, ks: Sequence[int], tiebreak: Sequence[str] = (), accuracy: int = 10_000
+) -> dict[int, object]:
+    """Exact k-th smallest values of ``col`` without sorting every row.
 
-def order_statistics(df: DataFrame, col: str, ks: Sequence[int], tiebreak: Sequence[str] = ()) -> dict[int, object]:
-    """Several order statistics from one ranking pass."""
+    1. one aggregation: ``percentile_approx`` brackets [lo, hi] around each wanted rank
+       (rank error <= n / accuracy on each side, widened 4x);
+    2. one aggregation: exact counts of rows below each ``lo`` and of rows in the bracket;
+    3. only rows inside a bracket (about 8n / accuracy, plus ties) are ranked, with the
+       partition-parallel :func:`global_rank`.
+    A bracket whose counts do not contain k (sketch error) falls back to ranking all rows.
+    """
     wanted = sorted({k for k in ks if k >= 1})
     if not wanted:
         return {}
-    ranked = global_rank(df.select(col, *tiebreak), [col, *tiebreak])
-    rows = ranked.filter(F.col("_rank").isin(wanted)).select("_rank", col).collect()  # <= len(ks) rows
-    return {int(r[0]): r[1] for r in rows}
+    vals = df.select(col, *tiebreak).filter(F.col(col).isNotNull())
+    n = vals.count()
+    wanted = [k for k in wanted if k <= n]
+    if not wanted:
+        return {}
+    delta = 4.0 / accuracy
+    probs = []
+    for k in wanted:
+        p = k / n
+        probs += [max(0.0, p - delta), min(1.0, p + delta)]
+    q = vals.agg(F.percentile_approx(col, probs, accuracy).alias("q")).first()["q"]
+    brackets = {k: (q[2 * i], q[2 * i + 1]) for i, k in enumerate(wanted)}
+    counts = vals.agg(
+        *[F.count_if(F.col(col) < F.lit(lo)).alias(f"below_{k}") for k, (lo, _) in brackets.items()],
+        *[F.count_if(F.col(col).between(F.lit(lo), F.lit(hi))).alias(f"in_{k}") for k, (lo, hi) in brackets.items()],
+    ).first()
+    out: dict[int, object] = {}
+    fallback = []
+    for k, (lo, hi) in brackets.items():
+        below, inside = counts[f"below_{k}"], counts[f"in_{k}"]
+        if not (below < k <= below + inside):
+            fallback.append(k)
+            continue
+        cand = vals.filter(F.col(col).between(F.lit(lo), F.lit(hi)))
+        ranked = global_rank(cand, [col, *tiebreak])
+        row = ranked.filter(F.col("_rank") == k - below).select(col).first()
+        out[k] = row[0]
+    if fallback:
+        ranked = global_rank(vals, [col, *tiebreak])
+        rows = ranked.filter(F.col("_rank").isin(fallback)).select("_rank", col).collect()  # <= len(ks) rows
+        out.update({int(r[0]): r[1] for r in rows})
+    return out
