@@ -494,10 +494,25 @@ def q_inf_hist(spark, d):
     )
 
 
-@register("e2e_histogram_quantiles")
+_HQ_SQL = f"""WITH h AS ({_hist_sql("greatest(0.0, e2e_latency_ms / 1000.0)", monitor.E2E_BOUNDS)}),
+t AS (SELECT max(cumulative) AS total FROM h),
+qs AS (SELECT * FROM (VALUES (0.5), (0.95), (0.99)) x(q)),
+hp AS (SELECT i, le, cumulative, lag(le, 1, 0.0) OVER (ORDER BY i) AS prev_le,
+              lag(cumulative, 1, 0) OVER (ORDER BY i) AS prev_c FROM h),
+pick AS (SELECT qs.q, hp.*, t.total, row_number() OVER (PARTITION BY qs.q ORDER BY hp.i) AS rn
+         FROM qs, t, hp WHERE hp.cumulative >= qs.q * t.total)
+SELECT {RS('q')} AS q,
+       {RS("CASE WHEN le = 'inf'::DOUBLE THEN prev_le WHEN cumulative = prev_c THEN le "
+           "ELSE prev_le + (le - prev_le) * (q * total - prev_c) / (cumulative - prev_c) END")} AS value
+FROM pick WHERE rn = 1"""
+
+
+@register("e2e_histogram_quantiles", _HQ_SQL)
 def q_hist_quantiles(spark, d):
-    """Histogram-interpolated p50/p95/p99 of end-to-end latency."""
-    lat = monitor.decision_latency(decisions_table(spark, d)).select((F.col("e2e_latency_ms") / 1000.0).alias("s"))
+    """Histogram-interpolated p50/p95/p99 of end-to-end latency (clamped at 0)."""
+    from cardwise.functions.columns import latency_seconds_clamped
+
+    lat = decisions_table(spark, d).select(latency_seconds_clamped("scored_at", "event_ts").alias("s"))
     h = monitor.latency_histogram(lat, "s", monitor.E2E_BOUNDS)
     return monitor.histogram_quantile(h, (0.5, 0.95, 0.99)).select(R("q").alias("q"), R("value").alias("value"))
 
