@@ -89,6 +89,7 @@ from cardwise.functions.columns import card_key, pseudo_geo, region_key, report_
 from cardwise.operators import checks, metrics, monitor, split  # noqa: E402
 from cardwise.operators.features import lru_overflow_cards, out_of_order_flags  # noqa: E402
 from cardwise.sources.readers import coerce_transactions  # noqa: E402
+from cardwise.streaming.jobs import start_stream  # noqa: E402
 from cardwise.sources.views import (  # noqa: E402
     DECISION_THRESHOLD,
     SCORED_SQL,
@@ -719,8 +720,8 @@ def q_features_stream(spark, d):
         .option("path", f"{base}/out")
         .option("checkpointLocation", f"{base}/ckpt")
         .trigger(availableNow=True)
-        .start()
     )
+    q = start_stream(q, spark)
     q.awaitTermination()
     return report_features(spark.read.parquet(f"{base}/out"))
 
@@ -783,8 +784,8 @@ def q_state_snapshot(spark, d):
         .writeStream.format("noop")
         .option("checkpointLocation", f"{base}/ckpt")
         .trigger(availableNow=True)
-        .start()
     )
+    q = start_stream(q, spark)
     q.awaitTermination()
     snap = state_snapshot(spark, f"{base}/ckpt")
     return snap.select(
@@ -818,8 +819,8 @@ def q_features_redelivery(spark, d):
         .option("path", f"{base}/out")
         .option("checkpointLocation", f"{base}/ckpt")
         .trigger(availableNow=True)
-        .start()
     )
+    q = start_stream(q, spark)
     q.awaitTermination()
     return report_features(spark.read.parquet(f"{base}/out"))
 
@@ -879,7 +880,7 @@ def q_features_event_time(spark, d):
         .option("path", f"{base}/out")
         .option("checkpointLocation", f"{base}/ckpt")
         .trigger(availableNow=True)
-        .start()
     )
+    q = start_stream(q, spark)
     q.awaitTermination()
     return report_features(spark.read.parquet(f"{base}/out"))

@@ -7,6 +7,7 @@ import argparse
 from cardwise.session import build_session
 from cardwise.streaming.jobs import (
     dedupe_stream,
+    start_stream,
     features_to_kafka,
     stream_features,
     stream_transactions_files,
@@ -36,12 +37,12 @@ def main(argv: list[str] | None = None) -> int:  # pragma: no cover - long-runni
     if a.bootstrap and a.source == "kafka":
         q = features_to_kafka(feats, a.bootstrap, a.topic_out, a.checkpoint)
     else:
-        q = (
+        q = start_stream(
             feats.writeStream.format("parquet")
             .option("path", a.out)
             .option("checkpointLocation", a.checkpoint)
-            .trigger(processingTime="1 second")
-            .start()
+            .trigger(processingTime="1 second"),
+            spark,
         )
     q.awaitTermination()
     return 0

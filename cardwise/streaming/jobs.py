@@ -130,15 +130,15 @@ def read_feature_payloads(df: DataFrame) -> DataFrame:
 def features_to_kafka(features: DataFrame, bootstrap: str, topic: str, checkpoint: str, trigger: str = "1 second"):
     """K2: keyed by card, JSON value, append, checkpointed."""
     out = to_payload(features).selectExpr("CAST(card_id AS STRING) AS key", "payload AS value")
-    return (
+    writer = (
         out.writeStream.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap)
         .option("topic", topic)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(processingTime=trigger)
-        .start()
     )
+    return start_stream(writer, features.sparkSession)
 
 
 def upsert_decisions(batch: DataFrame, batch_id: int, target: str, day_col: str = "event_ts") -> None:
@@ -198,10 +198,27 @@ def stream_decisions(features: DataFrame, scorer, threshold: float, version: str
     w = features.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
     if trigger is not None:
         w = w.trigger(**trigger)
-    return w.start()
+    return start_stream(w, features.sparkSession)
 
 
 def state_snapshot(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The latest per-card state of a running or stopped feature stream, read from its
     checkpoint (one row per card) without touching the query."""
     return spark.read.format("statestore").option("stateVarName", "card").load(checkpoint)
+
+
+def start_stream(writer, spark: SparkSession, state_partitions: int | None = None):
+    """Start a stream whose stateful operators get ``state_partitions`` partitions (default:
+    the cluster's total cores, so a micro-batch is one wave of tasks).
+
+    The count is fixed in the checkpoint at the first start; the session setting is
+    restored right after the query has captured it.
+    """
+    n = state_partitions or spark.sparkContext.defaultParallelism
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(n))
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, before)

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from cardwise.schema import TXN_COLUMNS
 
 
-def write_replay_files(df: DataFrame, path: str, n_files: int) -> list[str]:
-    """Write ``df`` as ``n_files`` event-ordered JSON files (all fields as text)."""
+def write_replay_files(df: DataFrame, path: str, n_files: int, fmt: str = "json") -> list[str]:
+    """Write ``df`` as ``n_files`` event-ordered files (all fields as text, like the wire)."""
     text = df.select(*[F.col(c).cast("string").alias(c) for c in TXN_COLUMNS])
-    text.repartitionByRange(n_files, F.col("ts_ms").cast("long"), "txn_id").write.mode("overwrite").json(path)
+    ordered = text.repartitionByRange(n_files, F.col("ts_ms").cast("long"), "txn_id")
+    ordered.write.mode("overwrite").format(fmt).save(path)
     return _order_mtimes(df.sparkSession, path)
 
 
