@@ -101,3 +101,4 @@ def test_event_time_mode_reorders_late_arrivals(spark, tmp_path):
     out = spark.read.parquet(str(tmp_path / "out"))
     assert out.count() == t.count()
     assert feature_parity(compute_features(t), out, tol=1e-9).count() == 0
+
