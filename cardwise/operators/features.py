@@ -74,8 +74,8 @@ def _order():
 def _bucketed(txn: DataFrame, bucket_ms: int, widths: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(data rows, 24 h context rows), both hash-partitioned on (card_id, bucket).
 
-    A card's bucket width is ``bucket_ms`` unless ``widths`` (card_id, _bw) gives it a finer
-    one. Context rows are copies of a row into each later bucket whose previous 24 h cover
+    A card's bucket width is ``bucket_ms`` unless ``widths`` (card_id, _bw) marks it hot and
+    gives it a finer one. Context rows (for cards that are not hot) are copies of a row into each later bucket whose previous 24 h cover
     it (one bucket when the width is >= 24 h), reduced to the columns the sliding windows
     read. Both sides share the partitioning, so their union needs no further exchange.
     """
@@ -83,19 +83,24 @@ def _bucketed(txn: DataFrame, bucket_ms: int, widths: DataFrame | None = None) -
     t = txn.select(*TXN_COLUMNS)
     if widths is not None:
         t = t.join(widths, "card_id", "left")
+        t = t.withColumn("_hot", F.col("_bw").isNotNull())
         bw = F.coalesce(F.col("_bw"), F.lit(bucket_ms)).cast("long")
     else:
+        t = t.withColumn("_hot", F.lit(False))
         bw = F.lit(bucket_ms).cast("long")
     t = t.withColumn("_bw", bw)
     bucket = F.floor(F.col("ts_ms") / F.col("_bw")).cast("long")
     data = t.select(
-        *TXN_COLUMNS, "_bw", bucket.alias("bucket"), F.lit(0).alias("ctx"), hour_of_day("ts_ms").alias("hour")
+        *TXN_COLUMNS, "_bw", "_hot", bucket.alias("bucket"), F.lit(0).alias("ctx"), hour_of_day("ts_ms").alias("hour")
     )
     # Persisted: every branch below reads this one exchange (a cached relation also stops
     # branch filters from being pushed under the exchange and splitting it).
     data = persist_partitioned(data.repartition(n, "card_id", "bucket"))
     ahead = F.sequence(F.lit(1).cast("long"), F.ceil(F.lit(WINDOW_24H_MS) / F.col("_bw")).cast("long"))
-    copies = data.select("card_id", "bucket", "txn_id", "ts_ms", "amount", "lat", "lon", "_bw", F.explode(ahead).alias("_j"))
+    # Hot cards get no context copies (their windows use routed probes, see _velocity_routed).
+    copies = data.filter(~F.col("_hot")).select(
+        "card_id", "bucket", "txn_id", "ts_ms", "amount", "lat", "lon", "_bw", F.explode(ahead).alias("_j")
+    )
     in_halo = F.col("ts_ms") >= (F.col("bucket") + F.col("_j")) * F.col("_bw") - F.lit(WINDOW_24H_MS)
     halo = copies.filter(in_halo).select(
         "card_id", (F.col("bucket") + F.col("_j")).alias("bucket"), "txn_id", "ts_ms", "amount", "lat", "lon",
@@ -243,6 +248,103 @@ def _velocity(data: DataFrame, halo: DataFrame) -> DataFrame:
     )
 
 
+def _velocity_routed(hot: DataFrame) -> DataFrame:
+    """Velocity for hot cards without context copies: each row's three probes (``ts - w``)
+    are sent to the (card, bucket) their time falls in and answered there.
+
+    At a probe, the number / amount of the card's rows with ``ts <= ts - w`` is the dense
+    per-bucket prefix before that bucket plus a running count / sum inside it. The dense
+    prefix table has one row per bucket between a card's first and last bucket (its time
+    span divided by the bucket width, not its row count). Answers come back in one narrow
+    exchange keyed like the rows, so no task holds more than one bucket of a hot card.
+    """
+    n = partitions(hot.sparkSession)
+    dec = F.col("amount").cast(_SUM_TYPE)
+    wd = W.partitionBy("card_id", "bucket").orderBy(*_order())
+    rows = hot.select(
+        "card_id",
+        "bucket",
+        "txn_id",
+        "ts_ms",
+        "_bw",
+        (F.row_number().over(wd) - 1).alias("_j"),
+        F.coalesce(F.sum(dec).over(wd.rowsBetween(W.unboundedPreceding, -1)), F.lit(0).cast(_SUM_TYPE)).alias("_s_in"),
+        F.lag(F.struct("ts_ms", "lat", "lon")).over(wd).alias("prev_row"),
+    )
+    per = hot.groupBy("card_id", "bucket").agg(F.count(F.lit(1)).alias("_nb"), F.sum(dec).alias("_sb"))
+    span = per.groupBy("card_id").agg(F.min("bucket").alias("_lo"), F.max("bucket").alias("_hi"))
+    dense = span.select("card_id", F.explode(F.sequence("_lo", "_hi")).alias("bucket")).join(
+        per, ["card_id", "bucket"], "left"
+    )
+    before = W.partitionBy("card_id").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
+    dense = dense.select(
+        "card_id",
+        "bucket",
+        F.coalesce(F.sum(F.coalesce("_nb", F.lit(0))).over(before), F.lit(0)).alias("_n_before"),
+        F.coalesce(F.sum(F.coalesce("_sb", F.lit(0).cast(_SUM_TYPE))).over(before), F.lit(0).cast(_SUM_TYPE)).alias(
+            "_s_before"
+        ),
+    ).repartition(n, "card_id", "bucket")
+
+    probes = rows.select(
+        "card_id",
+        F.col("bucket").alias("_origin"),
+        "txn_id",
+        "_bw",
+        F.explode(
+            F.array(*[F.struct(F.lit(tag).alias("tag"), (F.col("ts_ms") - F.lit(w)).alias("u")) for tag, w in PROBES])
+        ).alias("_p"),
+    ).select(
+        "card_id",
+        F.floor(F.col("_p.u") / F.col("_bw")).cast("long").alias("bucket"),
+        F.col("_p.u").alias("k"),
+        F.lit(1).alias("kind"),
+        F.lit(None).cast(_SUM_TYPE).alias("a"),
+        "_origin",
+        "txn_id",
+        F.col("_p.tag").alias("tag"),
+    ).repartition(n, "card_id", "bucket")
+    marks = hot.select(
+        "card_id",
+        "bucket",
+        F.col("ts_ms").alias("k"),
+        F.lit(0).alias("kind"),
+        dec.alias("a"),
+        F.lit(None).cast("long").alias("_origin"),
+        F.lit(None).cast("string").alias("txn_id"),
+        F.lit(None).cast("string").alias("tag"),
+    )
+    run = W.partitionBy("card_id", "bucket").orderBy("k", "kind").rowsBetween(W.unboundedPreceding, W.currentRow)
+    mix = marks.unionByName(probes).select(
+        "*",
+        F.sum(F.when(F.col("kind") == 0, 1).otherwise(0)).over(run).alias("_c"),
+        F.coalesce(F.sum("a").over(run), F.lit(0).cast(_SUM_TYPE)).alias("_s"),
+    )
+    answered = mix.filter(F.col("kind") == 1).join(dense, ["card_id", "bucket"], "left").select(
+        "card_id",
+        F.col("_origin").alias("bucket"),
+        "txn_id",
+        "tag",
+        (F.coalesce(F.col("_n_before"), F.lit(0)) + F.col("_c")).alias("_L"),
+        (F.coalesce(F.col("_s_before"), F.lit(0).cast(_SUM_TYPE)) + F.col("_s")).alias("_SL"),
+    ).repartition(n, "card_id", "bucket")
+    back = answered.groupBy("card_id", "bucket", "txn_id").agg(
+        *[F.max(F.when(F.col("tag") == tag, F.col("_L"))).alias(f"L_{tag}") for tag, _ in PROBES],
+        *[F.max(F.when(F.col("tag") == tag, F.col("_SL"))).alias(f"SL_{tag}") for tag, _ in PROBES],
+    )
+    v = rows.join(dense, ["card_id", "bucket"]).join(back, ["card_id", "bucket", "txn_id"])
+    prior_cnt = F.col("_n_before") + F.col("_j")
+    prior_amt = F.col("_s_before") + F.col("_s_in")
+    return v.select(
+        "card_id",
+        "bucket",
+        "txn_id",
+        "prev_row",
+        *[(prior_cnt - F.col(f"L_{tag}")).alias(f"vel_{tag}") for tag, _ in PROBES],
+        *[(prior_amt - F.col(f"SL_{tag}")).cast("double").alias(f"sum_{tag}") for tag, _ in PROBES],
+    )
+
+
 def compute_features(
     txn: DataFrame,
     bucket_ms: int = WINDOW_24H_MS,
@@ -256,8 +358,9 @@ def compute_features(
     history is split across tasks; larger buckets copy fewer context rows.
     ``reset_after_ms`` (W4, opt-in) forgets a card's history after an idle gap longer than
     that (event time): the rows after the gap start a new history epoch.
-    Cards with at least ``hot_rows`` rows get ``hot_bucket_ms`` buckets, so a card with a
-    large share of all rows is split into hours, not days (``hot_rows=None`` skips the check).
+    Cards with at least ``hot_rows`` rows get ``hot_bucket_ms`` buckets and routed window
+    probes instead of 24 h context copies, so a card with a large share of all rows is split
+    into hour-sized tasks (``hot_rows=None`` skips the check).
     """
     if bucket_ms <= 0 or hot_bucket_ms <= 0:
         raise ValueError("bucket widths must be positive")
@@ -305,7 +408,12 @@ def compute_features(
             F.lit(0),
         ),
     )
-    d = d.join(_velocity(data, halo), ["card_id", "bucket", "txn_id"])
+    if widths is None:
+        vel = _velocity(data, halo)
+    else:
+        cold = data.filter(~F.col("_hot"))
+        vel = _velocity(cold, halo).unionByName(_velocity_routed(data.filter(F.col("_hot"))))
+    d = d.join(vel, ["card_id", "bucket", "txn_id"])
     return _finish(d)
 
 

@@ -884,3 +884,10 @@ def q_features_event_time(spark, d):
     q = start_stream(q, spark)
     q.awaitTermination()
     return report_features(spark.read.parquet(f"{base}/out"))
+
+
+@register("features_txn_hot", features_sql(TXN_SQL))
+def q_features_hot(spark, d):
+    """W1 with the hot-card path forced: every card with >= 50 rows gets 2-hour buckets and
+    routed window probes (no 24 h context copies); values must not change."""
+    return report_features(compute_features(events_txn(spark, d), hot_rows=50, hot_bucket_ms=2 * 3_600_000))
