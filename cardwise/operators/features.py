@@ -420,7 +420,9 @@ def compute_features(
 _EPOCH_SEP = "\u0001"
 
 
-def history_epochs(txn: DataFrame, reset_after_ms: int, bucket_ms: int = WINDOW_24H_MS) -> DataFrame:
+def history_epochs(
+    txn: DataFrame, reset_after_ms: int, bucket_ms: int = WINDOW_24H_MS, widths: DataFrame | None = None
+) -> DataFrame:
     """(txn_id, card_id, epoch): the number of idle gaps > ``reset_after_ms`` before a
     row in its card's (ts_ms, txn_id) order.
 
@@ -428,8 +430,14 @@ def history_epochs(txn: DataFrame, reset_after_ms: int, bucket_ms: int = WINDOW_
     per-bucket carries (last time, gap count) from windows over a card's buckets.
     """
     n = partitions(txn.sparkSession)
-    b = F.floor(F.col("ts_ms") / F.lit(bucket_ms)).cast("long")
-    t = txn.select("txn_id", "card_id", "ts_ms", b.alias("bucket")).repartition(n, "card_id", "bucket")
+    t = txn.select("txn_id", "card_id", "ts_ms")
+    if widths is not None:  # hot cards: finer buckets, as in the features
+        t = t.join(widths, "card_id", "left")
+        bw = F.coalesce(F.col("_bw"), F.lit(bucket_ms))
+    else:
+        bw = F.lit(bucket_ms)
+    b = F.floor(F.col("ts_ms") / bw).cast("long")
+    t = t.select("txn_id", "card_id", "ts_ms", b.alias("bucket")).repartition(n, "card_id", "bucket")
     cw = W.partitionBy("card_id").orderBy("bucket")
     last = t.groupBy("card_id", "bucket").agg(F.max_by("ts_ms", F.struct("ts_ms", "txn_id")).alias("_last"))
     last = last.select("card_id", "bucket", F.lag("_last").over(cw).alias("_last_before")).repartition(
@@ -453,7 +461,8 @@ def history_epochs(txn: DataFrame, reset_after_ms: int, bucket_ms: int = WINDOW_
 
 
 def _with_history_reset(txn: DataFrame, bucket_ms: int, reset_after_ms: int, hot_rows, hot_bucket_ms) -> DataFrame:
-    ep = history_epochs(txn, reset_after_ms, bucket_ms)
+    widths = hot_card_widths(txn, hot_rows, hot_bucket_ms) if hot_rows is not None else None
+    ep = history_epochs(txn, reset_after_ms, bucket_ms, widths)
     keyed = txn.join(ep, ["txn_id", "card_id"]).withColumn(
         "card_id", F.concat_ws(_EPOCH_SEP, F.col("card_id"), F.col("epoch").cast("string"))
     )

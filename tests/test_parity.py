@@ -102,3 +102,11 @@ def test_event_time_mode_reorders_late_arrivals(spark, tmp_path):
     assert out.count() == t.count()
     assert feature_parity(compute_features(t), out, tol=1e-9).count() == 0
 
+
+
+def test_history_reset_hot_path(spark):
+    t = orders_txn(spark, SF_SMALL)
+    reset = 200 * 86_400_000
+    a = compute_features(t, reset_after_ms=reset, hot_rows=None)
+    b = compute_features(t, reset_after_ms=reset, hot_rows=5, hot_bucket_ms=30 * 86_400_000)
+    assert feature_parity(a, b, tol=0.0).count() == 0
