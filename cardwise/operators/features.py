@@ -589,7 +589,10 @@ def lru_overflow_cards(txn: DataFrame) -> DataFrame:
     )
     # approx first (cheap), exact count only for the candidates near or over the caps
     cand = per_card.filter((F.col("_amcc") > MAX_MCC * 0.9) | (F.col("_amer") > MAX_MERCHANTS * 0.9))
-    exact = txn.join(cand.select("card_id"), "card_id", "left_semi").groupBy("card_id").agg(
+    from cardwise.operators.joins import bounded_broadcast
+
+    # candidates are few; broadcast only under the bound, else a shuffle semi join (AQE splits skew)
+    exact = txn.join(bounded_broadcast(cand.select("card_id"), 1_000_000), "card_id", "left_semi").groupBy("card_id").agg(
         F.count_distinct("mcc").alias("distinct_mcc"), F.count_distinct("merchant_id").alias("distinct_merchants")
     )
     return exact.filter((F.col("distinct_mcc") > MAX_MCC) | (F.col("distinct_merchants") > MAX_MERCHANTS))

@@ -150,3 +150,13 @@ def test_fine_buckets_and_hot_cards_do_not_change_values(make_txn):
     fine = compute_features(make_txn(spec), bucket_ms=3_600_000, hot_rows=None).orderBy("txn_id").collect()
     hot = compute_features(make_txn(spec), hot_rows=100, hot_bucket_ms=2 * 3_600_000).orderBy("txn_id").collect()
     assert [r.asDict() for r in base] == [r.asDict() for r in fine] == [r.asDict() for r in hot]
+
+
+def test_lru_overflow_guard(make_txn):
+    from cardwise.operators.features import lru_overflow_cards
+
+    spec = [_row(i, i * 1000, mcc=f"M{i:03d}") for i in range(70)] + [
+        (f"u{i:03d}", "c2", T0 + i, 1.0, "A", "m", 0.0, 0.0) for i in range(5)
+    ]
+    rows = lru_overflow_cards(make_txn(spec)).collect()
+    assert [(r["card_id"], r["distinct_mcc"]) for r in rows] == [("c1", 70)]
