@@ -351,6 +351,9 @@ def compute_features(
     reset_after_ms: int | None = None,
     hot_rows: int | None = 2_000_000,
     hot_bucket_ms: int = WINDOW_1H_MS,
+    lru_exact: bool = True,
+    caps: tuple[int, int] = (MAX_MCC, MAX_MERCHANTS),
+    rows_per_batch: int = 1_000_000,
 ) -> DataFrame:
     """All 27 features in :data:`FEATURE_ORDER`, plus ids and label.
 
@@ -361,11 +364,17 @@ def compute_features(
     Cards with at least ``hot_rows`` rows get ``hot_bucket_ms`` buckets and routed window
     probes instead of 24 h context copies, so a card with a large share of all rows is split
     into hour-sized tasks (``hot_rows=None`` skips the check).
+    ``lru_exact`` (W3): cards whose distinct MCCs / merchants exceed ``caps`` (where LRU
+    eviction can change the novelty features) are replayed through the keyed-state stream in
+    event-ordered micro-batches of about ``rows_per_batch`` rows; their rows replace the
+    window-path rows (a union, not a join). Other cards are exact on the window path.
     """
     if bucket_ms <= 0 or hot_bucket_ms <= 0:
         raise ValueError("bucket widths must be positive")
     if reset_after_ms is not None:
-        return _with_history_reset(txn, bucket_ms, reset_after_ms, hot_rows, hot_bucket_ms)
+        return _with_history_reset(
+            txn, bucket_ms, reset_after_ms, hot_rows, hot_bucket_ms, lru_exact, caps, rows_per_batch
+        )
     widths = hot_card_widths(txn, hot_rows, hot_bucket_ms) if hot_rows is not None else None
     n = partitions(txn.sparkSession)
     data, halo = _bucketed(txn, bucket_ms, widths)
@@ -414,7 +423,37 @@ def compute_features(
         cold = data.filter(~F.col("_hot"))
         vel = _velocity(cold, halo).unionByName(_velocity_routed(data.filter(F.col("_hot"))))
     d = d.join(vel, ["card_id", "bucket", "txn_id"])
-    return _finish(d)
+    out = _finish(d, caps[0])
+    return _exact_lru_overflow(txn, out, caps, rows_per_batch) if lru_exact else out
+
+
+def _exact_lru_overflow(txn: DataFrame, out: DataFrame, caps: tuple[int, int], rows_per_batch: int) -> DataFrame:
+    """Replace the rows of cards exceeding the memory caps by keyed-state results."""
+    from cardwise.operators.joins import bounded_broadcast
+    from cardwise.session import scratch_path
+    from cardwise.streaming.jobs import start_stream, stream_features, stream_transactions_files, typed_stream
+    from cardwise.streaming.replay import write_replay_files
+
+    over = lru_overflow_cards(txn, caps[0], caps[1]).select("card_id")
+    if over.limit(1).count() == 0:
+        return out
+    ids = bounded_broadcast(over, 1_000_000)
+    sub = txn.select(*TXN_COLUMNS).join(ids, "card_id", "left_semi")
+    spark = txn.sparkSession
+    base = scratch_path(spark, "lru-replay")
+    n_files = max(1, -(-sub.count() // rows_per_batch))
+    write_replay_files(sub, f"{base}/in", n_files)
+    stream = typed_stream(stream_transactions_files(spark, f"{base}/in", max_files=1))
+    writer = (
+        stream_features(stream, caps=caps)
+        .writeStream.format("parquet")
+        .option("path", f"{base}/out")
+        .option("checkpointLocation", f"{base}/ckpt")
+        .trigger(availableNow=True)
+    )
+    start_stream(writer, spark).awaitTermination()
+    exact = spark.read.parquet(f"{base}/out").select(*out.columns)
+    return out.join(ids, "card_id", "left_anti").unionByName(exact)
 
 
 _EPOCH_SEP = "\u0001"
@@ -460,17 +499,22 @@ def history_epochs(
     return out.select("txn_id", "card_id", "epoch")
 
 
-def _with_history_reset(txn: DataFrame, bucket_ms: int, reset_after_ms: int, hot_rows, hot_bucket_ms) -> DataFrame:
+def _with_history_reset(
+    txn: DataFrame, bucket_ms: int, reset_after_ms: int, hot_rows, hot_bucket_ms, lru_exact=True, caps=(MAX_MCC, MAX_MERCHANTS), rows_per_batch=1_000_000
+) -> DataFrame:
     widths = hot_card_widths(txn, hot_rows, hot_bucket_ms) if hot_rows is not None else None
     ep = history_epochs(txn, reset_after_ms, bucket_ms, widths)
     keyed = txn.join(ep, ["txn_id", "card_id"]).withColumn(
         "card_id", F.concat_ws(_EPOCH_SEP, F.col("card_id"), F.col("epoch").cast("string"))
     )
-    feats = compute_features(keyed.drop("epoch"), bucket_ms, hot_rows=hot_rows, hot_bucket_ms=hot_bucket_ms)
+    feats = compute_features(
+        keyed.drop("epoch"), bucket_ms, hot_rows=hot_rows, hot_bucket_ms=hot_bucket_ms,
+        lru_exact=lru_exact, caps=caps, rows_per_batch=rows_per_batch,
+    )
     return feats.withColumn("card_id", F.substring_index(F.col("card_id"), _EPOCH_SEP, 1))
 
 
-def _finish(d: DataFrame) -> DataFrame:
+def _finish(d: DataFrame, mcc_cap: int = MAX_MCC) -> DataFrame:
     amount = F.col("amount")
     prior_n = F.col("n_before") + F.col("j")
 
@@ -531,7 +575,7 @@ def _finish(d: DataFrame) -> DataFrame:
             (F.col("ts_ms") - mcc_prev) / 86_400_000.0
         ),
         "card_distinct_mcc_count": F.least(
-            F.lit(MAX_MCC), F.col("mcc_distinct_before") + F.col("mcc_new_in")
+            F.lit(mcc_cap), F.col("mcc_distinct_before") + F.col("mcc_new_in")
         ).cast("double"),
         "merchant_is_new": F.when(merchant_new, 1.0).otherwise(0.0),
         "seconds_since_last_txn": F.when(has_prev, elapsed).otherwise(NEVER_SEEN),
@@ -577,25 +621,23 @@ def out_of_order_flags(df: DataFrame, arrival_col: str, bucket_ms: int = WINDOW_
     return out
 
 
-def lru_overflow_cards(txn: DataFrame) -> DataFrame:
-    """W3 guard: cards whose distinct MCCs exceed 64 or merchants exceed 128.
+def lru_overflow_cards(txn: DataFrame, mcc_cap: int = MAX_MCC, merchant_cap: int = MAX_MERCHANTS) -> DataFrame:
+    """W3 guard: cards whose distinct MCCs exceed ``mcc_cap`` or merchants ``merchant_cap``.
 
-    Only for these cards can LRU eviction change ``mcc_is_new`` / ``merchant_is_new``;
-    partial aggregation, no per-card collection.
+    Only for these cards can LRU eviction change ``mcc_is_new`` / ``merchant_is_new``.
+    Exact: distinct (card, key) pairs first (partial aggregation keyed by card and key, so a
+    hot card is spread over its keys), then one count per card; no per-card collection.
     """
-    per_card = txn.groupBy("card_id").agg(
-        F.approx_count_distinct("mcc").alias("_amcc"),
-        F.approx_count_distinct("merchant_id").alias("_amer"),
-    )
-    # approx first (cheap), exact count only for the candidates near or over the caps
-    cand = per_card.filter((F.col("_amcc") > MAX_MCC * 0.9) | (F.col("_amer") > MAX_MERCHANTS * 0.9))
-    from cardwise.operators.joins import bounded_broadcast
-
-    # candidates are few; broadcast only under the bound, else a shuffle semi join (AQE splits skew)
-    exact = txn.join(bounded_broadcast(cand.select("card_id"), 1_000_000), "card_id", "left_semi").groupBy("card_id").agg(
-        F.count_distinct("mcc").alias("distinct_mcc"), F.count_distinct("merchant_id").alias("distinct_merchants")
-    )
-    return exact.filter((F.col("distinct_mcc") > MAX_MCC) | (F.col("distinct_merchants") > MAX_MERCHANTS))
+    mcc = txn.select("card_id", "mcc").distinct().groupBy("card_id").agg(F.count(F.lit(1)).alias("distinct_mcc"))
+    mer = (
+        txn.filter(F.col("merchant_id") != "")
+        .select("card_id", "merchant_id")
+        .distinct()
+        .groupBy("card_id")
+        .agg(F.count(F.lit(1)).alias("distinct_merchants"))
+    )
+    both = mcc.join(mer, "card_id", "full_outer").fillna(0, ["distinct_mcc", "distinct_merchants"])
+    return both.filter((F.col("distinct_mcc") > mcc_cap) | (F.col("distinct_merchants") > merchant_cap))
 
 
 def assert_ordered(df: DataFrame, arrival_col: str, ts_only: bool = False) -> None:

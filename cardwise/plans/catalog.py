@@ -640,8 +640,10 @@ def q_leak(spark, d):
 
 @register(
     "lru_overflow_cards",
-    f"""SELECT card_id, count(DISTINCT mcc) AS distinct_mcc, count(DISTINCT merchant_id) AS distinct_merchants
-FROM ({TXN_SQL}) t GROUP BY card_id HAVING count(DISTINCT mcc) > 64 OR count(DISTINCT merchant_id) > 128""",
+    f"""SELECT card_id, count(DISTINCT mcc) AS distinct_mcc,
+       count(DISTINCT CASE WHEN merchant_id <> '' THEN merchant_id END) AS distinct_merchants
+FROM ({TXN_SQL}) t GROUP BY card_id
+HAVING count(DISTINCT mcc) > 64 OR count(DISTINCT CASE WHEN merchant_id <> '' THEN merchant_id END) > 128""",
 )
 def q_lru(spark, d):
     """W3 guard: cards where the 64 / 128 LRU caps could change novelty features."""

@@ -64,7 +64,11 @@ def dedupe_stream(df: DataFrame, delay: str = "1 hour") -> DataFrame:
 
 
 def stream_features(
-    df: DataFrame, ttl_ms: int | None = None, lru: bool = True, reset_after_ms: int | None = None
+    df: DataFrame,
+    ttl_ms: int | None = None,
+    lru: bool = True,
+    reset_after_ms: int | None = None,
+    caps: tuple[int, int] | None = None,
 ) -> DataFrame:
     """27 features per transaction from keyed per-card state (stream or batch input).
 
@@ -76,7 +80,7 @@ def stream_features(
         df.select(*TXN_COLUMNS)
         .groupBy("card_id")
         .transformWithState(
-            statefulProcessor=CardFeatureProcessor(ttl_ms=ttl_ms, lru=lru, reset_after_ms=reset_after_ms),
+            statefulProcessor=CardFeatureProcessor(ttl_ms=ttl_ms, lru=lru, reset_after_ms=reset_after_ms, caps=caps),
             outputStructType=FEATURE_OUTPUT_SCHEMA,
             outputMode="Append",
             timeMode="ProcessingTime" if ttl_ms else "None",

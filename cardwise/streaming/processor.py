@@ -36,10 +36,13 @@ _OUT_NAMES = tuple(f.name for f in FEATURE_OUTPUT_SCHEMA.fields)
 class CardFeatureProcessor(StatefulProcessor):
     """Per-card feature state machine; ``ttl_ms`` enables idle expiry (default off)."""
 
-    def __init__(self, ttl_ms: int | None = None, lru: bool = True, reset_after_ms: int | None = None):
+    def __init__(
+        self, ttl_ms: int | None = None, lru: bool = True, reset_after_ms: int | None = None, caps: tuple[int, int] | None = None
+    ):
         self.ttl_ms = ttl_ms
         self.lru = lru
         self.reset_after_ms = reset_after_ms
+        self.caps = caps
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.card = handle.getValueState("card", CORE_STATE_SCHEMA, self.ttl_ms)
@@ -49,6 +52,8 @@ class CardFeatureProcessor(StatefulProcessor):
         mem = CardMemory.from_rows(tuple(core) if core is not None else None)
         mem.lru = self.lru
         mem.reset_after_ms = self.reset_after_ms
+        if self.caps is not None:
+            mem.caps = tuple(self.caps)
         return mem
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:

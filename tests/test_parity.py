@@ -110,3 +110,28 @@ def test_history_reset_hot_path(spark):
     a = compute_features(t, reset_after_ms=reset, hot_rows=None)
     b = compute_features(t, reset_after_ms=reset, hot_rows=5, hot_bucket_ms=30 * 86_400_000)
     assert feature_parity(a, b, tol=0.0).count() == 0
+
+
+def test_exact_lru_caps_on_overflow_cards(spark):
+    """With small caps most cards overflow: their rows come from the keyed-state replay and
+    must equal a sequential run of the capped memory over each card's sorted rows."""
+    from cardwise.schema import FEATURE_ORDER
+    from cardwise.streaming.card_state import CardMemory
+
+    t = events_txn(spark, SF_SMALL)
+    caps = (3, 4)
+    got = {r["txn_id"]: r for r in compute_features(t, caps=caps).collect()}
+    rows = sorted(t.collect(), key=lambda r: (r["card_id"], r["ts_ms"], r["txn_id"]))
+    mems = {}
+    mismatches = 0
+    evicting = 0
+    for r in rows:
+        mem = mems.setdefault(r["card_id"], CardMemory(caps=caps))
+        want = dict(zip(FEATURE_ORDER, mem.step(r["ts_ms"], r["amount"], r["mcc"], r["merchant_id"], r["lat"], r["lon"])))
+        g = got[r["txn_id"]]
+        for k, v in want.items():
+            if abs(g[k] - v) > 1e-9 * max(1.0, abs(v)):
+                mismatches += 1
+        evicting += int(want["merchant_is_new"] == 1.0)
+    assert len(got) == len(rows) and mismatches == 0
+    assert evicting > 0
