@@ -29,10 +29,13 @@ any density.
 Merchant novelty uses one partial aggregate (first bucket of each (card, merchant)), joined
 on ``(card_id, bucket, merchant_id)`` without moving the large side.
 
-Memory caps of the streaming state (64 MCCs, 128 merchants, LRU) are not applied here; they
-only matter for cards exceeding them (see :func:`lru_overflow_cards`), which the stateful
-processor handles exactly. ``card_distinct_mcc_count`` is capped (the map size is
-``min(64, distinct)`` under any eviction order).
+Memory caps of the per-card state (64 MCCs, 128 merchants, LRU) only matter for cards that
+exceed them. Those are found exactly (:func:`lru_overflow_cards`) and replayed through the
+keyed-state stream in event-ordered micro-batches; their rows replace the window-path rows.
+``card_distinct_mcc_count`` is ``min(64, distinct)`` under any eviction order.
+
+Hot cards (at least ``hot_rows`` rows) get finer buckets and routed window probes instead of
+24 h context copies (:func:`_velocity_routed`).
 """
 
 from __future__ import annotations
