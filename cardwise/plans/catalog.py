@@ -473,7 +473,7 @@ def _hist_sql(expr: str, bounds) -> str:
 per AS (SELECT i, count(*) AS n FROM b GROUP BY i),
 les AS (SELECT * FROM (VALUES {les}, ({len(bounds)}, 'inf'::DOUBLE)) x(i, le))
 SELECT CAST(les.i AS INTEGER) AS i, les.le AS le,
-       sum(coalesce(per.n, 0)) OVER (ORDER BY les.i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumulative
+       CAST(sum(coalesce(per.n, 0)) OVER (ORDER BY les.i ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS cumulative
 FROM les LEFT JOIN per ON les.i = per.i"""
 
 
