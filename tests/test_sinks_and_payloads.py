@@ -54,3 +54,17 @@ def test_require_features_lists_missing(spark):
     df = spark.createDataFrame([(1.0,)], "amount double")
     with pytest.raises(ValueError, match="log_amount"):
         require_features(df)
+
+
+def test_build_dataset_plan(spark, tmp_path):
+    from cardwise.plans.build_dataset import build_dataset
+
+    csv = tmp_path / "ieee.csv"
+    lines = ["TransactionID,TransactionDT,TransactionAmt,ProductCD,card1,card2,card3,card5,addr1,addr2,P_emaildomain,isFraud"]
+    for i in range(60):
+        lines.append(f"{i},{86400 + i * 1800},{10 + i % 7}.5,{'WCH'[i % 3]},{1000 + i % 4},,150,226,{300 + i % 2},87,m{i % 5}.com,{int(i % 17 == 0)}")
+    csv.write_text("\n".join(lines) + "\n")
+    table = build_dataset(spark, "ieee", str(csv), str(tmp_path / "features"))
+    assert table.count() == 60
+    assert table.select("card_id").distinct().count() == 8
+    assert table.filter("is_first_txn_for_card = 1").count() == 8
