@@ -893,3 +893,66 @@ def q_features_hot(spark, d):
     """W1 with the hot-card path forced: every card with >= 50 rows gets 2-hour buckets and
     routed window probes (no 24 h context copies); values must not change."""
     return report_features(compute_features(events_txn(spark, d), hot_rows=50, hot_bucket_ms=2 * 3_600_000))
+
+
+def _full_report_sql(thr: float) -> str:
+    flag = f"score >= {thr}"
+    miss_amt = f"coalesce(sum(CAST(amount AS DECIMAL(38,10))) FILTER (WHERE NOT ({{f}}) AND label = 1), 0)"
+    cost = (
+        "(count(*) FILTER (WHERE ({f}) AND label = 0) * 150.0 + CAST(" + miss_amt + " AS DOUBLE) * 1.0"
+        " + count(*) FILTER (WHERE NOT ({f}) AND label = 1) * 500.0)"
+    )
+    budget_rows = []
+    for b in metrics.DEFAULT_BUDGETS:
+        for m, expr in (
+            ("reviewed_n", "k"),
+            ("precision", "caught * 1.0 / k"),
+            ("recall_count", "CASE WHEN p > 0 THEN caught * 1.0 / p ELSE 0 END"),
+            ("recall_value", "CASE WHEN pv <> 0 THEN CAST(cv AS DOUBLE) / CAST(pv AS DOUBLE) ELSE 0 END"),
+        ):
+            budget_rows.append(
+                f"SELECT 'budget_{b!r}_{m}' AS metric, CAST({expr} AS DOUBLE) AS value FROM bud WHERE review_rate = {b!r}"
+            )
+    ks = " UNION ALL ".join(
+        f"SELECT CAST({b!r} AS DOUBLE) AS review_rate, greatest(1, CAST(round_even(n * CAST({b!r} AS DOUBLE), 0) AS BIGINT)) AS k FROM base"
+        for b in metrics.DEFAULT_BUDGETS
+    )
+    return f"""WITH s AS ({SCORED_SQL}),
+r AS (SELECT *, row_number() OVER (ORDER BY score DESC, ts_ms, txn_id) AS rk,
+             sum(label) OVER (ORDER BY score DESC, ts_ms, txn_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tp FROM s),
+base AS (SELECT count(*) AS n, avg(label) AS fraud_rate FROM s),
+g AS (SELECT score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg FROM s GROUP BY score),
+gr AS (SELECT *, sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cneg FROM g),
+conf AS (SELECT count(*) FILTER (WHERE {flag} AND label = 1) AS tp, count(*) FILTER (WHERE {flag} AND label = 0) AS fp,
+                count(*) FILTER (WHERE NOT ({flag}) AND label = 1) AS fn,
+                avg(CASE WHEN {flag} THEN 1.0 ELSE 0.0 END) AS alert FROM s),
+costs AS (SELECT {cost.format(f=flag)} AS at_thr, {cost.format(f="FALSE")} AS all_cost FROM s),
+k AS ({ks}),
+tot AS (SELECT count(*) FILTER (WHERE label = 1) AS p,
+               coalesce(sum(CAST(amount AS DECIMAL(38,10))) FILTER (WHERE label = 1), 0) AS pv FROM s),
+bud AS (SELECT k.review_rate, k.k, count(*) FILTER (WHERE r.label = 1) AS caught,
+               coalesce(sum(CAST(r.amount AS DECIMAL(38,10))) FILTER (WHERE r.label = 1), 0) AS cv, tot.p, tot.pv
+        FROM k JOIN r ON r.rk <= k.k, tot GROUP BY k.review_rate, k.k, tot.p, tot.pv),
+rows AS (
+  SELECT 'n' AS metric, CAST(n AS DOUBLE) AS value FROM base
+  UNION ALL SELECT 'fraud_rate', CAST(fraud_rate AS DOUBLE) FROM base
+  UNION ALL SELECT 'pr_auc', coalesce(sum(CASE WHEN label = 1 THEN tp * 1.0 / rk END) / nullif(sum(label), 0), 0.0) FROM r
+  UNION ALL SELECT 'roc_auc', CASE WHEN sum(pos) = 0 OR sum(neg) = 0 THEN 0.5
+                                   ELSE sum(pos * (2 * (cneg - neg) + neg)) / (2.0 * sum(pos) * sum(neg)) END FROM gr
+  UNION ALL SELECT 'threshold', CAST({thr} AS DOUBLE)
+  UNION ALL SELECT 'precision_at_threshold', CASE WHEN tp + fp > 0 THEN tp * 1.0 / (tp + fp) ELSE 0 END FROM conf
+  UNION ALL SELECT 'recall_at_threshold', CASE WHEN tp + fn > 0 THEN tp * 1.0 / (tp + fn) ELSE 0 END FROM conf
+  UNION ALL SELECT 'alert_rate_at_threshold', CAST(alert AS DOUBLE) FROM conf
+  UNION ALL SELECT 'expected_cost_at_threshold', at_thr FROM costs
+  UNION ALL SELECT 'expected_cost_approve_all', all_cost FROM costs
+  UNION ALL SELECT 'cost_saved_vs_approve_all', all_cost - at_thr FROM costs
+  UNION ALL {" UNION ALL ".join(budget_rows)}
+)
+SELECT metric, {RS('value')} AS value FROM rows"""
+
+
+@register("full_report", _full_report_sql(DECISION_THRESHOLD))
+def q_full_report(spark, d):
+    """The whole evaluation report (long form) at the decision threshold."""
+    rep = metrics.full_report(scored_events(spark, d), DECISION_THRESHOLD)
+    return rep.select("metric", R("value").alias("value"))
