@@ -956,3 +956,28 @@ def q_full_report(spark, d):
     """The whole evaluation report (long form) at the decision threshold."""
     rep = metrics.full_report(scored_events(spark, d), DECISION_THRESHOLD)
     return rep.select("metric", R("value").alias("value"))
+
+
+@register("features_table_round_trip", features_sql(TXN_SQL))
+def q_features_round_trip(spark, d):
+    """K1 + S8: features written as the day-partitioned table (shared scratch folder) and
+    read back (unlabelled rows dropped at the scan)."""
+    from cardwise.session import scratch_path
+    from cardwise.sources.readers import read_features
+    from cardwise.sources.sinks import write_features
+
+    path = scratch_path(spark, "features")
+    write_features(compute_features(events_txn(spark, d)), path)
+    return report_features(read_features(spark, path))
+
+
+@register("normalized_csv_round_trip", VIEW_SQL["txn"]())
+def q_csv_round_trip(spark, d):
+    """K5 + S3: the transaction view written as normalised CSV and read back typed."""
+    from cardwise.session import scratch_path
+    from cardwise.sources.readers import read_transactions
+    from cardwise.sources.sinks import write_normalized
+
+    path = scratch_path(spark, "normalized")
+    write_normalized(events_txn(spark, d), path)
+    return read_transactions(spark, "normalized", path)
