@@ -981,3 +981,58 @@ def q_csv_round_trip(spark, d):
     path = scratch_path(spark, "normalized")
     write_normalized(events_txn(spark, d), path)
     return read_transactions(spark, "normalized", path)
+
+
+_IEEE_EPOCH_S = 1_512_086_400
+
+
+def _ieee_sql() -> str:
+    region = "(CAST(((TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) % 25) + 25) % 25 AS VARCHAR) || ':NA')"
+
+    def u(part):
+        return (
+            f"(CAST(CAST(('0x' || substr(sha256('{part}|' || {region}), 1, 16)) AS UBIGINT) AS DOUBLE)"
+            " / 18446744073709551616.0)"
+        )
+
+    dt = f"((epoch_us(ts) // 1000 - {_IEEE_EPOCH_S * 1000}) / 1000.0)"
+    return f"""SELECT CAST(event_id AS VARCHAR) AS txn_id,
+       CAST(user_id AS VARCHAR) || '-NA-NA-NA-' || CAST(((TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) % 25) + 25) % 25 AS VARCHAR) || '-NA' AS card_id,
+       CAST(trunc((CAST({_IEEE_EPOCH_S} AS DOUBLE) + {dt}) * 1000.0) AS BIGINT) AS ts_ms,
+       value AS amount,
+       coalesce(nullif(event_type, ''), 'NA') AS mcc,
+       'm' || json_extract_string(props, '$.k') || '.com' AS merchant_id,
+       round(-55.0 + {u('lat')} * 125.0, 5) AS lat,
+       round(-170.0 + {u('lon')} * 340.0, 5) AS lon,
+       CAST(CASE WHEN (event_id * 104729) % 200 < 7 THEN 1 ELSE 0 END AS INTEGER) AS label
+FROM events"""
+
+
+@register("ieee_reader", _ieee_sql())
+def q_ieee_reader(spark, d):
+    """S1 (+P1-P4): ``events`` written in the IEEE-CIS CSV layout (card2/3/5 and addr2 blank,
+    addr1 = merchant nation, time as seconds after 2017-12-01) and read back by the adapter."""
+    from cardwise.session import scratch_path
+    from cardwise.sources.readers import IEEE_COLUMNS, read_ieee
+    from cardwise.sources.views import _label
+
+    ev = table(spark, d, "events")
+    k = F.get_json_object("props", "$.k")
+    ts_ms = F.unix_millis(F.col("ts").cast("timestamp"))
+    out = ev.select(
+        F.col("event_id").cast("string").alias("TransactionID"),
+        ((ts_ms - F.lit(_IEEE_EPOCH_S * 1000)) / F.lit(1000.0)).alias("TransactionDT"),
+        F.col("value").alias("TransactionAmt"),
+        F.col("event_type").alias("ProductCD"),
+        F.col("user_id").cast("string").alias("card1"),
+        F.lit(None).cast("string").alias("card2"),
+        F.lit(None).cast("string").alias("card3"),
+        F.lit(None).cast("string").alias("card5"),
+        F.pmod(k.cast("long"), F.lit(25)).cast("string").alias("addr1"),
+        F.lit(None).cast("string").alias("addr2"),
+        F.concat(F.lit("m"), k, F.lit(".com")).alias("P_emaildomain"),
+        _label("event_id").alias("isFraud"),
+    ).select(*IEEE_COLUMNS)
+    path = scratch_path(spark, "ieee")
+    out.write.option("header", "true").csv(path)
+    return read_ieee(spark, path)
