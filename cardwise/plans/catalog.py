@@ -92,6 +92,7 @@ from cardwise.sources.readers import coerce_transactions  # noqa: E402
 from cardwise.streaming.jobs import start_stream  # noqa: E402
 from cardwise.sources.views import (  # noqa: E402
     DECISION_THRESHOLD,
+    GEO_SQL,
     SCORED_SQL,
     decisions_sql,
     decisions_table,
@@ -1036,3 +1037,39 @@ def q_ieee_reader(spark, d):
     path = scratch_path(spark, "ieee")
     out.write.option("header", "true").csv(path)
     return read_ieee(spark, path)
+
+
+@register(
+    "sparkov_reader",
+    f"""SELECT CAST(e.event_id AS VARCHAR) AS txn_id, CAST(e.user_id AS VARCHAR) AS card_id,
+       CAST(epoch_us(date_trunc('second', e.ts)) // 1000 AS BIGINT) AS ts_ms,
+       e.value AS amount, e.event_type AS mcc, 'm' || json_extract_string(e.props, '$.k') AS merchant_id,
+       g.lat AS lat, g.lon AS lon,
+       CAST(CASE WHEN (e.event_id * 104729) % 200 < 7 THEN 1 ELSE 0 END AS INTEGER) AS label
+FROM events e
+LEFT JOIN ({GEO_SQL}) g ON g.geo_key = ((TRY_CAST(json_extract_string(e.props, '$.k') AS BIGINT) % 25) + 25) % 25""",
+)
+def q_sparkov_reader(spark, d):
+    """``events`` written in the Sparkov CSV layout (zone-less text time to the second,
+    merchant coordinates) and read back by the adapter (text time read as UTC)."""
+    from cardwise.session import scratch_path
+    from cardwise.sources.readers import SPARKOV_COLUMNS, read_sparkov
+    from cardwise.sources.views import _label
+
+    t = events_txn(spark, d)
+    ev = table(spark, d, "events").select(F.col("event_id"), F.col("ts"), F.col("event_type"))
+    j = t.join(ev, t.txn_id == F.lpad(F.col("event_id").cast("string"), 12, "0"))
+    out = j.select(
+        F.date_format(F.col("ts"), "yyyy-MM-dd HH:mm:ss").alias("trans_date_trans_time"),
+        F.col("card_id").alias("cc_num"),
+        F.concat(F.lit("m"), F.col("merchant_id")).alias("merchant"),
+        F.col("event_type").alias("category"),
+        F.col("amount").alias("amt"),
+        F.col("event_id").cast("string").alias("trans_num"),
+        F.col("lat").alias("merch_lat"),
+        F.col("lon").alias("merch_long"),
+        _label("event_id").alias("is_fraud"),
+    ).select(*SPARKOV_COLUMNS)
+    path = scratch_path(spark, "sparkov")
+    out.write.option("header", "true").csv(path)
+    return read_sparkov(spark, path)
