@@ -434,7 +434,7 @@ def _exact_lru_overflow(txn: DataFrame, out: DataFrame, caps: tuple[int, int], r
     """Replace the rows of cards exceeding the memory caps by keyed-state results."""
     from cardwise.operators.joins import bounded_broadcast
     from cardwise.session import scratch_path
-    from cardwise.streaming.jobs import start_stream, stream_features, stream_transactions_files, typed_stream
+    from cardwise.streaming.jobs import drain_to_parquet, stream_features, stream_transactions_files, typed_stream
     from cardwise.streaming.replay import write_replay_files
 
     over = lru_overflow_cards(txn, caps[0], caps[1]).select("card_id")
@@ -447,15 +447,7 @@ def _exact_lru_overflow(txn: DataFrame, out: DataFrame, caps: tuple[int, int], r
     n_files = max(1, -(-sub.count() // rows_per_batch))
     write_replay_files(sub, f"{base}/in", n_files)
     stream = typed_stream(stream_transactions_files(spark, f"{base}/in", max_files=1))
-    writer = (
-        stream_features(stream, caps=caps)
-        .writeStream.format("parquet")
-        .option("path", f"{base}/out")
-        .option("checkpointLocation", f"{base}/ckpt")
-        .trigger(availableNow=True)
-    )
-    start_stream(writer, spark).awaitTermination()
-    exact = spark.read.parquet(f"{base}/out").select(*out.columns)
+    exact = drain_to_parquet(stream_features(stream, caps=caps), base).select(*out.columns)
     return out.join(ids, "card_id", "left_anti").unionByName(exact)
 
 

@@ -89,7 +89,7 @@ from cardwise.functions.columns import card_key, pseudo_geo, region_key, report_
 from cardwise.operators import checks, metrics, monitor, split  # noqa: E402
 from cardwise.operators.features import lru_overflow_cards, out_of_order_flags  # noqa: E402
 from cardwise.sources.readers import coerce_transactions  # noqa: E402
-from cardwise.streaming.jobs import start_stream  # noqa: E402
+from cardwise.streaming.jobs import drain_to_parquet, start_stream  # noqa: E402
 from cardwise.sources.views import (  # noqa: E402
     DECISION_THRESHOLD,
     GEO_SQL,
@@ -717,16 +717,7 @@ def q_features_stream(spark, d):
     base = scratch_path(spark, "replay")
     write_replay_files(events_txn(spark, d), f"{base}/in", 16)
     stream = typed_stream(stream_transactions_files(spark, f"{base}/in", max_files=1))
-    q = (
-        stream_features(stream)
-        .writeStream.format("parquet")
-        .option("path", f"{base}/out")
-        .option("checkpointLocation", f"{base}/ckpt")
-        .trigger(availableNow=True)
-    )
-    q = start_stream(q, spark)
-    q.awaitTermination()
-    return report_features(spark.read.parquet(f"{base}/out"))
+    return report_features(drain_to_parquet(stream_features(stream), base))
 
 
 # ------------------------------------------------------------------------------- model
@@ -816,16 +807,7 @@ def q_features_redelivery(spark, d):
     base = scratch_path(spark, "redelivery")
     _replay_with_redelivery(spark, d, base)
     stream = dedupe_stream(typed_stream(stream_transactions_files(spark, f"{base}/in", max_files=1)), "1 hour")
-    q = (
-        stream_features(stream)
-        .writeStream.format("parquet")
-        .option("path", f"{base}/out")
-        .option("checkpointLocation", f"{base}/ckpt")
-        .trigger(availableNow=True)
-    )
-    q = start_stream(q, spark)
-    q.awaitTermination()
-    return report_features(spark.read.parquet(f"{base}/out"))
+    return report_features(drain_to_parquet(stream_features(stream), base))
 
 
 def _hash_scorer(df):
@@ -877,16 +859,7 @@ def q_features_event_time(spark, d):
     last = t.agg(F.max("ts_ms")).first()[0]
     write_flush_row(spark, f"{base}/in", last + 30 * 86_400_000, len(names) + 1)
     stream = typed_stream(stream_transactions_files(spark, f"{base}/in", max_files=1))
-    q = (
-        stream_features_event_time(stream, "10 days")
-        .writeStream.format("parquet")
-        .option("path", f"{base}/out")
-        .option("checkpointLocation", f"{base}/ckpt")
-        .trigger(availableNow=True)
-    )
-    q = start_stream(q, spark)
-    q.awaitTermination()
-    return report_features(spark.read.parquet(f"{base}/out"))
+    return report_features(drain_to_parquet(stream_features_event_time(stream, "10 days"), base))
 
 
 @register("features_txn_hot", features_sql(TXN_SQL))

@@ -226,3 +226,17 @@ def start_stream(writer, spark: SparkSession, state_partitions: int | None = Non
         return writer.start()
     finally:
         spark.conf.set(key, before)
+
+
+def drain_to_parquet(stream: DataFrame, base: str) -> DataFrame:
+    """Run a stream over everything available now into ``base/out`` (checkpoint in
+    ``base/ckpt``) and return the written table."""
+    spark = stream.sparkSession
+    writer = (
+        stream.writeStream.format("parquet")
+        .option("path", f"{base}/out")
+        .option("checkpointLocation", f"{base}/ckpt")
+        .trigger(availableNow=True)
+    )
+    start_stream(writer, spark).awaitTermination()
+    return spark.read.parquet(f"{base}/out")
