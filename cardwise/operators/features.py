@@ -656,3 +656,16 @@ def assert_ordered(df: DataFrame, arrival_col: str, ts_only: bool = False) -> No
     bad = edges.select((F.col("_first") < F.lag("_last").over(ew)).alias("_bad")).filter("_bad").count()
     if bad:
         raise ValueError("input is not ordered by event time in arrival order")
+
+
+def ordering_violations(df: DataFrame, arrival_col: str, ts_only: bool = False) -> DataFrame:
+    """W2 as a query: rows whose event time (or (ts_ms, txn_id)) is smaller than the previous
+    row's in arrival order, counted with the partition-parallel global lag (one row out)."""
+    from cardwise.operators.ordered import global_lag
+
+    key = F.struct("ts_ms") if ts_only else F.struct("ts_ms", "txn_id")
+    lagged = global_lag(df.select(arrival_col, "ts_ms", "txn_id").withColumn("_k", key), [arrival_col], "_k", "_prev")
+    return lagged.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("_k") < F.col("_prev")).alias("violations"),
+    )

@@ -1046,3 +1046,27 @@ def q_sparkov_reader(spark, d):
     path = scratch_path(spark, "sparkov")
     out.write.option("header", "true").csv(path)
     return read_sparkov(spark, path)
+
+
+def _violations_sql(src: str, arrival: str) -> str:
+    return f"""WITH t AS ({src}),
+l AS (SELECT ts_ms, txn_id, lag(ts_ms) OVER (ORDER BY {arrival}) AS pts, lag(txn_id) OVER (ORDER BY {arrival}) AS ptx FROM t)
+SELECT count(*) AS rows,
+       count(*) FILTER (WHERE pts IS NOT NULL AND (ts_ms < pts OR (ts_ms = pts AND txn_id < ptx))) AS violations
+FROM l"""
+
+
+@register("arrival_order_events", _violations_sql(TXN_SQL, "CAST(txn_id AS BIGINT)"))
+def q_order_events(spark, d):
+    """(ts_ms, txn_id) never goes backwards when events arrive by event id."""
+    from cardwise.operators.features import ordering_violations
+
+    return ordering_violations(events_txn(spark, d).withColumn("arrival", F.col("txn_id").cast("long")), "arrival")
+
+
+@register("arrival_order_orders", _violations_sql(ORD_SQL, "CAST(txn_id AS BIGINT)"))
+def q_order_orders(spark, d):
+    """Orders arriving by order key are out of event order (the guard counts them)."""
+    from cardwise.operators.features import ordering_violations
+
+    return ordering_violations(orders_txn(spark, d).withColumn("arrival", F.col("txn_id").cast("long")), "arrival")
