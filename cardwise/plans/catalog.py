@@ -1070,3 +1070,14 @@ def q_order_orders(spark, d):
     from cardwise.operators.features import ordering_violations
 
     return ordering_violations(orders_txn(spark, d).withColumn("arrival", F.col("txn_id").cast("long")), "arrival")
+
+
+@register("features_payload_round_trip", features_sql(TXN_SQL))
+def q_payload_round_trip(spark, d):
+    """P12 + S7 (+C5): features encoded as the keyed JSON payload and parsed back; the key
+    must equal the payload's card (rows failing that are dropped and would show as missing)."""
+    from cardwise.streaming.jobs import read_feature_payloads, to_payload
+
+    p = to_payload(compute_features(events_txn(spark, d)))
+    p = p.filter(F.col("card_id") == F.get_json_object("payload", "$.card_id"))
+    return report_features(read_feature_payloads(p))
