@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cardwise.operators.features import compute_features
 from cardwise.operators.split import dataset_summary
-from cardwise.session import build_session
+from cardwise.session import build_session, release_persisted
 from cardwise.sources.readers import read_transactions
 from cardwise.sources.sinks import write_features
 
@@ -21,6 +21,7 @@ def build_dataset(spark: SparkSession, kind: str, path: str, out: str) -> DataFr
     """
     feats = compute_features(read_transactions(spark, kind, path))
     write_features(feats, out)
+    release_persisted()  # the written table replaces the cached bucket layout
     return spark.read.parquet(out)
 
 

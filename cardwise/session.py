@@ -104,6 +104,21 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+_PERSISTED: list = []
+
+
+def release_persisted() -> int:
+    """Unpersist every table cached by :func:`persist_partitioned`; returns how many.
+
+    Call once the DataFrames built on them (e.g. a feature table) are written or no longer
+    needed; other cached tables of the session are left alone."""
+    n = 0
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+        n += 1
+    return n
+
+
 def persist_partitioned(df):
     """Persist ``df`` so that readers of the cache see its hash partitioning.
 
@@ -121,4 +136,5 @@ def persist_partitioned(df):
         out = df.persist(StorageLevel.MEMORY_AND_DISK)
     finally:
         spark.conf.set(key, before)
+    _PERSISTED.append(out)
     return out

@@ -69,3 +69,13 @@ def test_build_dataset_plan(spark, tmp_path):
     # card1 = 1000 + i % 4 fixes addr1 = 300 + i % 2, so there are 4 card keys
     assert table.select("card_id").distinct().count() == 4
     assert table.filter("is_first_txn_for_card = 1").count() == 4
+
+
+def test_release_persisted(spark):
+    from cardwise.session import release_persisted
+
+    release_persisted()
+    f = compute_features(events_txn(spark, SF_SMALL))
+    f.count()
+    assert release_persisted() >= 1
+    assert f.count() > 0  # still computable after release (recomputed from lineage)
