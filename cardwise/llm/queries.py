@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cardwise.llm import exact_dedup, language_id, packing, sharding, token_counts, toxicity, url_filter
+from cardwise.llm import exact_dedup, language_id, packing, sentencepiece_codec, sharding, token_counts, topk, toxicity, url_filter
 
 SHARDS = 40
+EVERY_QUERY = 20
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -28,6 +30,17 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_filter(table(spark, sf_dir, "pages"))
 
 
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % EVERY_QUERY == 0)
+
+
+def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every text, and the SHA-256 of the text that they decode to."""
+    model = sentencepiece_codec.read_model(PIECES)
+    encoded = sentencepiece_codec.encode_documents(table(spark, sf_dir, "documents"), model)
+    return sentencepiece_codec.with_decoded_digest(encoded, model)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     automaton = token_counts.build_automaton(*token_counts.pieces_of_model(PIECES))
     return token_counts.token_counts(table(spark, sf_dir, "documents"), automaton)
@@ -49,6 +62,8 @@ QUERIES = (
     op1_exact_dedup,
     op3_toxicity,
     op4_url_filter,
+    op5_exact_topk,
+    op6_sentencepiece,
     op7_token_counts,
     op8_best_fit_packing,
     op9_language_id,
@@ -61,4 +76,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.ORACLE, "op4_url_filter": url_filter.oracle(), "op10_sharding": sharding.oracle(SHARDS)}
+    return {"op1_exact_dedup": exact_dedup.ORACLE, "op4_url_filter": url_filter.oracle(), "op5_exact_topk": topk.oracle(EVERY_QUERY), "op10_sharding": sharding.oracle(SHARDS)}
