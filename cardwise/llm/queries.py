@@ -37,8 +37,7 @@ def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, and the SHA-256 of the text that they decode to."""
     model = sentencepiece_codec.read_model(PIECES)
-    encoded = sentencepiece_codec.encode_documents(table(spark, sf_dir, "documents"), model)
-    return sentencepiece_codec.with_decoded_digest(encoded, model)
+    return sentencepiece_codec.encode_documents(table(spark, sf_dir, "documents"), model, decoded_digest=True)
 
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -44,7 +44,7 @@ from cardwise.llm.words import unique
 
 MARK = "▁"
 LIMIT = 3_000_000
-REMEMBERED = 600_000
+REMEMBERED = 500_000
 SEPARATOR = 0x110000
 UNITS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 
@@ -333,8 +333,10 @@ def runs(texts: list[str]) -> Iterator[list[str]]:
         yield run
 
 
-def encode_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_tokens, ids. The model is broadcast."""
+def encode_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", decoded_digest: bool = False) -> DataFrame:
+    """One row per input row: doc_id, n_tokens, ids. The model is broadcast. With
+    ``decoded_digest``, the ids are decoded again in the same task, and ``decoded_sha256`` is the
+    SHA-256 of that text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     key = hashlib.sha256(repr((model.pieces, model.scores, model.bpe, model.unknown, sorted(model.silent))).encode("utf-8", "surrogatepass")).digest()
 
@@ -345,12 +347,15 @@ def encode_documents(docs: DataFrame, model: Model, id_col: str = "doc_id", text
             for run in runs(texts):
                 ids, sizes = encoder.encode_run(run)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(ids))
-                keys = batch.column("doc_id").slice(at, len(run))
-                yield pa.RecordBatch.from_arrays([keys, pa.array(sizes), lists], ["doc_id", "n_tokens", "ids"])
+                columns = {"doc_id": batch.column("doc_id").slice(at, len(run)), "n_tokens": pa.array(sizes), "ids": lists}
+                if decoded_digest:
+                    texts = (decode(x, encoder.model.spelled) for x in np.split(ids, np.cumsum(sizes)[:-1]))
+                    columns["decoded_sha256"] = pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in texts])
+                yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
                 at += len(run)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(encode, "doc_id long, n_tokens long, ids array<int>")
+    return rows.mapInArrow(encode, "doc_id long, n_tokens long, ids array<int>" + ", decoded_sha256 string" * decoded_digest)
 
 
 def decode_documents(encoded: DataFrame, model: Model, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -365,17 +370,3 @@ def decode_documents(encoded: DataFrame, model: Model, id_col: str = "doc_id", i
 
     rows = encoded.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).alias("ids"))
     return rows.mapInArrow(spell, "doc_id long, text string")
-
-
-def with_decoded_digest(encoded: DataFrame, model: Model) -> DataFrame:
-    """``encoded`` and the SHA-256 of the text that its ids decode to (``decoded_sha256``)."""
-    shared = encoded.sparkSession.sparkContext.broadcast(model.spelled)
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids, ends = batch.column("ids").flatten().to_numpy(), np.cumsum(batch.column("n_tokens").to_numpy())
-            texts = (decode(x, shared.value) for x in np.split(ids, ends[:-1]))
-            digests = pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in texts])
-            yield pa.RecordBatch.from_arrays([*batch.columns, digests], [*batch.schema.names, "decoded_sha256"])
-
-    return encoded.mapInArrow(digest, "doc_id long, n_tokens long, ids array<int>, decoded_sha256 string")
