@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwise.llm import exact_dedup, language_id, packing, sentencepiece_codec, sharding, token_counts, topk, toxicity, url_filter
+from cardwise.llm import exact_dedup, language_id, near_dedup, packing, sentencepiece_codec, sharding, token_counts, topk, toxicity, url_filter
 
 SHARDS = 40
 EVERY_QUERY = 20
@@ -22,6 +22,10 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -59,6 +63,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = (
     op1_exact_dedup,
+    op2_minhash_near_dedup,
     op3_toxicity,
     op4_url_filter,
     op5_exact_topk,
@@ -75,4 +80,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.ORACLE, "op4_url_filter": url_filter.oracle(), "op5_exact_topk": topk.oracle(EVERY_QUERY), "op10_sharding": sharding.oracle(SHARDS)}
+    return {"op1_exact_dedup": exact_dedup.ORACLE, "op2_minhash_near_dedup": near_dedup.ORACLE, "op4_url_filter": url_filter.oracle(), "op5_exact_topk": topk.oracle(EVERY_QUERY), "op10_sharding": sharding.oracle(SHARDS)}
