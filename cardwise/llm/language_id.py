@@ -18,7 +18,7 @@ language are predicted but not learned from; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -133,6 +133,26 @@ def learn(docs: DataFrame, train: Column, id_col: str, text_col: str, lang_col:
     return {lang: v / np.linalg.norm(v) for lang, v in sorted(found.items()) if v.any()}
 
 
+def predictor(docs: DataFrame, train: Column, id_col: str, text_col: str, lang_col: str, fit_rows: int = FIT_ROWS) -> Callable[[Column], Column]:
+    """Learns prototypes; a function from a text column to the struct (lang_pred, score)."""
+    prototypes = learn(docs, train, id_col, text_col, lang_col, fit_rows)
+    names = np.array([*prototypes, UNKNOWN], object)
+    shared = docs.sparkSession.sparkContext.broadcast((names, np.stack([*prototypes.values(), np.zeros(DIMS)])))
+
+    @F.pandas_udf("lang_pred string, score double")
+    def predict(texts: pd.Series) -> pd.DataFrame:
+        names, matrix = shared.value
+        vectors = text_vectors(texts.tolist())
+        norms = np.linalg.norm(vectors, axis=1)
+        cosines = vectors @ matrix.T / np.where(norms > 0, norms, 1)[:, None]
+        cosines[:, -1] = -2 if len(names) > 1 else 0
+        best = np.where(norms > 0, cosines.argmax(1), len(names) - 1)
+        score = np.where(best < len(names) - 1, np.clip(cosines.max(1), 0, 1), 0.0)
+        return pd.DataFrame({"lang_pred": names[best], "score": score})
+
+    return predict
+
+
 def language_id(
     docs: DataFrame, folds: int = 4, held_out_fold: int = 2, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
     fit_rows: int = FIT_ROWS,
@@ -140,20 +160,6 @@ def language_id(
     """One row per input row: doc_id, held_out, lang_pred, score. Rows of the held-out fold are
     never learned from."""
     held_out = fold(F.col(id_col), folds) == held_out_fold
-    prototypes = learn(docs, ~held_out, id_col, text_col, lang_col, fit_rows)
-    names = np.array([*prototypes, UNKNOWN], object)
-    matrix = np.stack([*prototypes.values(), np.zeros(DIMS)])
-    shared = docs.sparkSession.sparkContext.broadcast((names, matrix))
-
-    def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names, matrix = shared.value
-        for pdf in batches:
-            vectors = text_vectors(pdf["text"].tolist())
-            norms = np.linalg.norm(vectors, axis=1)
-            cosines = vectors @ matrix[:-1].T / np.where(norms > 0, norms, 1)[:, None] if len(names) > 1 else np.zeros((len(pdf), 1))
-            best = np.where((norms > 0) & (len(names) > 1), cosines.argmax(1), len(names) - 1)
-            score = np.where(best < len(names) - 1, np.clip(cosines.max(1), 0, 1), 0.0)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "held_out": pdf["held_out"], "lang_pred": names[best], "score": score})
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), held_out.alias("held_out"))
-    return rows.mapInPandas(predict, "doc_id long, held_out boolean, lang_pred string, score double")
+    predict = predictor(docs, ~held_out, id_col, text_col, lang_col, fit_rows)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out.alias("held_out"), predict(F.col(text_col).cast("string")).alias("found"))
+    return rows.select("doc_id", "held_out", "found.lang_pred", "found.score")

@@ -156,7 +156,7 @@ def linked_classes(docs: DataFrame, classes: DataFrame, id_col: str, text_col: s
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept."""
+    """One row per input row: doc_id, n_shingles, component_id, kept, text_hash."""
     rows = sketch_rows(docs, id_col, text_col)
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("best")
     classes = written(rows.groupBy(*CLASS).agg(F.min("pos").alias("node"), best, F.first("bands").alias("bands")), "classes")
@@ -167,7 +167,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     pairs = rows.select("run", *CLASS).where("n > 0").distinct().join(answers, list(CLASS))
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return rows.join(pairs, ["run", *CLASS], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "text_hash"
     )
 
 

@@ -25,7 +25,7 @@ null ids take no labels; repeated rows get a row each; an empty table gives no r
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -166,20 +166,24 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, id_col: str, text_c
     return weights, bias
 
 
+def scorer(docs: DataFrame, labels: DataFrame, train: Column, id_col: str, text_col: str, toxic_col: str) -> Callable[[Column], Column]:
+    """Learns the classifier; a function from a text column to the score."""
+    shared = docs.sparkSession.sparkContext.broadcast(learn(docs, labels, train, id_col, text_col, toxic_col))
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        weights, bias = shared.value
+        return pd.Series(sigmoid(logits(features(texts.tolist(), weights != 0), weights, bias)))
+
+    return score
+
+
 def toxicity(
     docs: DataFrame, labels: DataFrame, folds: int = 5, held_out_fold: int = 0, id_col: str = "doc_id", text_col: str = "text", toxic_col: str = "toxic",
 ) -> DataFrame:
     """One row per input row: doc_id, held_out, score, predicted. Labels of the held-out fold
     are not used."""
     held_out = fold(F.col(id_col), folds) == held_out_fold
-    weights, bias = learn(docs, labels, ~held_out, id_col, text_col, toxic_col)
-    shared = docs.sparkSession.sparkContext.broadcast((weights, bias))
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        weights, bias = shared.value
-        for pdf in batches:
-            scores = sigmoid(logits(features(pdf["text"].tolist(), weights != 0), weights, bias))
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "held_out": pdf["held_out"], "score": scores, "predicted": (scores >= 0.5).astype(np.int32)})
-
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), held_out.alias("held_out"))
-    return rows.mapInPandas(score, "doc_id long, held_out boolean, score double, predicted int")
+    score = scorer(docs, labels, ~held_out, id_col, text_col, toxic_col)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out.alias("held_out"), score(F.col(text_col).cast("string")).alias("score"))
+    return rows.select("*", (F.col("score") >= 0.5).cast("int").alias("predicted"))
