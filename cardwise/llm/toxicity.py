@@ -138,7 +138,8 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, id_col: str, text_c
     part = F.pmod(F.xxhash64(F.lit(4), "doc_id"), F.lit(MEMBERS)).cast("int")
     toxic = marks.where("toxic = 1").where(draw < int(min(1.0, FIT_POSITIVE / n_toxic) * 1_000_000)).select("doc_id")
     every = F.sequence(F.lit(0), F.lit(MEMBERS - 1))
-    positive = rows.join(toxic, "doc_id").select("text", every.alias("members"), F.lit(True).alias("confirmed"))
+    # about FIT_POSITIVE ids, by the draw: broadcast, so that no text is shuffled to find them
+    positive = rows.join(F.broadcast(toxic), "doc_id").select("text", every.alias("members"), F.lit(True).alias("confirmed"))
     unlabelled = rows.where(draw < int(min(1.0, FIT_UNLABELLED / n) * 1_000_000)).select("text", F.array(part).alias("members"), F.lit(False).alias("confirmed"))
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
