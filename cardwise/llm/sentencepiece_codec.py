@@ -44,7 +44,7 @@ from cardwise.llm.words import unique
 
 MARK = "▁"
 LIMIT = 3_000_000
-REMEMBERED = 500_000
+REMEMBERED = 800_000
 SEPARATOR = 0x110000
 UNITS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 
@@ -106,13 +106,13 @@ def read_model(path: str) -> Model:
 def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
     """Positions in the order of their first ``depth`` codes, by prefix doubling."""
     _, rank = np.unique(codes, return_inverse=True)
-    order = np.argsort(rank, kind="stable")
+    order = np.argsort(rank)
     width = 1
     while width < depth:
         after = np.zeros(len(codes), np.int64)
         after[:-width] = rank[width:] + 1
         key = rank * (len(codes) + 1) + after
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ordered = key[order]
         rank = np.empty(len(codes), np.int64)
         rank[order] = np.cumsum(np.concatenate([[0], ordered[1:] != ordered[:-1]]))
@@ -176,7 +176,7 @@ class Encoder:
         if not known.all():
             fresh = unique(key[~known])
             verdicts = np.fromiter((self.judge(int(k) // (size + 1) - 1, int(k) % (size + 1)) for k in fresh), bool, len(fresh))
-            order = np.argsort(keys := np.concatenate([self.pairs, fresh]), kind="stable")
+            order = np.argsort(keys := np.concatenate([self.pairs, fresh]))
             self.pairs, self.allowed = keys[order], np.concatenate([self.allowed, verdicts])[order]
             found = np.searchsorted(self.pairs, key)
         return self.allowed[found]
@@ -212,7 +212,7 @@ class Encoder:
         bare[begin[self.length_of[piece] == 1]] = False
         begin, piece = np.concatenate([begin, np.flatnonzero(bare)]), np.concatenate([piece, np.full(int(bare.sum()), strange)])
         offset = np.arange(len(codes)) - np.repeat(start, size + 1)
-        by_offset = np.argsort(offset[begin], kind="stable")
+        by_offset = np.argsort(offset[begin])
         begin, piece = begin[by_offset], piece[by_offset]
         last = np.full(len(codes), -1, np.int64)  # the piece that ends here
         best = np.full(len(codes), -np.inf)
@@ -242,7 +242,7 @@ class Encoder:
         if not steps:
             return np.zeros(0, np.int64), np.zeros(len(units), np.int64)
         unit, at, t = (np.concatenate(x) for x in zip(*steps, strict=True))
-        forward = np.argsort(at, kind="stable")
+        forward = np.argsort(at)
         unit, at, t = unit[forward], at[forward], t[forward]
         odd = np.flatnonzero(t == strange)
         if len(odd) and self.model.bytes_at >= 0:
@@ -260,16 +260,18 @@ class Encoder:
     def slots_of(self, units: list[str]) -> np.ndarray:
         if len(self.slots) > REMEMBERED:
             self.forget()
-        found = list(map(self.slots.get, units))
-        fresh = list(dict.fromkeys(u for u, slot in zip(units, found, strict=True) if slot is None))
-        if fresh:
+        slot = self.slots.get
+        found = np.array([slot(u, -1) for u in units], np.int64)
+        missing = np.flatnonzero(found < 0).tolist()
+        if missing:
+            fresh = list(dict.fromkeys(units[i] for i in missing))
             ids, counts = self.encode_units(fresh)
             known = len(self.slots)
             self.slots.update(zip(fresh, range(known, known + len(fresh)), strict=True))
             self.pool = np.concatenate([self.pool, ids.astype(np.int32)])
             self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(counts)])
-            found = list(map(self.slots.get, units))
-        return np.array(found, np.int64)
+            found[missing] = [self.slots[units[i]] for i in missing]
+        return found
 
     def gather(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all units in a row, number of ids of each)."""
