@@ -12,7 +12,9 @@ confirmed on the full shingle sets. Groups are handled without emitting their pa
 * *Star.* In each bucket all members are verified against the smallest one, which joins a
   group of true near copies with as many pairs as it has members.
 * *Rest.* Only members of one bucket that are not yet in the same component meet each other,
-  under the bound, in the first band that they share; so no link between components is lost.
+  under the bound and a second exact one (no intersection is larger than the sum, over hash
+  remainders, of the smaller of the two counts of shingles), in the first band that they
+  share; so no link between components is lost, and few pairs but links are made.
 
 Components are found on the confirmed links by distributed label passing. Results reach the
 rows through the distinct (scan partition, class) pairs, so a text with a third of all rows
@@ -41,6 +43,8 @@ from cardwise.llm.helpers import LOWER, UPPER, WORD, text_or_empty, written
 #: Linked if PERCENT of the union is in the intersection.
 PERCENT = 85
 BROADCAST_ROWS = 1_000_000
+#: Entries of a class's profile: how many of its shingles have each hash remainder.
+PROFILE = 256
 CLASS = ("high", "low", "n")
 
 
@@ -48,6 +52,13 @@ def pass_bound(n_a: Column, s_a: Column, n_b: Column, s_b: Column) -> Column:
     return F.least(s_a, s_b) * (100 + PERCENT) >= PERCENT * (n_a + n_b)
 
 
+def meet_bound(n_a: Column, profile_a: Column, n_b: Column, profile_b: Column) -> Column:
+    """Whether two sets can be linked going by their profiles: no more than the smaller count of
+    each remainder can be in the intersection."""
+    most = F.aggregate(F.zip_with(profile_a, profile_b, lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x)
+    return most * (100 + PERCENT) >= PERCENT * (n_a + n_b)
+
+
 def sketch_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, pos, run, text_hash, n, high, low, bands) per row, written: one pass over texts."""
 
@@ -75,7 +86,7 @@ def sketch_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(node, shingles) of the classes in ``wanted`` (node, doc_id, text_hash), read from the
+    """(node, shingles, profile) of the classes in ``wanted`` (node, doc_id, text_hash), read from the
     texts again; the ids are broadcast only while they are few."""
     if wanted.count() <= BROADCAST_ROWS:
         wanted = F.broadcast(wanted)
@@ -88,10 +99,12 @@ def sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> D
         for pdf in batches:
             for at in range(0, len(pdf), 1000):
                 part = pdf.iloc[at : at + 1000]
-                yield pd.DataFrame({"node": part["node"], "shingles": [s.view(np.int64) for s in minhash.shingle_sets(part["text"].tolist())]})
+                sets = minhash.shingle_sets(part["text"].tolist())
+                profiles = [np.bincount((s % np.uint64(PROFILE)).astype(np.int64), minlength=PROFILE) for s in sets]
+                yield pd.DataFrame({"node": part["node"], "shingles": [s.view(np.int64) for s in sets], "profile": profiles})
 
-    sets = found.mapInPandas(shingle, "node long, shingles array<long>")
-    return written(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
+    sets = found.mapInPandas(shingle, "node long, shingles array<long>, profile array<int>")
+    return written(sets.groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("profile").alias("profile")), "sets")
 
 
 def shared_counts(sets: DataFrame) -> DataFrame:
@@ -143,13 +156,14 @@ def linked_classes(docs: DataFrame, classes: DataFrame, id_col: str, text_col: s
 
     placed = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     mixed = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where(F.col("low") != F.col("high"))
-    rest = written(placed.join(mixed.select("key"), "key").join(classes.select("node", "bands"), "node"), "rest")
-    side = lambda name: rest.select("key", "band", *(F.col(c).alias(f"{name}_{c}") for c in ("node", "n", "s", "label", "bands")))
+    rest = written(placed.join(mixed.select("key"), "key").join(classes.select("node", "bands"), "node").join(sets.select("node", "profile"), "node"), "rest")
+    side = lambda name: rest.select("key", "band", *(F.col(c).alias(f"{name}_{c}") for c in ("node", "n", "s", "label", "bands", "profile")))
     before = lambda name: F.slice(F.col(f"{name}_bands"), F.lit(1), F.col("band"))
     meet = side("a").join(side("b").drop("band"), "key").where(
         (F.col("a_node") < F.col("b_node")) & (F.col("a_label") != F.col("b_label"))
         & pass_bound(F.col("a_n"), F.col("a_s"), F.col("b_n"), F.col("b_s"))
         & ~F.exists(F.zip_with(before("a"), before("b"), lambda x, y: x == y), lambda same: same)
+        & meet_bound(F.col("a_n"), F.col("a_profile"), F.col("b_n"), F.col("b_profile"))
     )
     rest_links = written(confirmed(meet.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")), sets), "links")
     return components(star_links.unionByName(rest_links))
