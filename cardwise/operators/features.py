@@ -641,8 +641,11 @@ def assert_ordered(df: DataFrame, arrival_col: str, ts_only: bool = False) -> No
     Range-partitioned on the arrival column: each partition checks its own order, and
     partition boundaries are checked from per-partition (first, last) summaries.
     """
-    parts = df.select(F.col(arrival_col).alias("_a"), "ts_ms", "txn_id").repartitionByRange("_a")
-    parts = parts.withColumn("_pid", F.spark_partition_id())
+    from cardwise.operators.ordered import ranged
+    from cardwise.session import partitions
+
+    rows = df.select(F.col(arrival_col).alias("_a"), "ts_ms", "txn_id")
+    parts = ranged(rows, [F.col("_a")], partitions(df.sparkSession))
     key = F.col("ts_ms") if ts_only else F.struct("ts_ms", "txn_id")
     w = W.partitionBy("_pid").orderBy("_a")
     inside = parts.select((key < F.lag(key).over(w)).alias("_bad")).filter("_bad").limit(1).count()

@@ -13,13 +13,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cardwise.session import partitions
+from cardwise.session import partitions, write_once
 
 
 def _sort_cols(order: Sequence[Column | str]) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
+def ranged(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
+    """``df`` range-partitioned by ``order``, with its partition number ``_pid``, written once.
+
+    Two branches over ``repartitionByRange`` may sample different bounds (column pruning makes
+    them different plans), so a partition number only means something once it is stored."""
+    return write_once(df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()), "ranged")
+
+
 def global_rank(
     df: DataFrame,
     order: Sequence[Column | str],
@@ -35,7 +43,7 @@ def global_rank(
     """
     n = n_parts or partitions(df.sparkSession)
     cols = _sort_cols(order)
-    parts = df.repartitionByRange(n, *cols).withColumn("_pid", F.spark_partition_id())
+    parts = ranged(df, cols, n)
     w = W.partitionBy("_pid").orderBy(*cols)
     run = w.rowsBetween(W.unboundedPreceding, W.currentRow)
     local = parts.select(
@@ -68,7 +76,7 @@ def global_lag(df: DataFrame, order: Sequence[Column | str], col: str, out_col:
     n = n_parts or partitions(df.sparkSession)
     cols = _sort_cols(order)
     key = F.struct(*cols)
-    parts = df.repartitionByRange(n, *cols).withColumn("_pid", F.spark_partition_id())
+    parts = ranged(df, cols, n)
     w = W.partitionBy("_pid").orderBy(*cols)
     local = parts.withColumn("_llag", F.lag(col).over(w)).withColumn("_first", F.row_number().over(w) == 1)
     lasts = parts.groupBy("_pid").agg(F.max_by(F.col(col), key).alias("_last"))

@@ -806,7 +806,7 @@ def q_features_redelivery(spark, d):
 
     base = scratch_path(spark, "redelivery")
     _replay_with_redelivery(spark, d, base)
-    stream = dedupe_stream(typed_stream(stream_transactions_files(spark, f"{base}/in", max_files=1)), "1 hour")
+    stream = dedupe_stream(typed_stream(stream_transactions_files(spark, f"{base}/in", max_files=1)))
     return report_features(drain_to_parquet(stream_features(stream), base))
 
 

@@ -70,11 +70,15 @@ def build_session(
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting is always used when present. Only when it is unset (tests,
-    local runs) is a private folder under ``/tmp`` chosen.
+    The cluster's setting is always used when present. Only when it is unset in local mode
+    (tests) is a private folder under ``/tmp`` chosen; a cluster without the setting is an error,
+    since each host would have a folder of its own.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all hosts share")
         path = f"/tmp/cardwise-ckpt-{uuid.uuid4().hex[:8]}"
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
@@ -87,6 +91,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:10]}"
 
 
+def write_once(df, name: str):
+    """``df`` written under the shared checkpoint folder and read back with its schema.
+
+    Every reader of the result sees the same rows and the same generated values (partition
+    numbers, for one), whatever columns it asks for."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def materialize(df, spark: SparkSession | None = None):
     """Reliable checkpoint into the shared checkpoint folder.
 

@@ -88,8 +88,8 @@ def read_sparkov(spark: SparkSession, path: str) -> DataFrame:
         F.col("cc_num").alias("card_id"),
         text_event_ms("trans_date_trans_time").alias("ts_ms"),
         F.col("amt").cast("double").alias("amount"),
-        F.col("category").alias("mcc"),
-        F.col("merchant").alias("merchant_id"),
+        F.coalesce("category", F.lit("")).alias("mcc"),
+        F.coalesce("merchant", F.lit("")).alias("merchant_id"),
         F.col("merch_lat").cast("double").alias("lat"),
         F.col("merch_long").cast("double").alias("lon"),
         F.col("is_fraud").cast("int").alias("label"),
@@ -97,9 +97,14 @@ def read_sparkov(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_normalized(spark: SparkSession, path: str) -> DataFrame:
-    """S3: CSV already in the canonical layout (header required)."""
-    raw = _csv(spark, path, TXN_COLUMNS)
-    return coerce_transactions(raw)[0]
+    """S3: CSV already in the canonical layout (header required); bad rows come from
+    ``read_quarantine``."""
+    return coerce_transactions(_csv(spark, path, TXN_COLUMNS))[0]
+
+
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a canonical CSV that ``read_normalized`` leaves out, as text, with the reason."""
+    return coerce_transactions(_csv(spark, path, TXN_COLUMNS))[1]
 
 
 READERS = {"ieee": read_ieee, "sparkov": read_sparkov, "normalized": read_normalized}

@@ -48,19 +48,28 @@ def stream_transactions_kafka(spark: SparkSession, bootstrap: str, topic: str) -
 
 
 def typed_stream(raw: DataFrame) -> DataFrame:
-    """P5 on a stream: typed rows (bad rows are dropped here; see coerce_transactions)."""
+    """P5 on a stream: typed rows (bad rows come from ``quarantine_stream``)."""
     return coerce_transactions(raw)[0]
 
 
-def dedupe_stream(df: DataFrame, delay: str = "1 hour") -> DataFrame:
-    """A redelivered transaction (same txn_id) is processed once."""
+def quarantine_stream(raw: DataFrame) -> DataFrame:
+    """The rows that ``typed_stream`` leaves out, as text, with the reason; write them to a sink
+    of their own (``drain_to_parquet``, for one)."""
+    return coerce_transactions(raw)[1]
+
+
+def dedupe_stream(df: DataFrame, delay: str | None = None) -> DataFrame:
+    """A redelivered transaction (same txn_id) is processed once.
+
+    By default every id is remembered (one key without payload each, in the state store) and no
+    row is lost, however late. With ``delay``, ids are forgotten after that much event time and
+    state stays bounded, but Spark then also discards rows older than the watermark; use it only
+    where such rows may go.
+    """
+    if delay is None:
+        return df.dropDuplicates(["txn_id"])
     ts = F.timestamp_millis(F.col("ts_ms"))
-    return (
-        df.withColumn("_event_ts", ts)
-        .withWatermark("_event_ts", delay)
-        .dropDuplicatesWithinWatermark(["txn_id"])
-        .drop("_event_ts")
-    )
+    return df.withColumn("_event_ts", ts).withWatermark("_event_ts", delay).dropDuplicatesWithinWatermark(["txn_id"]).drop("_event_ts")
 
 
 def stream_features(
