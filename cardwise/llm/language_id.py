@@ -124,7 +124,8 @@ def learn(docs: DataFrame, train: Column, id_col: str, text_col: str, lang_col:
             unit = np.rint(UNIT * vectors / np.where(norms > 0, norms, 1)).astype(np.int64)
             for lang, at in pdf.groupby("lang").indices.items():
                 sums[lang] = sums.get(lang, 0) + unit[at].sum(0)
-        yield pd.DataFrame({"lang": list(sums), "vector": [v.tolist() for v in sums.values()]})
+        if sums:
+            yield pd.DataFrame({"lang": list(sums), "vector": [v.tolist() for v in sums.values()]})
 
     sums = rows.select("text", "lang").mapInPandas(bundle, "lang string, vector array<long>").select("lang", F.posexplode("vector").alias("dim", "x"))
     found: dict[str, np.ndarray] = {}
