@@ -30,9 +30,13 @@ Merchant novelty uses one partial aggregate (first bucket of each (card, merchan
 on ``(card_id, bucket, merchant_id)`` without moving the large side.
 
 Memory caps of the per-card state (64 MCCs, 128 merchants, LRU) only matter for cards that
-exceed them. Those are found exactly (:func:`lru_overflow_cards`) and replayed through the
-keyed-state stream in event-ordered micro-batches; their rows replace the window-path rows.
-``card_distinct_mcc_count`` is ``min(64, distinct)`` under any eviction order.
+exceed them. Those are found exactly (:func:`lru_overflow_cards`); only their key memory is
+followed row by row, bucket by bucket in parallel (:func:`_capped_keys`), and all other facts
+come from the windows as for any card. ``card_distinct_mcc_count`` is ``min(64, distinct)``
+under any eviction order.
+
+A row's identity inside its bucket is its row number ``_rid`` there, so a transaction that was
+delivered twice is two rows, the second of which sees the first, as in the keyed state.
 
 Hot cards (at least ``hot_rows`` rows) get finer buckets and routed window probes instead of
 24 h context copies (:func:`_velocity_routed`).
@@ -40,26 +44,19 @@ Hot cards (at least ``hot_rows`` rows) get finer buckets and routed window probe
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cardwise.functions.columns import (
-    day_of_week,
-    haversine_km,
-    hour_of_day,
-    implied_kmh,
-    impossible_travel,
-    log_amount,
-)
+from cardwise.functions.columns import hour_of_day
+from cardwise.operators.joins import bounded_broadcast
+from cardwise.operators.formulas import features_from_facts
 from cardwise.session import partitions, persist_partitioned
 from cardwise.schema import (
     AMOUNT_WINDOW,
-    FEATURE_ORDER,
-    HOUR_SMOOTHING,
     MAX_MCC,
     MAX_MERCHANTS,
-    NEVER_SEEN,
     TXN_COLUMNS,
     WINDOW_1H_MS,
     WINDOW_1M_MS,
@@ -98,15 +95,17 @@ def _bucketed(txn: DataFrame, bucket_ms: int, widths: DataFrame | None = None) -
     )
     # Persisted: every branch below reads this one exchange (a cached relation also stops
     # branch filters from being pushed under the exchange and splitting it).
-    data = persist_partitioned(data.repartition(n, "card_id", "bucket"))
+    # Ties of (ts_ms, txn_id) fall back to the other columns, so a recomputed block numbers alike.
+    rid = W.partitionBy("card_id", "bucket").orderBy(*_order(), "amount", "mcc", "merchant_id", "lat", "lon", "label")
+    data = persist_partitioned(data.repartition(n, "card_id", "bucket").withColumn("_rid", F.row_number().over(rid)))
     ahead = F.sequence(F.lit(1).cast("long"), F.ceil(F.lit(WINDOW_24H_MS) / F.col("_bw")).cast("long"))
     # Hot cards get no context copies (their windows use routed probes, see _velocity_routed).
     copies = data.filter(~F.col("_hot")).select(
-        "card_id", "bucket", "txn_id", "ts_ms", "amount", "lat", "lon", "_bw", F.explode(ahead).alias("_j")
+        "card_id", "bucket", "_rid", "ts_ms", "amount", "lat", "lon", "_bw", F.explode(ahead).alias("_j")
     )
     in_halo = F.col("ts_ms") >= (F.col("bucket") + F.col("_j")) * F.col("_bw") - F.lit(WINDOW_24H_MS)
     halo = copies.filter(in_halo).select(
-        "card_id", (F.col("bucket") + F.col("_j")).alias("bucket"), "txn_id", "ts_ms", "amount", "lat", "lon",
+        "card_id", (F.col("bucket") + F.col("_j")).alias("bucket"), "_rid", "ts_ms", "amount", "lat", "lon",
         F.lit(1).alias("ctx"),
     )
     return data, halo.repartition(n, "card_id", "bucket")
@@ -119,8 +118,6 @@ def hot_card_widths(txn: DataFrame, hot_rows: int, hot_bucket_ms: int, max_hot:
     most ``max_hot`` rows (otherwise a shuffle join, which AQE splits when skewed).
     Returns None when no card is hot.
     """
-    from cardwise.operators.joins import bounded_broadcast
-
     hot = (
         txn.groupBy("card_id")
         .agg(F.count(F.lit(1)).alias("_n"))
@@ -142,16 +139,16 @@ def _carry(data: DataFrame) -> DataFrame:
     n = partitions(data.sparkSession)
     summary = data.groupBy("card_id", "bucket").agg(
         F.count(F.lit(1)).alias("n"),
-        F.max_by(F.struct("ts_ms", "lat", "lon"), F.struct("ts_ms", "txn_id")).alias("last"),
+        F.max_by(F.struct("ts_ms", "lat", "lon"), "_rid").alias("last"),
         *[F.count_if(F.col("hour") == h).alias(f"h{h}") for h in range(24)],
     )
     # Last <= 50 amounts of each bucket (top-k per group, pushed below the sort).
-    tail_w = W.partitionBy("card_id", "bucket").orderBy(F.col("ts_ms").desc(), F.col("txn_id").desc())
+    tail_w = W.partitionBy("card_id", "bucket").orderBy(F.col("_rid").desc())
     tails = (
-        data.select("card_id", "bucket", "ts_ms", "txn_id", "amount", F.row_number().over(tail_w).alias("_rn"))
+        data.select("card_id", "bucket", "_rid", "amount", F.row_number().over(tail_w).alias("_rn"))
         .filter(F.col("_rn") <= AMOUNT_WINDOW)
         .groupBy("card_id", "bucket")
-        .agg(F.sort_array(F.collect_list(F.struct("ts_ms", "txn_id", "amount"))).alias("_tail"))
+        .agg(F.sort_array(F.collect_list(F.struct("_rid", "amount"))).alias("_tail"))
         .select("card_id", "bucket", F.transform("_tail", lambda x: x["amount"]).alias("tail"))
     )
     # Latest time of each MCC in the bucket (<= distinct MCCs of the bucket).
@@ -209,15 +206,15 @@ def _velocity(data: DataFrame, halo: DataFrame) -> DataFrame:
         for tag, w in PROBES
     ]
     marks = F.when(is_data, F.array(self_, *probes)).otherwise(F.array(self_))
-    cols = ["card_id", "bucket", "txn_id", "ts_ms", "amount", "lat", "lon", "ctx"]
+    cols = ["card_id", "bucket", "_rid", "ts_ms", "amount", "lat", "lon", "ctx"]
     p = data.select(*cols).unionByName(halo.select(*cols)).select(*cols, F.explode(marks).alias("m"))
     is_row = F.col("m.kind") == 0
-    run_w = W.partitionBy("card_id", "bucket").orderBy(F.col("m.k"), F.col("m.kind"), F.col("txn_id"))
+    run_w = W.partitionBy("card_id", "bucket").orderBy(F.col("m.k"), F.col("m.kind"), F.col("_rid"))
     upto = run_w.rowsBetween(W.unboundedPreceding, W.currentRow)
     p = p.select(
         "card_id",
         "bucket",
-        "txn_id",
+        "_rid",
         "ctx",
         "amount",
         F.col("m.tag").alias("tag"),
@@ -231,7 +228,7 @@ def _velocity(data: DataFrame, halo: DataFrame) -> DataFrame:
     def at(tag: str, c: str) -> Column:
         return F.max(F.when(F.col("tag") == tag, F.col(c)))
 
-    v = p.groupBy("card_id", "bucket", "txn_id").agg(
+    v = p.groupBy("card_id", "bucket", "_rid").agg(
         at("self", "cnt").alias("cnt_self"),
         at("self", "amt").alias("amt_self"),
         F.max(F.when(F.col("tag") == "self", F.col("amount").cast(_SUM_TYPE))).alias("amt_own"),
@@ -244,7 +241,7 @@ def _velocity(data: DataFrame, halo: DataFrame) -> DataFrame:
     return v.select(
         "card_id",
         "bucket",
-        "txn_id",
+        "_rid",
         "prev_row",
         *[(prior_cnt - F.col(f"cnt_{tag}")).alias(f"vel_{tag}") for tag, _ in PROBES],
         *[(prior_amt - F.col(f"amt_{tag}")).cast("double").alias(f"sum_{tag}") for tag, _ in PROBES],
@@ -263,14 +260,14 @@ def _velocity_routed(hot: DataFrame) -> DataFrame:
     """
     n = partitions(hot.sparkSession)
     dec = F.col("amount").cast(_SUM_TYPE)
-    wd = W.partitionBy("card_id", "bucket").orderBy(*_order())
+    wd = W.partitionBy("card_id", "bucket").orderBy("_rid")
     rows = hot.select(
         "card_id",
         "bucket",
-        "txn_id",
+        "_rid",
         "ts_ms",
         "_bw",
-        (F.row_number().over(wd) - 1).alias("_j"),
+        (F.col("_rid") - 1).alias("_j"),
         F.coalesce(F.sum(dec).over(wd.rowsBetween(W.unboundedPreceding, -1)), F.lit(0).cast(_SUM_TYPE)).alias("_s_in"),
         F.lag(F.struct("ts_ms", "lat", "lon")).over(wd).alias("prev_row"),
     )
@@ -292,7 +289,7 @@ def _velocity_routed(hot: DataFrame) -> DataFrame:
     probes = rows.select(
         "card_id",
         F.col("bucket").alias("_origin"),
-        "txn_id",
+        "_rid",
         "_bw",
         F.explode(
             F.array(*[F.struct(F.lit(tag).alias("tag"), (F.col("ts_ms") - F.lit(w)).alias("u")) for tag, w in PROBES])
@@ -304,7 +301,7 @@ def _velocity_routed(hot: DataFrame) -> DataFrame:
         F.lit(1).alias("kind"),
         F.lit(None).cast(_SUM_TYPE).alias("a"),
         "_origin",
-        "txn_id",
+        "_rid",
         F.col("_p.tag").alias("tag"),
     ).repartition(n, "card_id", "bucket")
     marks = hot.select(
@@ -314,7 +311,7 @@ def _velocity_routed(hot: DataFrame) -> DataFrame:
         F.lit(0).alias("kind"),
         dec.alias("a"),
         F.lit(None).cast("long").alias("_origin"),
-        F.lit(None).cast("string").alias("txn_id"),
+        F.lit(None).cast("int").alias("_rid"),
         F.lit(None).cast("string").alias("tag"),
     )
     run = W.partitionBy("card_id", "bucket").orderBy("k", "kind").rowsBetween(W.unboundedPreceding, W.currentRow)
@@ -326,22 +323,22 @@ def _velocity_routed(hot: DataFrame) -> DataFrame:
     answered = mix.filter(F.col("kind") == 1).join(dense, ["card_id", "bucket"], "left").select(
         "card_id",
         F.col("_origin").alias("bucket"),
-        "txn_id",
+        "_rid",
         "tag",
         (F.coalesce(F.col("_n_before"), F.lit(0)) + F.col("_c")).alias("_L"),
         (F.coalesce(F.col("_s_before"), F.lit(0).cast(_SUM_TYPE)) + F.col("_s")).alias("_SL"),
     ).repartition(n, "card_id", "bucket")
-    back = answered.groupBy("card_id", "bucket", "txn_id").agg(
+    back = answered.groupBy("card_id", "bucket", "_rid").agg(
         *[F.max(F.when(F.col("tag") == tag, F.col("_L"))).alias(f"L_{tag}") for tag, _ in PROBES],
         *[F.max(F.when(F.col("tag") == tag, F.col("_SL"))).alias(f"SL_{tag}") for tag, _ in PROBES],
     )
-    v = rows.join(dense, ["card_id", "bucket"]).join(back, ["card_id", "bucket", "txn_id"])
+    v = rows.join(dense, ["card_id", "bucket"]).join(back, ["card_id", "bucket", "_rid"])
     prior_cnt = F.col("_n_before") + F.col("_j")
     prior_amt = F.col("_s_before") + F.col("_s_in")
     return v.select(
         "card_id",
         "bucket",
-        "txn_id",
+        "_rid",
         "prev_row",
         *[(prior_cnt - F.col(f"L_{tag}")).alias(f"vel_{tag}") for tag, _ in PROBES],
         *[(prior_amt - F.col(f"SL_{tag}")).cast("double").alias(f"sum_{tag}") for tag, _ in PROBES],
@@ -356,7 +353,6 @@ def compute_features(
     hot_bucket_ms: int = WINDOW_1H_MS,
     lru_exact: bool = True,
     caps: tuple[int, int] = (MAX_MCC, MAX_MERCHANTS),
-    rows_per_batch: int = 1_000_000,
 ) -> DataFrame:
     """All 27 features in :data:`FEATURE_ORDER`, plus ids and label.
 
@@ -368,16 +364,14 @@ def compute_features(
     probes instead of 24 h context copies, so a card with a large share of all rows is split
     into hour-sized tasks (``hot_rows=None`` skips the check).
     ``lru_exact`` (W3): cards whose distinct MCCs / merchants exceed ``caps`` (where LRU
-    eviction can change the novelty features) are replayed through the keyed-state stream in
-    event-ordered micro-batches of about ``rows_per_batch`` rows; their rows replace the
-    window-path rows (a union, not a join). Other cards are exact on the window path.
+    eviction can change the novelty features) get ``mcc_prev_ts`` and ``merchant_known`` from
+    :func:`_capped_keys`; every other fact, and every other card, is exact on the window path.
+    Rows with a NULL coordinate are kept. Repeated ``txn_id`` are rows of their own.
     """
     if bucket_ms <= 0 or hot_bucket_ms <= 0:
         raise ValueError("bucket widths must be positive")
     if reset_after_ms is not None:
-        return _with_history_reset(
-            txn, bucket_ms, reset_after_ms, hot_rows, hot_bucket_ms, lru_exact, caps, rows_per_batch
-        )
+        return _with_history_reset(txn, bucket_ms, reset_after_ms, hot_rows, hot_bucket_ms, lru_exact, caps)
     widths = hot_card_widths(txn, hot_rows, hot_bucket_ms) if hot_rows is not None else None
     n = partitions(txn.sparkSession)
     data, halo = _bucketed(txn, bucket_ms, widths)
@@ -391,18 +385,17 @@ def compute_features(
         .repartition(n, "card_id", "bucket")
     )
 
-    od = _order()
-    wd = W.partitionBy("card_id", "bucket").orderBy(*od)
-    wmcc = W.partitionBy("card_id", "bucket", "mcc").orderBy(*od)
-    wmer = W.partitionBy("card_id", "bucket", "merchant_id").orderBy(*od)
-    whr = W.partitionBy("card_id", "bucket", "hour").orderBy(*od)
+    wd = W.partitionBy("card_id", "bucket").orderBy("_rid")
+    wmcc = W.partitionBy("card_id", "bucket", "mcc").orderBy("_rid")
+    wmer = W.partitionBy("card_id", "bucket", "merchant_id").orderBy("_rid")
+    whr = W.partitionBy("card_id", "bucket", "hour").orderBy("_rid")
 
     d = data.join(carry, ["card_id", "bucket"]).join(
         merchant_first, ["card_id", "bucket", "merchant_id"], "left"
     )
     d = d.select(
         "*",
-        (F.row_number().over(wd) - 1).alias("j"),
+        (F.col("_rid") - 1).alias("j"),
         F.collect_list("amount").over(wd.rowsBetween(-AMOUNT_WINDOW, -1)).alias("amt_prior"),
         F.lag("ts_ms").over(wmcc).alias("mcc_prev_in"),
         F.row_number().over(wmer).alias("rn_mer"),
@@ -425,53 +418,129 @@ def compute_features(
     else:
         cold = data.filter(~F.col("_hot"))
         vel = _velocity(cold, halo).unionByName(_velocity_routed(data.filter(F.col("_hot"))))
-    d = d.join(vel, ["card_id", "bucket", "txn_id"])
-    out = _finish(d, caps[0])
-    return _exact_lru_overflow(txn, out, caps, rows_per_batch) if lru_exact else out
-
-
-def _exact_lru_overflow(txn: DataFrame, out: DataFrame, caps: tuple[int, int], rows_per_batch: int) -> DataFrame:
-    """Replace the rows of cards exceeding the memory caps by keyed-state results."""
-    from cardwise.operators.joins import bounded_broadcast
-    from cardwise.session import scratch_path
-    from cardwise.streaming.jobs import drain_to_parquet, stream_features, stream_transactions_files, typed_stream
-    from cardwise.streaming.replay import write_replay_files
-
-    over = lru_overflow_cards(txn, caps[0], caps[1]).select("card_id")
-    if over.limit(1).count() == 0:
-        return out
-    ids = bounded_broadcast(over, 1_000_000)
-    sub = txn.select(*TXN_COLUMNS).join(ids, "card_id", "left_semi")
-    spark = txn.sparkSession
-    base = scratch_path(spark, "lru-replay")
-    n_files = max(1, -(-sub.count() // rows_per_batch))
-    write_replay_files(sub, f"{base}/in", n_files)
-    stream = typed_stream(stream_transactions_files(spark, f"{base}/in", max_files=1))
-    exact = drain_to_parquet(stream_features(stream, caps=caps), base).select(*out.columns)
-    return out.join(ids, "card_id", "left_anti").unionByName(exact)
+    d = d.join(vel, ["card_id", "bucket", "_rid"])
+    facts = _facts(d, caps[0])
+    over = lru_overflow_cards(data, *caps).select("card_id") if lru_exact else None
+    if over is not None and over.limit(1).count():
+        own = data.join(bounded_broadcast(over, 1_000_000), "card_id", "left_semi")
+        keys = _capped_keys(own, caps).repartition(n, "card_id", "bucket")
+        facts = facts.join(keys, ["card_id", "bucket", "_rid"], "left")
+        for name in ("mcc_prev_ts", "merchant_known"):
+            facts = facts.withColumn(name, F.when(F.col("_capped"), F.col(f"_{name}")).otherwise(F.col(name)))
+    return features_from_facts(facts)
+
+
+def _key_memories(caps: tuple[int, int]):
+    from cardwise.streaming.card_state import Recency
+
+    return {"mcc": Recency(caps[0]), "merchant": Recency(caps[1])}
+
+
+def _seed_keys(caps: tuple[int, int]):
+    """Over (card_id, bucket, kind, key, ts) sorted by card and bucket: the keys each bucket
+    starts with. At most the caps are remembered between rows."""
+
+    def run(batches):
+        card = bucket = object()
+        for pdf in batches:
+            out = []
+            for c, b, kind, key, ts in pdf[["card_id", "bucket", "kind", "key", "ts_ms"]].itertuples(index=False, name=None):
+                if c != card:
+                    memory = _key_memories(caps)
+                elif b != bucket:
+                    out += [(c, b, k, name, at) for k, m in memory.items() for name, at in m.latest.items()]
+                card, bucket = c, b
+                memory[kind].use(key, ts)
+            yield pd.DataFrame(out, columns=["card_id", "bucket", "kind", "key", "ts_ms"])
+
+    return run
+
+
+def _follow_keys(caps: tuple[int, int]):
+    """Over one bucket's seeds, then its rows in order: what each row's card remembers."""
+
+    def run(batches):
+        at = None
+        for pdf in batches:
+            out = []
+            for c, b, rid, kind, ts, mcc, merchant in pdf.itertuples(index=False, name=None):
+                if (c, b) != at:
+                    at, memory = (c, b), _key_memories(caps)
+                if isinstance(kind, str):  # a seed; its key travels in the mcc column
+                    memory[kind].use(mcc, ts)
+                    continue
+                out.append((c, b, rid, memory["mcc"].when(mcc), memory["merchant"].when(merchant) is not None, True))
+                memory["mcc"].use(mcc, ts)
+                if merchant:
+                    memory["merchant"].use(merchant, ts)
+            done = pd.DataFrame(out, columns=["card_id", "bucket", "_rid", "_mcc_prev_ts", "_merchant_known", "_capped"])
+            yield done.astype({"_mcc_prev_ts": "Int64"})
+
+    return run
+
+
+def _capped_keys(rows: DataFrame, caps: tuple[int, int]) -> DataFrame:
+    """(card_id, bucket, _rid, _mcc_prev_ts, _merchant_known, _capped) under the caps.
+
+    In event order the memory is always the ``cap`` distinct keys with the highest (latest time,
+    key). So a first pass over each card's distinct keys per bucket (partial aggregates, not
+    rows) finds what every bucket starts with, and a second follows the rows of all buckets in
+    parallel. Both read sorted partitions as a stream and hold one memory of ``caps`` keys: the
+    sort may spill, and no group is collected.
+    """
+    n = partitions(rows.sparkSession)
+    used = F.array(
+        F.struct(F.lit("mcc").alias("kind"), F.col("mcc").alias("key")),
+        F.struct(F.lit("merchant").alias("kind"), F.col("merchant_id").alias("key")),
+    )
+    latest = (
+        rows.select("card_id", "bucket", "ts_ms", F.inline(used))
+        .filter((F.col("kind") == "mcc") | (F.col("key") != ""))
+        .groupBy("card_id", "bucket", "kind", "key")
+        .agg(F.max("ts_ms").alias("ts_ms"))
+    )
+    seeds = (
+        latest.repartition(n, "card_id")
+        .sortWithinPartitions("card_id", "bucket")
+        .mapInPandas(_seed_keys(caps), "card_id string, bucket long, kind string, key string, ts_ms long")
+    )
+    columns = ("card_id", "bucket", "_rid", "kind", "ts_ms", "mcc", "merchant_id")
+    seeded = seeds.select("card_id", "bucket", F.lit(0).alias("_rid"), "kind", "ts_ms", F.col("key").alias("mcc"), F.lit("").alias("merchant_id"))
+    return (
+        rows.withColumn("kind", F.lit(None).cast("string"))
+        .select(*columns)
+        .unionByName(seeded)
+        .repartition(n, "card_id", "bucket")
+        .sortWithinPartitions("card_id", "bucket", "_rid")
+        .mapInPandas(
+            _follow_keys(caps),
+            "card_id string, bucket long, _rid int, _mcc_prev_ts long, _merchant_known boolean, _capped boolean",
+        )
+    )
 
 
 _EPOCH_SEP = "\u0001"
 
 
 def history_epochs(
-    txn: DataFrame, reset_after_ms: int, bucket_ms: int = WINDOW_24H_MS, widths: DataFrame | None = None
+    txn: DataFrame, reset_after_ms: int, bucket_ms: int = WINDOW_24H_MS, widths: DataFrame | None = None,
+    keep: tuple[str, ...] = ("txn_id", "card_id", "ts_ms"),
 ) -> DataFrame:
-    """(txn_id, card_id, epoch): the number of idle gaps > ``reset_after_ms`` before a
+    """The ``keep`` columns and ``epoch``: the number of idle gaps > ``reset_after_ms`` before a
     row in its card's (ts_ms, txn_id) order.
 
     Two-level like the features: previous row and gap counts inside (card, bucket), plus
     per-bucket carries (last time, gap count) from windows over a card's buckets.
     """
     n = partitions(txn.sparkSession)
-    t = txn.select("txn_id", "card_id", "ts_ms")
+    t = txn.select(*keep)
     if widths is not None:  # hot cards: finer buckets, as in the features
         t = t.join(widths, "card_id", "left")
         bw = F.coalesce(F.col("_bw"), F.lit(bucket_ms))
     else:
         bw = F.lit(bucket_ms)
     b = F.floor(F.col("ts_ms") / bw).cast("long")
-    t = t.select("txn_id", "card_id", "ts_ms", b.alias("bucket")).repartition(n, "card_id", "bucket")
+    t = t.select(*keep, b.alias("bucket")).repartition(n, "card_id", "bucket")
     cw = W.partitionBy("card_id").orderBy("bucket")
     last = t.groupBy("card_id", "bucket").agg(F.max_by("ts_ms", F.struct("ts_ms", "txn_id")).alias("_last"))
     last = last.select("card_id", "bucket", F.lag("_last").over(cw).alias("_last_before")).repartition(
@@ -491,105 +560,52 @@ def history_epochs(
     out = g.join(per, ["card_id", "bucket"]).withColumn(
         "epoch", F.col("_g_before") + F.sum("_gap").over(wd.rowsBetween(W.unboundedPreceding, W.currentRow))
     )
-    return out.select("txn_id", "card_id", "epoch")
+    return out.select(*keep, "epoch")
 
 
 def _with_history_reset(
-    txn: DataFrame, bucket_ms: int, reset_after_ms: int, hot_rows, hot_bucket_ms, lru_exact=True, caps=(MAX_MCC, MAX_MERCHANTS), rows_per_batch=1_000_000
+    txn: DataFrame, bucket_ms: int, reset_after_ms: int, hot_rows, hot_bucket_ms, lru_exact=True, caps=(MAX_MCC, MAX_MERCHANTS)
 ) -> DataFrame:
     widths = hot_card_widths(txn, hot_rows, hot_bucket_ms) if hot_rows is not None else None
-    ep = history_epochs(txn, reset_after_ms, bucket_ms, widths)
-    keyed = txn.join(ep, ["txn_id", "card_id"]).withColumn(
+    keyed = history_epochs(txn, reset_after_ms, bucket_ms, widths, TXN_COLUMNS).withColumn(
         "card_id", F.concat_ws(_EPOCH_SEP, F.col("card_id"), F.col("epoch").cast("string"))
     )
     feats = compute_features(
-        keyed.drop("epoch"), bucket_ms, hot_rows=hot_rows, hot_bucket_ms=hot_bucket_ms,
-        lru_exact=lru_exact, caps=caps, rows_per_batch=rows_per_batch,
+        keyed.drop("epoch"), bucket_ms, hot_rows=hot_rows, hot_bucket_ms=hot_bucket_ms, lru_exact=lru_exact, caps=caps
     )
     return feats.withColumn("card_id", F.substring_index(F.col("card_id"), _EPOCH_SEP, 1))
 
 
-def _finish(d: DataFrame, mcc_cap: int = MAX_MCC) -> DataFrame:
-    amount = F.col("amount")
-    prior_n = F.col("n_before") + F.col("j")
-
+def _facts(d: DataFrame, mcc_cap: int) -> DataFrame:
+    """The facts of :mod:`cardwise.operators.formulas` from the carry and the bucket's windows."""
     # Last <= 50 amounts before the row: carried tail of earlier buckets + this bucket's.
     joined = F.when(F.col("j") < AMOUNT_WINDOW, F.concat("prev_tail", "amt_prior")).otherwise(F.col("amt_prior"))
     win = F.slice(joined, F.greatest(F.size(joined) - (AMOUNT_WINDOW - 1), F.lit(1)), AMOUNT_WINDOW)
-    d = d.withColumn("_win", win).withColumn("_n", F.size("_win"))
+    d = d.withColumn("_win", win).withColumn("amt_n", F.size("_win"))
     d = d.withColumn(
-        "_mean", F.try_divide(F.aggregate("_win", F.lit(0.0), lambda acc, x: acc + x), F.col("_n").cast("double"))
+        "amt_mean", F.try_divide(F.aggregate("_win", F.lit(0.0), lambda acc, x: acc + x), F.col("amt_n").cast("double"))
     )
-    d = d.withColumn(
-        "_std",
-        F.sqrt(
-            F.try_divide(
-                F.aggregate("_win", F.lit(0.0), lambda acc, x: acc + (x - F.col("_mean")) * (x - F.col("_mean"))),
-                (F.col("_n") - 1).cast("double"),
-            )
-        ),
-    )
-    enough = F.col("_n") >= 2
-    mean, std = F.col("_mean"), F.col("_std")
-    scale = F.when(std > 1e-9, std).otherwise(F.greatest(F.lit(1.0), F.abs(mean)))
-
-    prev = F.col("prev_row")
-    last_ts = F.coalesce(prev["ts_ms"], F.col("last_before.ts_ms"))
-    last_lat = F.when(prev.isNotNull(), prev["lat"]).otherwise(F.col("last_before.lat"))
-    last_lon = F.when(prev.isNotNull(), prev["lon"]).otherwise(F.col("last_before.lon"))
-    has_prev = last_ts.isNotNull() & last_lat.isNotNull() & last_lon.isNotNull()
-    elapsed = (F.col("ts_ms") - last_ts) / 1000.0
-    dist = haversine_km(last_lat, last_lon, F.col("lat"), F.col("lon"))
-    kmh = implied_kmh(dist, elapsed)
-
-    hour_prior = F.element_at("hour_before", F.col("hour") + 1) + F.col("rn_hour") - 1
-    prob = (hour_prior.cast("double") + HOUR_SMOOTHING) / (prior_n.cast("double") + HOUR_SMOOTHING * 24.0)
-    mcc_prev = F.col("mcc_prev_ts")
-    merchant_new = (F.col("merchant_id") == "") | (
-        (F.col("rn_mer") == 1) & F.col("merchant_first_bucket").isNotNull()
-    )
-
-    feats = {
-        "amount": amount,
-        "log_amount": log_amount(amount),
-        "hour_of_day": F.col("hour").cast("double"),
-        "day_of_week": day_of_week("ts_ms").cast("double"),
-        "is_first_txn_for_card": F.when(prior_n == 0, 1.0).otherwise(0.0),
-        "velocity_1m": F.col("vel_p1m").cast("double"),
-        "velocity_1h": F.col("vel_p1h").cast("double"),
-        "velocity_24h": F.col("vel_p24h").cast("double"),
-        "amount_sum_1h": F.col("sum_p1h"),
-        "amount_sum_24h": F.col("sum_p24h"),
-        "amount_zscore": F.when(enough, (amount - mean) / scale).otherwise(0.0),
-        "amount_ratio_to_mean": F.when(enough & (F.abs(mean) > 1e-9), amount / mean).otherwise(0.0),
-        "prior_amount_mean": F.when(enough, mean).otherwise(0.0),
-        "prior_amount_std": F.when(enough, std).otherwise(0.0),
-        "prior_txn_count": prior_n.cast("double"),
-        "mcc_is_new": F.when(mcc_prev.isNull(), 1.0).otherwise(0.0),
-        "mcc_days_since_last_seen": F.when(mcc_prev.isNull(), NEVER_SEEN).otherwise(
-            (F.col("ts_ms") - mcc_prev) / 86_400_000.0
-        ),
-        "card_distinct_mcc_count": F.least(
-            F.lit(mcc_cap), F.col("mcc_distinct_before") + F.col("mcc_new_in")
-        ).cast("double"),
-        "merchant_is_new": F.when(merchant_new, 1.0).otherwise(0.0),
-        "seconds_since_last_txn": F.when(has_prev, elapsed).otherwise(NEVER_SEEN),
-        "distance_km_from_last": F.when(has_prev, dist).otherwise(NEVER_SEEN),
-        "implied_kmh": F.when(has_prev, kmh).otherwise(0.0),
-        "impossible_travel_flag": F.when(has_prev, impossible_travel(kmh)).otherwise(0.0),
-        "hour_prior_count": hour_prior.cast("double"),
-        "hour_probability": prob,
-        "hour_deviation": -F.log(prob) - F.log(F.lit(24.0)),
-        # Sorted replay never sees a row older than the card's newest: see out_of_order_flags.
-        "out_of_order_flag": F.lit(0.0),
-    }
+
+    def off(x: Column) -> Column:
+        return x - F.col("amt_mean")
+
+    prev, before = F.col("prev_row"), F.col("last_before")
+    last = F.when(prev.isNotNull(), prev).otherwise(before)
+    first_use = (F.col("rn_mer") == 1) & F.col("merchant_first_bucket").isNotNull()
     return d.select(
-        "txn_id",
-        "card_id",
-        "ts_ms",
-        *[feats[name].cast("double").alias(name) for name in FEATURE_ORDER],
-        "label",
-    )
+        "card_id", "bucket", "_rid", "txn_id", "ts_ms", "amount", "lat", "lon", "label",
+        (F.col("n_before") + F.col("j")).alias("prior_n"),
+        *[f"vel_{tag}" for tag, _ in PROBES],
+        *[f"sum_{tag}" for tag, _ in PROBES],
+        "amt_n",
+        "amt_mean",
+        F.aggregate("_win", F.lit(0.0), lambda acc, x: acc + off(x) * off(x)).alias("amt_spread"),
+        "mcc_prev_ts",
+        F.least(F.lit(mcc_cap), F.col("mcc_distinct_before") + F.col("mcc_new_in")).alias("mcc_known"),
+        ((F.col("merchant_id") != "") & ~first_use).alias("merchant_known"),
+        *[last[name].alias(f"last_{name.removesuffix('_ms')}") for name in ("ts_ms", "lat", "lon")],
+        (F.element_at("hour_before", F.col("hour") + 1) + F.col("rn_hour") - 1).alias("hour_prior"),
+    )
 
 
 def out_of_order_flags(df: DataFrame, arrival_col: str, bucket_ms: int = WINDOW_24H_MS) -> DataFrame:

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cardwise.operators.formulas import features_from_facts
 from cardwise.schema import FEATURE_ORDER, RAW_STRING_SCHEMA, TXN_COLUMNS
 from cardwise.session import configure
 from cardwise.sources.readers import coerce_transactions
-from cardwise.streaming.processor import FEATURE_OUTPUT_SCHEMA, CardFeatureProcessor
+from cardwise.streaming.processor import FACTS_SCHEMA, CardFeatureProcessor, EventTimeCardProcessor
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 STATE_CONF = {
@@ -85,16 +86,17 @@ def stream_features(
     history reset after an idle gap (W4, same rule as the batch path).
     """
     _stateful_conf(df.sparkSession)
-    return (
+    facts = (
         df.select(*TXN_COLUMNS)
         .groupBy("card_id")
         .transformWithState(
             statefulProcessor=CardFeatureProcessor(ttl_ms=ttl_ms, lru=lru, reset_after_ms=reset_after_ms, caps=caps),
-            outputStructType=FEATURE_OUTPUT_SCHEMA,
+            outputStructType=FACTS_SCHEMA,
             outputMode="Append",
             timeMode="ProcessingTime" if ttl_ms else "None",
         )
     )
+    return features_from_facts(facts)
 
 
 def stream_features_event_time(
@@ -106,21 +108,20 @@ def stream_features_event_time(
     Rows behind the watermark on arrival are late and dropped by Spark. A finite input
     needs a final row beyond its last event time + delay to flush the last window.
     """
-    from cardwise.streaming.processor import EventTimeCardProcessor
-
     _stateful_conf(df.sparkSession)
-    return (
+    facts = (
         df.select(*TXN_COLUMNS)
         .withColumn("event_ts", F.timestamp_millis(F.col("ts_ms")))
         .withWatermark("event_ts", delay)
         .groupBy("card_id")
         .transformWithState(
             statefulProcessor=EventTimeCardProcessor(lru=lru, reset_after_ms=reset_after_ms),
-            outputStructType=FEATURE_OUTPUT_SCHEMA,
+            outputStructType=FACTS_SCHEMA,
             outputMode="Append",
             timeMode="EventTime",
         )
     )
+    return features_from_facts(facts)
 
 
 def to_payload(features: DataFrame) -> DataFrame:
@@ -174,11 +175,17 @@ def upsert_decisions(batch: DataFrame, batch_id: int, target: str, day_col: str
         .filter("_rn = 1")
         .drop("_rn")
     )
-    days = [r[0] for r in fresh.select("event_day").distinct().collect()]  # days in one micro-batch
-    if _table_exists(spark, target):
-        existing = spark.read.parquet(target).filter(F.col("event_day").isin(days)).select("txn_id")
-        fresh = fresh.join(existing, "txn_id", "left_anti")
-    fresh.write.mode("append").partitionBy("event_day").parquet(target)
+    # Two actions follow; the batch must not run the stateful plan behind it for each of them.
+    fresh = fresh.persist()
+    try:
+        new = fresh
+        if _table_exists(spark, target):
+            days = [r[0] for r in fresh.select("event_day").distinct().collect()]  # days in one micro-batch
+            existing = spark.read.parquet(target).filter(F.col("event_day").isin(days)).select("txn_id")
+            new = fresh.join(existing, "txn_id", "left_anti")
+        new.write.mode("append").partitionBy("event_day").parquet(target)
+    finally:
+        fresh.unpersist()
 
 
 def _table_exists(spark: SparkSession, path: str) -> bool:

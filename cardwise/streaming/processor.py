@@ -2,11 +2,13 @@
 
 State per card (RocksDB state store): one typed ValueState ``card`` holding version,
 counters, last position, hour histogram, last <= 50 amounts, the 24 h (ts, amount) window
-and the MCC (<= 64) / merchant (<= 128) last-seen maps as parallel arrays. One value keeps
-the state traffic to a read and a write per card per micro-batch; every part is bounded.
+and the MCC (<= 64) / merchant (<= 128) last-seen times as parallel arrays. One value keeps
+the state traffic to a read and a write per card per micro-batch.
 
-Rows of one card within a micro-batch are processed in (ts_ms, txn_id) order; one output
-row per input row. Optional idle expiry (T3) uses a processing-time TTL on every state.
+The processors only report facts that need history; :func:`cardwise.operators.formulas.features_from_facts`
+makes the features of them. Rows of one card within a micro-batch are processed in
+(ts_ms, txn_id) order; one output row per input row. Optional idle expiry (T3) uses a
+processing-time TTL on every state.
 """
 
 from __future__ import annotations
@@ -15,66 +17,58 @@ from collections.abc import Iterator
 
 from pyspark.sql import Row
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import DoubleType, IntegerType, LongType, StringType, StructField, StructType
-
-from cardwise.schema import FEATURE_ORDER
-from cardwise.streaming.card_state import CORE_STATE_SCHEMA, CardMemory
-
-FEATURE_OUTPUT_SCHEMA = StructType(
-    [
-        StructField("txn_id", StringType(), False),
-        StructField("card_id", StringType(), False),
-        StructField("ts_ms", LongType(), False),
-        *[StructField(n, DoubleType(), False) for n in FEATURE_ORDER],
-        StructField("label", IntegerType(), True),
-    ]
-)
 
-_OUT_NAMES = tuple(f.name for f in FEATURE_OUTPUT_SCHEMA.fields)
+from cardwise.schema import MAX_MCC, MAX_MERCHANTS
+from cardwise.streaming.card_state import FACT_FIELDS, LEDGER_SCHEMA, CardLedger
+
+OWN = ("txn_id", "card_id", "ts_ms", "amount", "lat", "lon", "label")
+FACTS_SCHEMA = (
+    "txn_id string, card_id string, ts_ms long, amount double, lat double, lon double, label int, "
+    + ", ".join(f"{name} {kind}" for name, kind in FACT_FIELDS.items())
+)
+Facts = Row(*OWN, *FACT_FIELDS)
 
 
-class CardFeatureProcessor(StatefulProcessor):
-    """Per-card feature state machine; ``ttl_ms`` enables idle expiry (default off)."""
+class CardProcessor(StatefulProcessor):
+    """What both modes share: the ledger in the state store and the facts of a run of rows."""
 
     def __init__(
         self, ttl_ms: int | None = None, lru: bool = True, reset_after_ms: int | None = None, caps: tuple[int, int] | None = None
     ):
         self.ttl_ms = ttl_ms
-        self.lru = lru
         self.reset_after_ms = reset_after_ms
-        self.caps = caps
+        self.caps = (caps or (MAX_MCC, MAX_MERCHANTS)) if lru else (None, None)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.card = handle.getValueState("card", CORE_STATE_SCHEMA, self.ttl_ms)
-
-    def _load(self) -> CardMemory:
-        core = self.card.get()  # None when the card has no state yet
-        mem = CardMemory.from_rows(tuple(core) if core is not None else None)
-        mem.lru = self.lru
-        mem.reset_after_ms = self.reset_after_ms
-        if self.caps is not None:
-            mem.caps = tuple(self.caps)
-        return mem
+        self.handle = handle
+        self.card = handle.getValueState("card", LEDGER_SCHEMA, self.ttl_ms)
 
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        card_id = key[0]
-        batch = sorted(rows, key=lambda r: (r["ts_ms"], r["txn_id"]))
-        mem = self._load()
-        for r in batch:
-            f = mem.step(int(r["ts_ms"]), float(r["amount"]), r["mcc"], r["merchant_id"], float(r["lat"]), float(r["lon"]))
-            yield Row(**dict(zip(_OUT_NAMES, (r["txn_id"], card_id, int(r["ts_ms"]), *f, r["label"]))))
-        self.card.update(mem.core_row())
+    def facts(self, card_id: str, rows: list[Row]) -> Iterator[Row]:
+        stored = self.card.get()  # None when the card has no state yet
+        ledger = CardLedger(self.caps, None if stored is None else tuple(stored))
+        for r in sorted(rows, key=lambda r: (r["ts_ms"], r["txn_id"])):
+            told = ledger.take(r, self.reset_after_ms)
+            yield Facts(r["txn_id"], card_id, r["ts_ms"], r["amount"], r["lat"], r["lon"], r["label"], *told)
+        self.card.update(ledger.stored())
 
     def close(self) -> None:
         pass
 
 
+class CardFeatureProcessor(CardProcessor):
+    """Facts on arrival; ``ttl_ms`` enables idle expiry (default off)."""
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        yield from self.facts(key[0], list(rows))
+
+
 PENDING_SCHEMA = (
     "txn_id string, ts_ms long, amount double, mcc string, merchant_id string, lat double, lon double, label int"
 )
+PENDING = ("txn_id", "ts_ms", "amount", "mcc", "merchant_id", "lat", "lon", "label")
 
 
-class EventTimeCardProcessor(StatefulProcessor):
+class EventTimeCardProcessor(CardProcessor):
     """T5: event-time mode. Rows of a card wait in list state until the watermark passes
     them and are then processed in (ts_ms, txn_id) order, so any arrival order within the
     watermark delay yields the same features as a sorted replay.
@@ -82,44 +76,27 @@ class EventTimeCardProcessor(StatefulProcessor):
     The pending buffer holds at most the rows of the last ``delay`` of event time per card.
     """
 
-    def __init__(self, lru: bool = True, reset_after_ms: int | None = None):
-        self.lru = lru
-        self.reset_after_ms = reset_after_ms
-
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.card = handle.getValueState("card", CORE_STATE_SCHEMA)
+        super().init(handle)
         self.pending = handle.getListState("pending", PENDING_SCHEMA)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        new = [
-            (r["txn_id"], int(r["ts_ms"]), float(r["amount"]), r["mcc"], r["merchant_id"], float(r["lat"]), float(r["lon"]), r["label"])
-            for r in rows
-        ]
+        new = [tuple(r[c] for c in PENDING) for r in rows]
         if new:
             self.pending.appendList(new)
             self.handle.registerTimer(max(t[1] for t in new))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        wm = timerValues.getCurrentWatermarkInMs()
-        waiting = [tuple(r) for r in self.pending.get()]
-        ready = sorted((r for r in waiting if r[1] < wm), key=lambda r: (r[1], r[0]))
-        later = [r for r in waiting if r[1] >= wm]
+        watermark = timerValues.getCurrentWatermarkInMs()
+        ready, later = [], []
+        for waiting in self.pending.get():
+            row = Row(*PENDING)(*waiting)
+            (ready if row["ts_ms"] < watermark else later).append(row)
         if not ready:
             return
-        core = self.card.get()
-        mem = CardMemory.from_rows(tuple(core) if core is not None else None)
-        mem.lru, mem.reset_after_ms = self.lru, self.reset_after_ms
-        card_id = key[0]
-        for txn_id, ts, amt, mcc, mer, lat, lon, label in ready:
-            f = mem.step(ts, amt, mcc, mer, lat, lon)
-            yield Row(**dict(zip(_OUT_NAMES, (txn_id, card_id, ts, *f, label))))
-        self.card.update(mem.core_row())
+        yield from self.facts(key[0], ready)
         self.pending.clear()
         if later:
-            self.pending.put(later)
-            self.handle.registerTimer(max(r[1] for r in later))
-
-    def close(self) -> None:
-        pass
+            self.pending.put([tuple(r) for r in later])
+            self.handle.registerTimer(max(r["ts_ms"] for r in later))

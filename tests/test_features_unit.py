@@ -1,12 +1,17 @@
 """Hand fixtures per feature, one card; every check runs on both the window path (W1) and
-the per-card memory used by the stream (so the two are pinned to the same rules)."""
+the keyed state used by the stream (so the two are pinned to the same rules)."""
 
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 from cardwise.operators.features import compute_features
-from cardwise.streaming.card_state import CardMemory
+from cardwise.operators.formulas import features_from_facts
+from cardwise.streaming.card_state import CardLedger
+from cardwise.streaming.jobs import stream_features
+from cardwise.schema import FEATURE_ORDER
+from cardwise.streaming.processor import FACTS_SCHEMA
 from tests.conftest import T0
 
 BLR = (12.97, 77.59)
@@ -18,20 +23,13 @@ def _feats(make_txn, spec):
     return [r.asDict() for r in rows]
 
 
-def _memory(spec):
-    mem, out = CardMemory(), []
-    from cardwise.schema import FEATURE_ORDER
-
-    for _, _, ts, amt, mcc, mer, lat, lon in sorted(spec, key=lambda r: (r[2], r[0])):
-        out.append(dict(zip(FEATURE_ORDER, mem.step(ts, amt, mcc, mer, lat, lon))))
-    return out
-
-
 def _both(make_txn, spec):
-    a, b = _feats(make_txn, spec), _memory(spec)
+    a = _feats(make_txn, spec)
+    b = [r.asDict() for r in stream_features(make_txn(spec)).orderBy("ts_ms", "txn_id").collect()]
+    assert len(a) == len(b) == len(spec)
     for x, y in zip(a, b):
-        for k, v in y.items():
-            assert math.isclose(x[k], v, rel_tol=1e-12, abs_tol=1e-12), (k, x[k], v)
+        for k in FEATURE_ORDER:
+            assert math.isclose(x[k], y[k], rel_tol=1e-12, abs_tol=1e-12), (k, x[k], y[k])
     return a
 
 
@@ -110,30 +108,48 @@ def test_hour_deviation(make_txn):
     assert f[10]["hour_prior_count"] == 0.0 and f[10]["hour_deviation"] > 0
 
 
-def test_late_row_in_arrival_mode_does_not_rewind():
-    mem = CardMemory()
-    mem.step(T0 + 600_000, 1.0, "A", "m", 0.0, 0.0)
-    f = mem.read(T0, 1.0, "A", "m", 0.0, 0.0)
-    from cardwise.schema import FEATURE_ORDER
+def _wire(ts, mcc="A", merchant="m", lat=0.0, lon=0.0):
+    return {"ts_ms": ts, "amount": 1.0, "mcc": mcc, "merchant_id": merchant, "lat": lat, "lon": lon}
 
-    assert f[FEATURE_ORDER.index("out_of_order_flag")] == 1.0
-    mem.absorb(T0, 1.0, "A", "m", 5.0, 5.0)
-    assert mem.last_ts == T0 + 600_000 and mem.last_lat == 0.0
+
+def test_late_row_in_arrival_mode_does_not_rewind(spark):
+    ledger = CardLedger()
+    ledger.take(_wire(T0 + 600_000))
+    told = ledger.take(_wire(T0, lat=5.0, lon=5.0))
+    row = spark.createDataFrame([("t", "c", T0, 1.0, 5.0, 5.0, None, *told)], FACTS_SCHEMA)
+    f = features_from_facts(row).first()
+    assert f["out_of_order_flag"] == 1.0 and f["velocity_1m"] == 1.0
+    assert ledger.place == (T0 + 600_000, 0.0, 0.0)
+    assert ledger.trail.times == [T0, T0 + 600_000] and ledger.trail.since(T0) == (1, 1.0)
 
 
 def test_state_version_cold_start():
-    mem = CardMemory()
-    mem.step(T0, 1.0, "A", "m", 0.0, 0.0)
-    row = mem.core_row()
-    assert CardMemory.from_rows(row, mem.mcc_seen, mem.merchant_seen).count == 1
-    assert CardMemory.from_rows((999, *row[1:]), {}, {}).count == 0
+    ledger = CardLedger()
+    ledger.take(_wire(T0))
+    kept = ledger.stored()
+    assert CardLedger(stored=kept).rows == 1 and CardLedger(stored=kept).stored() == kept
+    assert CardLedger(stored=(999, *kept[1:])).rows == 0
 
 
 def test_lru_caps_evict_least_recent():
-    mem = CardMemory()
+    ledger = CardLedger()
     for i in range(70):
-        mem.step(T0 + i, 1.0, f"m{i:02d}", "", 0.0, 0.0)
-    assert len(mem.mcc_seen) == 64 and "m00" not in mem.mcc_seen and "m69" in mem.mcc_seen
+        ledger.take(_wire(T0 + i, mcc=f"m{i:02d}", merchant=""))
+    assert len(ledger.mccs) == 64 and ledger.mccs.when("m00") is None and ledger.mccs.when("m69") is not None
+
+
+def test_repeated_delivery_is_two_rows(make_txn):
+    f = _both(make_txn, [_row(0, 0), _row(1, 1_000), _row(1, 1_000), _row(2, 2_000)])
+    assert [r["velocity_1m"] for r in f] == [0.0, 1.0, 2.0, 3.0]
+    assert [r["amount_sum_1h"] for r in f] == [0.0, 10.0, 20.0, 30.0]
+
+
+def test_null_place_is_kept(make_txn):
+    def unplaced(spec):
+        return make_txn(spec).withColumn("lat", F.when(F.col("txn_id") != "t000", F.col("lat")))
+
+    f = _both(unplaced, [_row(0, 0), _row(1, 1_000), _row(2, 2_000)])
+    assert [r["seconds_since_last_txn"] for r in f] == [-1.0, -1.0, 1.0]
 
 
 def test_bucket_width_does_not_change_values(make_txn):
