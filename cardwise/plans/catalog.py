@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwise.functions.columns import report_double
+from cardwise.functions.columns import report_double, report_sql
 from cardwise.operators.features import compute_features
 from cardwise.plans.oracle_features import features_sql
 from cardwise.schema import FEATURE_ORDER
@@ -639,6 +639,57 @@ def q_leak(spark, d):
     return j.select("txn_id", "card_id", R("prior_amount_mean").alias("prior_amount_mean"), R("card_mean_all").alias("card_mean_all"))
 
 
+SMALL_CAPS = (3, 20)
+
+
+@register(
+    "features_small_caps",
+    f"""WITH t AS ({TXN_SQL}), pairs AS (
+  SELECT r.txn_id, count(DISTINCT o.mcc) AS n FROM t r LEFT JOIN t o
+    ON o.card_id = r.card_id AND (o.ts_ms, o.txn_id) < (r.ts_ms, r.txn_id) GROUP BY r.txn_id),
+um AS (SELECT r.txn_id, r.card_id, r.ts_ms, r.mcc AS k, max(u.ts_ms) AS seen FROM t r
+       JOIN t u ON u.card_id = r.card_id AND u.mcc = r.mcc AND (u.ts_ms, u.txn_id) < (r.ts_ms, r.txn_id) GROUP BY ALL),
+mm AS (SELECT um.txn_id, any_value(um.seen) AS seen FROM um LEFT JOIN t o ON o.card_id = um.card_id AND o.mcc <> um.k
+         AND (o.ts_ms, o.txn_id) < (um.ts_ms, um.txn_id) AND (o.ts_ms, o.mcc) > (um.seen, um.k)
+       GROUP BY um.txn_id HAVING count(DISTINCT o.mcc) < {SMALL_CAPS[0]}),
+us AS (SELECT r.txn_id, r.card_id, r.ts_ms, r.merchant_id AS k, max(u.ts_ms) AS seen FROM t r
+       JOIN t u ON u.card_id = r.card_id AND u.merchant_id = r.merchant_id AND r.merchant_id <> ''
+        AND (u.ts_ms, u.txn_id) < (r.ts_ms, r.txn_id) GROUP BY ALL),
+ms AS (SELECT us.txn_id FROM us LEFT JOIN t o ON o.card_id = us.card_id AND o.merchant_id NOT IN ('', us.k)
+         AND (o.ts_ms, o.txn_id) < (us.ts_ms, us.txn_id) AND (o.ts_ms, o.merchant_id) > (us.seen, us.k)
+       GROUP BY us.txn_id HAVING count(DISTINCT o.merchant_id) < {SMALL_CAPS[1]})
+SELECT t.txn_id, CASE WHEN mm.txn_id IS NULL THEN 1.0 ELSE 0.0 END::DOUBLE AS mcc_is_new,
+  {report_sql("CASE WHEN mm.txn_id IS NULL THEN -1.0 ELSE (t.ts_ms - mm.seen) / 86400000.0 END")} AS mcc_days_since_last_seen,
+  least({SMALL_CAPS[0]}, pairs.n)::DOUBLE AS card_distinct_mcc_count,
+  CASE WHEN ms.txn_id IS NULL THEN 1.0 ELSE 0.0 END::DOUBLE AS merchant_is_new
+FROM t JOIN pairs USING (txn_id) LEFT JOIN mm USING (txn_id) LEFT JOIN ms USING (txn_id)""",
+)
+def q_small_caps(spark, d):
+    """Novelty under caps of 3 MCCs and 20 merchants, which most cards pass."""
+    f = compute_features(events_txn(spark, d), caps=SMALL_CAPS)
+    return f.select(
+        "txn_id",
+        "mcc_is_new",
+        report_double("mcc_days_since_last_seen").alias("mcc_days_since_last_seen"),
+        "card_distinct_mcc_count",
+        "merchant_is_new",
+    )
+
+
+# The deliveries are numbered, so every window of the statement orders a pair alike.
+_TWICE_SQL = f"SELECT t.* REPLACE (t.txn_id || chr(1) || n AS txn_id) FROM ({TXN_SQL}) t, (VALUES ('1'), ('2')) d(n)"
+
+
+@register(
+    "features_redelivered",
+    f"SELECT * REPLACE (split_part(txn_id, chr(1), 1) AS txn_id) FROM ({features_sql(_TWICE_SQL)}) f",
+)
+def q_redelivered(spark, d):
+    """Every transaction delivered twice; the second delivery sees the first."""
+    t = events_txn(spark, d)
+    return report_features(compute_features(t.unionByName(t)))
+
+
 @register(
     "lru_overflow_cards",
     f"""SELECT card_id, count(DISTINCT mcc) AS distinct_mcc,
@@ -662,7 +713,7 @@ FROM t""",
 def q_out_of_order(spark, d):
     """F27 in arrival order: orders arrive by order key, not by date."""
     t = orders_txn(spark, d).withColumn("arrival", F.col("txn_id").cast("long"))
-    return out_of_order_flags(t, "arrival", bucket_ms=1 << 62)
+    return out_of_order_flags(t, "arrival", bucket_ms=1 << 10)
 
 
 @register(
@@ -689,12 +740,17 @@ def q_customer_keys(spark, d):
 
 @register(
     "coerce_events",
-    f"SELECT 'good' AS part, count(*) AS n FROM ({TXN_SQL}) t UNION ALL SELECT 'quarantine' AS part, 0 AS n",
+    f"""SELECT CASE WHEN merchant_id LIKE '%7' OR label = 1 THEN 'quarantine' ELSE 'good' END AS part, count(*) AS n
+FROM ({TXN_SQL}) t GROUP BY part""",
 )
 def q_coerce(spark, d):
-    """P5: text-typed rows coerced to the canonical schema; bad rows quarantined with a reason."""
+    """P5: text-typed rows coerced to the canonical schema; bad rows quarantined with a reason.
+
+    Amounts of positives are made unreadable and times of merchants ending in 7 are blanked."""
     t = events_txn(spark, d)
     raw = t.select(*[F.col(c).cast("string").alias(c) for c in t.columns])
+    raw = raw.withColumn("amount", F.when(F.col("label") == "1", "n/a").otherwise(F.col("amount")))
+    raw = raw.withColumn("ts_ms", F.when(F.col("merchant_id").endswith("7"), "").otherwise(F.col("ts_ms")))
     good, bad = coerce_transactions(raw)
     g = good.agg(F.count(F.lit(1)).alias("n")).select(F.lit("good").alias("part"), "n")
     b = bad.agg(F.count(F.lit(1)).alias("n")).select(F.lit("quarantine").alias("part"), "n")
@@ -730,8 +786,9 @@ def q_train_evaluate(spark, d):
     importances. Non-SQL (model fitting), so no oracle statement.
     """
     from cardwise.plans.train_evaluate import fit_and_evaluate
+    from cardwise.session import write_once
 
-    _, rep = fit_and_evaluate(spark, compute_features(events_txn(spark, d)), max_iter=20)
+    _, rep = fit_and_evaluate(spark, write_once(compute_features(events_txn(spark, d)), "features"))
     rows = [(f"test_{k}", v) for k, v in rep["test"].items()]
     rows.append(("chosen_threshold", rep["chosen_threshold"]))
     rows.append(("validation_cost_at_chosen_threshold", rep["validation_cost_at_chosen_threshold"]))
