@@ -3,7 +3,8 @@
 Learned from confirmed toxic texts (P) and unlabelled texts (U: any text of the training
 folds); that a text is labelled clean is used for nothing but the class prior ``pi``, the
 toxic share of the labelled training rows. A linear classifier on the hashed set of a text's
-words and of their first letters (``STEMS`` bytes; inflected words share them) minimises the
+words and of their first letters (``STEMS`` bytes; inflected words share them, and whether
+several distinct words of a text do counts besides) minimises the
 class-prior-corrected risk with the logistic loss l:
 
     pi * mean_P l(z) + max(0, mean_U l(-z) - pi * mean_P l(-z))
@@ -40,6 +41,8 @@ MEMBERS = 4
 FIT_POSITIVE, FIT_UNLABELLED = 8_000, 32_000
 STEPS, RATE, SPARSE, TELLING = 200, 0.1, 1e-5, 5.0
 STEMS = (4, 5)
+#: Flips a bucket to the one that says that several distinct words of a text fell into it.
+SEVERAL = 0x5A5A5
 #: ASCII bytes that are no letters part words; upper case counts as lower case.
 TABLE = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256)).lower()
 
@@ -55,24 +58,28 @@ def hashed(words: list[bytes]) -> np.ndarray:
 
 
 def features(texts: list[str | None], wanted: np.ndarray | None = None) -> list[np.ndarray]:
-    """The sorted set of buckets of each text; of ``wanted`` (a mask) alone, if given."""
-    found: list[list[np.ndarray]] = [[] for _ in texts]
+    """The sorted set of buckets of each text; of ``wanted`` (a mask) alone, if given. A bucket
+    that several distinct words of a text share brings a further one (``SEVERAL``)."""
+    telling = None if wanted is None else wanted | wanted[np.arange(BUCKETS) ^ SEVERAL]
+    parts = [np.zeros((0, 2 + len(STEMS)), np.int64)]
     for index, words in word_batches(texts, clean=clean):
         codes, vocabulary = distinct(words)
         table = hashed(vocabulary)
-        if wanted is not None:
-            some = wanted[table].any(1)[codes]
+        if telling is not None:
+            some = telling[table].any(1)[codes]
             index, codes = index[some], codes[some]
         pairs = unique(index * len(vocabulary) + codes)
-        pairs = unique(((pairs // len(vocabulary))[:, None] * BUCKETS + table[pairs % len(vocabulary)]).ravel())
-        if wanted is not None:
-            pairs = pairs[wanted[pairs % BUCKETS]]
-        if len(pairs):
-            at = pairs // BUCKETS
-            cuts = np.flatnonzero(np.diff(at)) + 1
-            for i, part in zip(at[np.concatenate([[0], cuts])], np.split(pairs % BUCKETS, cuts), strict=True):
-                found[i].append(part)
-    return [x[0] if len(x) == 1 else unique(np.concatenate(x)) if x else np.zeros(0, np.int64) for x in found]
+        parts.append(np.column_stack([pairs // len(vocabulary), table[pairs % len(vocabulary)]]))
+    rows = np.concatenate(parts)
+    if len(parts) > 2:  # a text cut into parts may bring a word more than once
+        rows = rows[np.unique(rows[:, 0] * BUCKETS + rows[:, 1], return_index=True)[1]]
+    pairs = np.sort((rows[:, :1] * BUCKETS + rows[:, 1:]).ravel())
+    again = unique(pairs[1:][pairs[1:] == pairs[:-1]])
+    pairs = unique(np.concatenate([pairs, again ^ SEVERAL]))
+    if wanted is not None:
+        pairs = pairs[wanted[pairs % BUCKETS]]
+    ends = np.searchsorted(pairs, np.arange(1, len(texts)) * BUCKETS)
+    return np.split(pairs % BUCKETS, ends) if len(texts) else []
 
 
 def logits(sets: list[np.ndarray], weights: np.ndarray, bias: float) -> np.ndarray:

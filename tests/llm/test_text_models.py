@@ -36,7 +36,7 @@ def test_language_id_edges(spark):
     assert set(language_id.language_id(edge(spark).drop("lang").selectExpr("*", "cast(null as string) lang")).toPandas().lang_pred) == {"und"}
 
 
-@pytest.mark.xfail(reason="known shortfall: at sf0.1 3.8 % of clean held-out texts are called toxic; see README")
+@pytest.mark.xfail(reason="known shortfall: at sf0.1 2.3 % of clean held-out texts are called toxic; see README")
 def test_toxicity_held_out(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     got = toxicity.toxicity(docs, labels).toPandas().merge(labels.toPandas(), on="doc_id")
