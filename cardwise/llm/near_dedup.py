@@ -1,14 +1,15 @@
 """MinHash near-dedup: fast similarity sketches, banding, exact verification.
 
 Texts whose shingle sets are equal form a *class*; a class is compared once. Two classes are
-candidates if one of ``BANDS`` bands of their sketches agrees (``minhash``): a pair at the
-threshold of 0.85 is missed with a probability of (1 - 0.85^5)^32, about 7e-9. Candidates are
-confirmed on the full shingle sets. Groups are handled without emitting their pairs:
+candidates if one of ``BANDS`` bands of their sketches agrees (``minhash``): a pair at a
+threshold of 0.85 is missed with a probability of (1 - 0.85^5)^32, about 7e-9, one at 0.8 with
+about 3e-6. Candidates are confirmed on the full shingle sets, against ``percent`` of their
+union. Groups are handled without emitting their pairs:
 
 * *Bounds first.* A shingle that no other candidate class has cannot be in an intersection.
   With n shingles, s of them shared, two classes can only be linked if
-  ``185 * min(s, s') >= 85 * (n + n')``. Classes that cannot reach this with anybody leave, and
-  the rest is counted again. The filter is exact.
+  ``(100 + percent) * min(s, s') >= percent * (n + n')``. Classes that cannot reach this with
+  anybody leave, and the rest is counted again. The filter is exact.
 * *Star.* In each bucket all members are verified against the smallest one, which joins a
   group of true near copies with as many pairs as it has members.
 * *Rest.* Only members of one bucket that are not yet in the same component meet each other,
@@ -40,7 +41,7 @@ from cardwise.llm import minhash
 from cardwise.llm.components import components
 from cardwise.llm.helpers import LOWER, UPPER, WORD, text_or_empty, written
 
-#: Linked if PERCENT of the union is in the intersection.
+#: Linked if so many percent of the union are in the intersection: op2's own threshold.
 PERCENT = 85
 BROADCAST_ROWS = 1_000_000
 #: Entries of a class's profile: how many of its shingles have each hash remainder.
@@ -48,15 +49,15 @@ PROFILE = 256
 CLASS = ("high", "low", "n")
 
 
-def pass_bound(n_a: Column, s_a: Column, n_b: Column, s_b: Column) -> Column:
-    return F.least(s_a, s_b) * (100 + PERCENT) >= PERCENT * (n_a + n_b)
+def pass_bound(n_a: Column, s_a: Column, n_b: Column, s_b: Column, percent: int) -> Column:
+    return F.least(s_a, s_b) * (100 + percent) >= percent * (n_a + n_b)
 
 
-def meet_bound(n_a: Column, profile_a: Column, n_b: Column, profile_b: Column) -> Column:
+def meet_bound(n_a: Column, profile_a: Column, n_b: Column, profile_b: Column, percent: int) -> Column:
     """Whether two sets can be linked going by their profiles: no more than the smaller count of
     each remainder can be in the intersection."""
     most = F.aggregate(F.zip_with(profile_a, profile_b, lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x)
-    return most * (100 + PERCENT) >= PERCENT * (n_a + n_b)
+    return most * (100 + percent) >= percent * (n_a + n_b)
 
 
 def sketch_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -114,26 +115,26 @@ def shared_counts(sets: DataFrame) -> DataFrame:
     return sets.select("node", F.size("shingles").cast("long").alias("n")).join(alone, "node", "left").select("node", "n", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("s"))
 
 
-def with_possible_partner(members: DataFrame) -> DataFrame:
+def with_possible_partner(members: DataFrame, percent: int) -> DataFrame:
     """Nodes that pass the bound with some other member of a bucket (key, node, n, s): of the
     others, the most favourable n and s are taken, so none is lost."""
     best = members.groupBy("key").agg(
         F.count("*").alias("size"), F.min("n").alias("least_n"), F.max("s").alias("most_s")
     )
-    fits = members.join(best, "key").where((F.col("size") > 1) & pass_bound(F.col("n"), F.col("s"), F.col("least_n"), F.col("most_s")))
+    fits = members.join(best, "key").where((F.col("size") > 1) & pass_bound(F.col("n"), F.col("s"), F.col("least_n"), F.col("most_s"), percent))
     return fits.select("node").distinct()
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) that are linked, verified on the full sets."""
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("of_a"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("of_b"))
     both = pairs.join(left, "a").join(right, "b")
     inside = F.size(F.array_intersect("of_a", "of_b"))
-    return both.where(inside * (100 + PERCENT) >= PERCENT * (F.size("of_a") + F.size("of_b"))).select("a", "b")
+    return both.where(inside * (100 + percent) >= percent * (F.size("of_a") + F.size("of_b"))).select("a", "b")
 
 
-def linked_classes(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def linked_classes(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, percent: int) -> DataFrame:
     """(node, label): component of every class that is linked with another."""
     bands = classes.where("n > 0").select("node", F.posexplode("bands").alias("band", "key"))
     several = bands.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where(F.col("first") != F.col("last"))
@@ -141,17 +142,17 @@ def linked_classes(docs: DataFrame, classes: DataFrame, id_col: str, text_col: s
     candidates = members.select("node").distinct().join(classes, "node").select("node", F.col("best.doc_id").alias("doc_id"), F.col("best.text_hash").alias("text_hash"))
     sets = sets_of(docs, candidates, id_col, text_col)
 
-    counts = written(shared_counts(sets).where(F.col("s") * 100 >= F.col("n") * PERCENT), "counts")
+    counts = written(shared_counts(sets).where(F.col("s") * 100 >= F.col("n") * percent), "counts")
     sets = written(sets.join(counts.select("node"), "node"), "sets")
-    counts = written(shared_counts(sets).where(F.col("s") * 100 >= F.col("n") * PERCENT), "counts")
+    counts = written(shared_counts(sets).where(F.col("s") * 100 >= F.col("n") * percent), "counts")
     members = written(members.join(counts, "node"), "members")
-    members = written(members.join(with_possible_partner(members), "node"), "members")
+    members = written(members.join(with_possible_partner(members, percent), "node"), "members")
 
     stars = members.join(members.groupBy("key").agg(F.min(F.struct("node", "n", "s")).alias("star")), "key").where(
-        (F.col("node") != F.col("star.node")) & pass_bound(F.col("n"), F.col("s"), F.col("star.n"), F.col("star.s"))
+        (F.col("node") != F.col("star.node")) & pass_bound(F.col("n"), F.col("s"), F.col("star.n"), F.col("star.s"), percent)
     )
     pairs = stars.select(F.col("star.node").alias("a"), F.col("node").alias("b")).distinct()
-    star_links = written(confirmed(pairs, sets), "links")
+    star_links = written(confirmed(pairs, sets, percent), "links")
     labels = components(star_links)
 
     placed = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -161,20 +162,20 @@ def linked_classes(docs: DataFrame, classes: DataFrame, id_col: str, text_col: s
     before = lambda name: F.slice(F.col(f"{name}_bands"), F.lit(1), F.col("band"))
     meet = side("a").join(side("b").drop("band"), "key").where(
         (F.col("a_node") < F.col("b_node")) & (F.col("a_label") != F.col("b_label"))
-        & pass_bound(F.col("a_n"), F.col("a_s"), F.col("b_n"), F.col("b_s"))
+        & pass_bound(F.col("a_n"), F.col("a_s"), F.col("b_n"), F.col("b_s"), percent)
         & ~F.exists(F.zip_with(before("a"), before("b"), lambda x, y: x == y), lambda same: same)
-        & meet_bound(F.col("a_n"), F.col("a_profile"), F.col("b_n"), F.col("b_profile"))
+        & meet_bound(F.col("a_n"), F.col("a_profile"), F.col("b_n"), F.col("b_profile"), percent)
     )
-    rest_links = written(confirmed(meet.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")), sets), "links")
+    rest_links = written(confirmed(meet.select(F.col("a_node").alias("a"), F.col("b_node").alias("b")), sets, percent), "links")
     return components(star_links.unionByName(rest_links))
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, kept, text_hash."""
     rows = sketch_rows(docs, id_col, text_col)
     best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("best")
     classes = written(rows.groupBy(*CLASS).agg(F.min("pos").alias("node"), best, F.first("bands").alias("bands")), "classes")
-    labels = linked_classes(docs, classes, id_col, text_col)
+    labels = linked_classes(docs, classes, id_col, text_col, percent)
     smallest = labels.join(classes, "node").groupBy("label").agg(F.min(F.struct("best.no_id", "best.doc_id")).alias("least"))
     placed = labels.join(smallest, "label").select("node", F.col("least.doc_id").alias("component_id"))
     answers = classes.join(placed, "node", "left").select(*CLASS, F.coalesce("component_id", "best.doc_id").alias("component_id"))

@@ -19,6 +19,8 @@ from cardwise.llm.helpers import fold, normalised_text, text_or_empty, written
 
 #: Columns added for a while; no table of ours has such names.
 FOUND, KEY = "__corpus_found", "__corpus_key"
+#: Near copies share so many percent of their shingles or more.
+NEAR_PERCENT = 80
 ORACLE_SQL = None  # two stages are trained models
 
 
@@ -57,7 +59,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies."""
-    kept = near_dedup.near_dedup(docs).where("kept")
+    kept = near_dedup.near_dedup(docs, percent=NEAR_PERCENT).where("kept")
     return keep_rows(docs, row_key("doc_id", F.xxhash64(text_or_empty(F.col("text")))), kept, row_key("doc_id", F.col("text_hash")))
 
 

@@ -98,6 +98,15 @@ def test_near_dedup_equals_brute_force(spark):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in got)
 
 
+def test_near_dedup_takes_a_threshold(spark):
+    words = ["u%d" % i for i in range(204)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words[:184], *("v%d" % i for i in range(20))]))]  # 180 of 220 shingles
+    sets = [shingle_set(t) for _, t in rows]
+    assert 0.80 <= len(sets[0] & sets[1]) / len(sets[0] | sets[1]) < 0.85
+    for percent, kept in ((85, {1, 2}), (80, {1})):
+        assert {r["doc_id"] for r in near_dedup(frame(spark, rows), percent=percent).collect() if r["kept"]} == kept
+
+
 def test_sketches_fill_and_estimate():
     rng = np.random.default_rng(0)
     base = rng.integers(0, 2**63, 2000).astype(np.uint64)

@@ -135,6 +135,13 @@ def test_pipeline_stages_on_planted_rows(spark, tmp_path):
         assert 900_001 in ids and len(long_text) > 0
 
 
+def test_pipeline_drops_near_copies_from_80_percent(spark):
+    words = ["u%d" % i for i in range(204)]
+    texts = [words, [*words[:184], *("v%d" % i for i in range(20))], ["w%d" % i for i in range(50)]]  # 180 of 220 shingles
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()} == {0, 2}
+
+
 def test_pipeline_takes_empty_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
