@@ -23,8 +23,9 @@ does not fill a task. Shingles are compared as 64-bit hashes.
 
 Defined results: null and empty texts, and texts without words, have no shingles, are linked
 with nothing and stay; rows that repeat an id and text share their component; among null ids
-the component is the smallest non-null id reached, or null (such a row counts as kept); an
-empty table gives no rows; other columns are ignored.
+the component is the smallest non-null id reached, or null (such a row counts as ``kept``); an
+empty table gives no rows; other columns are ignored. ``kept`` compares ids alone; ``stays`` is
+true for exactly one row of every component, the smallest by (id is null, id, scan order).
 """
 
 from __future__ import annotations
@@ -171,19 +172,21 @@ def linked_classes(docs: DataFrame, classes: DataFrame, id_col: str, text_col: s
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept, text_hash."""
+    """One row per input row: doc_id, n_shingles, component_id, kept, stays, text_hash."""
     rows = sketch_rows(docs, id_col, text_col)
-    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")).alias("best")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "pos", "text_hash")).alias("best")
     classes = written(rows.groupBy(*CLASS).agg(F.min("pos").alias("node"), best, F.first("bands").alias("bands")), "classes")
     labels = linked_classes(docs, classes, id_col, text_col, percent)
-    smallest = labels.join(classes, "node").groupBy("label").agg(F.min(F.struct("best.no_id", "best.doc_id")).alias("least"))
-    placed = labels.join(smallest, "label").select("node", F.col("least.doc_id").alias("component_id"))
-    answers = classes.join(placed, "node", "left").select(*CLASS, F.coalesce("component_id", "best.doc_id").alias("component_id"))
+    smallest = labels.join(classes, "node").groupBy("label").agg(F.min(F.struct("best.no_id", "best.doc_id", "best.pos")).alias("least"))
+    placed = labels.join(smallest, "label").select("node", "least")
+    first = F.coalesce("least", F.struct("best.no_id", "best.doc_id", "best.pos"))
+    answers = classes.join(placed, "node", "left").select(*CLASS, first["doc_id"].alias("component_id"), first["pos"].alias("first_pos"))
     pairs = rows.select("run", *CLASS).where("n > 0").distinct().join(answers, list(CLASS))
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return rows.join(pairs, ["run", *CLASS], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), "text_hash"
-    )
+        "doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"),
+        ((F.col("n") == 0) | (F.col("pos") == F.col("first_pos"))).alias("stays"), "text_hash",
+    )
 
 
 ORACLE = rf"""

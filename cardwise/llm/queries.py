@@ -23,7 +23,7 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_dedup.near_dedup(table(spark, sf_dir, "documents"), percent=near_dedup.PERCENT).drop("text_hash")
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents"), percent=near_dedup.PERCENT).drop("stays", "text_hash")
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,7 +59,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near copies."""
-    kept = near_dedup.near_dedup(docs, percent=NEAR_PERCENT).where("kept")
+    kept = near_dedup.near_dedup(docs, percent=NEAR_PERCENT).where("stays")
     return keep_rows(docs, row_key("doc_id", F.xxhash64(text_or_empty(F.col("text")))), kept, row_key("doc_id", F.col("text_hash")))
 
 

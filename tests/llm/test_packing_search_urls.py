@@ -142,6 +142,14 @@ def test_pipeline_drops_near_copies_from_80_percent(spark):
     assert {r["doc_id"] for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()} == {0, 2}
 
 
+def test_pipeline_keeps_one_near_copy_without_id(spark):
+    copies = [" ".join(["u%d" % i for i in range(100)] + [end] * 2) for end in ("x", "y", "z")]
+    rows = [*((None, t) for t in copies), (None, "alone " * 9), (None, "one two three"), (5, "a b c d e f g"), (5, "a b c d e f g")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = [r["text"] for r in corpus_pipeline.drop_near_copies(spark, docs, "").collect()]
+    assert len(set(kept) & set(copies)) == 1 and len(kept) == 4 and len(set(kept)) == 4
+
+
 def test_pipeline_takes_empty_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(0)
     for _, stage in corpus_pipeline.STAGES:
