@@ -1,8 +1,9 @@
 """Toxicity scores by non-negative positive-unlabelled learning.
 
 Learned from confirmed toxic texts (P) and unlabelled texts (U: any text of the training
-folds); that a text is labelled clean is used for nothing but the class prior ``pi``, the
-toxic share of the labelled training rows. A linear classifier on the hashed set of a text's
+folds); that a text is labelled clean is used for nothing but the default of the class prior
+``pi``, the toxic share of the labelled training rows. ``pi`` can be given; if it is not and no
+text is labelled clean, each member estimates it from P and U (``class_prior``). A linear classifier on the hashed set of a text's
 words and of their first letters (``STEMS`` bytes; inflected words share them, and whether
 several distinct words of a text do counts besides) minimises the
 class-prior-corrected risk with the logistic loss l:
@@ -19,7 +20,7 @@ hash of the id decides which), and weights have ``BUCKETS`` entries, which bound
 training task and the driver hold and what is broadcast. Every whole text is scored.
 
 Defined results: null and empty texts have no words and get the classifier's base score;
-without toxic or without unlabelled training texts every score is ``pi`` or, without labels, 0;
+without toxic training texts every score is ``pi`` if given, else 0;
 null ids take no labels; repeated rows get a row each; an empty table gives no rows.
 """
 
@@ -40,6 +41,8 @@ BUCKETS = 1 << 20
 MEMBERS = 4
 FIT_POSITIVE, FIT_UNLABELLED = 8_000, 32_000
 STEPS, RATE, SPARSE, TELLING = 200, 0.1, 1e-5, 5.0
+#: Standard errors by which shares may be off in the estimate of the class prior.
+MARGIN = 3.0
 STEMS = (4, 5)
 #: Flips a bucket to the one that says that several distinct words of a text fell into it.
 SEVERAL = 0x5A5A5
@@ -92,6 +95,21 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
 
+def counts(sets: list[np.ndarray]) -> np.ndarray:
+    """How many of the texts have each bucket."""
+    return np.bincount(np.concatenate([*sets, np.zeros(0, np.int64)]).astype(np.int64), minlength=BUCKETS)
+
+
+def class_prior(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> float:
+    """An estimate of the toxic share of U. A bucket that a share p of P and a share u of U have
+    bounds it by u / p, and one that no clean text has by just that; the smallest such bound,
+    with ``MARGIN`` standard errors to its disadvantage, is taken (1 if there is none)."""
+    p, u = counts(positive) / len(positive), counts(unlabelled) / len(unlabelled)
+    p = p - MARGIN * np.sqrt(p * (1 - p) / len(positive)) - 1 / len(positive)
+    u = u + MARGIN * np.sqrt(u * (1 - u) / len(unlabelled)) + 1 / len(unlabelled)
+    return float(min(1.0, (u[p > 0] / p[p > 0]).min(initial=1.0)))
+
+
 def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> tuple[np.ndarray, np.ndarray, float]:
     """(buckets, weights, bias) of one classifier."""
     sets = [*positive, *unlabelled]
@@ -130,7 +148,9 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float)
     return seen[some], w[some], bias
 
 
-def learn(docs: DataFrame, labels: DataFrame, train: Column, id_col: str, text_col: str, toxic_col: str) -> tuple[np.ndarray, float]:
+def learn(
+    docs: DataFrame, labels: DataFrame, train: Column, id_col: str, text_col: str, toxic_col: str, prior: float | None = None,
+) -> tuple[np.ndarray, float]:
     """(weights, bias) averaged over the members."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), train.alias("train")).where("train").drop("train")
     marks = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(toxic_col).cast("int").alias("toxic")).where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
@@ -138,9 +158,11 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, id_col: str, text_c
     ids = rows.select("doc_id").where(F.col("doc_id").isNotNull()).join(marks, "doc_id", "left")
     n, n_toxic, n_clean = ids.agg(F.count("*"), F.sum(F.expr("int(toxic = 1)")), F.sum(F.expr("int(toxic = 0)"))).first()
     n_toxic, n_clean = n_toxic or 0, n_clean or 0
-    prior = n_toxic / max(1, n_toxic + n_clean)
-    if not n_toxic or not n_clean:
-        return np.zeros(BUCKETS, np.float32), 40.0 * ((prior > 0) - (prior == 0))
+    if not n_toxic:
+        return np.zeros(BUCKETS, np.float32), float(np.log(prior / (1 - prior))) if prior else -40.0
+    if prior is None and n_clean:
+        prior = n_toxic / (n_toxic + n_clean)
+    least = n_toxic / n  # of the rows of U so many are confirmed
     draw = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1_000_000))
     part = F.pmod(F.xxhash64(F.lit(4), "doc_id"), F.lit(MEMBERS)).cast("int")
     toxic = marks.where("toxic = 1").where(draw < int(min(1.0, FIT_POSITIVE / n_toxic) * 1_000_000)).select("doc_id")
@@ -157,9 +179,11 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, id_col: str, text_c
         pdf = pdf.assign(key=[zlib.crc32(np.asarray(s, np.int64).tobytes()) for s in pdf["words"]]).sort_values(["confirmed", "key"], kind="stable")
         sets = [np.asarray(s, np.int64) for s in pdf["words"]]
         n_u = int((~pdf["confirmed"]).sum())
-        if not n_u or n_u == len(sets):
-            return pd.DataFrame({"bucket": [-1], "weight": [float(np.log(prior / (1 - prior)))]})
-        buckets, weights, bias = fit(sets[n_u:], sets[:n_u], prior)
+        whole = 0 < n_u < len(sets)
+        share = prior or min(0.999, max(least, class_prior(sets[n_u:], sets[:n_u]) if whole else 0.0))
+        if not whole:
+            return pd.DataFrame({"bucket": [-1], "weight": [float(np.log(share / (1 - share)))]})
+        buckets, weights, bias = fit(sets[n_u:], sets[:n_u], share)
         return pd.DataFrame({"bucket": np.append(buckets, -1), "weight": np.append(weights, bias)})
 
     sets = positive.unionByName(unlabelled).mapInPandas(extract, "members array<int>, confirmed boolean, words array<int>")
@@ -174,9 +198,11 @@ def learn(docs: DataFrame, labels: DataFrame, train: Column, id_col: str, text_c
     return weights, bias
 
 
-def scorer(docs: DataFrame, labels: DataFrame, train: Column, id_col: str, text_col: str, toxic_col: str) -> Callable[[Column], Column]:
+def scorer(
+    docs: DataFrame, labels: DataFrame, train: Column, id_col: str, text_col: str, toxic_col: str, prior: float | None = None,
+) -> Callable[[Column], Column]:
     """Learns the classifier; a function from a text column to the score."""
-    shared = docs.sparkSession.sparkContext.broadcast(learn(docs, labels, train, id_col, text_col, toxic_col))
+    shared = docs.sparkSession.sparkContext.broadcast(learn(docs, labels, train, id_col, text_col, toxic_col, prior))
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
@@ -188,10 +214,11 @@ def scorer(docs: DataFrame, labels: DataFrame, train: Column, id_col: str, text_
 
 def toxicity(
     docs: DataFrame, labels: DataFrame, folds: int = 5, held_out_fold: int = 0, id_col: str = "doc_id", text_col: str = "text", toxic_col: str = "toxic",
+    prior: float | None = None,
 ) -> DataFrame:
     """One row per input row: doc_id, held_out, score, predicted. Labels of the held-out fold
     are not used."""
     held_out = fold(F.col(id_col), folds) == held_out_fold
-    score = scorer(docs, labels, ~held_out, id_col, text_col, toxic_col)
+    score = scorer(docs, labels, ~held_out, id_col, text_col, toxic_col, prior)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), held_out.alias("held_out"), score(F.col(text_col).cast("string")).alias("score"))
     return rows.select("*", (F.col("score") >= 0.5).cast("int").alias("predicted"))

@@ -55,6 +55,18 @@ def test_toxicity_edges(spark):
     assert toxicity.toxicity(edge(spark).limit(0), labels).count() == 0
 
 
+@pytest.mark.parametrize("prior", [None, 0.25])
+def test_toxicity_learns_from_confirmed_toxic_rows_alone(spark, prior):
+    rng = np.random.default_rng(9)
+    words = lambda kind, n: [f"{kind}{i}" for i in rng.integers(0, n, 12)]
+    toxic = [i % 4 == 0 for i in range(800)]
+    texts = [" ".join([*(f"q{chr(97 + int(j) % 26)}x" for j in rng.integers(0, 26, 12)), *(["vile", "awful"] if bad else ["calm"]), *words("n", 50)]) for bad in toxic]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1) for i in range(0, 800, 8)], "doc_id long, toxic int")  # half of the toxic ones
+    got = toxicity.toxicity(docs, labels, prior=prior).toPandas().sort_values("doc_id")
+    assert got.held_out.any() and (got.predicted == np.array(toxic)).mean() > 0.95
+
+
 @needs_pieces
 def test_token_counts_equal_the_library(spark):
     from tokenizers import Regex, Tokenizer, models, pre_tokenizers
