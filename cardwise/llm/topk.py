@@ -13,7 +13,9 @@ each: with the depth's value ``f``, an entry counts as ``max(x, f)`` (upper) or
 ``x >= f`` and the list's end elsewhere (lower).
 
 Numbers are exact: single or double precision is used only where every partial sum fits its
-mantissa, else 64-bit integers. Components are ``floor(64 * x)``, held between -2^28 and 2^28.
+mantissa, else 64-bit integers, else (partial sums of 2^63 or more) Python's integers.
+Components are ``floor(64 * x)``. A component of 2^63 or more after scaling, or a score among
+a block's best that a 64-bit column cannot hold, ends the query with an error.
 
 Defined results: vectors that are null or hold a null or non-finite component, and rows
 without id, take no part; shorter vectors count as filled with zeros; a query does not meet
@@ -31,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-K, SCALE, LIMIT = 20, 64, 1 << 28
+K, SCALE = 20, 64
 ROWS, ASKED, TOGETHER = 8192, 4096, 64
 DEPTHS = (0.25, 0.5)
 SCHEMA = "query_id long, vec_id long, score long"
@@ -40,8 +42,10 @@ SCHEMA = "query_id long, vec_id long, score long"
 def quantised(vector: Column) -> Column:
     """``floor(SCALE * x)`` of every component; null for a vector that takes no part."""
     whole = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    scaled = F.transform(vector, lambda x: F.floor(F.greatest(F.lit(-LIMIT), F.least(F.lit(LIMIT), x.cast("double") * SCALE))).cast("int"))
-    return F.when(whole, scaled)
+    scaled = F.transform(vector, lambda x: x.cast("double") * SCALE)
+    too_large = F.raise_error(F.lit("a vector's component is too large for 64 bits"))
+    fits = F.forall(scaled, lambda y: F.abs(y) < 2.0**63)
+    return F.when(whole, F.when(fits, F.transform(scaled, lambda y: F.floor(y).cast("long"))).otherwise(too_large))
 
 
 def matrix(vectors: pd.Series, dims: int) -> np.ndarray:
@@ -56,7 +60,7 @@ def top_k(queries: np.ndarray, block: np.ndarray, own: np.ndarray, k: int) -> It
     ``own``: (queries x rows) mask of rows that a query does not meet."""
     n, dims = block.shape
     bound = int(np.abs(queries).max(initial=0)) * int(np.abs(block).max(initial=0)) * max(dims, 1)
-    kind = np.float32 if bound < 1 << 24 else np.float64 if bound < 1 << 53 else np.int64
+    kind = np.float32 if bound < 1 << 24 else np.float64 if bound < 1 << 53 else np.int64 if bound < 1 << 63 else object
     lists = np.sort(block, axis=0)
     for at in range(0, len(queries), TOGETHER):
         ask, mine = queries[at : at + TOGETHER], own[at : at + TOGETHER]

@@ -70,6 +70,28 @@ def test_top_k_with_large_numbers():
             assert rows.tolist() == order and scores.tolist() == [exact[i] for i in order]
 
 
+def test_top_k_with_components_past_a_clamp(spark):
+    rows = [(0, [1.0, -0.5]), (1, [5e6, 0.0]), (2, [6e6, 0.0]), (3, [7e6, 1e6]), (4, [2.0**40, -3.0])]
+    schema = "vec_id long, embedding array<double>"
+    got = topk.exact_top_k(spark.createDataFrame(rows, schema), F.col("vec_id") == 0, k=4).collect()
+    whole = {i: [int(np.floor(x * 64)) for x in v] for i, v in rows}
+    want = sorted((-sum(a * b for a, b in zip(whole[0], v, strict=True)), i) for i, v in whole.items() if i)
+    assert [(r["rank"], r["vec_id"], r["score"]) for r in sorted(got, key=lambda r: r["rank"])] == [(n, i, -s) for n, (s, i) in enumerate(want, 1)]
+    for huge in (1e300, 2.0**50):  # a component, or a score alone, that 64 bits cannot hold
+        with pytest.raises(Exception, match="too large"):
+            topk.exact_top_k(spark.createDataFrame([(0, [huge]), (1, [huge])], schema), F.col("vec_id") == 0).collect()
+
+
+def test_top_k_past_64_bits():
+    rng = np.random.default_rng(8)
+    block, ask = -rng.integers(1 << 35, 1 << 40, (200, 6)), rng.integers(1 << 35, 1 << 40, (3, 6))
+    block[::20] = rng.integers(-5, 6, (10, 6))  # the best scores fit 64 bits, the others do not
+    for (rows, scores), q in zip(topk.top_k(ask, block, np.zeros((3, 200), bool), 7), ask, strict=True):
+        exact = block.astype(object) @ q.astype(object)
+        order = sorted(range(200), key=lambda i: (-exact[i], i))[:7]
+        assert rows.tolist() == order and scores.tolist() == [exact[i] for i in order]
+
+
 def test_url_rules_and_edges(spark):
     urls = ["http://A.Example.com/en/1?x", "https://www.example.com/en/2#t", "http://x.net/es/3", "http://x.net", "http://com/a", "notaurl", None, "http://", "ftp://b.org/a/b/7/", "http://x.net/fr/é?q://z", "http://evilcom/a"]
     got = {r["page_id"]: r for r in url_filter.url_filter(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()}
