@@ -1,14 +1,14 @@
-"""Exact top-k by inner product with no-random-access aggregation.
+"""Exact top-k by inner product: full scoring in blocks, after bounds from partly read lists.
 
 Candidates are dealt into blocks of about ``ROWS`` rows and queries into blocks of about
 ``ASKED``; every pair of blocks is one group with a key of its own, so the work spreads evenly
 and each task holds two bounded blocks. In a block every component is a list sorted by value,
 read in step from its end: from the top for a positive query component, from the bottom for a
-negative one. After reading to a depth, a candidate's score lies between two bounds: what has
+negative one. After reading to one of two fixed ``DEPTHS``, a candidate's score lies between two bounds: what has
 been read, plus for each list not yet met the list's far end (lower) or the value just read
 (upper). Candidates whose upper bound is under the k-th largest lower bound cannot qualify and
-are dropped; reading stops when none of those left can, and the scores of the rest are
-resolved by reading their lists to the end. Bounds of many queries are two matrix products
+are dropped, if that holds for all of ``TOGETHER`` queries; the rest are scored by their whole
+vectors. On the given vectors hardly any candidate is dropped (README). Bounds of many queries are two matrix products
 each: with the depth's value ``f``, an entry counts as ``max(x, f)`` (upper) or as ``x`` where
 ``x >= f`` and the list's end elsewhere (lower).
 
