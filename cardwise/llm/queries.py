@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwise.llm import exact_dedup, language_id, near_dedup, packing, sentencepiece_codec, sharding, token_counts, topk, toxicity, url_filter
+from cardwise.llm import collocations, exact_dedup, language_id, near_dedup, packing, sentencepiece_codec, sharding, token_counts, topk, toxicity, url_filter
 
 SHARDS = 40
 EVERY_QUERY = 20
@@ -61,6 +61,10 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_plan(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = (
     op1_exact_dedup,
     op2_minhash_near_dedup,
@@ -72,6 +76,7 @@ QUERIES = (
     op8_best_fit_packing,
     op9_language_id,
     op10_sharding,
+    op11_collocations,
 )
 
 
@@ -80,4 +85,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.ORACLE, "op2_minhash_near_dedup": near_dedup.ORACLE, "op4_url_filter": url_filter.oracle(), "op5_exact_topk": topk.oracle(EVERY_QUERY), "op10_sharding": sharding.oracle(SHARDS)}
+    return {"op1_exact_dedup": exact_dedup.ORACLE, "op2_minhash_near_dedup": near_dedup.ORACLE, "op4_url_filter": url_filter.oracle(), "op5_exact_topk": topk.oracle(EVERY_QUERY), "op10_sharding": sharding.oracle(SHARDS), "op11_collocations": collocations.oracle()}
