@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwise.llm import collocations, conversation_repair, exact_dedup, language_id, near_dedup, packing, sentencepiece_codec, sharding, token_counts, topk, toxicity, url_filter
+from cardwise.llm import collocations, conversation_repair, exact_dedup, language_id, near_dedup, packing, sentencepiece_codec, sharding, suffix_dedup, token_counts, topk, toxicity, url_filter
 
 SHARDS = 40
 EVERY_QUERY = 20
@@ -65,6 +65,10 @@ def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.conversation_repair(table(spark, sf_dir, "conversations"), damage=True)
 
@@ -81,6 +85,7 @@ QUERIES = (
     op9_language_id,
     op10_sharding,
     op11_collocations,
+    op12_suffix_dedup,
     op13_conversation_repair,
 )
 
@@ -90,4 +95,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.ORACLE, "op2_minhash_near_dedup": near_dedup.ORACLE, "op4_url_filter": url_filter.oracle(), "op5_exact_topk": topk.oracle(EVERY_QUERY), "op10_sharding": sharding.oracle(SHARDS), "op11_collocations": collocations.oracle(), "op13_conversation_repair": conversation_repair.oracle()}
+    return {
+        "op1_exact_dedup": exact_dedup.ORACLE,
+        "op2_minhash_near_dedup": near_dedup.ORACLE,
+        "op4_url_filter": url_filter.oracle(),
+        "op5_exact_topk": topk.oracle(EVERY_QUERY),
+        "op10_sharding": sharding.oracle(SHARDS),
+        "op11_collocations": collocations.oracle(),
+        "op12_suffix_dedup": suffix_dedup.oracle(),
+        "op13_conversation_repair": conversation_repair.oracle(),
+    }
