@@ -1,12 +1,13 @@
 """Phrase collocations: mergeable Misra-Gries summaries, then an exact second pass.
 
 1. Summaries, order by order (single words, then phrases of 2, 3, ... words). A task counts the
-   hashed n-grams of its own texts and sends them to hash partitions. Each partition feeds a
-   Misra-Gries summary whose capacity exceeds its mass (the occurrences it gets) divided by the
-   threshold, so what the summary has subtracted stays below the threshold and every n-gram that
-   occurs so often survives: of each it keeps a count that is too low by at most what was
-   subtracted. Summaries take sorted arrays of counts and merge by adding, then subtracting the
-   (capacity + 1)-th largest count from all.
+   hashed n-grams of its own texts and sends them, packed, to hash partitions. Each partition
+   feeds a Misra-Gries summary whose capacity exceeds its mass (the occurrences it gets) divided
+   by the threshold, so what the summary has subtracted (``lost``) stays below the threshold and
+   every n-gram that occurs so often survives: of each it keeps a count that is too low by at most
+   that. Summaries take sorted arrays of counts and merge by adding, then subtracting the
+   (capacity + 1)-th largest count from all. Masses are known only after the shuffle, so the
+   capacity is set from the order before and ``lost`` is looked at afterwards (``survivors``).
 2. What survives marks a bit map of bounded size (``MAP_BITS``); n-grams of the next order are
    sent only if their first and last n-gram of this order are marked, as those of every frequent
    one are. A full map would let more through, never less.
@@ -25,6 +26,7 @@ rows; repeated rows count as often as they are there; other columns are ignored.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -32,15 +34,18 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cardwise.llm.grams import chunks, held
+from cardwise.llm.grams import Chunk, chunks, held
 from cardwise.llm.helpers import LOWER, UPPER, text_or_empty, written
 from cardwise.session import partitions
 
 THRESHOLD, LONGEST, TOP, COVER = 30, 4, 2000, 80
 SCALE = 2_000_000
-MAP_BITS, LEAST_BITS, BITS_EACH = 1 << 27, 1 << 16, 32
+MAP_BITS, LEAST_BITS, BITS_EACH = 1 << 27, 1 << 16, 64
 BLOCK = 16  # a block of the bit map has so many bits as a power of two
-HELD = 1 << 20
+HELD, BLOCK_GRAMS, LEAST_CAPACITY = 1 << 20, 1 << 12, 1 << 16
+#: The summaries know an n-gram by so many leading bits of its hash; where two meet, both may
+#: survive that should not, which the second pass sets right.
+GRAM_BITS = 48
 SALTS = 64
 
 
@@ -78,8 +83,29 @@ class Summary:
         return self.hashes[self.counts + self.lost >= threshold]
 
 
+def packed(hashes: np.ndarray, counts: np.ndarray, parts: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """(part, grams of six bytes, their counts) in blocks; without counts, all are 1."""
+    grams = hashes >> np.uint64(64 - GRAM_BITS)
+    dealt = (grams % np.uint64(parts)).astype(np.int64)
+    order = np.lexsort((counts > 1, dealt))
+    grams, counts, dealt = grams[order], counts[order], dealt[order]
+    kind = 2 * dealt + (counts > 1)
+    edges = np.flatnonzero(np.concatenate([[True], kind[1:] != kind[:-1], [True]])) if len(kind) else []
+    for a, b in pairwise(edges):
+        for at in range(a, b, BLOCK_GRAMS):
+            some = slice(at, min(at + BLOCK_GRAMS, b))
+            low, high = grams[some].astype(np.uint32), (grams[some] >> np.uint64(32)).astype(np.uint16)
+            yield int(dealt[at]), low.tobytes() + high.tobytes(), counts[some].tobytes() if counts[at] > 1 else b""
+
+
+def unpacked(grams: bytes, counts: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = len(grams) // 6
+    low, high = np.frombuffer(grams, np.uint32, n), np.frombuffer(grams, np.uint16, n, 4 * n)
+    return high.astype(np.uint64) << np.uint64(32) | low, np.frombuffer(counts, np.int64) if counts else np.ones(n, np.int64)
+
+
 def local_counts(rows: DataFrame, order: int, longest: int, maps: list[Broadcast], parts: int) -> DataFrame:
-    """(part, gram, n): occurrences of the order's n-grams, summed within a task."""
+    """(part, grams, counts): occurrences of the order's n-grams, summed within a task, packed."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         wanted = [m.value for m in maps]
@@ -87,7 +113,7 @@ def local_counts(rows: DataFrame, order: int, longest: int, maps: list[Broadcast
         size = 0
 
         def frame(hashes: np.ndarray, counts: np.ndarray) -> pd.DataFrame:
-            return pd.DataFrame({"part": (hashes % np.uint64(parts)).astype(np.int32), "gram": hashes.view(np.int64), "n": counts})
+            return pd.DataFrame(packed(hashes, counts, parts), columns=["part", "grams", "counts"])
 
         for chunk, _ in chunks(((x, t) for pdf in batches for x, t in zip(pdf["lang"], pdf["text"], strict=True)), longest):
             *_, (gram, mask) = chunk.grams(order, wanted)
@@ -104,30 +130,46 @@ def local_counts(rows: DataFrame, order: int, longest: int, maps: list[Broadcast
         if buffer:
             yield frame(*summed(*(np.concatenate(x) for x in zip(*buffer, strict=True))))
 
-    return rows.mapInPandas(count, "part int, gram long, n long")
+    return rows.mapInPandas(count, "part int, grams binary, counts binary")
 
 
-def survivors(counts: DataFrame, threshold: int, parts: int) -> DataFrame:
-    """(gram): every n-gram with ``threshold`` occurrences or more, and few others. ``counts`` is
-    a written table."""
-    mass = {r["part"]: r["mass"] for r in counts.groupBy("part").agg(F.sum("n").alias("mass")).collect()}  # a row a partition
+def summaries(counts: DataFrame, threshold: int, capacity: int, parts: int) -> DataFrame:
+    """(gram, lost, mass) of what survives in each hash partition; a row without a gram tells
+    what a partition has lost and its mass."""
 
     def summarise(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found: dict[int, Summary] = {}
+        found: dict[int, tuple[Summary, list[int]]] = {}
         for pdf in batches:
             for part, group in pdf.groupby("part"):
-                summary = found.setdefault(part, Summary(mass[part] // threshold + 1))
-                summary.add(group["gram"].to_numpy().view(np.uint64), group["n"].to_numpy())
-        for summary in found.values():
-            yield pd.DataFrame({"gram": summary.frequent(threshold).view(np.int64)})
-
-    return counts.repartition(parts, "part").mapInPandas(summarise, "gram long")
+                summary, mass = found.setdefault(part, (Summary(capacity), [0]))
+                grams, n = (np.concatenate(x) for x in zip(*map(unpacked, group["grams"], group["counts"]), strict=True))
+                mass[0] += int(n.sum())
+                summary.add(grams, n)
+        for summary, mass in found.values():
+            frame = pd.DataFrame({"gram": summary.frequent(threshold).view(np.int64), "lost": None, "mass": None})
+            yield pd.concat([frame, pd.DataFrame({"gram": [None], "lost": [summary.lost], "mass": mass})]).astype("Int64")
+
+    return counts.repartition(parts, "part").mapInPandas(summarise, "gram long, lost long, mass long")
+
+
+def survivors(counts: DataFrame, order: int, threshold: int, mass: int, parts: int) -> tuple[DataFrame, int]:
+    """((gram): every n-gram with ``threshold`` occurrences or more, and few others; their mass).
+    The capacity is twice what an even share of ``mass`` asks for. A partition for which that was
+    too little is known by having lost ``threshold`` or more; the order is then summarised anew
+    with more capacity, so none is ever missed."""
+    capacity = max(LEAST_CAPACITY, 2 * mass // (parts * threshold) + 1)
+    while True:
+        kept = written(summaries(counts, threshold, capacity, parts), f"survivors-{order}")
+        lost, mass = kept.agg(F.max("lost"), F.sum("mass")).first()
+        if (lost or 0) < threshold:
+            return kept.where("gram IS NOT NULL").select("gram"), mass or 0
+        capacity *= 4
 
 
 def bit_map(grams: DataFrame) -> np.ndarray:
     """The n-grams' bits, by their leading bits; ``MAP_BITS`` at most, whatever the input."""
     size = min(MAP_BITS, max(LEAST_BITS, 1 << (BITS_EACH * grams.count()).bit_length()))
-    shift = 64 - size.bit_length() + 1
+    shift = GRAM_BITS - size.bit_length() + 1
 
     def mark(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         bits = np.zeros(1 << BLOCK, np.uint8)
@@ -143,19 +185,42 @@ def bit_map(grams: DataFrame) -> np.ndarray:
     return bits
 
 
+class Tally:
+    """Exact counts of phrases that are known by their hashes."""
+
+    def __init__(self):
+        self.hashes, self.rows, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.phrases: list[tuple[str, bytes]] = []
+
+    def add(self, chunk: Chunk, names: list[str], order: int, gram: np.ndarray, at: np.ndarray) -> None:
+        hashes, first, counts = np.unique(gram[at], return_index=True, return_counts=True)
+        place = np.searchsorted(self.hashes, hashes)
+        known = np.zeros(len(hashes), bool)
+        inside = place < len(self.hashes)
+        known[inside] = self.hashes[place[inside]] == hashes[inside]
+        self.counts[self.rows[place[known]]] += counts[known]
+        new = np.flatnonzero(~known)
+        rows = len(self.phrases) + np.arange(len(new))
+        part = chunk.words[3]
+        self.phrases += [(names[chunk.lang[part[i]]], chunk.phrase(i, order)) for i in at[first[new]].tolist()]
+        self.hashes, self.rows = np.insert(self.hashes, place[new], hashes[new]), np.insert(self.rows, place[new], rows)
+        self.counts = np.append(self.counts, counts[new])
+
+
 def exact_counts(rows: DataFrame, longest: int, maps: list[Broadcast]) -> DataFrame:
     """(lang, words, phrase, n) of the marked n-grams, summed within a task; a row with a null
     phrase has the number of the language's words."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         wanted = [m.value for m in maps]
-        found: dict[tuple[int, int], list] = {}
+        tallies = {order: Tally() for order in range(1, longest + 1)}
         totals: dict[str, int] = {}
 
-        def frame() -> pd.DataFrame:
-            rows = list(found.values())
+        def frame(order: int) -> pd.DataFrame:
+            tally = tallies[order]
+            tallies[order] = Tally()
             return pd.DataFrame(
-                {"lang": [r[0] for r in rows], "words": [r[1] for r in rows], "phrase": [r[2].decode("utf-8", "replace") for r in rows], "n": [r[3] for r in rows]}
+                {"lang": [x for x, _ in tally.phrases], "words": order, "phrase": [p.decode("utf-8", "replace") for _, p in tally.phrases], "n": tally.counts}
             )
 
         for chunk, names in chunks(((x, t) for pdf in batches for x, t in zip(pdf["lang"], pdf["text"], strict=True)), longest):
@@ -164,19 +229,14 @@ def exact_counts(rows: DataFrame, longest: int, maps: list[Broadcast]) -> DataFr
                 totals[name] = totals.get(name, 0) + n
             for order, (gram, mask) in enumerate(chunk.grams(longest, wanted), 1):
                 at = np.flatnonzero(mask)
-                at = at[held(gram[at], wanted[order - 1])]
-                hashes, first, counts = np.unique(gram[at], return_index=True, return_counts=True)
-                for h, i, n in zip(hashes.tolist(), at[first].tolist(), counts.tolist(), strict=True):
-                    if (row := found.get((order, h))) is not None:
-                        row[3] += n
-                    else:
-                        found[order, h] = [names[chunk.lang[part[i]]], order, chunk.phrase(i, order), n]
-            if len(found) > HELD:
-                yield frame()
-                found = {}
-        if found:
-            yield frame()
-        yield pd.DataFrame({"lang": list(totals), "words": 0, "phrase": None, "n": list(totals.values())})
+                tallies[order].add(chunk, names, order, gram, at[held(gram[at], wanted[order - 1])])
+                if len(tallies[order].phrases) > HELD // 2:
+                    yield frame(order)
+        for order, tally in tallies.items():
+            if tally.phrases:
+                yield frame(order)
+        if totals:
+            yield pd.DataFrame({"lang": list(totals), "words": 0, "phrase": [None] * len(totals), "n": list(totals.values())})
 
     return rows.mapInPandas(count, "lang string, words int, phrase string, n long")
 
@@ -189,9 +249,10 @@ def frequent_phrases(
     parts = parts or partitions(spark)
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), text_or_empty(F.col(text_col)).alias("text"))
     maps: list[Broadcast] = []
+    mass = (rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 2 + 1  # a word takes two bytes
     for order in range(1, longest + 1):
-        counts = written(local_counts(rows, order, longest, maps, parts), f"grams-{order}")
-        maps.append(spark.sparkContext.broadcast(bit_map(written(survivors(counts, threshold, parts), f"survivors-{order}"))))
+        kept, mass = survivors(local_counts(rows, order, longest, maps, parts), order, threshold, mass, parts)
+        maps.append(spark.sparkContext.broadcast(bit_map(kept)))
     counted = exact_counts(rows, longest, maps).groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f"))
     counted = written(counted.where(F.col("phrase").isNull() | (F.col("f") >= threshold)), "phrases")
     return counted.where(F.col("phrase").isNotNull()), counted.where(F.col("phrase").isNull()).select("lang", F.col("f").alias("n"))

@@ -17,7 +17,7 @@ from functools import cached_property
 
 import numpy as np
 
-LIMIT = 2_000_000
+LIMIT = 1_500_000
 BREAKS = rb" \t.,;:!?\n\x0b\x0c\r"
 BREAK = re.compile(rb"[" + BREAKS + rb"]")
 LOWERED = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
