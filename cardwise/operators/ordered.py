@@ -88,6 +88,34 @@ def global_lag(df: DataFrame, order: Sequence[Column | str], col: str, out_col:
     return out.drop("_pid", "_llag", "_first", "_plast")
 
 
+def segmented_prefix(
+    df: DataFrame, segment: Sequence[str], order: Sequence[Column | str], sums: Sequence[str], n_parts: int | None = None
+) -> DataFrame:
+    """Add ``cum_<c>``: inclusive running sums of ``sums`` within each ``segment``, in ``order``.
+
+    ``(segment, order)`` must be a total order. Rows are range-partitioned on it, so a segment
+    with any share of all rows is spread over partitions: sums run inside (partition, segment),
+    and only the first and the last segment of a partition, which may go on elsewhere, take an
+    offset from a table of two rows a partition.
+    """
+    n = n_parts or partitions(df.sparkSession)
+    cols = _sort_cols(order)
+    parts = ranged(df, [*(F.col(c) for c in segment), *cols], n)
+    run = W.partitionBy("_pid", *segment).orderBy(*cols).rowsBetween(W.unboundedPreceding, W.currentRow)
+    local = parts.select("*", *[F.sum(c).over(run).alias(f"_lcum_{c}") for c in sums])
+    key = F.struct(*segment)
+    edges = parts.groupBy("_pid").agg(F.array_distinct(F.array(F.min(key), F.max(key))).alias("_e")).select("_pid", F.inline("_e"))
+    # two rows a partition at most, here and in what follows
+    totals = parts.join(F.broadcast(edges), ["_pid", *segment]).groupBy("_pid", *segment).agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
+    before = W.partitionBy(*segment).orderBy("_pid").rowsBetween(W.unboundedPreceding, -1)
+    offsets = totals.select("_pid", *segment, *[F.sum(f"_t_{c}").over(before).alias(f"_o_{c}") for c in sums])
+    out = local.join(F.broadcast(offsets), ["_pid", *segment], "left")
+    for c in sums:
+        kind = df.schema[c].dataType
+        out = out.withColumn(f"cum_{c}", F.coalesce(F.col(f"_o_{c}"), F.lit(0).cast(kind)) + F.coalesce(F.col(f"_lcum_{c}"), F.lit(0).cast(kind)))
+    return out.drop("_pid", *[f"_lcum_{c}" for c in sums], *[f"_o_{c}" for c in sums])
+
+
 def order_statistic(df: DataFrame, col: str, k: int, tiebreak: Sequence[str] = ()) -> object | None:
     """O2: the ``k``-th smallest value of ``col`` (1-based); None if k is out of range."""
     return order_statistics(df, col, [k], tiebreak).get(k)

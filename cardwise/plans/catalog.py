@@ -14,8 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwise.functions.columns import report_double, report_sql
+from cardwise.operators.arrival import arrival_features
 from cardwise.operators.features import compute_features
-from cardwise.plans.oracle_features import features_sql
+from cardwise.plans.oracle_features import arrival_features_sql, features_sql
 from cardwise.schema import FEATURE_ORDER
 from cardwise.session import configure
 from cardwise.sources.views import VIEW_SQL, VIEWS
@@ -716,6 +717,24 @@ def q_out_of_order(spark, d):
     return out_of_order_flags(t, "arrival", bucket_ms=1 << 10)
 
 
+#: Events arrive by event id, but every seventh one 300 places late.
+_LATE_SQL = "CAST(txn_id AS BIGINT) + CASE WHEN CAST(txn_id AS BIGINT) % 7 = 0 THEN 300 ELSE 0 END"
+
+
+@register("features_orders_arrival", arrival_features_sql(ORD_SQL, "CAST(txn_id AS BIGINT)"))
+def q_orders_arrival(spark, d):
+    """T4 in batch: all 27 features with orders arriving by order key, most of them out of order."""
+    t = orders_txn(spark, d).withColumn("arrival", F.col("txn_id").cast("long"))
+    return report_features(arrival_features(t, "arrival"))
+
+
+@register("features_txn_arrival", arrival_features_sql(TXN_SQL, _LATE_SQL))
+def q_txn_arrival(spark, d):
+    """T4 in batch with small buckets and leaves: events of which every seventh comes late."""
+    t = events_txn(spark, d).withColumn("arrival", F.expr(_LATE_SQL))
+    return report_features(arrival_features(t, "arrival", bucket_bits=6, leaf_bits=3))
+
+
 @register(
     "customer_card_keys",
     f"""SELECT c_custkey,

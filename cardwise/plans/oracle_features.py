@@ -24,8 +24,8 @@ def _hav(lat1: str, lon1: str, lat2: str, lon2: str) -> str:
     return f"(2.0 * 6371.0088 * asin(sqrt(CASE WHEN {a} > 1.0 THEN 1.0 ELSE {a} END)))"
 
 
-def features_sql(src: str) -> str:
-    """Feature table SQL over a source query yielding the canonical columns."""
+def _columns() -> str:
+    """The 27 features over a relation ``c`` of facts."""
     dist = _hav("p_lat", "p_lon", "lat", "lon")
     elapsed = "((ts_ms - p_ts) / 1000.0)"
     kmh = f"({dist} / ((CASE WHEN {elapsed} < 1.0 THEN 1.0 ELSE {elapsed} END) / 3600.0))"
@@ -58,9 +58,13 @@ def features_sql(src: str) -> str:
         "hour_prior_count": "hour_prior",
         "hour_probability": prob,
         "hour_deviation": f"(-ln({prob}) - ln(24.0))",
-        "out_of_order_flag": "0.0",
+        "out_of_order_flag": "late",
     }
-    cols = ",\n  ".join(f"{report_sql(feats[n])} AS {n}" for n in FEATURE_ORDER)
+    return ",\n  ".join(f"{report_sql(feats[n])} AS {n}" for n in FEATURE_ORDER)
+
+
+def features_sql(src: str) -> str:
+    """Feature table SQL over a source query yielding the canonical columns."""
     return f"""
 WITH t AS ({src}),
 b AS (
@@ -94,7 +98,40 @@ c AS (
   FROM b
 )
 SELECT txn_id, card_id, ts_ms,
-  {cols},
+  {_columns()},
+  label
+FROM (SELECT *, 0.0 AS late FROM c) c
+"""
+
+
+def arrival_features_sql(src: str, arrival: str) -> str:
+    """The same table in arrival order: facts by joins of a row with those that arrived before."""
+    before = "OVER (PARTITION BY card_id ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    fifty = "OVER (PARTITION BY card_id ORDER BY r ROWS BETWEEN 50 PRECEDING AND 1 PRECEDING)"
+    inside = lambda w: f"j.ts_ms > n.ts_ms - {w} AND j.ts_ms > n.p_ts - 86400000"
+    return f"""
+WITH t AS (SELECT *, row_number() OVER (PARTITION BY card_id ORDER BY {arrival}, ts_ms, txn_id) AS r FROM ({src}) x),
+n AS (
+  SELECT *, max(ts_ms) {before} AS p_ts, max(CAST(ts_ms AS HUGEINT) * 4294967296 + r) {before} % 4294967296 AS p_r,
+    CAST(floor(((ts_ms % 86400000) + 86400000) % 86400000 / 3600000) AS INTEGER) AS hour,
+    r - 1 AS prior_n, list(amount) {fifty} AS win,
+    max(ts_ms) OVER (PARTITION BY card_id, mcc ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS mcc_prev,
+    row_number() OVER (PARTITION BY card_id, merchant_id ORDER BY r) AS rn_mer FROM t),
+m AS (
+  SELECT *, row_number() OVER (PARTITION BY card_id, hour ORDER BY r) - 1 AS hour_prior, coalesce(len(win), 0) AS an, list_sum(win) / len(win) AS amean,
+    CASE WHEN len(win) > 1 THEN sqrt(list_sum(list_transform(win, lambda x: pow(x - list_sum(win) / len(win), 2))) / (len(win) - 1)) END AS astd,
+    coalesce(sum(CASE WHEN mcc_prev IS NULL THEN 1 ELSE 0 END) {before}, 0) AS mcc_distinct FROM n),
+w AS (
+  SELECT n.card_id, n.r, count(*) FILTER ({inside(60000)}) AS r1m, count(*) FILTER ({inside(3600000)}) AS r1h, count(*) FILTER ({inside(86400000)}) AS r24h,
+    sum(CAST(j.amount AS DECIMAL(38,10))) FILTER ({inside(3600000)}) AS s1h, sum(CAST(j.amount AS DECIMAL(38,10))) FILTER ({inside(86400000)}) AS s24h
+  FROM n JOIN t j ON j.card_id = n.card_id AND j.r < n.r GROUP BY n.card_id, n.r),
+c AS (
+  SELECT m.*, 0 AS tie_n, 0.0 AS tie_s, coalesce(r1m, 0) AS r1m, coalesce(r1h, 0) AS r1h, coalesce(r24h, 0) AS r24h,
+    CAST(coalesce(s1h, 0) AS DOUBLE) AS s1h, CAST(coalesce(s24h, 0) AS DOUBLE) AS s24h, p.lat AS p_lat, p.lon AS p_lon,
+    CASE WHEN m.ts_ms < m.p_ts THEN 1.0 ELSE 0.0 END AS late
+  FROM m LEFT JOIN w ON w.card_id = m.card_id AND w.r = m.r LEFT JOIN t p ON p.card_id = m.card_id AND p.r = m.p_r)
+SELECT txn_id, card_id, ts_ms,
+  {_columns()},
   label
 FROM c
 """
