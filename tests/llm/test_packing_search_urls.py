@@ -105,9 +105,26 @@ def test_url_rules_and_edges(spark):
 def test_url_templates_reject_by_purity(spark):
     rules = [("block", "a.com/bad/"), ("allow", "b.com/")]
     urls = [f"http://a.com/bad/{i}" for i in range(300)] + [f"http://a.com/new/{i}" for i in range(20)] + [f"http://b.com/x/{i}" for i in range(300)] + ["http://c.org/x/1"]
-    got = url_filter.url_filter(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), rules=rules).collect()
-    assert {r["verdict"] for r in got if r["template"] == "new/*"} == {"block"}  # the host's labelled pages are all blocked
-    assert {r["verdict"] for r in got if r["host"] == "c.org"} == {"allow"}
+    urls += [f"http://a.com/{i}/b" for i in range(20)] + [f"http://d.com/v{i}/y" for i in range(20)]
+    rules += [("block", f"d.com/v{i}/") for i in range(19)]
+    seen = set()
+    for times in (1, 10, 50):  # repeated rows change no verdict
+        rows = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+        rows = rows.join(spark.range(times).withColumnRenamed("id", "copy"))
+        got = url_filter.url_filter(rows, rules=rules).drop("path").distinct().collect()
+        assert {r["verdict"] for r in got if r["template"] == "new/*"} == {"allow"}  # blocked siblings are no evidence
+        assert {r["verdict"] for r in got if r["host"] == "c.org"} == {"allow"}
+        last = [r for r in got if r["host"] == "d.com" and r["rule"] is None]
+        assert {(r["template"], r["verdict"]) for r in last} == {("*/y", "block")}  # labelled paths share its template
+        seen.add(tuple(sorted((r["page_id"], r["template"], r["verdict"]) for r in got)))
+    assert len(seen) == 1
+
+
+@pytest.mark.parametrize("depth", [6_000, 50_000])
+def test_very_long_urls(spark, depth):
+    rows = [(1, "http://a.com/" + "x/y1/" * (depth // 2)), (2, "http://net/es/" + "z/" * depth), (3, "http://a.com/x")]
+    got = {r["page_id"]: r for r in url_filter.url_filter(spark.createDataFrame(rows * 2, "page_id long, url string")).collect()}
+    assert got[1]["template"].count("/") == depth - 1 and got[2]["verdict"] == "block" and got[3]["template"] == "*"
 
 
 def jump(key, shards):
