@@ -1,19 +1,22 @@
 """Toxicity scores by non-negative positive-unlabelled learning.
 
 Learned from confirmed toxic texts (P) and unlabelled texts (U: any text of the training
-folds); that a text is labelled clean is used for nothing but the default of the class prior
-``pi``, the toxic share of the labelled training rows. ``pi`` can be given; if it is not and no
-text is labelled clean, each member estimates it from P and U (``class_prior``). A linear classifier on the hashed set of a text's
-words and of their first letters (``STEMS`` bytes; inflected words share them, and whether
-several distinct words of a text do counts besides) minimises the
+folds); that a text is labelled clean is used for nothing. The class prior ``pi``, the toxic share
+of U, is an argument or estimated from P and U (``estimated_prior``). A linear classifier on the
+hashed set of a text's words and of their first letters (``STEMS`` bytes; inflected words share
+them, and whether several distinct words of a text do counts besides) minimises the
 class-prior-corrected risk with the logistic loss l:
 
     pi * mean_P l(z) + max(0, mean_U l(-z) - pi * mean_P l(-z))
 
 Only buckets that tell P from U take part: those whose shares in the two differ by ``TELLING``
 standard errors. Where the corrected part is negative, the step goes against it, as the method prescribes, so
-it cannot be driven below zero by overfitting. Weights are pulled to zero by soft thresholding. ``MEMBERS`` classifiers are trained in tasks of their own, on disjoint
-parts of U, and their weights averaged.
+it cannot be driven below zero by overfitting. Weights are pulled to zero by soft thresholding.
+``MEMBERS`` classifiers are trained in tasks of their own, on disjoint parts of U, and their
+weights averaged.
+
+Rows that repeat an id and its text count once, in every number and draw, so they neither flood
+nor starve the rest.
 
 Bounds: about ``FIT_POSITIVE`` toxic and ``FIT_UNLABELLED`` unlabelled texts are fitted on (a
 hash of the id decides which), and weights have ``BUCKETS`` entries, which bounds what a
@@ -31,7 +34,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwise.llm.helpers import fold
@@ -41,8 +44,10 @@ BUCKETS = 1 << 20
 MEMBERS = 4
 FIT_POSITIVE, FIT_UNLABELLED = 8_000, 32_000
 STEPS, RATE, SPARSE, TELLING = 200, 0.1, 1e-5, 5.0
-#: Standard errors by which shares may be off in the estimate of the class prior.
-MARGIN = 3.0
+#: Standard errors by which shares may be off in the first bound of the class prior, and in the
+#: estimate by scores; the shares of P that its thresholds may leave above them.
+MARGIN, SCORE_MARGIN, ABOVE = 3.0, 2.0, (0.3, 0.98)
+ROUNDS = 2
 STEMS = (4, 5)
 #: Flips a bucket to the one that says that several distinct words of a text fell into it.
 SEVERAL = 0x5A5A5
@@ -100,7 +105,7 @@ def counts(sets: list[np.ndarray]) -> np.ndarray:
     return np.bincount(np.concatenate([*sets, np.zeros(0, np.int64)]).astype(np.int64), minlength=BUCKETS)
 
 
-def class_prior(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> float:
+def prior_bound(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> float:
     """An estimate of the toxic share of U. A bucket that a share p of P and a share u of U have
     bounds it by u / p, and one that no clean text has by just that; the smallest such bound,
     with ``MARGIN`` standard errors to its disadvantage, is taken (1 if there is none)."""
@@ -110,6 +115,18 @@ def class_prior(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> flo
     return float(min(1.0, (u[p > 0] / p[p > 0]).min(initial=1.0)))
 
 
+def risk_and_slope(z: np.ndarray, is_p: np.ndarray, prior: float) -> tuple[float, float, np.ndarray]:
+    """(risk of P as toxic, corrected risk of U as clean, slope of each logit): the slope of the
+    sum of both, or against the second alone where that is negative."""
+    n_p, n_u = int(is_p.sum()), int((~is_p).sum())
+    p = sigmoid(z)
+    positive = prior * np.logaddexp(0, -z[is_p]).mean()
+    corrected = np.logaddexp(0, z[~is_p]).mean() - prior * np.logaddexp(0, z[is_p]).mean()
+    if corrected >= 0:
+        return positive, corrected, np.where(is_p, prior / n_p * ((p - 1) - p), p / n_u)
+    return positive, corrected, -np.where(is_p, -prior / n_p * p, p / n_u)
+
+
 def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> tuple[np.ndarray, np.ndarray, float]:
     """(buckets, weights, bias) of one classifier."""
     sets = [*positive, *unlabelled]
@@ -130,12 +147,7 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float)
     first, second = np.zeros(len(seen) + 1), np.zeros(len(seen) + 1)
     for step in range(1, STEPS + 1):
         z = bias + np.bincount(rows, w[column], len(sets))
-        p = sigmoid(z)
-        negative_risk = np.logaddexp(0, z[~is_p]).mean() - prior * np.logaddexp(0, z[is_p]).mean()
-        if negative_risk >= 0:  # gradient of the whole risk
-            slope = np.where(is_p, prior / n_p * ((p - 1) - p), p / n_u)
-        else:  # against the corrected part alone
-            slope = -np.where(is_p, -prior / n_p * p, p / n_u)
+        slope = risk_and_slope(z, is_p, prior)[2]
         grad = np.append(np.bincount(column, slope[rows], len(seen)), slope.sum())
         first += 0.1 * (grad - first)
         second += 0.001 * (grad * grad - second)
@@ -148,28 +160,65 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float)
     return seen[some], w[some], bias
 
 
+def unseen_logits(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> tuple[np.ndarray, np.ndarray]:
+    """Logits of P and of U, each half by a classifier that was fitted on the other half."""
+    z_p, z_u = np.zeros(len(positive)), np.zeros(len(unlabelled))
+    for half in (0, 1):
+        buckets, some, bias = fit(positive[half::2], unlabelled[half::2], prior)
+        weights = np.zeros(BUCKETS)
+        weights[buckets] = some
+        z_p[1 - half :: 2] = logits(positive[1 - half :: 2], weights, bias)
+        z_u[1 - half :: 2] = logits(unlabelled[1 - half :: 2], weights, bias)
+    return z_p, z_u
+
+
+def estimated_prior(positive: list[np.ndarray], unlabelled: list[np.ndarray], least: float) -> float:
+    """An estimate of the toxic share of U. If a share p of P and a share u of U score above a
+    threshold, the toxic share is at most u / p, and about that where no clean text scores so
+    high; the threshold with the lowest such bound (u taken ``SCORE_MARGIN`` standard errors
+    higher) is used. Scores are of texts that their classifier has not seen, first of classifiers
+    fitted with the bound by single buckets, then with the estimate itself. ``least`` of U is known
+    to be toxic."""
+    clip = lambda x: float(min(0.999, max(least, x)))
+    prior = clip(prior_bound(positive, unlabelled))
+    if min(len(positive), len(unlabelled)) < 4:
+        return prior
+    for _ in range(ROUNDS):
+        z_p, z_u = (np.sort(z) for z in unseen_logits(positive, unlabelled, prior))
+        at = z_p[::-1][int(len(z_p) * ABOVE[0]) : max(int(len(z_p) * ABOVE[0]) + 1, int(len(z_p) * ABOVE[1]))]
+        p, u = (1 - np.searchsorted(z, at, "left") / len(z) for z in (z_p, z_u))
+        best = ((u + SCORE_MARGIN * np.sqrt(u * (1 - u) / len(z_u))) / p).argmin()
+        prior = clip(u[best] / p[best])
+    return prior
+
+
+def member_keys(spark: SparkSession) -> list[int]:
+    """A number for each member, such that each falls in a partition of its own."""
+    at = F.pmod(F.hash(F.col("id").cast("int")), F.lit(MEMBERS)).alias("at")
+    return [r["key"] for r in spark.range(64 * MEMBERS).groupBy(at).agg(F.min("id").cast("int").alias("key")).collect()]
+
+
 def learn(
     docs: DataFrame, labels: DataFrame, train: Column, id_col: str, text_col: str, toxic_col: str, prior: float | None = None,
 ) -> tuple[np.ndarray, float]:
     """(weights, bias) averaged over the members."""
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), train.alias("train")).where("train").drop("train")
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("same"), train.alias("train")).where("train").drop("train")
     marks = labels.select(F.col(id_col).cast("long").alias("doc_id"), F.col(toxic_col).cast("int").alias("toxic")).where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
-    marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    ids = rows.select("doc_id").where(F.col("doc_id").isNotNull()).join(marks, "doc_id", "left")
-    n, n_toxic, n_clean = ids.agg(F.count("*"), F.sum(F.expr("int(toxic = 1)")), F.sum(F.expr("int(toxic = 0)"))).first()
-    n_toxic, n_clean = n_toxic or 0, n_clean or 0
+    marks = marks.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).where("toxic = 1")
+    ids = rows.select("doc_id", "same").distinct().join(marks, "doc_id", "left")
+    n, n_toxic = ids.agg(F.count("*"), F.sum("toxic")).first()
     if not n_toxic:
         return np.zeros(BUCKETS, np.float32), float(np.log(prior / (1 - prior))) if prior else -40.0
-    if prior is None and n_clean:
-        prior = n_toxic / (n_toxic + n_clean)
     least = n_toxic / n  # of the rows of U so many are confirmed
-    draw = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(1_000_000))
-    part = F.pmod(F.xxhash64(F.lit(4), "doc_id"), F.lit(MEMBERS)).cast("int")
-    toxic = marks.where("toxic = 1").where(draw < int(min(1.0, FIT_POSITIVE / n_toxic) * 1_000_000)).select("doc_id")
-    every = F.sequence(F.lit(0), F.lit(MEMBERS - 1))
-    # about FIT_POSITIVE ids, by the draw: broadcast, so that no text is shuffled to find them
-    positive = rows.join(F.broadcast(toxic), "doc_id").select("text", every.alias("members"), F.lit(True).alias("confirmed"))
-    unlabelled = rows.where(draw < int(min(1.0, FIT_UNLABELLED / n) * 1_000_000)).select("text", F.array(part).alias("members"), F.lit(False).alias("confirmed"))
+    drawn = lambda wanted, of: F.pmod(F.xxhash64(F.lit(3), "doc_id", "same"), F.lit(1_000_000)) < int(min(1.0, wanted / of) * 1_000_000)
+    keys = F.array(*[F.lit(k) for k in member_keys(docs.sparkSession)])
+    part = F.element_at(keys, (F.pmod(F.xxhash64(F.lit(4), "doc_id", "same"), F.lit(MEMBERS)) + 1).cast("int"))
+    toxic = ids.where("toxic = 1").where(drawn(FIT_POSITIVE, n_toxic)).select("doc_id", "same")
+    once = lambda df: df.dropDuplicates(["doc_id", "same"])
+    # about FIT_POSITIVE pairs, by the draw: broadcast, so that no text is shuffled to find them
+    positive = once(rows.join(F.broadcast(toxic), ["doc_id", "same"])).select("text", keys.alias("members"), F.lit(True).alias("confirmed"))
+    unlabelled = once(rows.where(drawn(FIT_UNLABELLED, n))).select("text", F.array(part).alias("members"), F.lit(False).alias("confirmed"))
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -180,14 +229,14 @@ def learn(
         sets = [np.asarray(s, np.int64) for s in pdf["words"]]
         n_u = int((~pdf["confirmed"]).sum())
         whole = 0 < n_u < len(sets)
-        share = prior or min(0.999, max(least, class_prior(sets[n_u:], sets[:n_u]) if whole else 0.0))
+        share = prior or (estimated_prior(sets[n_u:], sets[:n_u], least) if whole else min(0.999, least))
         if not whole:
             return pd.DataFrame({"bucket": [-1], "weight": [float(np.log(share / (1 - share)))]})
         buckets, weights, bias = fit(sets[n_u:], sets[:n_u], share)
         return pd.DataFrame({"bucket": np.append(buckets, -1), "weight": np.append(weights, bias)})
 
     sets = positive.unionByName(unlabelled).mapInPandas(extract, "members array<int>, confirmed boolean, words array<int>")
-    sets = sets.select(F.explode("members").alias("member"), "confirmed", "words")
+    sets = sets.select(F.explode("members").alias("member"), "confirmed", "words").repartition(MEMBERS, "member")
     weights, bias = np.zeros(BUCKETS, np.float32), 0.0
     trained = sets.groupBy("member").applyInPandas(train_member, "bucket int, weight double")
     for bucket, weight in trained.groupBy("bucket").agg(F.sum("weight")).collect():  # BUCKETS rows at most

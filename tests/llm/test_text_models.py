@@ -36,10 +36,16 @@ def test_language_id_edges(spark):
     assert set(language_id.language_id(edge(spark).drop("lang").selectExpr("*", "cast(null as string) lang")).toPandas().lang_pred) == {"und"}
 
 
-@pytest.mark.xfail(reason="known shortfall: at sf0.1 2.3 % of clean held-out texts are called toxic; see README")
-def test_toxicity_held_out(spark):
+@pytest.mark.parametrize("clean_labels", [None, 0, 1, 10, 1000])
+def test_toxicity_held_out(spark, clean_labels):
+    """However many texts are labelled clean, and with a toxic id there 20,000 times."""
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
-    got = toxicity.toxicity(docs, labels).toPandas().merge(labels.toPandas(), on="doc_id")
+    given = labels
+    if clean_labels is not None:
+        given = labels.where("toxic = 1").union(labels.where("toxic = 0").orderBy("doc_id").limit(clean_labels))
+        one = labels.where("toxic = 1 AND crc32(cast(cast(doc_id AS string) AS binary)) % 5 <> 0").orderBy("doc_id").limit(1)
+        docs = docs.unionByName(docs.join(one.select("doc_id"), "doc_id").join(spark.range(20_000).select()).select(*docs.columns))
+    got = toxicity.toxicity(docs, given).distinct().toPandas().merge(labels.toPandas(), on="doc_id")
     held = got[got.held_out]
     toxic, clean = held[held.toxic == 1], held[held.toxic == 0]
     assert (toxic.predicted == 1).mean() > 0.9
@@ -47,6 +53,24 @@ def test_toxicity_held_out(spark):
     assert held.score.between(0, 1).all()
 
 
+def test_toxicity_slopes_are_those_of_the_risk():
+    rng = np.random.default_rng(2)
+    for shift in (0.0, -6.0):  # with a corrected part above and below zero
+        z, is_p = rng.normal(size=40) + shift, np.arange(40) < 9
+        z[is_p] += 8 if shift else 0
+        positive, corrected, slope = toxicity.risk_and_slope(z, is_p, 0.3)
+        p, u = z[is_p], z[~is_p]
+        loss = lambda x: np.log1p(np.exp(-x))
+        assert positive == pytest.approx(0.3 * loss(p).mean()) and corrected == pytest.approx(loss(-u).mean() - 0.3 * loss(-p).mean())
+        assert (corrected < 0) == (shift < 0)
+        for i in range(40):
+            up, down = z.copy(), z.copy()
+            up[i] += 1e-5
+            down[i] -= 1e-5
+            value = lambda x: (lambda r: r[0] + r[1] if shift == 0 else -r[1])(toxicity.risk_and_slope(x, is_p, 0.3))
+            assert slope[i] == pytest.approx((value(up) - value(down)) / 2e-5, abs=1e-8)
+
+
 def test_toxicity_edges(spark):
     labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1)], "doc_id long, toxic int")
     got = toxicity.toxicity(edge(spark), labels).toPandas()
