@@ -7,11 +7,11 @@ somewhere else too, the same text included, is *repeated*, and the bytes it cove
    not repeated, and a family whose very bytes are a family elsewhere is repeated as a whole. That
    leaves families that meet another one in part: the ends of passages and the surroundings of edits.
 2. Their suffixes' leading tokens are the anchor's gram; distinct families go to buckets by sampled
-   splitters of (anchor gram, bytes), so a gram with a third of all families is split over
-   buckets. A bucket sorts the strings of each gram by multikey quicksort; neighbours that are
-   equal to the end are repeated.
-3. Comparison across boundaries: of the first and the last gram of a bucket, which may go on in
-   the next one, each distinct string is sent once, by a 128-bit fingerprint, to meet its like.
+   splitters of the gram, and of the bytes too where a gram has more than ``GIANT`` families, so
+   that one with a third of all families is split over buckets. A bucket sorts the strings of
+   each gram by multikey quicksort; neighbours that are equal to the end are repeated.
+3. Comparison across boundaries: of the first and the last gram of a bucket, if they are split,
+   each distinct string is sent once, by a 128-bit fingerprint, to meet its like in the others.
 4. Repeated strings, as ranges of a text, go to the texts, where the covered bytes are cut out.
 
 Texts are known by 120 bits of their SHA-256, so copies need no numbers and share their ranges. A
@@ -39,7 +39,7 @@ from cardwise.session import partitions
 TEXT_KEY = ("doc_a", "doc_b")
 FAMILY = "doc_a long, doc_b long, at int, width int, lead int, anchor long, digest long"
 JUDGED = "doc_a long, doc_b long, at int, until int, anchor long, place int, print_a long, print_b long"
-WINDOWS = 1 << 19
+WINDOWS, GIANT = 1 << 19, 1 << 14
 
 
 def with_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -83,7 +83,8 @@ def judge(pdf: pd.DataFrame, border: set[bytes]) -> pd.DataFrame:
     out = pdf.iloc[row[first]][[*TEXT_KEY, "at"]].reset_index(drop=True)
     out["until"] = out["at"] + step[last] + 1
     out["at"] += step[first]
-    at_border = pdf["token"].isin(border).to_numpy()[row] & (label == np.arange(len(label)))
+    split = (pdf["token"].isin(border) & (pdf["spread"].map(len) > 0)).to_numpy()
+    at_border = split[row] & (label == np.arange(len(label)))
     some = np.flatnonzero(at_border)
     sent = pdf.iloc[row[some]][[*TEXT_KEY, "at", "anchor"]].reset_index(drop=True)
     sent["at"] += step[some]
@@ -120,7 +121,7 @@ def repeated_ranges(rows: DataFrame, parts: int) -> DataFrame:
     """(doc_a, doc_b, at, until): the strings from byte ``at`` to before ``until`` are repeated."""
     found = written(all_families(rows), "families")
     stats = found.groupBy("anchor").agg(F.count("*").alias("n"), F.min("digest").alias("least"), F.max("digest").alias("most"))
-    met = stats.where("n > 1").select("anchor", (F.col("least") == F.col("most")).alias("alike"))
+    met = written(stats.where("n > 1").select("anchor", (F.col("least") == F.col("most")).alias("alike")), "met")
     hits = written(found.join(met, "anchor"), "hits")
     span = lambda df: df.select(*TEXT_KEY, "at", (F.col("at") + F.col("width")).alias("until"))
 
@@ -129,14 +130,16 @@ def repeated_ranges(rows: DataFrame, parts: int) -> DataFrame:
     classes = written(classes.select("anchor", "digest", "n", "one.*"), "classes")
     several = hits.where("NOT alike").join(classes.where("n > 1").select("anchor", "digest"), ["anchor", "digest"])
 
+    giants = classes.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > GIANT).select("anchor", F.lit(True).alias("giant"))
     texts = rows.select(*TEXT_KEY, "text").dropDuplicates(list(TEXT_KEY))
     data = F.col("text").cast("binary")
-    held = classes.join(texts, list(TEXT_KEY)).select(
-        *TEXT_KEY, "at", "width", "lead", "anchor", "n",
+    held = classes.join(written(giants, "giants"), "anchor", "left").join(texts, list(TEXT_KEY)).select(
+        *TEXT_KEY, "at", "width", "lead", "anchor", "n", "giant",
         F.substring(data, F.col("at") + 1, F.col("width") + (SPAN - 1)).alias("bytes"),
     )
     held = held.withColumn("token", F.substring("bytes", F.col("lead") + 1, F.lit(GRAM)))
-    buckets = written(held, "met").repartitionByRange(parts, "token", "bytes").sortWithinPartitions("token", "bytes")
+    held = held.withColumn("spread", F.when(F.col("giant"), F.col("bytes")).otherwise(F.lit(b""))).drop("giant")
+    buckets = written(held, "held").repartitionByRange(parts, "token", "spread").sortWithinPartitions("token", "spread")
     judged = written(buckets.mapInPandas(judged_buckets, JUDGED), "judged")
     sent = judged.where("print_a IS NOT NULL").groupBy("anchor", "place", "print_a", "print_b")
     # at most a row a bucket in each group

@@ -141,11 +141,12 @@ def passages(seed):
     return rows + [(200 + i, noise(120) + shared[2] + noise(120), "en") for i in range(40)]
 
 
-@pytest.mark.parametrize("limit", [400, 1_000_000])
-def test_suffix_dedup_equals_brute_force(spark, monkeypatch, limit):
+@pytest.mark.parametrize("limit,giant", [(400, 0), (1_000_000, 8), (1_000_000, 1 << 14)])
+def test_suffix_dedup_equals_brute_force(spark, monkeypatch, limit, giant):
     monkeypatch.setattr(suffixes.chunks, "__defaults__", (limit,))
     monkeypatch.setattr(suffix_dedup.all_families, "__defaults__", (limit,))
     monkeypatch.setattr(suffix_dedup, "WINDOWS", 2000)
+    monkeypatch.setattr(suffix_dedup, "GIANT", giant)
     rows = passages(limit)
     got = suffix_dedup.suffix_dedup(docs_frame(spark, rows).repartition(4), parts=7)
     assert got.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"]
