@@ -795,6 +795,25 @@ def q_features_stream(spark, d):
     return report_features(drain_to_parquet(stream_features(stream), base))
 
 
+BUSY_CARDS, BUSY_TRAIL = 3, 64
+_BUSY_SQL = f"SELECT * REPLACE (CAST(CAST(card_id AS BIGINT) % {BUSY_CARDS} AS VARCHAR) AS card_id) FROM ({TXN_SQL}) b"
+
+
+@register("features_stream_busy", features_sql(_BUSY_SQL))
+def q_features_stream_busy(spark, d):
+    """Three cards hold all rows, and a state value 64 of them; the rest of the last 24 h lives
+    in map state by minute."""
+    from cardwise.session import scratch_path
+    from cardwise.streaming.jobs import stream_features, stream_transactions_files, typed_stream
+    from cardwise.streaming.replay import write_replay_files
+
+    base = scratch_path(spark, "busy")
+    t = events_txn(spark, d).withColumn("card_id", F.pmod(F.col("card_id").cast("long"), F.lit(BUSY_CARDS)).cast("string"))
+    write_replay_files(t, f"{base}/in", 8)
+    stream = typed_stream(stream_transactions_files(spark, f"{base}/in", max_files=1))
+    return report_features(drain_to_parquet(stream_features(stream, trail_rows=BUSY_TRAIL), base))
+
+
 # ------------------------------------------------------------------------------- model
 
 @register("train_evaluate_report")
@@ -836,6 +855,47 @@ def q_features_reset(spark, d):
     return report_features(compute_features(orders_txn(spark, d), reset_after_ms=RESET_MS))
 
 
+def _idle_stream(spark, d, base: str) -> DataFrame:
+    from cardwise.streaming.jobs import stream_features, stream_transactions_files, typed_stream
+    from cardwise.streaming.replay import write_replay_files
+
+    write_replay_files(orders_txn(spark, d), f"{base}/in", 8)
+    return stream_features(typed_stream(stream_transactions_files(spark, f"{base}/in", max_files=1)), idle_ms=RESET_MS)
+
+
+@register(
+    "features_stream_idle",
+    f"SELECT * REPLACE (split_part(card_id, chr(1), 1) AS card_id) FROM ({features_sql(_reset_src_sql(ORD_SQL, RESET_MS))}) f",
+)
+def q_features_stream_idle(spark, d):
+    """The stream forgets cards that have been idle for 200 days, as the batch path does."""
+    from cardwise.session import scratch_path
+
+    base = scratch_path(spark, "idle")
+    return report_features(drain_to_parquet(_idle_stream(spark, d, base), base))
+
+
+@register(
+    "stream_idle_cards",
+    f"""WITH e AS ({_reset_src_sql(ORD_SQL, RESET_MS)}),
+last AS (SELECT split_part(card_id, chr(1), 1) AS card_id, CAST(split_part(card_id, chr(1), 2) AS BIGINT) AS epoch, ts_ms FROM e),
+kept AS (SELECT card_id, epoch, count(*) AS txn_count, max(ts_ms) AS last_ts FROM last GROUP BY card_id, epoch
+         QUALIFY epoch = max(epoch) OVER (PARTITION BY card_id))
+SELECT card_id, txn_count, last_ts FROM kept WHERE last_ts + {RESET_MS} + 1 > (SELECT max(ts_ms) FROM last)""",
+)
+def q_stream_idle_cards(spark, d):
+    """What the state store holds once the stream has ended; timers have cleared idle cards."""
+    from cardwise.session import scratch_path
+    from cardwise.streaming.jobs import state_snapshot
+
+    base = scratch_path(spark, "idle-state")
+    writer = _idle_stream(spark, d, base).writeStream.format("noop").option("checkpointLocation", f"{base}/ckpt").trigger(availableNow=True)
+    start_stream(writer, spark).awaitTermination()
+    return state_snapshot(spark, f"{base}/ckpt").select(
+        F.col("key.card_id").alias("card_id"), F.col("value.txn_count").alias("txn_count"), F.col("value.last_ts").alias("last_ts")
+    )
+
+
 @register(
     "stream_state_snapshot",
     f"SELECT card_id, count(*) AS txn_count, CAST(max(ts_ms) AS BIGINT) AS last_ts FROM ({TXN_SQL}) t GROUP BY card_id",

@@ -25,7 +25,7 @@ def main(argv: list[str] | None = None) -> int:  # pragma: no cover - long-runni
     p.add_argument("--topic-out", default="txns.featurized")
     p.add_argument("--out", help="parquet output folder (file sink)")
     p.add_argument("--checkpoint", required=True)
-    p.add_argument("--ttl-hours", type=float, default=0.0, help="idle state expiry; 0 = off")
+    p.add_argument("--idle-hours", type=float, default=0.0, help="event time after which an idle card is forgotten; 0 = off")
     a = p.parse_args(argv)
     spark = build_session(app_name="cardwise-stream")
     raw = (
@@ -33,7 +33,7 @@ def main(argv: list[str] | None = None) -> int:  # pragma: no cover - long-runni
         if a.source == "files"
         else stream_transactions_kafka(spark, a.bootstrap, a.topic_in)
     )
-    feats = stream_features(dedupe_stream(typed_stream(raw)), ttl_ms=int(a.ttl_hours * 3_600_000) or None)
+    feats = stream_features(dedupe_stream(typed_stream(raw)), idle_ms=int(a.idle_hours * 3_600_000) or None)
     if a.bootstrap and a.source == "kafka":
         q = features_to_kafka(feats, a.bootstrap, a.topic_out, a.checkpoint)
     else:

@@ -9,6 +9,7 @@ from cardwise.operators.formulas import features_from_facts
 from cardwise.schema import FEATURE_ORDER, RAW_STRING_SCHEMA, TXN_COLUMNS
 from cardwise.session import configure
 from cardwise.sources.readers import coerce_transactions
+from cardwise.streaming.card_state import TRAIL_ROWS
 from cardwise.streaming.processor import FACTS_SCHEMA, CardFeatureProcessor, EventTimeCardProcessor
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -75,26 +76,30 @@ def dedupe_stream(df: DataFrame, delay: str | None = None) -> DataFrame:
 
 def stream_features(
     df: DataFrame,
-    ttl_ms: int | None = None,
+    idle_ms: int | None = None,
     lru: bool = True,
     reset_after_ms: int | None = None,
     caps: tuple[int, int] | None = None,
+    delay: str = "0 seconds",
+    trail_rows: int = TRAIL_ROWS,
 ) -> DataFrame:
     """27 features per transaction from keyed per-card state (stream or batch input).
 
-    ``ttl_ms``: processing-time idle expiry of the state (T3); ``reset_after_ms``: event-time
-    history reset after an idle gap (W4, same rule as the batch path).
+    ``reset_after_ms``: event-time history reset after an idle gap (W4, same rule as the batch
+    path). ``idle_ms`` (T3): the same reset, and timers clear the state of cards that have been
+    idle for so long of event time, by a watermark ``delay`` behind the newest event; rows behind
+    the watermark are then dropped by Spark. ``trail_rows`` (T2): rows of a card's last 24 h that
+    its state value holds before older ones move into map state by minute.
     """
     _stateful_conf(df.sparkSession)
-    facts = (
-        df.select(*TXN_COLUMNS)
-        .groupBy("card_id")
-        .transformWithState(
-            statefulProcessor=CardFeatureProcessor(ttl_ms=ttl_ms, lru=lru, reset_after_ms=reset_after_ms, caps=caps),
-            outputStructType=FACTS_SCHEMA,
-            outputMode="Append",
-            timeMode="ProcessingTime" if ttl_ms else "None",
-        )
+    rows = df.select(*TXN_COLUMNS)
+    if idle_ms is not None:
+        rows = rows.withColumn("event_ts", F.timestamp_millis(F.col("ts_ms"))).withWatermark("event_ts", delay)
+    facts = rows.groupBy("card_id").transformWithState(
+        statefulProcessor=CardFeatureProcessor(idle_ms=idle_ms, lru=lru, reset_after_ms=reset_after_ms, caps=caps, trail_rows=trail_rows),
+        outputStructType=FACTS_SCHEMA,
+        outputMode="Append",
+        timeMode="None" if idle_ms is None else "EventTime",
     )
     return features_from_facts(facts)
 

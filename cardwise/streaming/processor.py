@@ -1,25 +1,47 @@
 """Keyed state per card in Structured Streaming (``transformWithState``, row API).
 
-State per card (RocksDB state store): one typed ValueState ``card`` holding version,
-counters, last position, hour histogram, last <= 50 amounts, the 24 h (ts, amount) window
-and the MCC (<= 64) / merchant (<= 128) last-seen times as parallel arrays. One value keeps
-the state traffic to a read and a write per card per micro-batch.
+State per card (RocksDB state store): a typed ValueState ``card`` holding version, counters, last
+position, hour histogram, last <= 50 amounts, the trail of the last 24 h (at most ``TRAIL_ROWS``
+rows) and the MCC (<= 64) / merchant (<= 128) last-seen times as parallel arrays. One value keeps
+the state traffic of a quiet card to a read and a write per card per micro-batch.
+
+T2: a busy card's older rows live in map state by minute, with sums by minute (``minutes``) and by
+hour (``spill``) and the rows in parts (``parts``). Whole hours are evicted; only a window's edge
+reads rows. A micro-batch writes the minutes that it adds to, whatever the day holds. The value's
+version tells whether a card has spilled, so a checkpoint of the first layout goes on as it is.
+
+T3: with ``idle_ms``, each batch moves an event-time timer to the card's last row + ``idle_ms``;
+when it expires all state of the card is cleared. A row after a longer gap starts a new history
+whether or not the timer has fired yet, so the result does not depend on the watermark.
 
 The processors only report facts that need history; :func:`cardwise.operators.formulas.features_from_facts`
 makes the features of them. Rows of one card within a micro-batch are processed in
-(ts_ms, txn_id) order; one output row per input row. Optional idle expiry (T3) uses a
-processing-time TTL on every state.
+(ts_ms, txn_id) order; one output row per input row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 from pyspark.sql import Row
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from cardwise.schema import MAX_MCC, MAX_MERCHANTS
-from cardwise.streaming.card_state import FACT_FIELDS, LEDGER_SCHEMA, CardLedger
+from cardwise.streaming.card_state import (
+    FACT_FIELDS,
+    LEDGER_SCHEMA,
+    MINUTE_KEY,
+    MINUTE_SCHEMA,
+    PART_KEY,
+    PART_SCHEMA,
+    SPILL_SCHEMA,
+    SPILLED_VERSION,
+    TRAIL_ROWS,
+    CardLedger,
+    Held,
+    Minutes,
+)
 
 OWN = ("txn_id", "card_id", "ts_ms", "amount", "lat", "lon", "label")
 FACTS_SCHEMA = (
@@ -29,38 +51,114 @@ FACTS_SCHEMA = (
 Facts = Row(*OWN, *FACT_FIELDS)
 
 
+class StoredMinutes(Held):
+    """Minutes and parts in map state: read when asked for, written back once a batch."""
+
+    def __init__(self, handle: StatefulProcessorHandle):
+        self.by_minute = handle.getMapState("minutes", MINUTE_KEY, MINUTE_SCHEMA)
+        self.by_part = handle.getMapState("parts", PART_KEY, PART_SCHEMA)
+        self.listed: dict[int, tuple] | None = None
+        super().__init__(self.stored_minute, self.stored_part)
+
+    def stored_minute(self, minute: int):
+        if self.listed is None:  # one pass over a day's minutes instead of a question for each
+            self.listed = {key[0]: (n, int(units), parts) for key, (n, units, parts) in self.by_minute.iterator()}
+        return self.listed.get(minute)
+
+    def stored_part(self, minute: int, part: int):
+        times, amounts = self.by_part.getValue((minute, part))
+        return list(times), list(amounts)
+
+    def save(self) -> None:
+        for key in self.dropped_parts:
+            self.by_part.removeKey(key)
+        for key in self.changed_parts:
+            self.by_part.updateValue(key, self.parts[key])
+        for minute in self.changed_minutes:
+            value = self.minutes[minute]
+            if value is None:
+                self.by_minute.removeKey((minute,))
+            else:
+                self.by_minute.updateValue((minute,), (value[0], Decimal(value[1]), value[2]))
+
+    def forget(self) -> None:
+        """Nothing of this batch's card is left for the next."""
+        self.__dict__.update(listed=None, minutes={}, parts={}, changed_minutes=set(), changed_parts=set(), dropped_parts=[])
+
+    def clear(self) -> None:
+        self.by_minute.clear()
+        self.by_part.clear()
+
+
 class CardProcessor(StatefulProcessor):
     """What both modes share: the ledger in the state store and the facts of a run of rows."""
 
     def __init__(
-        self, ttl_ms: int | None = None, lru: bool = True, reset_after_ms: int | None = None, caps: tuple[int, int] | None = None
-    ):
-        self.ttl_ms = ttl_ms
-        self.reset_after_ms = reset_after_ms
+        self, idle_ms: int | None = None, lru: bool = True, reset_after_ms: int | None = None, caps: tuple[int, int] | None = None,
+        trail_rows: int = TRAIL_ROWS,
+    ):
+        self.idle_ms, self.trail_rows = idle_ms, trail_rows
+        self.reset_after_ms = reset_after_ms if idle_ms is None else min(idle_ms, reset_after_ms or idle_ms)
         self.caps = (caps or (MAX_MCC, MAX_MERCHANTS)) if lru else (None, None)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.card = handle.getValueState("card", LEDGER_SCHEMA, self.ttl_ms)
+        self.card = handle.getValueState("card", LEDGER_SCHEMA)
+        self.spill = handle.getValueState("spill", SPILL_SCHEMA)
+        self.store = StoredMinutes(handle)
 
-    def facts(self, card_id: str, rows: list[Row]) -> Iterator[Row]:
+    def ledger(self) -> CardLedger:
         stored = self.card.get()  # None when the card has no state yet
-        ledger = CardLedger(self.caps, None if stored is None else tuple(stored))
+        self.store.forget()
+        minutes = Minutes(self.store)
+        if stored is not None and stored[0] == SPILLED_VERSION:
+            before, *sums = self.spill.get()
+            minutes = Minutes(self.store, before, [(h, n, int(u)) for h, n, u in zip(*sums)])
+        self.had_spill = minutes.before is not None
+        return CardLedger(self.caps, None if stored is None else tuple(stored), minutes, self.trail_rows)
+
+    def save(self, ledger: CardLedger) -> None:
+        self.card.update(ledger.stored())
+        self.store.save()
+        if ledger.spilled:
+            hours = ledger.minutes.hours
+            sums = [n for n, _ in hours.values()], [Decimal(units) for _, units in hours.values()]
+            self.spill.update((ledger.minutes.before, list(hours), *sums))
+        elif self.had_spill:
+            self.spill.clear()
+
+    def facts(self, card_id: str, rows: list[Row]) -> Iterator[Row]:
+        ledger = self.ledger()
+        before = ledger.place[0]
         for r in sorted(rows, key=lambda r: (r["ts_ms"], r["txn_id"])):
             told = ledger.take(r, self.reset_after_ms)
             yield Facts(r["txn_id"], card_id, r["ts_ms"], r["amount"], r["lat"], r["lon"], r["label"], *told)
-        self.card.update(ledger.stored())
+        self.save(ledger)
+        if self.idle_ms is not None and ledger.place[0] != before:
+            if before is not None:
+                self.handle.deleteTimer(before + self.idle_ms + 1)
+            self.handle.registerTimer(ledger.place[0] + self.idle_ms + 1)
+
+    def forget(self) -> None:
+        """Clears all state of the card at hand."""
+        self.card.clear()
+        self.spill.clear()
+        self.store.clear()
 
     def close(self) -> None:
         pass
 
 
 class CardFeatureProcessor(CardProcessor):
-    """Facts on arrival; ``ttl_ms`` enables idle expiry (default off)."""
+    """Facts on arrival; ``idle_ms`` clears the state of idle cards (default off)."""
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         yield from self.facts(key[0], list(rows))
 
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        self.forget()
+        return iter(())
+
 
 PENDING_SCHEMA = (
     "txn_id string, ts_ms long, amount double, mcc string, merchant_id string, lat double, lon double, label int"
