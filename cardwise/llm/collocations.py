@@ -46,7 +46,7 @@ HELD, BLOCK_GRAMS, LEAST_CAPACITY = 1 << 20, 1 << 12, 1 << 16
 #: The summaries know an n-gram by so many leading bits of its hash; where two meet, both may
 #: survive that should not, which the second pass sets right.
 GRAM_BITS = 48
-SALTS = 64
+SALTS, SCANS = 64, 4
 
 
 def summed(hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -253,7 +253,9 @@ def frequent_phrases(
     for order in range(1, longest + 1):
         kept, mass = survivors(local_counts(rows, order, longest, maps, parts), order, threshold, mass, parts)
         maps.append(spark.sparkContext.broadcast(bit_map(kept)))
-    counted = exact_counts(rows, longest, maps).groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f"))
+    # a task counts several scan partitions, which saves a row for every phrase that they share
+    tasks = max(spark.sparkContext.defaultParallelism, rows.rdd.getNumPartitions() // SCANS)
+    counted = exact_counts(rows.coalesce(tasks), longest, maps).groupBy("lang", "words", "phrase").agg(F.sum("n").alias("f"))
     counted = written(counted.where(F.col("phrase").isNull() | (F.col("f") >= threshold)), "phrases")
     return counted.where(F.col("phrase").isNotNull()), counted.where(F.col("phrase").isNull()).select("lang", F.col("f").alias("n"))
 
