@@ -814,6 +814,88 @@ def q_features_stream_busy(spark, d):
     return report_features(drain_to_parquet(stream_features(stream, trail_rows=BUSY_TRAIL), base))
 
 
+@register("features_stream_warm", features_sql(TXN_SQL))
+def q_features_stream_warm(spark, d):
+    """The first half of event time in batch, the second streamed from the state that the first
+    left; busy minutes spill on loading."""
+    from cardwise.session import scratch_path
+    from cardwise.streaming.jobs import stream_transactions_files, typed_stream
+    from cardwise.streaming.replay import write_replay_files
+    from cardwise.streaming.warm import stream_features_from
+
+    base = scratch_path(spark, "warm")
+    t = events_txn(spark, d)
+    lo, hi = t.agg(F.min("ts_ms"), F.max("ts_ms")).first()
+    history, rest = (t.where(side) for side in (F.col("ts_ms") < (lo + hi) // 2, F.col("ts_ms") >= (lo + hi) // 2))
+    write_replay_files(rest, f"{base}/in", 6)
+    stream = typed_stream(stream_transactions_files(spark, f"{base}/in", max_files=1))
+    streamed = drain_to_parquet(stream_features_from(stream, history, trail_rows=64), base)
+    return report_features(compute_features(history).unionByName(streamed))
+
+
+def _hurt_rows(t: DataFrame) -> DataFrame:
+    """The view as text; amounts of positives are unreadable, times of merchants ending in 7 blank."""
+    raw = t.select(*[F.col(c).cast("string").alias(c) for c in t.columns])
+    raw = raw.withColumn("amount", F.when(F.col("label") == "1", "n/a").otherwise(F.col("amount")))
+    return raw.withColumn("ts_ms", F.when(F.col("merchant_id").endswith("7"), "").otherwise(F.col("ts_ms")))
+
+
+def _write_hurt_replay(spark, d, folder: str, n_files: int = 6) -> list[str]:
+    """Replay files in event order with unreadable rows, the first delivered last and two twice."""
+    from cardwise.streaming.replay import _order_mtimes, redeliver, set_arrival_order
+
+    t = events_txn(spark, d)
+    _hurt_rows(t).repartitionByRange(n_files, "txn_id").write.mode("overwrite").json(folder)
+    names = _order_mtimes(spark, folder)
+    set_arrival_order(spark, names, [*range(1, n_files), 0])
+    redeliver(spark, names[1], "part-z-again-a.json", 10_000)
+    redeliver(spark, names[0], "part-z-again-b.json", 20_000)
+    return names
+
+
+@register(
+    "transactions_landed",
+    f"""SELECT CASE WHEN merchant_id LIKE '%7' OR label = 1 THEN 'quarantine' ELSE 'good' END AS part, txn_id,
+  CASE WHEN merchant_id LIKE '%7' THEN 'ts_ms' WHEN label = 1 THEN 'amount' END AS reason,
+  CASE WHEN merchant_id LIKE '%7' OR label = 1 THEN NULL ELSE ts_ms END AS ts_ms FROM ({TXN_SQL}) t""",
+)
+def q_landed(spark, d):
+    """P5 + T6: one stream lands good and quarantined rows under commit records; files that come
+    twice add no good row, and the first file, which comes last, is kept."""
+    from cardwise.session import scratch_path
+    from cardwise.streaming.jobs import stream_transactions_files
+    from cardwise.streaming.landing import land_stream, landed, quarantined
+
+    base = scratch_path(spark, "landing")
+    _write_hurt_replay(spark, d, f"{base}/in")
+    raw = stream_transactions_files(spark, f"{base}/in", max_files=2)
+    land_stream(raw, f"{base}/table", f"{base}/ckpt", {"availableNow": True}).awaitTermination()
+    good = landed(spark, f"{base}/table").select(F.lit("good").alias("part"), "txn_id", F.lit(None).cast("string").alias("reason"), "ts_ms")
+    bad = quarantined(spark, f"{base}/table").select("txn_id", "reason").distinct()
+    return good.unionByName(bad.select(F.lit("quarantine").alias("part"), "txn_id", "reason", F.lit(None).cast("long").alias("ts_ms")))
+
+
+@register("decisions_stream_model")
+def q_decisions_model(spark, d):
+    """T8 end to end: replayed raw rows, some unreadable and some delivered twice, are landed, their
+    features streamed, scored with boosted trees fitted on the batch features, and decided once.
+    Non-SQL (model fitting), so no oracle statement."""
+    from cardwise.operators.model import train
+    from cardwise.plans.stream_job import score_transactions
+    from cardwise.session import scratch_path, write_once
+    from cardwise.streaming.jobs import model_scorer, stream_transactions_files
+
+    base = scratch_path(spark, "scoring")
+    _write_hurt_replay(spark, d, f"{base}/in")
+    features = write_once(compute_features(events_txn(spark, d)), "features")
+    newer = F.col("txn_id").cast("long") % 4 == 0
+    model = train(features.where(~newer), features.where(newer), max_iter=5, max_depth=3)
+    raw = stream_transactions_files(spark, f"{base}/in", max_files=2)
+    _, query = score_transactions(spark, raw, base, model_scorer(model), 0.5, "v1", {"availableNow": True})
+    query.awaitTermination()
+    return spark.read.parquet(f"{base}/decisions").select("txn_id", "card_id", R("score").alias("score"), "decision", "label")
+
+
 # ------------------------------------------------------------------------------- model
 
 @register("train_evaluate_report")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -184,24 +185,19 @@ def upsert_decisions(batch: DataFrame, batch_id: int, target: str, day_col: str
     fresh = fresh.persist()
     try:
         new = fresh
-        if _table_exists(spark, target):
+        try:
+            table = spark.read.parquet(target)
+        except AnalysisException as e:  # the first batch: no folder yet, or one without files
+            if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+        else:
             days = [r[0] for r in fresh.select("event_day").distinct().collect()]  # days in one micro-batch
-            existing = spark.read.parquet(target).filter(F.col("event_day").isin(days)).select("txn_id")
-            new = fresh.join(existing, "txn_id", "left_anti")
+            new = fresh.join(table.filter(F.col("event_day").isin(days)).select("txn_id"), "txn_id", "left_anti")
         new.write.mode("append").partitionBy("event_day").parquet(target)
     finally:
         fresh.unpersist()
 
 
-def _table_exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")) or (
-        fs.exists(p) and any(st.getPath().getName().startswith("event_day=") for st in fs.listStatus(p))
-    )
-
-
 def model_scorer(model):
     """Scoring function for :func:`stream_decisions` from a fitted model (L3)."""
     from cardwise.operators.model import score
