@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cardwise.operators.ordered import global_rank
+from cardwise.operators.ordered import global_rank, order_statistic
 from cardwise.schema import COST_CURVE_POINTS, DEFAULT_BUDGETS, CostModel
 
 _DEC = "decimal(38,10)"
@@ -130,9 +130,15 @@ def pr_auc(df: DataFrame) -> DataFrame:
 
 def roc_auc(df: DataFrame) -> DataFrame:
     """Rank statistic with tie-averaged ranks; 0.5 when one class is absent."""
-    g = df.groupBy("score").agg(F.count_if(_pos()).alias("pos"), F.count_if(_neg()).alias("neg"))
+    return roc_auc_of_counts(df.groupBy("score").agg(F.count_if(_pos()).alias("pos"), F.count_if(_neg()).alias("neg")))
+
+
+def roc_auc_of_counts(g: DataFrame) -> DataFrame:
+    """A12 from (score, pos, neg), a row a score. The rank sum reaches twice the product of the
+    class sizes, so it is summed in decimals."""
+    wide = lambda c: F.col(c).cast("decimal(19,0)")
     ranked = global_rank(g, [F.col("score")], sums=("neg",))
-    num = F.sum(F.col("pos") * (2 * (F.col("cum_neg") - F.col("neg")) + F.col("neg")))
+    num = F.sum((wide("pos") * (2 * wide("cum_neg") - wide("neg"))).cast("decimal(38,0)"))
     agg = ranked.agg(num.alias("num2"), F.sum("pos").alias("P"), F.sum("neg").alias("N"))
     auc = F.when((F.col("P") == 0) | (F.col("N") == 0) | F.col("P").isNull(), F.lit(0.5)).otherwise(
         F.col("num2").cast("double") / (2.0 * F.col("P").cast("double") * F.col("N").cast("double"))
@@ -143,32 +149,33 @@ def roc_auc(df: DataFrame) -> DataFrame:
 def metrics_at_budget(df: DataFrame, budgets: Sequence[float] = DEFAULT_BUDGETS) -> DataFrame:
     """Precision / recall (count and value) when the top ``budget`` share is reviewed.
 
-    k = max(1, round-half-even(n * budget)); top-k by (score desc, ts_ms, txn_id).
+    k = max(1, round-half-even(n * budget)); top-k by (score desc, ts_ms, txn_id). Only rows that
+    score at least as high as the last one of the largest budget are ranked; where that is comes
+    from an order statistic.
     """
-    ranked = global_rank(df.select("score", "ts_ms", "txn_id", "label", "amount"), rank_order())
-    total = df.count()
+    pos_amt = F.when(_pos(), F.col("amount").cast(_DEC))
+    tot = df.agg(F.count("*").alias("n"), F.count_if(_pos()).alias("P"), F.coalesce(F.sum(pos_amt), F.lit(0).cast(_DEC)).alias("P_value"))
+    total, n_pos, pos_value = tot.first()
     if total == 0:
         return df.sparkSession.createDataFrame(
             [], "review_rate double, reviewed_n double, precision double, recall_count double, recall_value double"
         )
     rows = [(float(b), max(1, _round_half_even(total * b))) for b in budgets]
+    lowest = order_statistic(df.select((-F.col("score")).alias("down")), "down", min(total, max(k for _, k in rows)))
+    top = df.select("score", "ts_ms", "txn_id", "label", "amount").where(-F.col("score") <= F.lit(lowest))
+    ranked = global_rank(top, rank_order())
     kdf = df.sparkSession.createDataFrame(rows, "review_rate double, k long")
     # kdf has one row per budget: each ranked row meets at most len(budgets) of them.
     j = ranked.join(F.broadcast(kdf), F.col("_rank") <= F.col("k"))
-    pos_amt = F.when(_pos(), F.col("amount").cast(_DEC))
     per = j.groupBy("review_rate", "k").agg(
         F.count_if(_pos()).alias("caught"), F.coalesce(F.sum(pos_amt), F.lit(0).cast(_DEC)).alias("caught_value")
     )
-    tot = df.agg(F.count_if(_pos()).alias("P"), F.coalesce(F.sum(pos_amt), F.lit(0).cast(_DEC)).alias("P_value"))
-    out = per.crossJoin(F.broadcast(tot))  # one row
-    return out.select(
+    return per.select(
         "review_rate",
         F.col("k").cast("double").alias("reviewed_n"),
         (F.col("caught") / F.col("k")).alias("precision"),
-        F.when(F.col("P") > 0, F.col("caught") / F.col("P")).otherwise(0.0).alias("recall_count"),
-        F.when(F.col("P_value") != 0, (F.col("caught_value") / F.col("P_value")).cast("double"))
-        .otherwise(0.0)
-        .alias("recall_value"),
+        (F.col("caught") / F.lit(n_pos) if n_pos else F.lit(0.0)).alias("recall_count"),
+        ((F.col("caught_value") / F.lit(pos_value).cast(_DEC)).cast("double") if pos_value else F.lit(0.0)).alias("recall_value"),
     )
 
 

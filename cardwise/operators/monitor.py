@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from cardwise.functions.columns import decide, e2e_latency_ms
+from cardwise.operators.ordered import segmented_prefix
 from cardwise.schema import APPROVE, REVIEW
 
 # fixed values: latency histogram bucket upper bounds (seconds)
@@ -95,39 +96,87 @@ def review_queue(d: DataFrame, n: int = 100) -> DataFrame:
     return d.filter(F.col("decision") == REVIEW).orderBy(F.col("scored_at").desc(), F.col("txn_id")).limit(n)
 
 
-def latency_percentiles(d: DataFrame, bucket: str = "10 seconds", start=None, end=None) -> DataFrame:
+PERCENTILES = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+
+
+def latency_percentiles(d: DataFrame, bucket: str = "10 seconds", start=None, end=None, large: int = 1_000_000) -> DataFrame:
     """M6: exact continuous p50/p95/p99 of e2e latency per time bucket of scored_at.
 
-    ``percentile`` keeps a value->count map per group, so memory follows the distinct
-    latencies in a bucket, not its rows; use ``percentile_approx`` for unbounded cases.
+    A bucket of at most ``large`` rows is one ``percentile`` aggregate, whose map of values fits a
+    task. Larger ones are ranked: distinct latencies with their counts, one range-partitioned sort of
+    all buckets with running counts, so that a bucket with all rows is spread over all tasks.
     """
     lat = decision_latency(d)
     if start is not None:
         lat = lat.filter(F.col("scored_at") >= F.lit(start))
     if end is not None:
         lat = lat.filter(F.col("scored_at") < F.lit(end))
-    g = lat.groupBy(F.window("scored_at", bucket).alias("w")).agg(
-        F.percentile("e2e_latency_ms", 0.5).alias("p50"),
-        F.percentile("e2e_latency_ms", 0.95).alias("p95"),
-        F.percentile("e2e_latency_ms", 0.99).alias("p99"),
-    )
-    return g.select(F.col("w.start").alias("bucket_start"), "p50", "p95", "p99")
+    lat = lat.select(F.window("scored_at", bucket)["start"].alias("bucket_start"), F.col("e2e_latency_ms").alias("v"))
+    crowded = lat.groupBy("bucket_start").agg(F.count("v").alias("n")).where(F.col("n") > large)
+    if not crowded.limit(1).count():
+        return _percentiles_by_map(lat)
+    few = lat.join(crowded, "bucket_start", "left_anti")
+    return _percentiles_by_map(few).unionByName(grouped_percentiles(lat.join(crowded.select("bucket_start"), "bucket_start", "left_semi")))
+
+
+def _percentiles_by_map(lat: DataFrame) -> DataFrame:
+    return lat.groupBy("bucket_start").agg(*[F.percentile("v", q).alias(name) for name, q in PERCENTILES.items()])
+
+
+def grouped_percentiles(lat: DataFrame) -> DataFrame:
+    """Exact percentiles of ``v`` per ``bucket_start`` without a task that holds a bucket: the values
+    at the two ranks around ``q * (n - 1)``, interpolated."""
+    counts = lat.where(F.col("v").isNotNull()).groupBy("bucket_start", "v").agg(F.count("*").alias("n"))
+    ranked = segmented_prefix(counts, ["bucket_start"], ["v"], ["n"])
+    totals = lat.groupBy("bucket_start").agg(F.count("v").alias("total"))
+    wanted = []
+    for name, q in PERCENTILES.items():
+        at = F.lit(q) * (F.col("total") - 1)
+        wanted += [F.struct(F.lit(f"{name}_{side}").alias("name"), rank.cast("long").alias("rank")) for side, rank in (("lo", F.floor(at)), ("hi", F.ceil(at)))]
+    hits = ranked.join(totals, "bucket_start").select("bucket_start", "total", "v", F.filter(F.array(*wanted), lambda w: (w["rank"] < F.col("cum_n")) & (w["rank"] >= F.col("cum_n") - F.col("n"))).alias("w"))
+    hits = hits.where(F.size("w") > 0).select("bucket_start", "total", "v", F.inline("w"))
+    at = lambda name: F.max(F.when(F.col("name") == name, F.col("v")))
+    found = hits.groupBy("bucket_start", "total").agg(*[at(f"{name}_{side}").alias(f"{name}_{side}") for name in PERCENTILES for side in ("lo", "hi")])
+    out = []
+    for name, q in PERCENTILES.items():
+        rank, lo, hi = F.lit(q) * (F.col("total") - 1), F.col(f"{name}_lo"), F.col(f"{name}_hi")
+        between = (F.ceil(rank) - rank) * lo + (rank - F.floor(rank)) * hi
+        out.append(F.when(lo == hi, lo).otherwise(between).alias(name))
+    return found.select("bucket_start", *out)
+
+
+def decision_counts(d: DataFrame, width: str = "1 minute") -> DataFrame:
+    """(bucket_start, decision, n) per window of scored_at; on a stream with a watermark, too."""
+    g = d.groupBy(F.window("scored_at", width).alias("w"), "decision").agg(F.count(F.lit(1)).alias("n"))
+    return g.select(F.col("w.start").alias("bucket_start"), "decision", "n")
 
 
 def decision_rate(d: DataFrame, width: str = "1 minute", seconds: float = 60.0) -> DataFrame:
     """M7: decisions per second by decision, per window of scored_at."""
-    g = d.groupBy(F.window("scored_at", width).alias("w"), "decision").agg(F.count(F.lit(1)).alias("n"))
-    return g.select(F.col("w.start").alias("bucket_start"), "decision", (F.col("n") / seconds).alias("per_sec"))
+    return rate_of_counts(decision_counts(d, width), seconds)
+
+
+def rate_of_counts(counts: DataFrame, seconds: float = 60.0) -> DataFrame:
+    return counts.select("bucket_start", "decision", (F.col("n") / seconds).alias("per_sec"))
 
 
 def alert_rate(d: DataFrame, width: str = "5 minutes", slide: str = "1 minute", floor: float = 0.0001) -> DataFrame:
-    """M8: share of REVIEW over a sliding window; the rate denominator is floored."""
-    secs = _seconds(width)
-    g = d.groupBy(F.window("scored_at", width, slide).alias("w")).agg(
-        F.count_if(F.col("decision") == REVIEW).alias("review"), F.count(F.lit(1)).alias("total")
-    )
+    """M8: share of REVIEW over a sliding window; the rate denominator is floored. Rows are counted
+    by ``slide`` first; ``width`` must be a multiple of it."""
+    return alert_rate_of_counts(decision_counts(d, slide), width, slide, floor)
+
+
+def alert_rate_of_counts(counts: DataFrame, width: str = "5 minutes", slide: str = "1 minute", floor: float = 0.0001) -> DataFrame:
+    """M8 from counts by ``slide`` and decision: each count goes to the windows that hold it."""
+    secs, step = _seconds(width), _seconds(slide)
+    if secs % step:
+        raise ValueError("the window is a multiple of its slide")
+    starts = F.sequence(F.lit(0), F.lit(int(secs // step) - 1))
+    each = counts.select("bucket_start", "decision", "n", F.explode(starts).alias("back"))
+    each = each.select(F.timestamp_micros(F.unix_micros("bucket_start") - F.col("back") * int(step * 1_000_000)).alias("bucket_start"), "decision", "n")
+    g = each.groupBy("bucket_start").agg(F.sum(F.when(F.col("decision") == REVIEW, F.col("n")).otherwise(0)).alias("review"), F.sum("n").alias("total"))
     rate = (F.col("review") / secs) / F.greatest(F.col("total") / secs, F.lit(floor))
-    return g.select(F.col("w.start").alias("bucket_start"), rate.alias("alert_rate"))
+    return g.select("bucket_start", rate.alias("alert_rate"))
 
 
 def _seconds(text: str) -> float:

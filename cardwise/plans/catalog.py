@@ -434,6 +434,19 @@ def q_latency_pct(spark, d):
     return p.select(_ms("bucket_start").alias("bucket_start_ms"), *[R(c).alias(c) for c in ("p50", "p95", "p99")])
 
 
+@register(
+    "latency_percentiles_crowded",
+    f"""SELECT CAST(0 AS BIGINT) AS bucket_start_ms,
+       {RS('quantile_cont(e2e_latency_ms, 0.5)')} AS p50, {RS('quantile_cont(e2e_latency_ms, 0.95)')} AS p95,
+       {RS('quantile_cont(e2e_latency_ms, 0.99)')} AS p99
+FROM ({_LAT_SQL}) l""",
+)
+def q_latency_pct_crowded(spark, d):
+    """M6 with all rows in one time bucket, which no task holds."""
+    p = monitor.latency_percentiles(decisions_table(spark, d), "36500 days", large=1000)
+    return p.select(_ms("bucket_start").alias("bucket_start_ms"), *[R(c).alias(c) for c in ("p50", "p95", "p99")])
+
+
 @register(
     "decision_rate_1m",
     f"""SELECT CAST(epoch_ms(scored_at) // 60000 * 60000 AS BIGINT) AS bucket_start_ms, decision,
@@ -459,6 +472,33 @@ def q_alert_rate(spark, d):
     return a.select(_ms("bucket_start").alias("bucket_start_ms"), R("alert_rate").alias("alert_rate"))
 
 
+@register(
+    "panels_stream",
+    f"""WITH d AS ({DEC_SQL}), x AS (SELECT (epoch_ms(scored_at) // 60000 - k) * 60000 AS bucket_start_ms, decision FROM d, range(5) r(k))
+SELECT CAST(epoch_ms(scored_at) // 60000 * 60000 AS BIGINT) AS bucket_start_ms, decision AS panel, {RS('count(*) / 60.0')} AS value FROM d GROUP BY 1, 2
+UNION ALL SELECT CAST(bucket_start_ms AS BIGINT), 'alert_rate',
+  {RS("(count(*) FILTER (WHERE decision = 'REVIEW') / 300.0) / greatest(count(*) / 300.0, 0.0001)")} FROM x GROUP BY 1""",
+)
+def q_panels_stream(spark, d):
+    """M7 + M8 on a stream: decisions replayed in files, neighbours swapped so that half come late,
+    counted per minute by a watermarked aggregation."""
+    from cardwise.session import scratch_path
+    from cardwise.streaming.jobs import stream_decision_counts, streamed_counts
+    from cardwise.streaming.replay import _order_mtimes, set_arrival_order
+
+    base = scratch_path(spark, "panels")
+    rows = decisions_table(spark, d)
+    rows.repartitionByRange(6, "scored_at").write.parquet(f"{base}/in")
+    names = _order_mtimes(spark, f"{base}/in")
+    set_arrival_order(spark, names, [i ^ 1 for i in range(len(names))])
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    stream_decision_counts(stream, f"{base}/counts", f"{base}/ckpt", "60 days", trigger={"availableNow": True}).awaitTermination()
+    counts = streamed_counts(spark, f"{base}/counts")
+    rate = monitor.rate_of_counts(counts).select("bucket_start", F.col("decision").alias("panel"), F.col("per_sec").alias("value"))
+    alert = monitor.alert_rate_of_counts(counts).select("bucket_start", F.lit("alert_rate").alias("panel"), F.col("alert_rate").alias("value"))
+    return rate.unionByName(alert).select(_ms("bucket_start").alias("bucket_start_ms"), "panel", R("value").alias("value"))
+
+
 @register(
     "run_review_rate",
     "SELECT " + RS("round(avg(CASE WHEN decision = 'REVIEW' THEN 1.0 ELSE 0.0 END), 4)") + f" AS review_rate FROM ({DEC_SQL}) d",

@@ -222,6 +222,30 @@ def stream_decisions(features: DataFrame, scorer, threshold: float, version: str
     return start_stream(w, features.sparkSession)
 
 
+def stream_decision_counts(decisions: DataFrame, target: str, checkpoint: str, delay: str = "1 hour", width: str = "1 minute", trigger=None):
+    """M7, M8 on a stream: decisions per window and decision, kept up to date under ``target``.
+
+    Each micro-batch writes the windows that changed, with their new counts, under its id; a replayed
+    one overwrites them. Windows leave the state ``delay`` behind the newest decision.
+    """
+    from cardwise.operators.monitor import decision_counts
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        out = batch.withColumn("batch", F.lit(batch_id).cast("long"))
+        out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(target)
+
+    counts = decision_counts(decisions.withWatermark("scored_at", delay), width)
+    w = counts.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    return start_stream(w.trigger(**trigger) if trigger else w, decisions.sparkSession)
+
+
+def streamed_counts(spark: SparkSession, target: str) -> DataFrame:
+    """The newest count of each window and decision; the input of ``rate_of_counts`` and
+    ``alert_rate_of_counts``."""
+    newest = F.max_by("n", "batch").alias("n")
+    return spark.read.parquet(target).groupBy("bucket_start", "decision").agg(newest)
+
+
 def state_snapshot(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The latest per-card state of a running or stopped feature stream, read from its
     checkpoint (one row per card) without touching the query."""
