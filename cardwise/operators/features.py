@@ -567,13 +567,14 @@ def _with_history_reset(
     txn: DataFrame, bucket_ms: int, reset_after_ms: int, hot_rows, hot_bucket_ms, lru_exact=True, caps=(MAX_MCC, MAX_MERCHANTS)
 ) -> DataFrame:
     widths = hot_card_widths(txn, hot_rows, hot_bucket_ms) if hot_rows is not None else None
+    # the epoch comes first, so whatever characters a card id has, the rest of the key is the card
     keyed = history_epochs(txn, reset_after_ms, bucket_ms, widths, TXN_COLUMNS).withColumn(
-        "card_id", F.concat_ws(_EPOCH_SEP, F.col("card_id"), F.col("epoch").cast("string"))
+        "card_id", F.concat_ws(_EPOCH_SEP, F.col("epoch").cast("string"), F.col("card_id"))
     )
     feats = compute_features(
         keyed.drop("epoch"), bucket_ms, hot_rows=hot_rows, hot_bucket_ms=hot_bucket_ms, lru_exact=lru_exact, caps=caps
     )
-    return feats.withColumn("card_id", F.substring_index(F.col("card_id"), _EPOCH_SEP, 1))
+    return feats.withColumn("card_id", F.expr(f"substring(card_id, instr(card_id, '{_EPOCH_SEP}') + 1)"))
 
 
 def _facts(d: DataFrame, mcc_cap: int) -> DataFrame:

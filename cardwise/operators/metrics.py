@@ -175,7 +175,7 @@ def metrics_at_budget(df: DataFrame, budgets: Sequence[float] = DEFAULT_BUDGETS)
         F.col("k").cast("double").alias("reviewed_n"),
         (F.col("caught") / F.col("k")).alias("precision"),
         (F.col("caught") / F.lit(n_pos) if n_pos else F.lit(0.0)).alias("recall_count"),
-        ((F.col("caught_value") / F.lit(pos_value).cast(_DEC)).cast("double") if pos_value else F.lit(0.0)).alias("recall_value"),
+        (F.col("caught_value").cast("double") / F.lit(float(pos_value)) if pos_value else F.lit(0.0)).alias("recall_value"),
     )
 
 

@@ -37,12 +37,16 @@ def train(
     max_iter: int = 200,
     max_depth: int = 6,
     step: float = 0.05,
+    early_stop: bool = True,
 ) -> GBTClassificationModel:
-    """L1: binary boosted trees; positives weighted (n - pos) / pos; early stop on valid."""
+    """L1: binary boosted trees; positives weighted (n - pos) / pos; by default growth stops early
+    on the validation rows' loss (:mod:`cardwise.operators.boosting` chooses by average precision)."""
     counts = train_df.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("label") == 1).alias("pos")).first()
     pos = max(int(counts["pos"]), 1)
     w_pos = (int(counts["n"]) - pos) / pos
-    both = train_df.withColumn("_is_valid", F.lit(False)).unionByName(valid_df.withColumn("_is_valid", F.lit(True)))
+    both = train_df.withColumn("_is_valid", F.lit(False))
+    if early_stop:
+        both = both.unionByName(valid_df.withColumn("_is_valid", F.lit(True)))
     both = model_vector(both).withColumn(
         "_w", F.when(F.col("label") == 1, F.lit(float(w_pos))).otherwise(F.lit(1.0))
     ).withColumn("label", F.col("label").cast("double"))
@@ -50,7 +54,7 @@ def train(
         featuresCol="features_vec",
         labelCol="label",
         weightCol="_w",
-        validationIndicatorCol="_is_valid",
+        **({"validationIndicatorCol": "_is_valid"} if early_stop else {}),
         stepSize=step,
         maxIter=max_iter,
         maxDepth=max_depth,

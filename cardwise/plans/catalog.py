@@ -948,10 +948,11 @@ def q_train_evaluate(spark, d):
     from cardwise.plans.train_evaluate import fit_and_evaluate
     from cardwise.session import write_once
 
-    _, rep = fit_and_evaluate(spark, write_once(compute_features(events_txn(spark, d)), "features"))
+    _, rep = fit_and_evaluate(spark, write_once(compute_features(events_txn(spark, d)), "features"), max_iter=40)
     rows = [(f"test_{k}", v) for k, v in rep["test"].items()]
     rows.append(("chosen_threshold", rep["chosen_threshold"]))
     rows.append(("validation_cost_at_chosen_threshold", rep["validation_cost_at_chosen_threshold"]))
+    rows += [(k, rep[k]) for k in ("best_iteration", "validation_average_precision")]
     rows += [(f"importance_{k}", v) for k, v in rep["feature_importance"].items()]
     return spark.createDataFrame([(k, None if v is None else float(v)) for k, v in rows], "metric string, value double")
 

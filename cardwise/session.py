@@ -67,20 +67,24 @@ def build_session(
     return configure(spark)
 
 
+#: Checkpoint folder of each local application that came without one.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     The cluster's setting is always used when present. Only when it is unset in local mode
-    (tests) is a private folder under ``/tmp`` chosen; a cluster without the setting is an error,
-    since each host would have a folder of its own.
+    (tests) is a private folder under ``/tmp`` chosen, once per application; a cluster without the
+    setting is an error, since each host would have a folder of its own.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
+        context = spark.sparkContext
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all hosts share")
-        path = f"/tmp/cardwise-ckpt-{uuid.uuid4().hex[:8]}"
-        spark.conf.set("spark.checkpoint.dir", path)
+        # a core setting cannot be changed on a running session
+        path = _LOCAL_FOLDERS.setdefault(context.applicationId, f"/tmp/cardwise-ckpt-{uuid.uuid4().hex[:8]}")
     spark.sparkContext.setCheckpointDir(path)
     return path
 
