@@ -52,7 +52,7 @@ from pyspark.sql import functions as F
 from cardwise.functions.columns import hour_of_day
 from cardwise.operators.joins import bounded_broadcast
 from cardwise.operators.formulas import features_from_facts
-from cardwise.session import partitions, persist_partitioned
+from cardwise.session import partitions, persist_partitioned, write_once
 from cardwise.schema import (
     AMOUNT_WINDOW,
     MAX_MCC,
@@ -436,26 +436,54 @@ def _key_memories(caps: tuple[int, int]):
     return {"mcc": Recency(caps[0]), "merchant": Recency(caps[1])}
 
 
-def _seed_keys(caps: tuple[int, int]):
-    """Over (card_id, bucket, kind, key, ts) sorted by card and bucket: the keys each bucket
-    starts with. At most the caps are remembered between rows."""
+#: Buckets that one step of the prefix scan walks, and the bucket of what it starts with.
+SCAN_FAN, CARRIED_IN = 64, -(1 << 62)
+
+
+def _scan_keys(caps: tuple[int, int]):
+    """Over (card_id, block, bucket, kind, key, ts_ms) sorted by the first three: the keys that the
+    card remembers before each bucket. At most the caps are remembered between rows."""
 
     def run(batches):
-        card = bucket = object()
+        at = bucket = memory = None
         for pdf in batches:
             out = []
-            for c, b, kind, key, ts in pdf[["card_id", "bucket", "kind", "key", "ts_ms"]].itertuples(index=False, name=None):
-                if c != card:
-                    memory = _key_memories(caps)
-                elif b != bucket:
-                    out += [(c, b, k, name, at) for k, m in memory.items() for name, at in m.latest.items()]
-                card, bucket = c, b
+            for c, block, b, kind, key, ts in pdf.itertuples(index=False, name=None):
+                if (c, block) != at:
+                    at, bucket, memory = (c, block), CARRIED_IN, _key_memories(caps)
+                if b != bucket:
+                    out += [(c, b, k, name, used) for k, m in memory.items() for name, used in m.latest.items()]
+                bucket = b
                 memory[kind].use(key, ts)
             yield pd.DataFrame(out, columns=["card_id", "bucket", "kind", "key", "ts_ms"])
 
     return run
 
 
+def _seed_keys(latest: DataFrame, caps: tuple[int, int], fan: int = SCAN_FAN) -> DataFrame:
+    """(card_id, bucket, kind, key, ts_ms): what every bucket of ``latest`` starts with, as a prefix
+    scan in a tree.
+
+    "The ``cap`` keys with the highest (latest time, key)" merges associatively, so blocks of ``fan``
+    buckets are summarised by such lists, blocks of blocks likewise, and each block is then walked
+    from what its predecessors left. A task holds one memory and walks ``fan`` buckets of a card at
+    a time, however many buckets a card has."""
+    n = partitions(latest.sparkSession)
+    span = latest.agg(F.min("bucket"), F.max("bucket")).first()
+    block = F.floor(F.col("bucket") / fan).cast("long")
+    rows = latest.select("card_id", block.alias("block"), "bucket", "kind", "key", "ts_ms")
+    if span[0] is not None and span[0] // fan != span[1] // fan:
+        merged = rows.groupBy("card_id", "block", "kind", "key").agg(F.max("ts_ms").alias("ts_ms"))
+        top = W.partitionBy("card_id", "block", "kind").orderBy(F.col("ts_ms").desc(), F.col("key").desc())
+        cap = F.when(F.col("kind") == "mcc", caps[0]).otherwise(caps[1])
+        merged = merged.withColumn("_n", F.row_number().over(top)).where((F.col("_n") <= max(caps)) & (F.col("_n") <= cap))
+        before = _seed_keys(merged.select("card_id", F.col("block").alias("bucket"), "kind", "key", "ts_ms"), caps, fan)
+        carried = before.select("card_id", F.col("bucket").alias("block"), F.lit(CARRIED_IN).alias("bucket"), "kind", "key", "ts_ms")
+        rows = rows.unionByName(carried)
+    walked = rows.repartition(n, "card_id", "block").sortWithinPartitions("card_id", "block", "bucket")
+    return walked.mapInPandas(_scan_keys(caps), "card_id string, bucket long, kind string, key string, ts_ms long")
+
+
 def _follow_keys(caps: tuple[int, int]):
     """Over one bucket's seeds, then its rows in order: what each row's card remembers."""
 
@@ -499,11 +527,7 @@ def _capped_keys(rows: DataFrame, caps: tuple[int, int]) -> DataFrame:
         .groupBy("card_id", "bucket", "kind", "key")
         .agg(F.max("ts_ms").alias("ts_ms"))
     )
-    seeds = (
-        latest.repartition(n, "card_id")
-        .sortWithinPartitions("card_id", "bucket")
-        .mapInPandas(_seed_keys(caps), "card_id string, bucket long, kind string, key string, ts_ms long")
-    )
+    seeds = _seed_keys(write_once(latest, "latest-keys"), caps)
     columns = ("card_id", "bucket", "_rid", "kind", "ts_ms", "mcc", "merchant_id")
     seeded = seeds.select("card_id", "bucket", F.lit(0).alias("_rid"), "kind", "ts_ms", F.col("key").alias("mcc"), F.lit("").alias("merchant_id"))
     return (

@@ -84,3 +84,12 @@ def test_segmented_prefix_over_partitions(spark, parts):
     for seg, i, v in sorted(rows, key=lambda r: r[1]):
         run[seg] = run.get(seg, 0) + v
         assert next(r["cum_v"] for r in got if r["i"] == i) == run[seg]
+
+
+def test_capped_keys_of_one_card_over_many_buckets(spark):
+    """One card holds all rows; hour buckets, so the prefix scan has several levels."""
+    from cardwise.operators.features import compute_features
+
+    t = events_txn(spark, SF_SMALL).withColumn("card_id", F.lit("one")).withColumn("arrival", F.col("ts_ms"))
+    got = compute_features(t, caps=(3, 4), hot_rows=5)
+    assert feature_parity(got, by_state(spark, t.collect(), (3, 4)), tol=1e-9).count() == 0
