@@ -818,6 +818,60 @@ def q_coerce(spark, d):
 
 # ---------------------------------------------------------------------------- streaming
 
+# ------------------------------------------------- checks with something to find
+
+@register(
+    "check_duplicates_planted",
+    f"""WITH d AS ({DEC_SQL}), p AS (SELECT txn_id FROM d UNION ALL SELECT txn_id FROM d WHERE decision = 'REVIEW')
+SELECT txn_id, count(*) AS n FROM p GROUP BY txn_id HAVING count(*) > 1""",
+)
+def q_check_dups_planted(spark, d):
+    """C2 over a table in which every decision to review stands twice."""
+    rows = decisions_table(spark, d)
+    return checks.duplicate_ids(rows.unionByName(rows.where("decision = 'REVIEW'")))
+
+
+@register(
+    "reconcile_planted",
+    f"""WITH t AS ({TXN_SQL})
+SELECT txn_id, 'missing' AS kind FROM t WHERE label = 1
+UNION ALL SELECT DISTINCT 'x-' || card_id, 'unexpected' FROM t""",
+)
+def q_reconcile_planted(spark, d):
+    """A feature table without the positives and with an unknown row for each card."""
+    t = events_txn(spark, d)
+    features = compute_features(t).where("label = 0").select("txn_id")
+    unknown = t.select(F.concat(F.lit("x-"), "card_id").alias("txn_id")).distinct()
+    return checks.reconcile_ids(t, features.unionByName(unknown))
+
+
+_COUNTED = ("prior_txn_count", "velocity_24h", "mcc_is_new", "card_distinct_mcc_count", "hour_prior_count", "out_of_order_flag")
+
+
+@register(
+    "feature_parity_late_rows",
+    f"""SELECT * FROM (SELECT x.txn_id, unnest([{", ".join(f"'{n}'" for n in _COUNTED)}]) AS feature,
+  unnest([{", ".join(f"CAST(x.{n} AS DOUBLE)" for n in _COUNTED)}]) AS a, unnest([{", ".join(f"CAST(y.{n} AS DOUBLE)" for n in _COUNTED)}]) AS b
+  FROM ({features_sql(TXN_SQL)}) x JOIN ({arrival_features_sql(TXN_SQL, _LATE_SQL)}) y ON x.txn_id = y.txn_id) p WHERE a <> b""",
+)
+def q_parity_late(spark, d):
+    """What late delivery changes in the counting features."""
+    t = events_txn(spark, d)
+    return checks.feature_parity(compute_features(t), arrival_features(t.withColumn("arrival", F.expr(_LATE_SQL)), "arrival"), _COUNTED)
+
+
+@register(
+    "lru_overflow_small_caps",
+    f"""SELECT card_id, count(DISTINCT mcc) AS distinct_mcc,
+       count(DISTINCT CASE WHEN merchant_id <> '' THEN merchant_id END) AS distinct_merchants
+FROM ({TXN_SQL}) t GROUP BY card_id
+HAVING count(DISTINCT mcc) > {SMALL_CAPS[0]} OR count(DISTINCT CASE WHEN merchant_id <> '' THEN merchant_id END) > {SMALL_CAPS[1]}""",
+)
+def q_lru_small(spark, d):
+    """W3 guard under caps that most cards pass."""
+    return lru_overflow_cards(events_txn(spark, d), *SMALL_CAPS)
+
+
 @register("features_stream_txn", features_sql(TXN_SQL))
 def q_features_stream(spark, d):
     """T1 + S6: features from keyed state in a real micro-batch stream.
