@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
+# fixed values: column names of a transaction
 TXN_SCHEMA = T.StructType(
     [
         T.StructField("txn_id", T.StringType(), False),
@@ -84,6 +85,7 @@ COST_CURVE_POINTS = 200
 
 FEATURE_TABLE_COLUMNS = ("txn_id", "card_id", "ts_ms", *FEATURE_ORDER, "label")
 
+# fixed values: column names of a decision
 DECISION_SCHEMA = T.StructType(
     [
         T.StructField("txn_id", T.StringType(), False),
