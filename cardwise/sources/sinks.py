@@ -27,9 +27,11 @@ def write_normalized(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_report(spark: SparkSession, report: dict, path: str) -> None:
-    """K4: one JSON document (test report, threshold, cost model, curve, importance, order).
+    """K4: one JSON document (test report, threshold, cost model, curve, importance, order), as a
+    one-row table of nested structs, which ``spark.read.json`` gives back.
 
     The report is a small dict of scalars and short lists (<= a few hundred numbers).
     """
     doc = json.dumps(report, sort_keys=True)
-    spark.createDataFrame([(doc,)], "value string").coalesce(1).write.mode("overwrite").text(path)
+    row = spark.createDataFrame([(doc,)], "value string").select(F.from_json("value", F.schema_of_json(F.lit(doc))).alias("r"))
+    row.select("r.*").coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)

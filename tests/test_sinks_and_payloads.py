@@ -48,6 +48,14 @@ def test_report_json(spark, tmp_path):
     assert json.loads(text)["chosen_threshold"] == 0.5
 
 
+def test_report_is_read_back_nested(spark, tmp_path):
+    report = {"test": {"budget_0.001_precision": 0.25, "n": 10.0, "pr_auc": None}, "best_iteration": 3, "cost_curve": {"threshold": [0.1, 0.2]}}
+    write_report(spark, report, str(tmp_path / "rep"))
+    row = spark.read.json(str(tmp_path / "rep")).first()
+    assert row["test"]["budget_0.001_precision"] == 0.25 and row["best_iteration"] == 3
+    assert row["cost_curve"]["threshold"] == [0.1, 0.2] and row["test"]["pr_auc"] is None
+
+
 def test_require_features_lists_missing(spark):
     import pytest
 
