@@ -246,10 +246,18 @@ def streamed_counts(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.parquet(target).groupBy("bucket_start", "decision").agg(newest)
 
 
-def state_snapshot(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """The latest per-card state of a running or stopped feature stream, read from its
-    checkpoint (one row per card) without touching the query."""
-    return spark.read.format("statestore").option("stateVarName", "card").load(checkpoint)
+def state_snapshot(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """Per-card state of a running or stopped feature stream, read from its checkpoint (one row
+    per card) without touching the query: the latest, or as of the end of a micro-batch."""
+    reader = spark.read.format("statestore").option("stateVarName", "card")
+    return (reader if batch_id is None else reader.option("batchId", batch_id)).load(checkpoint)
+
+
+def state_changes(spark: SparkSession, checkpoint: str, first_batch: int = 0, last_batch: int | None = None) -> DataFrame:
+    """The updates and deletions of cards' state in a range of micro-batches (``batch_id``,
+    ``change_type``, key and value)."""
+    reader = spark.read.format("statestore").option("stateVarName", "card").option("readChangeFeed", "true").option("changeStartBatchId", first_batch)
+    return (reader if last_batch is None else reader.option("changeEndBatchId", last_batch)).load(checkpoint)
 
 
 def start_stream(writer, spark: SparkSession, state_partitions: int | None = None):

@@ -135,3 +135,22 @@ def test_unknown_layout_is_a_cold_start():
     ledger.take(row(T0, 5.0))
     assert CardLedger(stored=ledger.stored()).rows == 1
     assert CardLedger(stored=(99, *ledger.stored()[1:])).rows == 0
+
+
+def test_state_as_of_a_batch_and_its_changes(spark, tmp_path):
+    from cardwise.streaming.jobs import state_changes, state_snapshot, stream_features, stream_transactions_files, typed_stream
+    from cardwise.streaming.replay import write_replay_files
+
+    names = write_replay_files(events_txn(spark, SF_SMALL), f"{tmp_path}/in", 3)
+    features = stream_features(typed_stream(stream_transactions_files(spark, f"{tmp_path}/in", max_files=1)))
+    start(spark, f"{tmp_path}/in", features, f"{tmp_path}/run")
+    ckpt = f"{tmp_path}/run/ckpt"
+    seen = None
+    for batch, name in enumerate(names):
+        part = spark.read.schema("card_id string, ts_ms string").json(name)
+        seen = part if seen is None else seen.unionByName(part)
+        want = {r[0]: (r[1], r[2]) for r in seen.groupBy("card_id").agg(F.count("*"), F.max(F.col("ts_ms").cast("long"))).collect()}
+        got = {r[0]: (r[1], r[2]) for r in state_snapshot(spark, ckpt, batch).select("key.card_id", "value.txn_count", "value.last_ts").collect()}
+        assert got == want
+        changed = {r[0] for r in state_changes(spark, ckpt, batch, batch).where("change_type = 'update'").select("key.card_id").collect()}
+        assert changed == {r[0] for r in part.select("card_id").distinct().collect()}
