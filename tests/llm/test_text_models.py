@@ -141,3 +141,16 @@ def test_unigram_takes_the_best_path():
         ids = encoder.encode(text)
         assert sum(scores[i] for i in ids) == pytest.approx(best("▁" + text.replace(" ", "▁")))
         assert sentencepiece_codec.decode(ids, model.spelled) == text
+
+
+def test_text_vectors_equal_brute_force():
+    vector = {}
+
+    def of(char):
+        return vector.setdefault(char, language_id.letter_vectors(np.array([ord(char)]))[0].astype(int))
+
+    for text in ("Abc, abc!  Äß", "a", "ab ab ab", "日本語 ok", "x" * 500, "q1w2e3"):
+        letters = "".join(c if c.isalpha() else " " for c in text.lower())
+        plain = " " + " ".join(letters.split()) + " "
+        want = sum(np.roll(of(a), 2) * np.roll(of(b), 1) * of(c) for a, b, c in zip(plain, plain[1:], plain[2:], strict=False))
+        assert np.array_equal(language_id.text_vectors([None, text, ""])[1], want)
