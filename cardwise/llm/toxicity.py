@@ -102,7 +102,10 @@ def sigmoid(z: np.ndarray) -> np.ndarray:
 
 def counts(sets: list[np.ndarray]) -> np.ndarray:
     """How many of the texts have each bucket."""
-    return np.bincount(np.concatenate([*sets, np.zeros(0, np.int64)]).astype(np.int64), minlength=BUCKETS)
+    out = np.zeros(BUCKETS, np.int64)
+    for some in sets:
+        out[some] += 1
+    return out
 
 
 def prior_bound(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> float:
@@ -130,18 +133,15 @@ def risk_and_slope(z: np.ndarray, is_p: np.ndarray, prior: float) -> tuple[float
 def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> tuple[np.ndarray, np.ndarray, float]:
     """(buckets, weights, bias) of one classifier."""
     sets = [*positive, *unlabelled]
-    sizes = np.array([len(s) for s in sets], np.int64)
-    flat = np.concatenate([*sets, np.zeros(0, np.int64)]).astype(np.int64)
-    rows = np.repeat(np.arange(len(sets)), sizes)
     n_p, n_u = len(positive), len(unlabelled)
-    in_p = np.bincount(flat[: int(sizes[:n_p].sum())], minlength=BUCKETS)
-    in_u = np.bincount(flat[int(sizes[:n_p].sum()) :], minlength=BUCKETS)
+    in_p, in_u = counts(positive), counts(unlabelled)
     share = (in_p + in_u) / (n_p + n_u)
     error = np.sqrt(share * (1 - share) * (1 / n_p + 1 / n_u)) + 1 / (n_p + n_u)
     telling = np.abs(in_p / n_p - in_u / n_u) > TELLING * error
     seen = np.flatnonzero(telling)
-    some = telling[flat]
-    rows, column = rows[some], np.searchsorted(seen, flat[some])
+    kept = [some[telling[some]] for some in sets]  # the few buckets that count, before any array over all
+    rows = np.repeat(np.arange(len(sets)), [len(some) for some in kept])
+    column = np.searchsorted(seen, np.concatenate([*kept, np.zeros(0, np.int32)]))
     is_p = np.arange(len(sets)) < n_p
     w, bias = np.zeros(len(seen)), float(np.log(prior / (1 - prior)))
     first, second = np.zeros(len(seen) + 1), np.zeros(len(seen) + 1)
@@ -226,7 +226,7 @@ def learn(
 
     def train_member(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.assign(key=[zlib.crc32(np.asarray(s, np.int64).tobytes()) for s in pdf["words"]]).sort_values(["confirmed", "key"], kind="stable")
-        sets = [np.asarray(s, np.int64) for s in pdf["words"]]
+        sets = [np.asarray(s, np.int32) for s in pdf["words"]]
         n_u = int((~pdf["confirmed"]).sum())
         whole = 0 < n_u < len(sets)
         share = prior or (estimated_prior(sets[n_u:], sets[:n_u], least) if whole else min(0.999, least))
