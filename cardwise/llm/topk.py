@@ -1,16 +1,20 @@
-"""Exact top-k by inner product: full scoring in blocks, after bounds from partly read lists.
+"""Exact top-k by inner product: no-random-access aggregation over blocks of sorted lists.
 
 Candidates are dealt into blocks of about ``ROWS`` rows and queries into blocks of about
 ``ASKED``; every pair of blocks is one group with a key of its own, so the work spreads evenly
 and each task holds two bounded blocks. In a block every component is a list sorted by value,
 read in step from its end: from the top for a positive query component, from the bottom for a
-negative one. After reading to one of two fixed ``DEPTHS``, a candidate's score lies between two bounds: what has
-been read, plus for each list not yet met the list's far end (lower) or the value just read
-(upper). Candidates whose upper bound is under the k-th largest lower bound cannot qualify and
-are dropped, if that holds for all of ``TOGETHER`` queries; the rest are scored by their whole
-vectors. On the given vectors hardly any candidate is dropped (README). Bounds of many queries are two matrix products
-each: with the depth's value ``f``, an entry counts as ``max(x, f)`` (upper) or as ``x`` where
-``x >= f`` and the list's end elsewhere (lower).
+negative one. Reading goes on in steps (``DEPTHS``, the share of a list read). After a step a
+candidate's score lies between two bounds: what has been read, plus for each list not yet met
+the list's far end (lower) or the value just read (upper). A candidate whose upper bound is
+under its query's k-th largest lower bound cannot qualify and leaves that query for good. A
+query stops reading when no more than ``LEFT`` times k candidates are left to it, and their
+scores are resolved; one that never gets there has read its lists to the end.
+
+``TOGETHER`` queries read side by side, so that a step's bounds are two matrix products over
+the candidates that any query still reading holds; which candidates are left, and when to stop,
+is each query's own. With the depth's value ``f``, an entry counts as ``max(x, f)`` (upper) or
+as ``x`` where ``x >= f`` and the list's end elsewhere (lower).
 
 Numbers are exact: single or double precision is used only where every partial sum fits its
 mantissa, else 64-bit integers, else (partial sums of 2^63 or more) Python's integers.
@@ -35,7 +39,8 @@ from pyspark.sql.window import Window
 
 K, SCALE = 20, 64
 ROWS, ASKED, TOGETHER = 8192, 4096, 64
-DEPTHS = (0.25, 0.5)
+DEPTHS = (0.25, 0.5, 0.75, 0.875, 0.9375, 1.0)
+LEFT = 4
 SCHEMA = "query_id long, vec_id long, score long"
 
 
@@ -55,37 +60,54 @@ def matrix(vectors: pd.Series, dims: int) -> np.ndarray:
     return out
 
 
+def number_kind(queries: np.ndarray, block: np.ndarray) -> tuple[type, int]:
+    """The cheapest type that holds every partial sum exactly, and a bound of all scores."""
+    bound = int(np.abs(queries).max(initial=0)) * int(np.abs(block).max(initial=0)) * max(block.shape[1], 1)
+    return np.float32 if bound < 1 << 24 else np.float64 if bound < 1 << 53 else np.int64 if bound < 1 << 63 else object, bound
+
+
+def read_lists(ask: np.ndarray, block: np.ndarray, lists: np.ndarray, own: np.ndarray, k: int) -> Iterator[tuple[int, float, np.ndarray]]:
+    """(query, share of the lists read, rows of ``block`` that may still qualify) as queries stop
+    reading, each query once. ``lists``: the block with every column sorted."""
+    n = len(block)
+    kind, bound = number_kind(ask, block)
+    plus, minus = np.maximum(ask, 0).astype(kind), np.minimum(ask, 0).astype(kind)
+    reading, rows, left = np.arange(len(ask)), np.arange(n), ~own
+    depth = 0.0
+    for ahead in DEPTHS:
+        few = left.sum(1) <= LEFT * k
+        for q in np.flatnonzero(few):
+            yield reading[q], depth, rows[left[q]]
+        reading, left = reading[~few], left[~few]
+        if not len(reading):
+            return
+        some = left.any(0)
+        rows, left = rows[some], left[:, some]
+        depth, t = ahead, max(1, int(n * ahead))
+        part, high, low = block[rows], lists[n - t], lists[t - 1]
+        up, down = plus[reading], minus[reading]
+        upper = up @ np.maximum(part, high).T.astype(kind) + down @ np.minimum(part, low).T.astype(kind)
+        lower = up @ np.where(part >= high, part, lists[0]).T.astype(kind) + down @ np.where(part <= low, part, lists[-1]).T.astype(kind)
+        lower[~left] = -bound - 1
+        reached = np.partition(lower, len(rows) - k, axis=1)[:, len(rows) - k]
+        left &= (upper >= reached[:, None]).astype(bool)
+    for q, mine in zip(reading, left, strict=True):
+        yield q, depth, rows[mine]
+
+
 def top_k(queries: np.ndarray, block: np.ndarray, own: np.ndarray, k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(rows of ``block``, scores) of each query's k best; rows stand in the order of ties.
     ``own``: (queries x rows) mask of rows that a query does not meet."""
-    n, dims = block.shape
-    bound = int(np.abs(queries).max(initial=0)) * int(np.abs(block).max(initial=0)) * max(dims, 1)
-    kind = np.float32 if bound < 1 << 24 else np.float64 if bound < 1 << 53 else np.int64 if bound < 1 << 63 else object
+    kind, _ = number_kind(queries, block)
     lists = np.sort(block, axis=0)
     for at in range(0, len(queries), TOGETHER):
-        ask, mine = queries[at : at + TOGETHER], own[at : at + TOGETHER]
-        plus, minus = np.maximum(ask, 0).astype(kind), np.minimum(ask, 0).astype(kind)
-        rows = np.arange(n)
-        for depth in DEPTHS:
-            t = int(n * depth)
-            if t < 1 or len(rows) <= k:
-                break
-            part, high, low = block[rows], lists[n - t], lists[t - 1]
-            upper = plus @ np.maximum(part, high).T.astype(kind) + minus @ np.minimum(part, low).T.astype(kind)
-            lower = plus @ np.where(part >= high, part, lists[0]).T.astype(kind) + minus @ np.where(part <= low, part, lists[-1]).T.astype(kind)
-            shut = mine[:, rows]
-            lower[shut] = -bound - 1
-            reached = np.partition(lower, len(rows) - k, axis=1)[:, len(rows) - k]
-            rows = rows[((upper >= reached[:, None]) & ~shut).any(0)]
-        scores = ask.astype(kind) @ block[rows].T.astype(kind)
-        for score, shut in zip(scores, mine[:, rows], strict=True):
-            open_rows = np.flatnonzero(~shut)
-            score = score[open_rows]
-            if len(score) > k:
-                some = np.flatnonzero(score >= np.partition(score, len(score) - k)[len(score) - k])
-                open_rows, score = open_rows[some], score[some]
+        ask = queries[at : at + TOGETHER]
+        found = {q: rows for q, _, rows in read_lists(ask, block, lists, own[at : at + TOGETHER], k)}
+        for q in range(len(ask)):
+            rows = found[q]
+            score = block[rows].astype(kind) @ ask[q].astype(kind)
             order = np.argsort(-score, kind="stable")[:k]
-            yield rows[open_rows[order]], score[order].astype(np.int64)
+            yield rows[order], score[order].astype(np.int64)
 
 
 def exact_top_k(vectors: DataFrame, is_query: Column, k: int = K, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:

@@ -92,6 +92,28 @@ def test_top_k_past_64_bits():
         assert rows.tolist() == order and scores.tolist() == [exact[i] for i in order]
 
 
+def test_top_k_reading_stops_when_no_outsider_can_qualify():
+    rng = np.random.default_rng(9)
+    block, ask = rng.integers(-9, 10, (4000, 8)), rng.integers(-9, 10, (70, 8))
+    block[:, 3] *= rng.integers(1, 400, 4000)  # one list decides most scores, so little of the lists is read
+    own = np.zeros((70, 4000), bool)
+    own[5, :3990] = True  # a query that meets ten rows
+    scores = ask @ block.T
+    scores[own] = -(10**12)
+    seen, depths = [], []
+    for q, depth, rows in topk.read_lists(ask, block, np.sort(block, axis=0), own, 6):
+        best = np.lexsort((np.arange(4000), -scores[q]))[:6]
+        assert set(best) <= set(rows.tolist()) and not own[q, rows].any()
+        seen.append(q)
+        depths.append(depth)
+        if depth < 1:
+            assert len(rows) <= topk.LEFT * 6
+        else:  # read to the end: the bounds meet, only the best and their ties are left
+            assert scores[q, rows].min() >= scores[q, best].min()
+    assert sorted(seen) == list(range(70)) and depths[seen.index(5)] == 0
+    assert np.mean(np.array(depths) <= 0.75) > 0.5
+
+
 def test_url_rules_and_edges(spark):
     urls = ["http://A.Example.com/en/1?x", "https://www.example.com/en/2#t", "http://x.net/es/3", "http://x.net", "http://com/a", "notaurl", None, "http://", "ftp://b.org/a/b/7/", "http://x.net/fr/é?q://z", "http://evilcom/a"]
     got = {r["page_id"]: r for r in url_filter.url_filter(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")).collect()}
