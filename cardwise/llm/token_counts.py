@@ -7,7 +7,8 @@ both computed once, breadth first. A word then costs one step per character and
 ever built: follow the edge, else add the node's popped count and fail. A word that cannot be
 matched to its end counts as one unknown piece, as word-piece tokenisers do.
 
-Distinct words of a batch run through the automaton together, one character position a step.
+Distinct words of a batch run through the automaton together, one character position a step,
+while more than ``FEW`` are alive; the rest of longer words is walked a word at a time.
 
 Defined results: null and empty texts have no words and no tokens; repeated rows and null ids
 get a row each; an empty table gives no rows; other columns are ignored.
@@ -18,6 +19,7 @@ from __future__ import annotations
 from collections import deque
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -28,6 +30,7 @@ from cardwise.llm.words import distinct, word_batches
 
 SCHEMA = "doc_id long, n_words long, n_tokens long"
 CODE_BITS = 21  # a Unicode code point
+FEW = 64
 
 
 @dataclass(frozen=True)
@@ -39,6 +42,30 @@ class Automaton:
     fail: np.ndarray
     popped: np.ndarray
 
+    @cached_property
+    def by_edge(self) -> dict[int, int]:
+        return dict(zip(self.edges.tolist(), self.targets.tolist(), strict=True))
+
+    @cached_property
+    def failing(self) -> list[tuple[int, int]]:
+        """(failure link, popped pieces) of each node."""
+        return list(zip(self.fail.tolist(), self.popped.tolist(), strict=True))
+
+
+def walk(auto: Automaton, chars: list[int], state: int, count: int) -> tuple[int, int]:
+    """(state, count) after one word's further characters; state -1 where it cannot be matched."""
+    edge, failing = auto.by_edge.get, auto.failing
+    for char in chars:
+        to = edge(state << CODE_BITS | char)
+        while to is None:
+            state, more = failing[state]
+            count += more
+            if state < 0:
+                return -1, count
+            to = edge(state << CODE_BITS | char)
+        state = to
+    return state, count
+
 
 def pieces_of_model(path: str) -> tuple[list[str], list[str]]:
     """(word-initial, continuing) pieces of a SentencePiece model file: those with and without
@@ -103,6 +130,12 @@ def lengths(words: list[bytes], auto: Automaton) -> np.ndarray:
     alive = len(words)
     for at in range(int(size[0]) if len(size) else 0):
         alive = int(np.searchsorted(-size[:alive], -at, "left"))  # words longer than ``at``
+        if alive <= FEW:
+            for word in np.flatnonzero(~dead[:alive]):
+                rest = chars[start[word] + at : start[word] + size[word]].tolist()
+                state[word], count[word] = walk(auto, rest, int(state[word]), int(count[word]))
+                dead[word] = state[word] < 0
+            break
         todo = np.flatnonzero(~dead[:alive])
         char = chars[start[todo] + at]
         while len(todo):
