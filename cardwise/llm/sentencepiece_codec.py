@@ -45,6 +45,7 @@ from cardwise.llm.words import unique
 MARK = "▁"
 LIMIT = 3_000_000
 REMEMBERED = 800_000
+FEW = 64
 SEPARATOR = 0x110000
 UNITS = re.compile(f"{MARK}*[^{MARK}\n]+|{MARK}+|\n")
 
@@ -136,9 +137,11 @@ class Encoder:
         size = len(model.pieces)
         self.length_of = np.ones(size + 1, np.int64)  # the last entry: a character without a piece
         self.length_of[self.matched] = self.lengths
+        self.list_of_lengths = self.length_of.tolist()
         self.score_of = np.append(np.array(model.scores, float), min(model.scores, default=0.0) - 10)
         self.pairs = np.zeros(0, np.int64)
         self.allowed = np.zeros(0, bool)
+        self.verdicts: dict[int, bool] = {}  # as ``allowed``, for single edges
         self.forget()
 
     def forget(self) -> None:
@@ -194,6 +197,43 @@ class Encoder:
                 expected.append(piece)
         return self.model.merges(spelled) == expected
 
+    def relax_singly(self, begin: np.ndarray, piece: np.ndarray, offset: np.ndarray, best: np.ndarray, last: np.ndarray) -> np.ndarray:
+        """``last`` after the given edges, in order of position, one at a time."""
+        if not len(begin):
+            return last
+        edges = zip(begin.tolist(), piece.tolist(), (begin + self.length_of[piece]).tolist(), strict=True)
+        out = last.tolist()
+        if self.model.bpe:
+            size, first = len(self.model.pieces) + 1, (offset == 0).tolist()
+            for s, t, e in edges:
+                left = out[s]
+                if left < 0 and not first[s]:
+                    continue
+                key = (left + 1) * (size + 1) + t
+                good = self.verdicts.get(key)
+                if good is None:
+                    good = self.verdicts[key] = self.judge(left, t)
+                if good:
+                    out[e] = t
+        else:
+            scores, totals = self.score_of.tolist(), best.tolist()
+            for s, t, e in edges:
+                total = totals[s] + scores[t]
+                if total > totals[e]:
+                    totals[e], out[e] = total, t
+        return np.array(out, np.int64)
+
+    def trace(self, last: np.ndarray, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """(places, pieces) of one unit, from its end back."""
+        pieces, lengths = last[start : end + 1].tolist(), self.list_of_lengths
+        at, ats, ids = end - start, [], []
+        while at > 0:
+            t = pieces[at]
+            at -= lengths[t]
+            ats.append(start + at)
+            ids.append(t)
+        return np.array(ats, np.int64), np.array(ids, np.int64)
+
     def encode_units(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all units in a row, number of ids of each unit)."""
         strange = len(self.model.pieces)
@@ -217,7 +257,8 @@ class Encoder:
         last = np.full(len(codes), -1, np.int64)  # the piece that ends here
         best = np.full(len(codes), -np.inf)
         best[start] = 0.0
-        cuts = np.searchsorted(offset[begin], np.arange(int(size.max(initial=0)) + 1))
+        many = int(np.sort(size)[-FEW - 1]) if len(size) > FEW else 0  # from here on, few units are alive
+        cuts = np.searchsorted(offset[begin], np.arange(many + 1))
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             s, t = begin[a:b], piece[a:b]
             e = s + self.length_of[t]
@@ -230,15 +271,19 @@ class Encoder:
                 total = best[s] + self.score_of[t]
                 good = total > best[e]
                 best[e[good]], last[e[good]] = total[good], t[good]
+        last = self.relax_singly(begin[cuts[-1] :], piece[cuts[-1] :], offset, best, last)
         steps = []
         unit, at = np.arange(len(units)), start + size
         unit, at = unit[size > 0], at[size > 0]
-        while len(unit):
+        while len(unit) > FEW:
             t = last[at]
             at = at - self.length_of[t]
             steps.append((unit, at, t))
             going = at > start[unit]
             unit, at = unit[going], at[going]
+        for one, end in zip(unit.tolist(), at.tolist(), strict=True):
+            ats, ids = self.trace(last, int(start[one]), end)
+            steps.append((np.full(len(ats), one), ats, ids))
         if not steps:
             return np.zeros(0, np.int64), np.zeros(len(units), np.int64)
         unit, at, t = (np.concatenate(x) for x in zip(*steps, strict=True))

@@ -1,6 +1,7 @@
 """Language ID and toxicity (held-out accuracy, edge rows), tokenisers (library oracles)."""
 
 import os
+import time
 
 import numpy as np
 import pytest
@@ -111,6 +112,45 @@ def test_automaton_on_a_small_vocabulary():
     assert token_counts.lengths([b"abcde", b"abcdx", b"abcd", b"abz", b"z", b"aef"], auto).tolist() == [1, 2, 3, 1, 1, 2]
 
 
+def greedy_length(word: str, initial: set[str], inner: set[str]) -> int:
+    longest, at, n, pieces = max(map(len, initial | inner)), 0, 0, initial
+    while at < len(word):
+        fits = [k for k in range(1, min(longest, len(word) - at) + 1) if word[at : at + k] in pieces]
+        if not fits:
+            return 1
+        at, n, pieces = at + fits[-1], n + 1, inner
+    return n
+
+
+def test_long_words_are_walked_singly():
+    rng = np.random.default_rng(12)
+    initial, inner = {"a", "abcde", "ab"}, {"a", "b", "cd", "c", "d", "ef", "bcdx", "abc"}
+    words = ["".join(rng.choice(list("abcdef" if i % 5 else "abcd"), n)) for i, n in enumerate(rng.integers(1, 60, 500))]
+    words += ["a" + "".join(rng.choice(list("abcd"), n)) for n in (3000, 70, 500)] + ["a" * 400 + "z"]
+    auto = token_counts.build_automaton(initial, inner)
+    want = [greedy_length(w, initial, inner) for w in words]
+    assert token_counts.lengths([w.encode() for w in words], auto).tolist() == want
+    assert [int(token_counts.lengths([w.encode()], auto)[0]) for w in words] == want
+
+
+@needs_pieces
+def test_a_million_unbroken_characters():
+    import sentencepiece
+
+    rng = np.random.default_rng(13)
+    text = "".join(rng.choice(list("etaoinshrdlu"), 1_000_000))
+    initial, inner = map(set, token_counts.pieces_of_model(PIECES))
+    auto = token_counts.build_automaton(initial, inner)
+    began = time.process_time()
+    got = int(token_counts.lengths([text.encode()], auto)[0])
+    assert time.process_time() - began < 10 and got == greedy_length(text, initial, inner)
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    encoder = sentencepiece_codec.Encoder(sentencepiece_codec.read_model(PIECES))
+    began = time.process_time()
+    ids = encoder.encode(text)
+    assert time.process_time() - began < 30 and ids.tolist() == library.encode(text)
+
+
 @needs_pieces
 def test_encoding_equals_the_library_and_decodes(spark):
     import sentencepiece
