@@ -390,20 +390,18 @@ def compute_features(
     wmer = W.partitionBy("card_id", "bucket", "merchant_id").orderBy("_rid")
     whr = W.partitionBy("card_id", "bucket", "hour").orderBy("_rid")
 
-    d = data.join(carry, ["card_id", "bucket"]).join(
-        merchant_first, ["card_id", "bucket", "merchant_id"], "left"
-    )
-    d = d.select(
-        "*",
-        (F.col("_rid") - 1).alias("j"),
-        F.collect_list("amount").over(wd.rowsBetween(-AMOUNT_WINDOW, -1)).alias("amt_prior"),
-        F.lag("ts_ms").over(wmcc).alias("mcc_prev_in"),
-        F.row_number().over(wmer).alias("rn_mer"),
-        F.row_number().over(whr).alias("rn_hour"),
-    )
-    d = d.withColumn(
-        "mcc_prev_ts", F.coalesce(F.col("mcc_prev_in"), F.try_element_at("mcc_prev", F.col("mcc")))
-    )
+    # Sorts are of narrow rows: of the carry's arrays and map only the row's own entries go on,
+    # and the carried amounts only where the bucket's own do not fill the window.
+    d = data.withColumn("mcc_prev_in", F.lag("ts_ms").over(wmcc)).withColumn("rn_hour", F.row_number().over(whr))
+    d = d.withColumn("rn_mer", F.row_number().over(wmer)).join(merchant_first, ["card_id", "bucket", "merchant_id"], "left")
+    d = d.join(carry, ["card_id", "bucket"])
+    d = d.withColumns({
+        "j": F.col("_rid") - 1,
+        "mcc_prev_ts": F.coalesce(F.col("mcc_prev_in"), F.try_element_at("mcc_prev", F.col("mcc"))),
+        "hour_before": F.element_at("hour_before", F.col("hour") + 1),
+        "prev_tail": F.when(F.col("_rid") <= AMOUNT_WINDOW, F.col("prev_tail")),
+    }).drop("mcc_prev", "mcc_prev_in")
+    d = d.withColumn("amt_prior", F.collect_list("amount").over(wd.rowsBetween(-AMOUNT_WINDOW, -1)))
     d = d.withColumn(
         "mcc_new_in",
         F.coalesce(
@@ -629,7 +627,7 @@ def _facts(d: DataFrame, mcc_cap: int) -> DataFrame:
         F.least(F.lit(mcc_cap), F.col("mcc_distinct_before") + F.col("mcc_new_in")).alias("mcc_known"),
         ((F.col("merchant_id") != "") & ~first_use).alias("merchant_known"),
         *[last[name].alias(f"last_{name.removesuffix('_ms')}") for name in ("ts_ms", "lat", "lon")],
-        (F.element_at("hour_before", F.col("hour") + 1) + F.col("rn_hour") - 1).alias("hour_prior"),
+        (F.col("hour_before") + F.col("rn_hour") - 1).alias("hour_prior"),
     )
 
 
