@@ -176,3 +176,31 @@ def test_lru_overflow_guard(make_txn):
     ]
     rows = lru_overflow_cards(make_txn(spec)).collect()
     assert [(r["card_id"], r["distinct_mcc"]) for r in rows] == [("c1", 70)]
+
+
+def test_cards_in_one_bucket_and_by_day_have_the_same_features(spark):
+    """Cards below ``dense_rows`` are one bucket, one of them on both sides of time 0; nothing changes."""
+    from cardwise.operators.checks import feature_parity
+    from cardwise.operators.features import WHOLE_MS, card_widths
+    from cardwise.sources.views import events_txn
+    from tests.conftest import SF_SMALL
+
+    t = events_txn(spark, SF_SMALL)
+    first = t.agg(F.min("card_id")).first()[0]
+    middle = t.where(F.col("card_id") == first).agg(F.percentile_approx("ts_ms", 0.5)).first()[0]
+    t = t.withColumn("ts_ms", F.when(F.col("card_id") == first, F.col("ts_ms") - middle).otherwise(F.col("ts_ms")))
+    n = sorted(r[0] for r in t.groupBy("card_id").count().select("count").collect())
+    dense = n[len(n) // 2]
+    width, widths = card_widths(t, None, dense, None, 3_600_000)
+    assert width == WHOLE_MS and 0 < widths.count() < len(n)
+    want = compute_features(t, bucket_ms=86_400_000, hot_rows=None, caps=(2, 3))
+    got = compute_features(t, dense_rows=dense, caps=(2, 3))
+    assert got.count() == t.count() and feature_parity(want, got).count() == 0
+
+
+def test_payload_filter_stays_above_the_written_features(spark):
+    from cardwise.plans import catalog
+    from tests.conftest import SF_SMALL
+
+    plan = catalog.queries()["features_payload_round_trip"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" in plan and "Window" not in plan and "aggregate(" not in plan
