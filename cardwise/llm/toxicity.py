@@ -48,6 +48,8 @@ STEPS, RATE, SPARSE, TELLING = 200, 0.1, 1e-5, 5.0
 #: estimate by scores; the shares of P that its thresholds may leave above them.
 MARGIN, SCORE_MARGIN, ABOVE = 3.0, 2.0, (0.3, 0.98)
 ROUNDS = 2
+#: Texts of an Arrow batch whose words a task holds at a time.
+EXTRACT_ROWS = 1_000
 STEMS = (4, 5)
 #: Flips a bucket to the one that says that several distinct words of a text fell into it.
 SEVERAL = 0x5A5A5
@@ -178,7 +180,7 @@ def estimated_prior(positive: list[np.ndarray], unlabelled: list[np.ndarray], le
     high; the threshold with the lowest such bound (u taken ``SCORE_MARGIN`` standard errors
     higher) is used. Scores are of texts that their classifier has not seen, first of classifiers
     fitted with the bound by single buckets, then with the estimate itself. ``least`` of U is known
-    to be toxic."""
+    to be toxic, and is all that is known where the scores do not tell P from U (a bound of 1)."""
     clip = lambda x: float(min(0.999, max(least, x)))
     prior = clip(prior_bound(positive, unlabelled))
     if min(len(positive), len(unlabelled)) < 4:
@@ -187,7 +189,10 @@ def estimated_prior(positive: list[np.ndarray], unlabelled: list[np.ndarray], le
         z_p, z_u = (np.sort(z) for z in unseen_logits(positive, unlabelled, prior))
         at = z_p[::-1][int(len(z_p) * ABOVE[0]) : max(int(len(z_p) * ABOVE[0]) + 1, int(len(z_p) * ABOVE[1]))]
         p, u = (1 - np.searchsorted(z, at, "left") / len(z) for z in (z_p, z_u))
-        best = ((u + SCORE_MARGIN * np.sqrt(u * (1 - u) / len(z_u))) / p).argmin()
+        bounds = (u + SCORE_MARGIN * np.sqrt(u * (1 - u) / len(z_u))) / p
+        best = bounds.argmin()
+        if bounds[best] >= 1:
+            return clip(least)
         prior = clip(u[best] / p[best])
     return prior
 
@@ -222,11 +227,14 @@ def learn(
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame({"members": pdf["members"], "confirmed": pdf["confirmed"], "words": [s.tolist() for s in features(pdf["text"].tolist())]})
+            for at in range(0, len(pdf), EXTRACT_ROWS):  # a few texts at a time, their buckets as bytes
+                some = pdf.iloc[at : at + EXTRACT_ROWS]
+                words = [s.astype(np.int32).tobytes() for s in features(some["text"].tolist())]
+                yield pd.DataFrame({"members": some["members"].tolist(), "confirmed": some["confirmed"].tolist(), "words": words})
 
     def train_member(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.assign(key=[zlib.crc32(np.asarray(s, np.int64).tobytes()) for s in pdf["words"]]).sort_values(["confirmed", "key"], kind="stable")
-        sets = [np.asarray(s, np.int32) for s in pdf["words"]]
+        pdf = pdf.assign(key=[zlib.crc32(np.frombuffer(s, np.int32).astype(np.int64).tobytes()) for s in pdf["words"]]).sort_values(["confirmed", "key"], kind="stable")
+        sets = [np.frombuffer(s, np.int32) for s in pdf["words"]]
         n_u = int((~pdf["confirmed"]).sum())
         whole = 0 < n_u < len(sets)
         share = prior or (estimated_prior(sets[n_u:], sets[:n_u], least) if whole else min(0.999, least))
@@ -235,7 +243,7 @@ def learn(
         buckets, weights, bias = fit(sets[n_u:], sets[:n_u], share)
         return pd.DataFrame({"bucket": np.append(buckets, -1), "weight": np.append(weights, bias)})
 
-    sets = positive.unionByName(unlabelled).mapInPandas(extract, "members array<int>, confirmed boolean, words array<int>")
+    sets = positive.unionByName(unlabelled).mapInPandas(extract, "members array<int>, confirmed boolean, words binary")
     sets = sets.select(F.explode("members").alias("member"), "confirmed", "words").repartition(MEMBERS, "member")
     weights, bias = np.zeros(BUCKETS, np.float32), 0.0
     trained = sets.groupBy("member").applyInPandas(train_member, "bucket int, weight double")
@@ -256,7 +264,9 @@ def scorer(
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
         weights, bias = shared.value
-        return pd.Series(sigmoid(logits(features(texts.tolist(), weights != 0), weights, bias)))
+        wanted = weights != 0
+        some = (texts.iloc[at : at + EXTRACT_ROWS].tolist() for at in range(0, len(texts), EXTRACT_ROWS))
+        return pd.Series(np.concatenate([np.zeros(0), *(sigmoid(logits(features(t, wanted), weights, bias)) for t in some)]))
 
     return score
 
