@@ -25,6 +25,7 @@ rows; repeated rows count as often as they are there; other columns are ignored.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from itertools import pairwise
 
@@ -43,6 +44,8 @@ SCALE = 2_000_000
 MAP_BITS, LEAST_BITS, BITS_EACH = 1 << 27, 1 << 16, 64
 BLOCK = 16  # a block of the bit map has so many bits as a power of two
 HELD, BLOCK_GRAMS, LEAST_CAPACITY = 1 << 20, 1 << 12, 1 << 16
+#: Phrases in a frame that the second pass sends, and bytes of text that it counts at a time.
+FRAME, CHUNK = 1 << 15, 400_000
 #: The summaries know an n-gram by so many leading bits of its hash; where two meet, both may
 #: survive that should not, which the second pass sets right.
 GRAM_BITS = 48
@@ -190,7 +193,8 @@ class Tally:
 
     def __init__(self):
         self.hashes, self.rows, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.phrases: list[tuple[str, bytes]] = []
+        self.phrases: list[bytes] = []
+        self.langs: list[str] = []  # each a reference to one of a few names
 
     def add(self, chunk: Chunk, names: list[str], order: int, gram: np.ndarray, at: np.ndarray) -> None:
         hashes, first, counts = np.unique(gram[at], return_index=True, return_counts=True)
@@ -202,7 +206,8 @@ class Tally:
         new = np.flatnonzero(~known)
         rows = len(self.phrases) + np.arange(len(new))
         part = chunk.words[3]
-        self.phrases += [(names[chunk.lang[part[i]]], chunk.phrase(i, order)) for i in at[first[new]].tolist()]
+        self.phrases += [chunk.phrase(i, order) for i in at[first[new]].tolist()]
+        self.langs += [sys.intern(names[k]) for k in chunk.lang[part[at[first[new]]]].tolist()]
         self.hashes, self.rows = np.insert(self.hashes, place[new], hashes[new]), np.insert(self.rows, place[new], rows)
         self.counts = np.append(self.counts, counts[new])
 
@@ -216,14 +221,14 @@ def exact_counts(rows: DataFrame, longest: int, maps: list[Broadcast]) -> DataFr
         tallies = {order: Tally() for order in range(1, longest + 1)}
         totals: dict[str, int] = {}
 
-        def frame(order: int) -> pd.DataFrame:
+        def frames(order: int) -> Iterator[pd.DataFrame]:
             tally = tallies[order]
             tallies[order] = Tally()
-            return pd.DataFrame(
-                {"lang": [x for x, _ in tally.phrases], "words": order, "phrase": [p.decode("utf-8", "replace") for _, p in tally.phrases], "n": tally.counts}
-            )
+            for at in range(0, len(tally.phrases), FRAME):  # decoded and sent in parts
+                some = slice(at, at + FRAME)
+                yield pd.DataFrame({"lang": tally.langs[some], "words": order, "phrase": [p.decode("utf-8", "replace") for p in tally.phrases[some]], "n": tally.counts[some]})
 
-        for chunk, names in chunks(((x, t) for pdf in batches for x, t in zip(pdf["lang"], pdf["text"], strict=True)), longest):
+        for chunk, names in chunks(((x, t) for pdf in batches for x, t in zip(pdf["lang"], pdf["text"], strict=True)), longest, CHUNK):
             part, own = chunk.words[3:]
             for name, n in zip(names, np.bincount(chunk.lang[part[own]], minlength=len(names)).tolist(), strict=True):
                 totals[name] = totals.get(name, 0) + n
@@ -231,10 +236,9 @@ def exact_counts(rows: DataFrame, longest: int, maps: list[Broadcast]) -> DataFr
                 at = np.flatnonzero(mask)
                 tallies[order].add(chunk, names, order, gram, at[held(gram[at], wanted[order - 1])])
                 if len(tallies[order].phrases) > HELD // 2:
-                    yield frame(order)
-        for order, tally in tallies.items():
-            if tally.phrases:
-                yield frame(order)
+                    yield from frames(order)
+        for order in tallies:
+            yield from frames(order)
         if totals:
             yield pd.DataFrame({"lang": list(totals), "words": 0, "phrase": [None] * len(totals), "n": list(totals.values())})
 
