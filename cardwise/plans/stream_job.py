@@ -26,20 +26,21 @@ from cardwise.streaming.jobs import (
 from cardwise.streaming.landing import land_stream, landed_stream
 
 
-def landed_features(spark: SparkSession, raw: DataFrame, base: str, trigger: dict, idle_ms: int | None = None):
+def landed_features(spark: SparkSession, raw: DataFrame, base: str, trigger: dict, idle_ms: int | None = None, slots: int | None = None):
     """(landing stream, stream of features of the landed rows). A finite run of the landing stream
     ends here, so that the second finds all files."""
     landing = land_stream(raw, f"{base}/transactions", f"{base}/checkpoints/landing", trigger)
     if trigger.get("availableNow"):
         landing.awaitTermination()
-    return landing, stream_features(landed_stream(spark, f"{base}/transactions"), idle_ms=idle_ms)
+    return landing, stream_features(landed_stream(spark, f"{base}/transactions"), idle_ms=idle_ms, slots=slots)
 
 
 def score_transactions(
-    spark: SparkSession, raw: DataFrame, base: str, scorer, threshold: float, version: str, trigger: dict, idle_ms: int | None = None
-):
+    spark: SparkSession, raw: DataFrame, base: str, scorer, threshold: float, version: str, trigger: dict, idle_ms: int | None = None,
+    slots: int | None = None,
+):
     """T8 end to end: both streams, started; ``scorer`` maps a feature batch to one with ``score``."""
-    landing, features = landed_features(spark, raw, base, trigger, idle_ms)
+    landing, features = landed_features(spark, raw, base, trigger, idle_ms, slots)
     return landing, stream_decisions(features, scorer, threshold, version, f"{base}/decisions", f"{base}/checkpoints/decisions", trigger)
 
 
