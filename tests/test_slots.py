@@ -73,3 +73,33 @@ def test_event_time_slots_wait_for_the_watermark(spark, tmp_path, make_txn):
     got, _ = drain(stream_features_event_time(stream, "90 minutes", slots=4), f"{tmp_path}/run")
     assert got.count() == t.count()
     assert feature_parity(compute_features(t), got, tol=1e-9).count() == 0
+
+
+def test_windows_of_a_busy_card_are_counted_once_a_minute():
+    from cardwise.streaming.card_state import CardLedger, Minutes, Recency
+
+    class Counted(Minutes):
+        edges_made = 0
+
+        def edge(self, minute):
+            Counted.edges_made += 1
+            return super().edge(minute)
+
+    rng, ts = random.Random(9), T0
+    plain, busy = CardLedger(trail_rows=10**9), CardLedger(trail_rows=64)
+    busy.minutes = Counted(busy.minutes.store)
+    for _ in range(6000):
+        ts += rng.randrange(0, 2600)
+        row = {"ts_ms": ts, "amount": round(rng.uniform(0, 500), 2), "mcc": "a", "merchant_id": str(rng.randrange(300)), "lat": 1.0, "lon": 2.0}
+        assert busy.take(row) == plain.take(row)
+    assert busy.spilled and 0 < Counted.edges_made < 6000  # three windows a row ask for 18,000
+
+    kept, used = Recency(5), {}
+    for _ in range(4000):
+        key, at = str(rng.randrange(12)), rng.randrange(900)
+        kept.use(key, at)
+        used[key] = max(at, used.get(key, at))
+        if len(used) > 5:
+            del used[min(used, key=lambda k: (used[k], k))]
+        assert kept.latest == used
+    assert len(kept.order) <= 8 * 6 + 1
