@@ -145,6 +145,20 @@ def test_packed_rows_of_a_table(spark):
         stream_features(t, packed=True, idle_ms=DAY)
 
 
+def test_whole_numbers_are_reported_as_before(spark):
+    from cardwise.plans.catalog import report_features, report_stored_features
+    from cardwise.schema import FEATURE_ORDER
+
+    rng = random.Random(2)
+    odd = [0.0, -0.0, -1.0, 0.5, 1e-9, -1e-9, 5e-7, 2.5e-6, 1e9, -1e9, 2.0**53 + 2, 1e17, 1e300, float("nan"), float("inf"), -float("inf"), None, 123456.7890125]
+    odd += [float(rng.randrange(10**k)) for k in range(1, 17)] + [rng.uniform(-(10.0**k), 10.0**k) for k in range(1, 17)]
+    rows = [(str(i), "c", i, *[odd[(i + k) % len(odd)] for k in range(len(FEATURE_ORDER))], 1) for i in range(len(odd))]
+    schema = "txn_id string, card_id string, ts_ms long, " + ", ".join(f"{n} double" for n in FEATURE_ORDER) + ", label int"
+    df = spark.createDataFrame(rows, schema)
+    as_text = lambda d: sorted(map(str, d.collect()))
+    assert as_text(report_stored_features(df)) == as_text(report_features(df))
+
+
 def test_rows_of_a_busy_card_are_not_taken_singly(monkeypatch):
     """The state operator's work on a busy card follows its micro-batches and minutes, not its rows."""
     rows = stream_of(11, 20_000, BUSY)
