@@ -24,7 +24,7 @@ from cardwise.streaming.card_state import FACT_FIELDS, SCALE, CardLedger, Recenc
 from cardwise.streaming.processor import FACTS_SCHEMA, OWN, PENDING, CardProcessor
 
 #: Rows of an Arrow table that is packed by card, of a run, and of a packed value of facts.
-PACK_ROWS, RUN_ROWS, FACT_ROWS = 1 << 17, 1 << 19, 1 << 16
+PACK_ROWS, RUN_ROWS, FACT_ROWS = 1 << 17, 1 << 21, 1 << 16
 #: Rows at a time where a pass per window place follows, so that the arrays stay in the CPU's cache.
 BLOCK = 1 << 13
 #: Amounts' units are summed in two halves, each within 64 bits.
@@ -92,8 +92,7 @@ class PackedCardProcessor(CardProcessor):
         together = unpacked([r["rows"] for r in rows]).sort_by([("ts_ms", "ascending"), ("txn_id", "ascending")])
         ledger, out = self.ledger(), Row("card_id", "facts")
         for facts in all_facts(ledger, together, self.reset_after_ms):
-            for first in range(0, facts.num_rows, FACT_ROWS):
-                yield out(key[0], packed(facts.slice(first, FACT_ROWS), BLOCK))
+            yield out(key[0], packed(facts, BLOCK))
         self.save(ledger)
 
 
@@ -108,12 +107,18 @@ def all_facts(ledger: CardLedger, rows: pa.Table, reset_after_ms: int | None = N
     at = 0
     while at < len(ts):
         end = at + fit_for_a_run(ledger, rows, ts, gaps, at, reset_after_ms)
-        facts = run_facts(ledger, rows.slice(at, end - at)) if end > at else None
-        if facts is None:
-            end = max(end, at + until_a_run(ledger, ts, at))
-            told = [ledger.take(r, reset_after_ms) for r in rows.slice(at, end - at).to_pylist()]
-            facts = {name: pa.array(values, kind) for (name, kind), values in zip(FACT_KINDS.items(), zip(*told))}
-        yield pa.table({name: rows[name].slice(at, end - at) for name in OWN if name != "card_id"} | facts)
+        run = Run.of(ledger, rows.slice(at, end - at)) if end > at else None
+        end = max(end, at + until_a_run(ledger, ts, at))
+        for first in range(at, end, FACT_ROWS):
+            some = rows.slice(first, min(FACT_ROWS, end - first))
+            if run:
+                facts = run.facts(some, first - at)
+            else:
+                told = [ledger.take(r, reset_after_ms) for r in some.to_pylist()]
+                facts = {name: pa.array(values, kind) for (name, kind), values in zip(FACT_KINDS.items(), zip(*told))}
+            yield pa.table({name: some[name] for name in OWN if name != "card_id"} | facts)
+        if run:
+            run.remember()
         at = end
 
 
@@ -146,49 +151,52 @@ def until_a_run(ledger: CardLedger, ts: np.ndarray, at: int) -> int:
     return min(max(late, AMOUNT_WINDOW - len(ledger.amounts), 1), AMOUNT_WINDOW, len(ts) - at)
 
 
-def run_facts(ledger: CardLedger, rows: pa.Table) -> dict[str, pa.Array] | None:
-    """Facts of a run, which is then posted; nothing where sums of units are too long."""
-    ts, amount = numbers(rows["ts_ms"]), numbers(rows["amount"])
-    n = len(ts)
-    seen = Seen(ledger, ts, amount)
-    try:
-        vel_1m, _ = seen.since(ts - WINDOW_1M_MS, amounts=False)
-        hour, day = (seen.since(ts - w) for w in (WINDOW_1H_MS, WINDOW_24H_MS))
-    except OverflowError:
-        return None
-    mean, spread = moments(np.concatenate([np.fromiter(ledger.amounts, float), amount]), n)
-    mcc_ts, mcc_known = used_before(ledger.mccs, rows["mcc"], ts)
-    merchant_ts, _ = used_before(ledger.merchants, rows["merchant_id"], ts, blank=True)
-    hours = ts // WINDOW_1H_MS % 24
-    place = []
-    for old, name, kind in zip(ledger.place, PLACE, (pa.int64(), pa.float64(), pa.float64())):
-        place.append(pa.concat_arrays([pa.array([old], kind), rows[name].combine_chunks().slice(0, n - 1)]))
-    facts = (
-        np.arange(ledger.rows, ledger.rows + n), vel_1m, *hour, *day, np.full(n, AMOUNT_WINDOW), mean, spread,
-        mcc_ts, mcc_known, merchant_ts.is_valid(), *place, np.asarray(ledger.hours)[hours] + rank_within(hours),
-    )
-    ledger.rows += n
-    ledger.hours = (np.asarray(ledger.hours) + np.bincount(hours, minlength=24)).tolist()
-    ledger.amounts.extend(amount[-AMOUNT_WINDOW:].tolist())
-    ledger.place = tuple(rows[name][n - 1].as_py() for name in PLACE)
-    seen.remember()
-    return {name: pa.array(values, kind) if isinstance(values, np.ndarray) else values for (name, kind), values in zip(FACT_KINDS.items(), facts)}
-
-
 def halves(units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Whole numbers (as floats) as upper and lower halves; the lower ones are not negative."""
     upper = np.floor(units / 2.0**HALF)
     return upper.astype(np.int64), (units - upper * 2.0**HALF).astype(np.int64)
 
 
-class Seen:
-    """Times and amounts of the trail and a run after it, and what lies before them in minutes."""
+class Run:
+    """Rows of a card that come no earlier than all before them: ``facts`` of some after the other,
+    then ``remember``."""
 
     def __init__(self, ledger: CardLedger, ts: np.ndarray, amount: np.ndarray):
         self.ledger, self.n = ledger, len(ts)
         self.times = np.concatenate([np.array(ledger.trail.times, np.int64), ts])
         self.amounts = np.concatenate([np.array(ledger.trail.amounts, float), amount])
         self.totals = [np.concatenate([[0], np.cumsum(half)]) for half in halves(np.rint(self.amounts * float(SCALE)))]
+        vel_1m, _ = self.since(ts - WINDOW_1M_MS, amounts=False)
+        self.windows = vel_1m, *self.since(ts - WINDOW_1H_MS), *self.since(ts - WINDOW_24H_MS)
+
+    @classmethod
+    def of(cls, ledger: CardLedger, rows: pa.Table) -> Run | None:
+        """Nothing where sums of units are too long."""
+        try:
+            return cls(ledger, numbers(rows["ts_ms"]), numbers(rows["amount"]))
+        except OverflowError:
+            return None
+
+    def facts(self, rows: pa.Table, at: int) -> dict[str, pa.Array]:
+        """Facts of the next rows, from place ``at`` of the run; they count in what is told of later ones."""
+        ledger, ts, amount = self.ledger, numbers(rows["ts_ms"]), numbers(rows["amount"])
+        n = len(ts)
+        mean, spread = moments(np.concatenate([np.fromiter(ledger.amounts, float), amount]), n)
+        mcc_ts, mcc_known = used_before(ledger.mccs, rows["mcc"], ts)
+        merchant_ts, _ = used_before(ledger.merchants, rows["merchant_id"], ts, blank=True)
+        hours = ts // WINDOW_1H_MS % 24
+        place = []
+        for old, name, kind in zip(ledger.place, PLACE, (pa.int64(), pa.float64(), pa.float64())):
+            place.append(pa.concat_arrays([pa.array([old], kind), rows[name].combine_chunks().slice(0, n - 1)]))
+        facts = (
+            np.arange(ledger.rows, ledger.rows + n), *(window[at : at + n] for window in self.windows), np.full(n, AMOUNT_WINDOW), mean, spread,
+            mcc_ts, mcc_known, merchant_ts.is_valid(), *place, np.asarray(ledger.hours)[hours] + rank_within(hours),
+        )
+        ledger.rows += n
+        ledger.hours = (np.asarray(ledger.hours) + np.bincount(hours, minlength=24)).tolist()
+        ledger.amounts.extend(amount[-AMOUNT_WINDOW:].tolist())
+        ledger.place = tuple(rows[name][n - 1].as_py() for name in PLACE)
+        return {name: pa.array(values, kind) if isinstance(values, np.ndarray) else values for (name, kind), values in zip(FACT_KINDS.items(), facts)}
 
     def since(self, edges: np.ndarray, amounts: bool = True) -> tuple[np.ndarray, np.ndarray | None]:
         """For every row of the run: (rows, amount) before it that are later than its edge."""
